@@ -69,20 +69,20 @@ def overlap_join(left: DataFrame, right: DataFrame, on: str | dict, prefer: str
     preferred side's value and fall back to the other side's where it is NULL."""
     if isinstance(on, str):
         on = {on: on}
-    rkeys = set(on.values())
-    shared = [c for c in right.columns if c in left.columns and c not in rkeys and c not in on]
-    r = right.select(*[_q(c).alias(c + suffix) if c in shared else _q(c) for c in right.columns])
+    rkeys = list(on.values())
+    shared = [c for c in right.columns if c in left.columns and c not in rkeys]
+    tmp = {k: f"__rk{i}" for i, k in enumerate(rkeys)}
+    r = right.select(*[_q(c).alias(tmp[c]) if c in tmp else (_q(c).alias(c + suffix) if c in shared else _q(c))
+                       for c in right.columns])
     cond = None
     for l, rk in on.items():
-        rk2 = rk + suffix if rk in shared else rk
-        c = _q(l) == r[f"`{rk2}`"]
+        c = _q(l) == F.col(tmp[rk])
         cond = c if cond is None else cond & c
-    out = left.join(r, cond, "left")
+    out = left.join(r, cond, "left").drop(*tmp.values())
     for c in shared:
         a, b = (_q(c + suffix), _q(c)) if prefer == "right" else (_q(c), _q(c + suffix))
         out = out.withColumn(c, F.coalesce(a, b)).drop(c + suffix)
-    drop_r = [k for k in rkeys if k not in on and k not in left.columns]
-    return out.drop(*drop_r)
+    return out
 
 
 def override_where_null(df: DataFrame, key: str, overrides: DataFrame, cols: list[str],
