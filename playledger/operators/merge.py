@@ -94,8 +94,9 @@ def shrink_check(old: DataFrame, new: DataFrame, ratio: float = 0.9, force: bool
 def since_cursor(df: DataFrame, modified_col: str, cursor) -> tuple[DataFrame, DataFrame]:
     """Rows changed after the high-water mark, and a one-row DataFrame with the next cursor
     (the previous one when nothing changed)."""
-    rows = df.where(_q(modified_col) > F.lit(cursor))
-    nxt = df.agg(F.greatest(F.max(_q(modified_col)), F.lit(cursor)).alias("cursor"))
+    cur = F.lit(cursor).cast(df.schema[modified_col].dataType)
+    rows = df.where(_q(modified_col) > cur)
+    nxt = df.agg(F.greatest(F.max(_q(modified_col)), cur).alias("cursor"))
     return rows, nxt
 
 
