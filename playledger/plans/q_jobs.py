@@ -1 +1,243 @@
-"""placeholder"""
+"""Silver and gold jobs (C4-C16, C19, C20) run on the world derived from the driver tables."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config as K
+from ..functions.semantics import round_half_up
+from ..operators.rollup import hourly_rollup
+from . import analogs as A
+from . import gold as G
+from . import silver as S
+from . import world as W
+from .catalog import register
+from .oracle import with_ctes
+from .q_ops import _location_sql
+
+# Service/flag configuration for the world (the production lists hold production ids).
+JOB_CFG = {
+    "service_campaign_ids": [3, 30, 300, 3000],
+    "service_reservation_ids": [11, 21, 31, 101],
+    "service_line_item_ids": [12, 22, 32],
+    "force_single_panel_campaign_ids": [5],
+    "excluded_campaign_ids": [7, 70, 700],
+}
+SYNTHETIC_CAMPAIGNS = [
+    {"campaign_id": 900000001, "campaign_name": "Uwaga Pociąg", "advertiser": "Metro Warszawskie", "client_name": "Metro Warszawskie"},
+    {"campaign_id": 900000002, "campaign_name": "Autopromocja", "advertiser": "Stroer", "client_name": "Stroer"},
+]
+
+
+def _in(ids):
+    return "(" + ", ".join(str(i) for i in ids) + ")"
+
+
+def bronze_play_logs(spark, d):
+    return hourly_rollup(W.play_logs_raw(spark, d),
+                         ["PlayerID", "AdCopyId", "CampID", "FrameID", "DisplayUnitID", "contract_id"],
+                         sums={"Duration": "Duration", "Impresje": "Impresje"}, scale=None)
+
+
+BRONZE_SQL = f"""{W.PLAYS_SQL},
+bronze AS (
+  SELECT PlayerID, strftime(DateEndTime, '%Y-%m-%d') AS DateEnd, CAST(hour(DateEndTime) AS INTEGER) AS timeslot, AdCopyId, CampID,
+         FrameID, DisplayUnitID, contract_id, coalesce(sum(Duration), 0) AS Duration,
+         CAST(coalesce(sum(Impresje), 0) AS BIGINT) AS Impresje, count(*) AS emisje
+  FROM plays GROUP BY 1, 2, 3, 4, 5, 6, 7, 8)"""
+
+
+def campaigns(spark, d):
+    return S.build_campaigns(W.proposal_items(spark, d), W.proposals(spark, d), W.users(spark, d))
+
+
+# ---- C5 ------------------------------------------------------------------------------------------------
+CAMPAIGNS_SQL = f"""{W.ITEMS_SQL}, {W.PROPOSALS_SQL}, {W.USERS_SQL},
+campaigns AS (
+  SELECT i.id AS line_item_id, coalesce(i.campaign_id, i.proposal_id) AS campaign_id, i.name AS line_item_name, i.status_name,
+         i.price AS line_price, i.start_date AS line_start, i.end_date AS line_end, i.slot_duration, i.screen_count,
+         p.name AS campaign_name, p.status AS campaign_status, coalesce(p.advertiser, i.advertiser) AS advertiser,
+         p.client_id, p.client_name, p.price AS campaign_price, p.contract_id, p.contract_number,
+         p.start_date AS campaign_start, p.end_date AS campaign_end,
+         i.owner_user_id, u.email AS owner_email, i.buy_saturation, i."buy_budget.id", i."buy_budget.tier",
+         i.perf_expected_repetitions, i.perf_actual_repetitions, p.perf_goal AS camp_perf_goal, p.perf_tier AS camp_perf_tier
+  FROM items i LEFT JOIN proposals p ON p.id = coalesce(i.campaign_id, i.proposal_id)
+               LEFT JOIN users u ON u.id = i.owner_user_id)"""
+
+_CAMP_OUT = ["line_item_id", "campaign_id", "line_item_name", "status_name", "line_price", "campaign_name", "campaign_status",
+             "advertiser", "client_id", "client_name", "campaign_price", "contract_number", "owner_user_id", "owner_email",
+             "buy_saturation", "buy_budget.id", "buy_budget.tier", "perf_expected_repetitions", "perf_actual_repetitions"]
+
+
+@register("job_campaigns", f"""
+WITH {CAMPAIGNS_SQL}
+SELECT {', '.join('"' + c + '"' for c in _CAMP_OUT)}, strftime(line_start, '%Y-%m-%d') AS line_start FROM campaigns""")
+def q_job_campaigns(spark, d):
+    c = campaigns(spark, d)
+    return c.select(*[F.col(f"`{x}`") for x in _CAMP_OUT], F.date_format("line_start", "yyyy-MM-dd").alias("line_start"))
+
+
+# ---- C6 / C11 dim_screen -----------------------------------------------------------------------------------
+SCREENS_FULL_SQL = f"""{W.MAPPING_SQL}, {W.SCREENS_SQL},
+m AS (SELECT frame_id, screen_id AS panel_id, group_id AS screen_id
+      FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY screen_id, group_id) AS rn FROM sfm) WHERE rn = 1),
+screens_full AS (SELECT m.frame_id, m.panel_id, m.screen_id, s.name AS screen_name, s.address AS screen_address,
+                        s.resolution, s.orientation FROM m LEFT JOIN screens s ON s.id = m.screen_id)"""
+
+
+def screens_full(spark, d):
+    return S.build_screens(W.frames_mapping(spark, d), W.screens(spark, d))
+
+
+@register("job_screens", f"WITH {SCREENS_FULL_SQL} SELECT * FROM screens_full")
+def q_job_screens(spark, d):
+    return screens_full(spark, d).select("frame_id", "panel_id", "screen_id", "screen_name", "screen_address",
+                                         "resolution", "orientation")
+
+
+@register("job_dim_screen", f"""
+WITH {SCREENS_FULL_SQL}
+SELECT frame_id, screen_id, screen_name, {_location_sql('screen_name')} AS Lokalizacja FROM screens_full""")
+def q_job_dim_screen(spark, d):
+    return G.build_dim_screen(screens_full(spark, d)).select("frame_id", "screen_id", "screen_name", "Lokalizacja")
+
+
+# ---- C7 / C11 dim_player -----------------------------------------------------------------------------------
+PLAYERS_FULL_SQL = f"""{W.CTRL_PLAYERS_SQL}, {W.DU_SQL},
+players_full AS (
+  SELECT p.id AS player_id, p.claimed_resource_id AS play_log_player_id, p.name AS player_name, p.hostname,
+         NULLIF(p.target_display_unit_id, 0) AS display_unit_id, du.name AS display_unit_name, du.address AS du_address,
+         du.timezone
+  FROM ctrl_players p LEFT JOIN du ON du.id = NULLIF(p.target_display_unit_id, 0))"""
+
+
+def players_full(spark, d):
+    return S.build_players(W.ctrl_players(spark, d), W.display_units(spark, d))
+
+
+@register("job_players", f"WITH {PLAYERS_FULL_SQL} SELECT * FROM players_full")
+def q_job_players(spark, d):
+    return players_full(spark, d).select("player_id", "play_log_player_id", "player_name", "hostname", "display_unit_id",
+                                         "display_unit_name", "du_address", "timezone")
+
+
+@register("job_dim_player", f"""
+WITH {PLAYERS_FULL_SQL}
+SELECT play_log_player_id, player_name, display_unit_name, {_location_sql('display_unit_name')} AS Lokalizacja,
+       coalesce(regexp_matches(player_name, 'biuro|test|teltronic', 'i'), false)
+       OR coalesce(regexp_matches(display_unit_name, 'biuro|test|teltronic', 'i'), false) AS is_test
+FROM players_full""")
+def q_job_dim_player(spark, d):
+    return G.build_dim_player(players_full(spark, d)).select("play_log_player_id", "player_name", "display_unit_name",
+                                                             "Lokalizacja", "is_test")
+
+
+# ---- C8 ------------------------------------------------------------------------------------------------------
+@register("job_bridge", f"""
+WITH {BRONZE_SQL}, {W.MAPPING_SQL}, {W.SCREENS_SQL}, {W.DU_SQL},
+pairs AS (SELECT FrameID, DisplayUnitID, PlayerID FROM bronze
+          WHERE FrameID IS NOT NULL AND FrameID <> 0 AND DisplayUnitID IS NOT NULL AND DisplayUnitID <> 0),
+b AS (SELECT FrameID, DisplayUnitID, count(PlayerID) AS play_count,
+             array_to_string(list_sort(list_distinct(list(PlayerID))), ',') AS player_ids FROM pairs GROUP BY 1, 2),
+m AS (SELECT DISTINCT frame_id, group_id FROM sfm)
+SELECT b.FrameID, b.DisplayUnitID, b.play_count, b.player_ids, m.group_id AS screen_id, s.name AS screen_name,
+       s.address AS screen_address, du.name AS display_unit_name, du.address AS du_address
+FROM b LEFT JOIN m ON m.frame_id = b.FrameID LEFT JOIN screens s ON s.id = m.group_id LEFT JOIN du ON du.id = b.DisplayUnitID""")
+def q_job_bridge(spark, d):
+    b = S.build_screen_bridge(bronze_play_logs(spark, d), W.frames_mapping(spark, d), W.screens(spark, d),
+                              W.display_units(spark, d))
+    return b.select("FrameID", "DisplayUnitID", "play_count", "player_ids", "screen_id", "screen_name", "screen_address",
+                    "display_unit_name", "du_address")
+
+
+# ---- C9 ------------------------------------------------------------------------------------------------------
+ENRICHED_SQL = f"""{BRONZE_SQL}, {A.LINE_ITEMS_SQL}, {W.RES22_SQL}, {W.RES_SQL}, {W.MAPPING_SQL}, {W.SCREENS_SQL}, {W.DU_SQL},
+{W.PROPOSALS_SQL},
+sfm_s AS (SELECT m.frame_id, m.group_id AS screen_id, s.name AS screen_name, s.address AS screen_address
+          FROM (SELECT DISTINCT frame_id, group_id FROM sfm) m LEFT JOIN screens s ON s.id = m.group_id),
+enriched AS (
+  SELECT b.DateEnd, b.timeslot, b.PlayerID, b.FrameID, b.DisplayUnitID, b.AdCopyId, b.CampID, b.contract_id, b.emisje,
+         b.Impresje, b.Duration, r.name AS reservation_name, r.state AS reservation_state, r.start_date AS reservation_start,
+         r.end_date AS reservation_end, du.name AS display_unit_name, du.address AS du_address, f.screen_id,
+         coalesce(f.screen_name, du.name) AS screen_name, f.screen_address, p.id AS proposal_id, p.name AS proposal_name,
+         p.advertiser, p.client_name, p.start_date AS proposal_start, p.end_date AS proposal_end, p.status
+  FROM bronze b
+  LEFT JOIN res r ON r.id = b.CampID
+  LEFT JOIN sfm_s f ON f.frame_id = b.FrameID
+  LEFT JOIN du ON du.id = b.DisplayUnitID
+  LEFT JOIN (SELECT * FROM proposals WHERE contract_number IS NOT NULL) p ON p.contract_number = b.contract_id
+  WHERE coalesce(b.CampID <> 0, true) AND coalesce(b.DisplayUnitID <> 0, true))"""
+
+
+def enriched(spark, d):
+    return S.build_play_logs_enriched(bronze_play_logs(spark, d), W.reservations(spark, d), W.frames_mapping(spark, d),
+                                      W.screens(spark, d), W.display_units(spark, d), W.proposals(spark, d))
+
+
+_ENR_DATES = ["reservation_start", "reservation_end", "proposal_start", "proposal_end"]
+_ENR_OUT = ["timeslot", "PlayerID", "FrameID", "DisplayUnitID", "AdCopyId", "CampID", "contract_id", "emisje", "Impresje",
+            "Duration", "reservation_name", "reservation_state", "display_unit_name", "du_address", "screen_id", "screen_name",
+            "screen_address", "proposal_id", "proposal_name", "advertiser", "client_name", "status"]
+
+
+@register("job_logs_enriched", f"""
+WITH {ENRICHED_SQL}
+SELECT DateEnd, {', '.join(_ENR_OUT)}, {', '.join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in _ENR_DATES)} FROM enriched""")
+def q_job_enriched(spark, d):
+    e = enriched(spark, d)
+    return e.select(F.date_format("DateEnd", "yyyy-MM-dd").alias("DateEnd"), *_ENR_OUT,
+                    *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in _ENR_DATES])
+
+
+# ---- J11 / J12 / C20 / C16 ----------------------------------------------------------------------------------
+RESMAP_SQL = f"""{CAMPAIGNS_SQL}, {W.RES22_SQL},
+camps AS (SELECT line_item_id, campaign_id FROM (
+            SELECT line_item_id, campaign_id, row_number() OVER (PARTITION BY line_item_id ORDER BY campaign_id) AS rn
+            FROM campaigns WHERE line_item_id IS NOT NULL) WHERE rn = 1),
+res_map AS (SELECT reservation_id, line_item_id, campaign_id FROM (
+              SELECT r.id AS reservation_id, r.proposal_line_item_id AS line_item_id, c.campaign_id,
+                     row_number() OVER (PARTITION BY r.id ORDER BY r.proposal_line_item_id, c.campaign_id) AS rn
+              FROM res22 r LEFT JOIN camps c ON c.line_item_id = r.proposal_line_item_id
+              WHERE r.id IS NOT NULL AND r.proposal_line_item_id IS NOT NULL) WHERE rn = 1)"""
+
+
+def res_map(spark, d):
+    return G.reservation_map(W.reservations_v22(spark, d), campaigns(spark, d))
+
+
+@register("reservation_map", f"WITH {RESMAP_SQL} SELECT * FROM res_map")
+def q_reservation_map(spark, d):
+    return res_map(spark, d).select("reservation_id", "line_item_id", "campaign_id")
+
+
+SINGLE_SQL = f"""single AS (
+  SELECT campaign_id FROM (
+    SELECT m.campaign_id, count(DISTINCT b.PlayerID) AS n FROM bronze b JOIN res_map m ON m.reservation_id = b.CampID
+    WHERE b.CampID IS NOT NULL AND b.PlayerID IS NOT NULL AND m.campaign_id IS NOT NULL GROUP BY 1)
+  WHERE n = 1 AND coalesce(NOT campaign_id IN {_in(JOB_CFG['service_campaign_ids'])}, true)
+  UNION SELECT unnest({list(JOB_CFG['force_single_panel_campaign_ids'])}) AS campaign_id)"""
+
+
+def single_panel(spark, d):
+    return G.single_panel_campaigns(bronze_play_logs(spark, d), res_map(spark, d), JOB_CFG)
+
+
+@register("job_single_panel", f"{with_ctes(BRONZE_SQL, RESMAP_SQL, SINGLE_SQL)} SELECT campaign_id FROM single")
+def q_job_single_panel(spark, d):
+    return single_panel(spark, d)
+
+
+_FLAG_SQL = f"""CAST(CASE WHEN coalesce(m.campaign_id IN {_in(JOB_CFG['service_campaign_ids'])}, false)
+                   OR coalesce(e.CampID IN {_in(JOB_CFG['service_reservation_ids'])}, false)
+                   OR coalesce(m.line_item_id IN {_in(JOB_CFG['service_line_item_ids'])}, false) THEN 1
+              WHEN m.campaign_id IN (SELECT campaign_id FROM single) THEN 2 ELSE 0 END AS TINYINT)"""
+
+
+@register("job_fact_play_logs", f"""
+{with_ctes(ENRICHED_SQL, RESMAP_SQL, SINGLE_SQL)}
+SELECT e.DateEnd AS date_key, e.PlayerID AS play_log_player_id, e.FrameID AS frame_id, e.DisplayUnitID AS display_unit_id,
+       e.CampID AS reservation_id, e.AdCopyId AS content_id, e.timeslot, e.contract_id, e.emisje, e.Impresje, e.Duration,
+       m.line_item_id, m.campaign_id, {_FLAG_SQL} AS is_serwisowy
+FROM enriched e LEFT JOIN res_map m ON m.reservation_id = e.CampID""")
+def q_job_fact_play_logs(spark, d):
+    f = G.build_fact_play_logs(enriched(spark, d), res_map(spark, d), single_panel(spark, d), JOB_CFG)
+    return f.withColumn("date_key", F.date_format("date_key", "yyyy-MM-dd"))
