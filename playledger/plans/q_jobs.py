@@ -241,3 +241,151 @@ FROM enriched e LEFT JOIN res_map m ON m.reservation_id = e.CampID""")
 def q_job_fact_play_logs(spark, d):
     f = G.build_fact_play_logs(enriched(spark, d), res_map(spark, d), single_panel(spark, d), JOB_CFG)
     return f.withColumn("date_key", F.date_format("date_key", "yyyy-MM-dd"))
+
+
+# ---- C12 ---------------------------------------------------------------------------------------------------------
+def _syn_sql():
+    rows = " UNION ALL ".join(
+        f"SELECT {r['campaign_id']}::BIGINT AS campaign_id, '{r['campaign_name']}' AS campaign_name, '{r['advertiser']}' AS advertiser, "
+        f"'{r['client_name']}' AS client_name" for r in SYNTHETIC_CAMPAIGNS)
+    return f"syn AS ({rows})"
+
+
+@register("job_dim_campaign", f"""
+{with_ctes(BRONZE_SQL, RESMAP_SQL, SINGLE_SQL, _syn_sql())},
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY campaign_id ORDER BY line_item_id) AS rn FROM campaigns) WHERE rn = 1),
+dc AS (SELECT campaign_id, campaign_name, campaign_status, advertiser, client_id, client_name, campaign_price, owner_user_id,
+              owner_email, contract_id, contract_number, strftime(campaign_start, '%Y-%m-%d') AS campaign_start
+       FROM firsts WHERE coalesce(NOT campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)
+       UNION ALL SELECT campaign_id, campaign_name, NULL, advertiser, NULL, client_name, NULL, NULL, NULL, NULL, NULL, NULL FROM syn)
+SELECT dc.*, CAST(CASE WHEN coalesce(campaign_id IN {_in(JOB_CFG['service_campaign_ids'])}, false) THEN 1
+                       WHEN campaign_id IN (SELECT campaign_id FROM single) THEN 2 ELSE 0 END AS TINYINT) AS is_serwisowy
+FROM dc""")
+def q_job_dim_campaign(spark, d):
+    dc = G.build_dim_campaign(spark, campaigns(spark, d), single_panel(spark, d), JOB_CFG, SYNTHETIC_CAMPAIGNS)
+    return dc.select("campaign_id", "campaign_name", "campaign_status", "advertiser", "client_id", "client_name",
+                     "campaign_price", "owner_user_id", "owner_email", "contract_id", "contract_number",
+                     F.date_format("campaign_start", "yyyy-MM-dd").alias("campaign_start"), "is_serwisowy")
+
+
+# ---- C13 ---------------------------------------------------------------------------------------------------------
+RESFULL_SQL = """resfull AS (
+  SELECT r.id AS reservation_id, r.proposal_line_item_id AS line_item_id, r.booking_state, x.name AS reservation_name,
+         x.state AS reservation_state
+  FROM res22 r LEFT JOIN res x ON x.id = r.id WHERE r.proposal_line_item_id IS NOT NULL)"""
+
+
+@register("job_dim_line_item", f"""
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL)}
+SELECT c.line_item_id, c.campaign_id, c.line_item_name, c.status_name, c.line_price,
+       strftime(c.line_start, '%Y-%m-%d') AS line_start, strftime(c.line_end, '%Y-%m-%d') AS line_end,
+       CASE WHEN c.line_start IS NOT NULL AND c.line_end IS NOT NULL
+            THEN CAST(greatest(datediff('day', c.line_start, c.line_end) + 1, 1) AS BIGINT) END AS line_days,
+       r.reservation_id, r.booking_state, r.reservation_name, r.reservation_state
+FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
+WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)""")
+def q_job_dim_line_item(spark, d):
+    li = G.build_dim_line_item(spark, campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
+    return li.select("line_item_id", "campaign_id", "line_item_name", "status_name", "line_price", "line_start", "line_end",
+                     "line_days", "reservation_id", "booking_state", "reservation_name", "reservation_state")
+
+
+# ---- C14 ---------------------------------------------------------------------------------------------------------
+@register("job_campaign_full", f"""
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL)},
+rows_ AS (SELECT c.campaign_id, c.line_item_id, r.reservation_id, c.line_item_name, c.line_price, c.campaign_price,
+                 c.campaign_name, c.client_id, false AS is_adjustment
+          FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id),
+adj AS (SELECT campaign_id, NULL::BIGINT AS line_item_id, NULL::BIGINT AS reservation_id, '{K.ADJUSTMENT_LINE_NAME}' AS line_item_name,
+               max(campaign_price) - coalesce(sum(line_price), 0.0) AS line_price, max(campaign_price) AS campaign_price,
+               arg_min(campaign_name, line_item_id) AS campaign_name, arg_min(client_id, line_item_id) AS client_id,
+               true AS is_adjustment
+        FROM rows_ GROUP BY campaign_id
+        HAVING abs(max(campaign_price) - coalesce(sum(line_price), 0.0)) > {K.BALANCE_TOLERANCE})
+SELECT campaign_id, line_item_id, reservation_id, line_item_name,
+       round(CAST(line_price AS DECIMAL(38,10)), 2)::DOUBLE AS line_price, campaign_name, client_id, is_adjustment
+FROM (SELECT * FROM rows_ UNION ALL SELECT * FROM adj)""")
+def q_job_campaign_full(spark, d):
+    full = G.build_campaign_full(campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
+    return full.select("campaign_id", "line_item_id", "reservation_id", "line_item_name",
+                       round_half_up(F.col("line_price"), 2).alias("line_price"), "campaign_name", "client_id",
+                       "is_adjustment")
+
+
+# ---- C11 dim_content ---------------------------------------------------------------------------------------------
+@register("job_dim_content", f"""
+WITH {W.CONTENT_SQL},
+r AS (SELECT CAST(id AS BIGINT) AS content_id, min(name) AS popstats_name FROM resources WHERE type = 'content' GROUP BY 1),
+c AS (SELECT c.id AS content_id, coalesce(c.name, r.popstats_name) AS content_name, c.domain_id
+      FROM content c LEFT JOIN r ON r.content_id = c.id)
+SELECT content_id, content_name, domain_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY content_name NULLS LAST, domain_id) AS rn FROM c) WHERE rn = 1""")
+def q_job_dim_content(spark, d):
+    return G.build_dim_content(W.ctrl_content(spark, d), W.resources(spark, d)).select("content_id", "content_name", "domain_id")
+
+
+# ---- C10 ---------------------------------------------------------------------------------------------------------
+FILL_BUY = "saturation bigint, sov double"
+FILL_PRIORITY = "level bigint, preemptible boolean"
+
+
+def fill_rate_raw(spark, d):
+    li = A.line_items(spark, d)
+    return li.select(
+        F.col("line_item_id").alias("line_id"), F.date_format("line_start", "yyyy-MM-dd").alias("start_date"),
+        F.date_format("line_end", "yyyy-MM-dd").alias("end_date"),
+        F.to_json(F.struct((F.col("screen_count") * 3).alias("saturation"), (F.col("screen_count") / 8.0).alias("sov"))).alias("buy_details"),
+        F.when(F.col("line_item_id") % 13 == 0, F.lit("{broken"))
+         .otherwise(F.to_json(F.struct((F.col("line_item_id") % 4).alias("level"),
+                                       (F.col("line_item_id") % 2 == 0).alias("preemptible")))).alias("priority"))
+
+
+@register("job_fill_rate", f"""
+{with_ctes(W.ITEMS_SQL)}
+SELECT li.line_item_id AS line_id, strftime(li.line_start, '%Y-%m-%d') AS start_date, strftime(li.line_end, '%Y-%m-%d') AS end_date,
+       li.screen_count * 3 AS buy_saturation, li.screen_count / 8.0 AS buy_sov,
+       CASE WHEN li.line_item_id % 13 = 0 THEN NULL ELSE li.line_item_id % 4 END AS priority_level,
+       CASE WHEN li.line_item_id % 13 = 0 THEN NULL ELSE li.line_item_id % 2 = 0 END AS priority_preemptible,
+       i.status_name AS line_status, i.owner_user_id
+FROM li LEFT JOIN items i ON i.id = li.line_item_id""")
+def q_job_fill_rate(spark, d):
+    fr = S.build_fill_rate(fill_rate_raw(spark, d), W.proposal_items(spark, d), FILL_BUY, FILL_PRIORITY)
+    return fr.select("line_id", F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
+                     F.date_format("end_date", "yyyy-MM-dd").alias("end_date"), "buy_saturation", "buy_sov",
+                     "priority_level", "priority_preemptible", "line_status", "owner_user_id")
+
+
+# ---- C4 / A10 ------------------------------------------------------------------------------------------------------
+def pop_raw(spark, d):
+    ev = A.table(spark, d, "events")
+    res = (F.when(F.col("event_type") == "view", "1920 x 540").when(F.col("event_type") == "click", "1920 x 1080")
+            .when(F.col("event_type") == "purchase", "3840 x 2160").otherwise("1024 x 768"))
+    return ev.select(G.content_format(res).alias("format"), F.col("user_id").alias("content_id"),
+                     F.concat(F.lit("C"), (F.col("user_id") % 37).cast("string")).alias("content_name"), res.alias("content_res"),
+                     F.date_format("ts", "yyyy-MM-dd").alias("play_date"), F.floor("value").cast("bigint").alias("play_count"),
+                     F.floor(F.col("value") * 10).cast("bigint").alias("duration_secs"))
+
+
+_POP_SQL = """pop AS (
+  SELECT CASE event_type WHEN 'view' THEN 'liveline' WHEN 'click' THEN 'stroertv' WHEN 'purchase' THEN 'triplay' ELSE 'other' END AS format,
+         user_id AS content_id, 'C' || CAST(user_id % 37 AS VARCHAR) AS content_name, strftime(ts, '%Y-%m-%d') AS play_date,
+         CAST(floor(value) AS BIGINT) AS play_count, CAST(floor(value * 10) AS BIGINT) AS duration_secs FROM events)"""
+
+
+@register("format_summary", f"""
+WITH {_POP_SQL}
+SELECT format, count(*) AS n_rows, count(DISTINCT content_name) AS n_contents, CAST(sum(play_count) AS BIGINT) AS plays,
+       round(sum(duration_secs) / 3600.0, 2) AS hours
+FROM pop WHERE format IN ('liveline', 'stroertv', 'triplay') AND play_count > 0 GROUP BY format""")
+def q_format_summary(spark, d):
+    return G.pop_format_summary(G.build_pop_clean(pop_raw(spark, d)))
+
+
+@register("pop_clean", f"""
+WITH {_POP_SQL}
+SELECT format, content_id, content_name, play_date, play_count, duration_secs FROM pop
+WHERE format IN ('liveline', 'stroertv', 'triplay') AND play_count > 0""")
+def q_pop_clean(spark, d):
+    c = G.build_pop_clean(pop_raw(spark, d))
+    return c.select("format", "content_id", "content_name", F.date_format("play_date", "yyyy-MM-dd").alias("play_date"),
+                    "play_count", "duration_secs")
