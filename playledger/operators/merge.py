@@ -41,7 +41,7 @@ def append_new(old: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
     return union_by_name(old, fresh)
 
 
-def replace_dates(old: DataFrame, new: DataFrame, date_col: str, dates: list | None = None) -> DataFrame:
+def replace_dates(old: DataFrame, new: DataFrame, date_col: str, dates: list | DataFrame | None = None) -> DataFrame:
     """Delete the rows of the replaced dates, append every new row.
 
     ``dates`` defaults to the dates present in the batch.  When a file spills rows into the next day,
@@ -49,6 +49,8 @@ def replace_dates(old: DataFrame, new: DataFrame, date_col: str, dates: list | N
     (the source system's rule) instead of wiping it."""
     if dates is None:
         kept = old.join(new.select(date_col).distinct(), date_col, "left_anti")
+    elif isinstance(dates, DataFrame):
+        kept = old.join(dates.select(date_col).distinct(), date_col, "left_anti")
     else:
         kept = old.where(F.coalesce(~_q(date_col).isin(list(dates)), F.lit(True)))
     return union_by_name(kept, new)

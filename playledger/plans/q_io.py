@@ -1 +1,284 @@
-"""placeholder"""
+"""Sources, sinks and streams end to end: driver data is written as the raw formats the jobs ingest (TSV
+play logs with bad lines and gzip, dictionary TSV, a dated archive, CSV, paged JSON, run-log text, landing
+files for streams) into a fresh folder under the shared checkpoint dir, then read back by the library.
+The oracle computes the same result directly from the table."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.semantics import round_half_up
+from ..operators import merge as M
+from ..operators.rollup import hourly_rollup
+from ..session import scratch_path
+from ..sources import readers as RD
+from ..sources import sinks as SK
+from ..streaming import stream as ST
+from . import analogs as A
+from .catalog import register
+from .runlog import last_run, parse_run_log
+
+T = A.table
+_K = r'"k"\s*:\s*(\d+)'
+_K_SQL = '"k"\\s*:\\s*(\\d+)'
+
+
+# ---- S3 / S4 / S5 / C1: raw play-log TSV ---------------------------------------------------------------------------
+def _tsv_lines(ev):
+    k = F.regexp_extract("props", _K, 1)
+    f = [F.when(F.col("user_id") % 7 == 0, F.lit("")).otherwise(F.col("user_id").cast("string")),
+         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+         F.when(F.col("event_id") % 83 == 0, F.lit("x")).otherwise(F.col("value").cast("string")),
+         (F.col("event_id") % 60).cast("string"), F.lit("i"), k,
+         (F.col("user_id") % 40).cast("string"), (F.col("user_id") % 25).cast("string"),
+         F.floor("value").cast("string"), F.lit("a"), F.lit("b"), F.lit("c"),
+         F.when(k.cast("int") % 3 == 0, F.concat(F.lit('{"contract_id": "C'), k, F.lit('"}'))).otherwise(F.lit('{"x": 1}'))]
+    full = F.concat_ws("\t", *f)
+    line = (F.when(F.col("event_id") % 97 == 0, F.concat(full, F.lit("\textra")))
+             .when(F.col("event_id") % 89 == 0, F.concat_ws("\t", *f[:9]))
+             .otherwise(full))
+    return ev.select(line.alias("value"), F.dayofmonth("ts").alias("dom"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+
+def land_play_log(spark, d) -> str:
+    land = scratch_path(spark, "playlog")
+    lines = _tsv_lines(T(spark, d, "events"))
+    SK.export_text(lines.where(F.col("dom") < 16).select("value"), land)
+    SK.export_text(lines.where(F.col("dom") >= 16).select("value"), land, compression="gzip")
+    return land
+
+
+_TSV_KEYS = ["PlayerID", "AdCopyId", "CampID", "FrameID", "DisplayUnitID", "contract_id"]
+
+
+@register("play_log_tsv", f"""
+WITH p AS (
+  SELECT CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS PlayerID, date_trunc('second', ts) AS t,
+         CASE WHEN event_id % 83 = 0 THEN NULL ELSE value END AS Duration, event_id % 60 AS AdCopyId,
+         CAST(regexp_extract(props, '{_K_SQL}', 1) AS BIGINT) AS CampID, user_id % 40 AS FrameID, user_id % 25 AS DisplayUnitID,
+         CAST(floor(value) AS BIGINT) AS Impresje,
+         CASE WHEN event_id % 89 = 0 THEN NULL
+              WHEN CAST(regexp_extract(props, '{_K_SQL}', 1) AS INTEGER) % 3 = 0 THEN 'C' || regexp_extract(props, '{_K_SQL}', 1) END
+           AS contract_id
+  FROM events WHERE event_id % 97 <> 0)
+SELECT strftime(t, '%Y-%m-%d') AS DateEnd, CAST(hour(t) AS INTEGER) AS timeslot, PlayerID, AdCopyId, CampID, FrameID,
+       DisplayUnitID, contract_id, round(CAST(coalesce(sum(Duration), 0) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration,
+       CAST(coalesce(sum(Impresje), 0) AS BIGINT) AS Impresje, count(*) AS emisje
+FROM p GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""")
+def q_play_log_tsv(spark, d):
+    logs = RD.read_play_log(spark, land_play_log(spark, d))
+    agg = hourly_rollup(logs, _TSV_KEYS, sums={"Duration": "Duration", "Impresje": "Impresje"}, scale=None)
+    return agg.select("DateEnd", "timeslot", *_TSV_KEYS, round_half_up(F.col("Duration"), 2).alias("Duration"),
+                      "Impresje", "emisje")
+
+
+# ---- S6 / S7 / M6 / C2: dictionary TSV ------------------------------------------------------------------------------
+_TYPES = ["display_unit", "reservation", "content", "host", "skin"]
+
+
+def _dict_lines(p):
+    m = F.col("p_partkey") % 10
+    typ = F.get(F.array(*[F.lit(t) for t in _TYPES]), (F.col("p_partkey") % 5).cast("int"))
+    full = F.concat_ws("\t", F.concat(F.lit(" "), F.col("p_partkey").cast("string")), F.concat(F.col("p_name"), F.lit(" ")),
+                       F.lit("1"), F.concat(typ, F.lit(" ")))
+    return p.select((F.when(m == 0, F.concat_ws("\t", F.col("p_partkey").cast("string"), F.col("p_name"), F.lit("1")))
+                      .when(m == 1, F.concat_ws("\t", F.concat(F.lit("x"), F.col("p_partkey").cast("string")), F.col("p_name"),
+                                                F.lit("1"), F.lit("content")))
+                      .when(m == 2, F.concat_ws("\t", F.col("p_partkey").cast("string"), F.col("p_name"), F.lit("1"), F.lit("banner")))
+                      .when(m == 3, F.lit(""))
+                      .otherwise(full)).alias("value"))
+
+
+_DICT_TYPE_SQL = "['display_unit', 'reservation', 'content', 'host', 'skin'][p_partkey % 5 + 1]"
+
+
+def _dict_read(spark, d):
+    land = scratch_path(spark, "dict")
+    SK.export_text(_dict_lines(T(spark, d, "part")), land)
+    return RD.read_dictionary(spark, land)
+
+
+@register("dictionary_tsv", f"""
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, {_DICT_TYPE_SQL} AS type FROM part WHERE p_partkey % 10 > 3""")
+def q_dictionary_tsv(spark, d):
+    ok, _ = _dict_read(spark, d)
+    return ok.select("id", "name", "type")
+
+
+@register("dictionary_rejects", """
+SELECT CASE WHEN p_partkey % 10 = 0 THEN 'fields' ELSE 'id' END AS reason, count(*) AS n FROM part
+WHERE p_partkey % 10 IN (0, 1) GROUP BY 1""")
+def q_dictionary_rejects(spark, d):
+    _, rej = _dict_read(spark, d)
+    return rej.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- S8 / M8 / S13: dated archive, newest wins ------------------------------------------------------------------------
+@register("dictionary_archive", f"""
+WITH a AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, 'resources-2024-01-01.txt' AS source_file, DATE '2024-01-01' AS file_date, p_partkey
+  FROM part WHERE p_partkey % 2 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name), 'resources-2024-01-03.txt', DATE '2024-01-03', p_partkey FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_brand, 'resources-2024-01-02.txt.gz', DATE '2024-01-02', p_partkey FROM part WHERE p_partkey % 5 = 0)
+SELECT id, name, {_DICT_TYPE_SQL} AS type, source_file, strftime(file_date, '%Y-%m-%d') AS file_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY file_date DESC, name DESC) AS rn FROM a) WHERE rn = 1""")
+def q_dictionary_archive(spark, d):
+    p = T(spark, d, "part")
+    root = scratch_path(spark, "archive")
+    typ = F.get(F.array(*[F.lit(t) for t in _TYPES]), (F.col("p_partkey") % 5).cast("int"))
+
+    def lines(df, name_col):
+        return df.select(F.concat_ws("\t", F.col("p_partkey").cast("string"), name_col, F.lit("1"), typ).alias("value"))
+
+    SK.export_text(lines(p.where(F.col("p_partkey") % 2 == 0), F.col("p_name")), f"{root}/resources-2024-01-01.txt")
+    SK.export_text(lines(p.where(F.col("p_partkey") % 3 == 0), F.upper("p_name")), f"{root}/resources-2024-01-03.txt")
+    SK.export_text(lines(p.where(F.col("p_partkey") % 5 == 0), F.col("p_brand")), f"{root}/resources-2024-01-02.txt.gz",
+                   compression="gzip")
+    SK.export_text(lines(p, F.lit("ignored")), f"{root}/notes-2024-01-09.txt")
+    res = RD.read_dictionary_archive(spark, root)
+    return res.select("id", "name", "type", "source_file", F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))
+
+
+# ---- S9 / S10 / M12: CSV bootstrap -----------------------------------------------------------------------------------
+@register("csv_bootstrap", f"""
+WITH {A.PLAY_LOG_SQL}
+SELECT PlayerID, strftime(DateEndTime, '%Y-%m-%d') AS DateEnd, CAST(hour(DateEndTime) AS BIGINT) AS timeslot, NULL::BIGINT AS AdCopyId,
+       CampID, NULL::BIGINT AS FrameID, NULL::BIGINT AS DisplayUnitID, NULL::VARCHAR AS contract_id,
+       round(CAST(coalesce(sum(Duration), 0) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration, NULL::BIGINT AS Impresje,
+       count(*) AS emisje, NULL::VARCHAR AS timeslot_label
+FROM play_log GROUP BY 1, 2, 3, 5""")
+def q_csv_bootstrap(spark, d):
+    hist = hourly_rollup(A.play_log(spark, d), ["PlayerID", "CampID"], sums={"Duration": "Duration"})
+    path = scratch_path(spark, "csv")
+    SK.export_csv(hist.select("PlayerID", "DateEnd", "timeslot", "CampID", "Duration", "emisje"), path)
+    return RD.read_csv_bootstrap(spark, path)
+
+
+# ---- S11 / S12: paged JSON envelopes ---------------------------------------------------------------------------------
+@register("json_pages", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_custkey // 100 AS page FROM customer")
+def q_json_pages(spark, d):
+    c = T(spark, d, "customer").withColumn("page", (F.col("c_custkey") / 100).cast("bigint"))
+    recs = F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                                   F.col("c_acctbal").alias("balance"), F.col("page")))
+    pages = c.groupBy("page").agg(recs.alias("recs"), F.count(F.lit(1)).alias("n"))   # one API page = at most 100 records
+    env = (F.when(F.col("page") % 3 == 0, F.to_json(F.struct(F.col("n").alias("total"), F.col("recs").alias("data"))))
+            .when(F.col("page") % 3 == 1, F.to_json(F.struct(F.col("n").alias("total_rows"), F.col("recs").alias("proposal_items"))))
+            .otherwise(F.to_json(F.struct(F.struct(F.col("n").alias("__count"), F.col("recs").alias("results")).alias("d")))))
+    path = scratch_path(spark, "pages")
+    SK.export_text(pages.select(env.alias("value")), path)
+    return RD.read_paged_json(spark, path, "id bigint, name string, balance double, page bigint").drop("page_file")
+
+
+# ---- S17 / C19 / F20: run-log text ------------------------------------------------------------------------------------
+@register("run_log_text", """
+WITH marks AS (SELECT user_id, count(*) AS run_no, max({'ts': ts, 'id': event_id}) AS st FROM events WHERE event_type = 'signup' GROUP BY 1),
+run AS (SELECT e.*, m.run_no, m.st.ts AS st_ts FROM events e JOIN marks m ON m.user_id = e.user_id WHERE {'ts': e.ts, 'id': e.event_id} >= m.st)
+SELECT user_id, max(run_no) AS run_no, strftime(max(st_ts), '%Y-%m-%d %H:%M:%S') AS started,
+       count_if(event_type IN ('view', 'click', 'purchase')) AS n_ok, count_if(event_type = 'error') AS n_fail, count(*) AS n_lines
+FROM run GROUP BY user_id""")
+def q_run_log_text(spark, d):
+    ev = T(spark, d, "events")
+    line = (F.when(F.col("event_type") == "signup", F.concat(F.lit("==== "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" START ====")))
+             .when(F.col("event_type") == "error", F.concat(F.lit("  FAIL step_"), F.col("event_id").cast("string"), F.lit(": boom")))
+             .otherwise(F.concat(F.lit("  OK   step_"), F.col("event_type"))))
+    path = scratch_path(spark, "runlog")
+    (ev.select("user_id", "ts", "event_id", line.alias("value")).repartition("user_id")
+       .sortWithinPartitions("user_id", "ts", "event_id").select("user_id", "value")
+       .write.partitionBy("user_id").text(path))
+    lines = spark.read.text(path).select("user_id", F.monotonically_increasing_id().alias("line_no"), "value")
+    parsed = parse_run_log(lines)
+    r = last_run(parsed, "user_id", ["line_no"], F.col("kind") == "start", F.col("kind") == "ok", F.col("kind") == "fail",
+                 counter=None)
+    starts = parsed.where(F.col("kind") == "start").groupBy("user_id").agg(F.max_by("marker_ts", "line_no").alias("st"))
+    return (r.join(starts, "user_id")
+             .select(F.col("user_id").cast("bigint").alias("user_id"), "run_no",
+                     F.date_format("st", "yyyy-MM-dd HH:mm:ss").alias("started"), "n_ok", "n_fail",
+                     (F.col("n_lines")).alias("n_lines")))
+
+
+# ---- T1 / T2: hourly windows from a landing folder ----------------------------------------------------------------------
+_EV_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+@register("stream_hourly", """
+SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS emisje,
+       round(CAST(sum(value) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration FROM events GROUP BY 1, 2""")
+def q_stream_hourly(spark, d):
+    ev = T(spark, d, "events")
+    land, table = scratch_path(spark, "land-ev"), scratch_path(spark, "tbl-hourly")
+    wk = F.floor((F.dayofmonth("ts") - 1) / 7)
+    for w in range(5):   # weekly files, oldest first (arrival order)
+        ev.where(wk == w).write.mode("append").parquet(land)
+    stream = ST.landing_stream(spark, land, _EV_SCHEMA, max_files=2)
+    counts = ST.hourly_window_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "value")
+    ST.run_available_now(counts, ST.upsert_batches(table, ["window_start", "event_type"]), "hourly")
+    out = spark.read.parquet(table)
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "emisje",
+                      round_half_up(F.col("Duration"), 2).alias("Duration"))
+
+
+# ---- T3: a re-delivered day replaces the old one ---------------------------------------------------------------------------
+@register("stream_replace_day", """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN day(ts) IN (5, 6) THEN value * 2 ELSE value END AS value FROM events
+WHERE NOT (day(ts) IN (5, 6) AND event_id % 2 = 1)""")
+def q_stream_replace_day(spark, d):
+    ev = T(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    land, table = scratch_path(spark, "land-days"), scratch_path(spark, "tbl-days")
+    ckpt = scratch_path(spark, "ckpt-days")
+    schema = "event_id bigint, day string, value double"
+    ev.write.mode("append").parquet(land)                          # day 1: the original files
+    ST.run_available_now(ST.landing_stream(spark, land, schema), ST.replace_day_batches(table, "day"), "days", ckpt)
+    fix = ev.where(F.dayofmonth(F.to_date("day")).isin(5, 6) & (F.col("event_id") % 2 == 0)) \
+            .withColumn("value", F.col("value") * 2)
+    fix.write.mode("append").parquet(land)                         # day 2: corrected re-delivery of two days
+    ST.run_available_now(ST.landing_stream(spark, land, schema), ST.replace_day_batches(table, "day"), "days", ckpt)
+    return spark.read.schema(schema).parquet(table).select("event_id", "day", "value")
+
+
+# ---- T4 / M5: shrinking source window, merged by key ------------------------------------------------------------------------
+@register("stream_upsert", """
+WITH m AS (SELECT l_returnflag AS format, l_partkey % 100 AS content_id, strftime(l_shipdate, '%Y-%m-%d') AS play_date,
+                  count(*) AS play_count FROM lineitem GROUP BY 1, 2, 3),
+cur AS (SELECT max(substr(play_date, 1, 7)) AS ym FROM m)
+SELECT format, content_id, play_date, CASE WHEN substr(play_date, 1, 7) = (SELECT ym FROM cur) THEN play_count * 2 ELSE play_count END
+       AS play_count FROM m""")
+def q_stream_upsert(spark, d):
+    li = T(spark, d, "lineitem")
+    m = li.groupBy(F.col("l_returnflag").alias("format"), (F.col("l_partkey") % 100).alias("content_id"),
+                   F.date_format("l_shipdate", "yyyy-MM-dd").alias("play_date")).agg(F.count(F.lit(1)).alias("play_count"))
+    land, table, ckpt = scratch_path(spark, "land-pop"), scratch_path(spark, "tbl-pop"), scratch_path(spark, "ckpt-pop")
+    schema = "format string, content_id bigint, play_date string, play_count bigint"
+    m.write.mode("append").parquet(land)
+    keys = ["format", "content_id", "play_date"]
+    ST.run_available_now(ST.landing_stream(spark, land, schema), ST.upsert_batches(table, keys), "pop", ckpt)
+    cur = m.select(F.max(F.substring("play_date", 1, 7))).scalar()
+    m.where(F.substring("play_date", 1, 7) == cur).withColumn("play_count", F.col("play_count") * 2) \
+     .write.mode("append").parquet(land)                          # the current month, refetched
+    ST.run_available_now(ST.landing_stream(spark, land, schema), ST.upsert_batches(table, keys), "pop", ckpt)
+    return spark.read.parquet(table).select(*keys, "play_count")
+
+
+# ---- C1: daily ingest = T1 stream over TSV files + hourly roll-up + day replace --------------------------------------------
+@register("job_ingest_play_logs", f"""
+WITH p AS (
+  SELECT CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS PlayerID, date_trunc('second', ts) AS t,
+         CASE WHEN event_id % 83 = 0 THEN NULL ELSE value END AS Duration, event_id % 60 AS AdCopyId,
+         CAST(regexp_extract(props, '{_K_SQL}', 1) AS BIGINT) AS CampID, CAST(floor(value) AS BIGINT) AS Impresje
+  FROM events WHERE event_id % 97 <> 0)
+SELECT strftime(t, '%Y-%m-%d') AS DateEnd, CAST(hour(t) AS INTEGER) AS timeslot, PlayerID, AdCopyId, CampID,
+       round(CAST(coalesce(sum(Duration), 0) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration,
+       CAST(coalesce(sum(Impresje), 0) AS BIGINT) AS Impresje, count(*) AS emisje
+FROM p GROUP BY 1, 2, 3, 4, 5""")
+def q_job_ingest(spark, d):
+    land = scratch_path(spark, "land-tsv")
+    lines = _tsv_lines(T(spark, d, "events"))
+    # one folder per delivered day file: <landing>/file=playlog-YYYY-MM-DD.txt/part-*
+    lines.select("value", F.concat(F.lit("playlog-"), F.col("day"), F.lit(".txt")).alias("file")) \
+         .write.partitionBy("file").text(land)
+    table = scratch_path(spark, "tbl-playlogs")
+    stream = ST.play_log_file_stream(spark, land)
+    ST.run_available_now(stream, ST.ingest_play_log_batches(table, ["PlayerID", "AdCopyId", "CampID"],
+                                                            {"Duration": "Duration", "Impresje": "Impresje"}), "ingest")
+    out = spark.read.parquet(table)
+    return out.select("DateEnd", "timeslot", "PlayerID", "AdCopyId", "CampID",
+                      round_half_up(F.col("Duration"), 2).alias("Duration"), F.col("Impresje").cast("bigint").alias("Impresje"),
+                      F.col("emisje").cast("bigint").alias("emisje"))
