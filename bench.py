@@ -15,7 +15,7 @@ from playledger.plans.catalog import load_all  # noqa: E402
 from playledger.session import get_session  # noqa: E402
 
 HEADLINE = ["budget_allocation", "panel_day_health", "hourly_rollup_keepnull", "hourly_rollup_dropnull",
-            "job_fact_play_logs", "job_logs_enriched", "campaign_period_bridge", "coverage",
+            "job_fact_play_logs", "job_logs_enriched", "period_bridge", "coverage",
             "job_campaign_full", "log_last_run"]
 
 

@@ -282,3 +282,76 @@ def q_job_ingest(spark, d):
     return out.select("DateEnd", "timeslot", "PlayerID", "AdCopyId", "CampID",
                       round_half_up(F.col("Duration"), 2).alias("Duration"), F.col("Impresje").cast("bigint").alias("Impresje"),
                       F.col("emisje").cast("bigint").alias("emisje"))
+
+
+# ---- C3 / I1 / S11 / M1 / M2: control-table sync with a high-water cursor ---------------------------------------------
+_RES_ITEM = "id bigint, cust bigint, price double, modified timestamp"
+
+
+def _api_pages(df, key):
+    recs = F.collect_list(F.struct(F.col("id"), F.col("cust"), F.col("price"), F.date_format("modified", "yyyy-MM-dd HH:mm:ss").alias("modified")))
+    pages = df.withColumn("page", (F.col("id") / 100).cast("bigint")).groupBy("page").agg(recs.alias("recs"))
+    return pages.select(F.to_json(F.struct(F.col("recs").alias(key))).alias("value"))
+
+
+@register("job_control_sync", """
+SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS price
+FROM orders""")
+def q_job_control_sync(spark, d):
+    o = T(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"),
+                                     F.col("o_totalprice").alias("price"), F.col("o_orderdate").cast("timestamp").alias("modified"))
+    table, ctrl = scratch_path(spark, "tbl-reservations"), scratch_path(spark, "ctrl-cursor")
+    epoch = "1970-01-01 00:00:00"
+
+    def sync(land):
+        recs = RD.read_paged_json(spark, land, _RES_ITEM).drop("page_file")
+        cursor = spark.read.parquet(ctrl).select(F.max("cursor")).scalar() if SK.table_exists(spark, ctrl) \
+            else F.lit(epoch).cast("timestamp")
+        rows = recs.where(F.col("modified") > cursor)
+        nxt = recs.agg(F.max("modified").alias("cursor"))
+        SK.write_upsert(spark, rows, table, ["id"])
+        save_cursor(spark, nxt, ctrl)
+
+    land1 = scratch_path(spark, "api-1")
+    SK.export_text(_api_pages(o, "reservation"), land1)
+    sync(land1)
+    later = o.select(F.max("modified")).scalar()
+    upd = o.withColumn("changed", F.col("id") % 5 == 0)
+    upd = upd.select("id", "cust", F.when(F.col("changed"), F.col("price") + 10).otherwise(F.col("price")).alias("price"),
+                     F.when(F.col("changed"), F.date_add(later, 1).cast("timestamp")).otherwise(F.col("modified")).alias("modified"))
+    land2 = scratch_path(spark, "api-2")
+    SK.export_text(_api_pages(upd, "data"), land2)
+    sync(land2)
+    return spark.read.parquet(table).select("id", "cust", "price")
+
+
+def save_cursor(spark, nxt, ctrl):
+    """Persist the next cursor (the larger of stored and new) as a one-row control table."""
+    from ..session import cut_lineage
+    if SK.table_exists(spark, ctrl):
+        nxt = nxt.unionByName(spark.read.parquet(ctrl)).agg(F.max("cursor").alias("cursor"))
+    cut_lineage(nxt).write.mode("overwrite").parquet(ctrl)
+
+
+# ---- S16 / F6: content metadata pages ------------------------------------------------------------------------------------
+@register("content_meta", """
+SELECT p_partkey AS content_id, p_name AS content_name,
+       CASE p_size % 4 WHEN 0 THEN '1920 x 540' WHEN 1 THEN '1920 x 1080' WHEN 2 THEN '3840 x 2160' ELSE '800 x 600' END AS content_res,
+       CASE p_size % 4 WHEN 0 THEN 'liveline' WHEN 1 THEN 'stroertv' WHEN 2 THEN 'triplay' ELSE 'other' END AS format
+FROM part""")
+def q_content_meta(spark, d):
+    from .gold import content_format
+    p = T(spark, d, "part")
+    res = (F.when(F.col("p_size") % 4 == 0, "1920 x 540").when(F.col("p_size") % 4 == 1, "1920 x 1080")
+            .when(F.col("p_size") % 4 == 2, "3840 x 2160").otherwise("800 x 600"))
+    recs = F.collect_list(F.struct(F.col("p_partkey").alias("contentId"), F.col("p_name").alias("contentName"),
+                                   res.alias("resolution")))
+    pages = p.withColumn("page", (F.col("p_partkey") / 50).cast("bigint")).groupBy("page").agg(recs.alias("r"))
+    env = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("r").alias("items")))) \
+           .otherwise(F.to_json(F.struct(F.struct(F.col("r").alias("contents")).alias("deviceListBaseBean"))))
+    land = scratch_path(spark, "content-meta")
+    SK.export_text(pages.select(env.alias("value")), land)
+    meta = RD.read_paged_json(spark, land, "contentId bigint, contentName string, resolution string",
+                              paths=["$.items", "$.list", "$.contents", "$.deviceListBaseBean.contents", "$.data"])
+    return meta.select(F.col("contentId").alias("content_id"), F.col("contentName").alias("content_name"),
+                       F.col("resolution").alias("content_res"), content_format(F.col("resolution")).alias("format"))

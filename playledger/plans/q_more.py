@@ -175,7 +175,7 @@ def q_anti_three(spark, d):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
-@register("reservation_fanout_lookup", """
+@register("two_hop_reservation_map", """
 SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, c.c_nationkey
 FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey""")
 def q_two_hop(spark, d):

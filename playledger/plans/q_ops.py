@@ -304,7 +304,7 @@ SELECT campaign_id, 'W', NULL, NULL, CAST(isoyear(w) AS VARCHAR) || '-W' || lpad
        strftime(w, '%Y-%m-%d'), strftime(date_trunc('month', w), '%Y-%m-%d') FROM w"""
 
 
-@register("campaign_period_bridge", _BRIDGE_SQL)
+@register("period_bridge", _BRIDGE_SQL)
 def q_period_bridge(spark, d):
     return period_bridge(A.line_items(spark, d))
 
