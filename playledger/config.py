@@ -101,6 +101,33 @@ FORCE_SINGLE_PANEL_CAMPAIGN_IDS = [2534697]
 # Campaigns removed from line items and budget entirely.
 EXCLUDED_CAMPAIGN_IDS = [2472239]
 
+# Reservations booked without a campaign in the source system, given a synthetic campaign / line item
+# (reservation_id, campaign_id, line_item_id, campaign_name, line_item_name, advertiser, client_name).
+RESERVATION_OVERRIDES = [
+    (1125116202, 900000001, 900000001, "Uwaga Pociąg", "Uwaga Pociąg", "Metro Warszawskie", "Metro Warszawskie"),
+    (1230744166, 900000002, 900000003, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1248739280, 900000002, 900000004, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1248760574, 900000002, 900000005, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1249965482, 900000002, 900000006, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1249965517, 900000002, 900000007, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1249965703, 900000002, 900000008, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1320926616, 900000002, 900000009, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1173115467, 900000002, 900000010, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1173115610, 900000002, 900000011, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1287527034, 900000002, 900000012, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1422515259, 900000002, 900000013, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1424533850, 900000002, 900000014, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1444673694, 900000002, 900000015, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1967182419, 900000002, 900000016, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1967518300, 900000002, 900000017, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1987096469, 900000002, 900000018, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1989331182, 900000002, 900000019, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1989334266, 900000002, 900000020, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+    (1991227199, 900000002, 900000021, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
+]
+RESERVATION_OVERRIDE_SCHEMA = ("reservation_id bigint, campaign_id bigint, line_item_id bigint, campaign_name string, "
+                               "line_item_name string, advertiser string, client_name string")
+
 # ---------------------------------------------------------------------------------------------
 
 
@@ -122,4 +149,5 @@ def default_cfg() -> dict:
         "excluded_campaign_ids": list(EXCLUDED_CAMPAIGN_IDS),
         "health_skip_head_days": 60,
         "health_skip_tail_days": 1,
+        "reservation_overrides": list(RESERVATION_OVERRIDES),
     }

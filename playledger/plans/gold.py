@@ -17,6 +17,21 @@ def _cfg(cfg):
     return {**K.default_cfg(), **(cfg or {})}
 
 
+def overrides_frame(spark: SparkSession, cfg: dict | None = None) -> DataFrame:
+    """The configured reservation overrides as a (broadcastable, a few rows) DataFrame."""
+    return spark.createDataFrame(_cfg(cfg)["reservation_overrides"], K.RESERVATION_OVERRIDE_SCHEMA)
+
+
+def synthetic_campaigns(spark: SparkSession, cfg: dict | None = None) -> DataFrame:
+    """One row per synthetic campaign of the overrides (the last override of a campaign wins)."""
+    ov = overrides_frame(spark, cfg).withColumn("__pos", F.monotonically_increasing_id())
+    return dedup(ov, ["campaign_id"], order=["__pos"], keep="last").select("campaign_id", "campaign_name", "advertiser", "client_name")
+
+
+def synthetic_line_items(spark: SparkSession, cfg: dict | None = None) -> DataFrame:
+    return overrides_frame(spark, cfg).select("line_item_id", "campaign_id", "line_item_name", "reservation_id")
+
+
 def reservation_map(res22: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Reservation -> (line item, campaign), one row per reservation (smallest line item first)."""
     r = res22.select(to_long("id").alias("reservation_id"), to_long("proposal_line_item_id").alias("line_item_id")).dropna()
@@ -54,8 +69,13 @@ def build_fact_play_logs(enriched: DataFrame, res_map: DataFrame, single_panel:
                                            "DisplayUnitID": "display_unit_id", "CampID": "reservation_id",
                                            "AdCopyId": "content_id"})
     for c in ["play_log_player_id", "frame_id", "display_unit_id", "content_id", "reservation_id", "timeslot"]:
-        df = df.withColumn(c, to_long(c))
+        df = df.withColumn(c, to_long(c)) if c in df.columns else df.withColumn(c, F.lit(None).cast("bigint"))
+    for c, t in [("contract_id", "string"), ("emisje", "bigint"), ("Impresje", "bigint"), ("Duration", "double")]:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast(t))
     df = lookup_join(df, res_map, "reservation_id", ["line_item_id", "campaign_id"])
+    if overrides is None and cfg["reservation_overrides"]:
+        overrides = overrides_frame(enriched.sparkSession, cfg)
     if overrides is not None:
         df = override_where_null(df, "reservation_id", overrides, ["campaign_id", "line_item_id"])
     sp = single_panel.select(F.col("campaign_id").alias("__sp")).distinct().withColumn("__is_sp", F.lit(True))
@@ -73,7 +93,7 @@ CAMP_COLUMNS = ["campaign_id", "campaign_name", "campaign_status", "advertiser",
 
 
 def build_dim_campaign(spark: SparkSession, campaigns: DataFrame, single_panel: DataFrame, cfg: dict | None = None,
-                       synthetic: list[dict] | None = None) -> DataFrame:
+                       synthetic: list[dict] | DataFrame | None = None) -> DataFrame:
     """One row per campaign (first line row by line item id), excluded campaigns removed, synthetic
     campaigns from configuration added, service flag."""
     cfg = _cfg(cfg)
@@ -81,10 +101,13 @@ def build_dim_campaign(spark: SparkSession, campaigns: DataFrame, single_panel:
     df = dedup(df, ["campaign_id"], order=["line_item_id"])
     df = project_existing(df, CAMP_COLUMNS)
     df = df.where(keep_not_in(F.col("campaign_id"), cfg["excluded_campaign_ids"]))
-    if synthetic:
-        syn = spark.createDataFrame(synthetic, "campaign_id bigint, campaign_name string, advertiser string, client_name string")
-        syn = dedup(syn, ["campaign_id"], order=["campaign_name"], keep="last")
-        df = union_by_name(df, syn)
+    if synthetic is None and cfg["reservation_overrides"]:
+        synthetic = synthetic_campaigns(spark, cfg)
+    if synthetic is not None and not isinstance(synthetic, DataFrame):
+        synthetic = spark.createDataFrame(synthetic, "campaign_id bigint, campaign_name string, advertiser string, client_name string") \
+            if synthetic else None
+    if synthetic is not None:
+        df = union_by_name(df, synthetic)
     sp = single_panel.select(F.col("campaign_id").alias("__sp")).distinct().withColumn("__is_sp", F.lit(True))
     df = df.join(sp, F.col("campaign_id") == F.col("__sp"), "left")
     flag = service_flag([is_in(F.col("campaign_id"), cfg["service_campaign_ids"])], [F.col("__is_sp")])
@@ -106,7 +129,7 @@ LINE_COLUMNS = ["line_item_id", "campaign_id", "line_item_name", "campaign_name"
 
 
 def build_dim_line_item(spark: SparkSession, campaigns: DataFrame, res22: DataFrame, reservations: DataFrame,
-                        cfg: dict | None = None, synthetic: list[dict] | None = None) -> DataFrame:
+                        cfg: dict | None = None, synthetic: list[dict] | DataFrame | None = None) -> DataFrame:
     """Line items with inclusive day count and their reservations (1:n, a line with two reservations
     gives two rows), plus synthetic lines from configuration."""
     cfg = _cfg(cfg)
@@ -117,9 +140,13 @@ def build_dim_line_item(spark: SparkSession, campaigns: DataFrame, res22: DataFr
             .withColumn("line_start", to_ts("line_start")).withColumn("line_end", to_ts("line_end"))
             .withColumn("line_days", inclusive_days("line_start", "line_end").cast("bigint")))
     df = lookup_join(df, _reservations_full(res22, reservations), "line_item_id", on_multi="fanout")
-    if synthetic:
-        syn = spark.createDataFrame(synthetic, "line_item_id bigint, campaign_id bigint, line_item_name string, reservation_id bigint")
-        df = union_by_name(df, syn)
+    if synthetic is None and cfg["reservation_overrides"]:
+        synthetic = synthetic_line_items(spark, cfg)
+    if synthetic is not None and not isinstance(synthetic, DataFrame):
+        synthetic = spark.createDataFrame(synthetic, "line_item_id bigint, campaign_id bigint, line_item_name string, reservation_id bigint") \
+            if synthetic else None
+    if synthetic is not None:
+        df = union_by_name(df, synthetic)
     return (df.withColumn("line_start", F.date_format("line_start", "yyyy-MM-dd"))
               .withColumn("line_end", F.date_format("line_end", "yyyy-MM-dd")))
 

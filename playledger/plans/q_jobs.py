@@ -21,6 +21,7 @@ JOB_CFG = {
     "service_line_item_ids": [12, 22, 32],
     "force_single_panel_campaign_ids": [5],
     "excluded_campaign_ids": [7, 70, 700],
+    "reservation_overrides": [],      # the world has no unbooked reservations; unit tests cover the overrides
 }
 SYNTHETIC_CAMPAIGNS = [
     {"campaign_id": 900000001, "campaign_name": "Uwaga Pociąg", "advertiser": "Metro Warszawskie", "client_name": "Metro Warszawskie"},

@@ -146,3 +146,18 @@ def test_budget_conserves_cost(spark):
                                                  F.greatest(F.col("line_price"), F.lit(1.0))).alias("rel"))
     assert j.count() > 0
     assert j.agg(F.max("rel")).first()[0] < 1e-3
+
+
+def test_reservation_overrides_wiring(spark):
+    from playledger import config as K
+    from playledger.plans import gold as G
+    enriched = spark.createDataFrame([("2026-06-01", 1, 1125116202, 5), ("2026-06-01", 2, 77, 5)],
+                                     "DateEnd string, PlayerID long, CampID long, AdCopyId long")
+    res_map = spark.createDataFrame([(77, 700, 70)], "reservation_id long, line_item_id long, campaign_id long")
+    single = spark.createDataFrame([], "campaign_id long")
+    fact = {r.reservation_id: r for r in G.build_fact_play_logs(enriched, res_map, single).collect()}
+    assert (fact[1125116202].campaign_id, fact[1125116202].line_item_id, fact[1125116202].is_serwisowy) == (900000001, 900000001, 1)
+    assert (fact[77].campaign_id, fact[77].is_serwisowy) == (70, 0)
+    syn = {r.campaign_id: r.campaign_name for r in G.synthetic_campaigns(spark).collect()}
+    assert syn == {900000001: "Uwaga Pociąg", 900000002: "Autopromocja"}
+    assert G.synthetic_line_items(spark).count() == len(K.RESERVATION_OVERRIDES)
