@@ -113,15 +113,7 @@ def q_dictionary_rejects(spark, d):
 
 
 # ---- S8 / M8 / S13: dated archive, newest wins ------------------------------------------------------------------------
-@register("dictionary_archive", f"""
-WITH a AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, 'resources-2024-01-01.txt' AS source_file, DATE '2024-01-01' AS file_date, p_partkey
-  FROM part WHERE p_partkey % 2 = 0
-  UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name), 'resources-2024-01-03.txt', DATE '2024-01-03', p_partkey FROM part WHERE p_partkey % 3 = 0
-  UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_brand, 'resources-2024-01-02.txt.gz', DATE '2024-01-02', p_partkey FROM part WHERE p_partkey % 5 = 0)
-SELECT id, name, {_DICT_TYPE_SQL} AS type, source_file, strftime(file_date, '%Y-%m-%d') AS file_date FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY file_date DESC, name DESC) AS rn FROM a) WHERE rn = 1""")
-def q_dictionary_archive(spark, d):
+def _land_archive(spark, d):
     p = T(spark, d, "part")
     root = scratch_path(spark, "archive")
     typ = F.get(F.array(*[F.lit(t) for t in _TYPES]), (F.col("p_partkey") % 5).cast("int"))
@@ -134,10 +126,29 @@ def q_dictionary_archive(spark, d):
     SK.export_text(lines(p.where(F.col("p_partkey") % 5 == 0), F.col("p_brand")), f"{root}/resources-2024-01-02.txt.gz",
                    compression="gzip")
     SK.export_text(lines(p, F.lit("ignored")), f"{root}/notes-2024-01-09.txt")
-    res = RD.read_dictionary_archive(spark, root)
+    return root
+
+
+@register("dictionary_archive", f"""
+WITH a AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, 'resources-2024-01-01.txt' AS source_file, DATE '2024-01-01' AS file_date, p_partkey
+  FROM part WHERE p_partkey % 2 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name), 'resources-2024-01-03.txt', DATE '2024-01-03', p_partkey FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_brand, 'resources-2024-01-02.txt.gz', DATE '2024-01-02', p_partkey FROM part WHERE p_partkey % 5 = 0)
+SELECT id, name, {_DICT_TYPE_SQL} AS type, source_file, strftime(file_date, '%Y-%m-%d') AS file_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY file_date DESC, name DESC) AS rn FROM a) WHERE rn = 1""")
+def q_dictionary_archive(spark, d):
+    res = RD.read_dictionary_archive(spark, _land_archive(spark, d))
     return res.select("id", "name", "type", "source_file", F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))
 
 
+@register("dictionary_latest_file", f"""
+SELECT CAST(p_partkey AS VARCHAR) AS id, upper(p_name) AS name, {_DICT_TYPE_SQL} AS type FROM part WHERE p_partkey % 3 = 0""")
+def q_dictionary_latest_file(spark, d):
+    rows = RD.read_dictionary_files(spark, _land_archive(spark, d))
+    return RD.latest_file_rows(rows).select("id", "name", "type")
+
+
 # ---- S9 / S10 / M12: CSV bootstrap -----------------------------------------------------------------------------------
 @register("csv_bootstrap", f"""
 WITH {A.PLAY_LOG_SQL}
@@ -153,6 +164,22 @@ def q_csv_bootstrap(spark, d):
     return RD.read_csv_bootstrap(spark, path)
 
 
+@register("csv_bootstrap_guarded", f"""
+WITH {A.PLAY_LOG_SQL}
+SELECT PlayerID, strftime(DateEndTime, '%Y-%m-%d') AS DateEnd, CAST(hour(DateEndTime) AS BIGINT) AS timeslot, CampID,
+       round(CAST(coalesce(sum(Duration), 0) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration, count(*) AS emisje
+FROM play_log GROUP BY 1, 2, 3, 4""")
+def q_csv_bootstrap_guarded(spark, d):
+    hist = hourly_rollup(A.play_log(spark, d), ["PlayerID", "CampID"], sums={"Duration": "Duration"})
+    first, second, table = scratch_path(spark, "csv-a"), scratch_path(spark, "csv-b"), scratch_path(spark, "tbl-hist")
+    SK.export_csv(hist.select("PlayerID", "DateEnd", "timeslot", "CampID", "Duration", "emisje"), first)
+    SK.export_csv(hist.select("PlayerID", "DateEnd", "timeslot", "CampID", (F.col("Duration") * 2).alias("Duration"),
+                              "emisje"), second)
+    SK.import_historical(spark, first, table)      # empty target: imported
+    SK.import_historical(spark, second, table)     # target has data: skipped
+    return spark.read.parquet(table).select("PlayerID", "DateEnd", "timeslot", "CampID", "Duration", "emisje")
+
+
 # ---- S11 / S12: paged JSON envelopes ---------------------------------------------------------------------------------
 @register("json_pages", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_custkey // 100 AS page FROM customer")
 def q_json_pages(spark, d):

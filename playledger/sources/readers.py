@@ -86,10 +86,10 @@ def read_dictionary(spark: SparkSession, path: str, known_types=K.KNOWN_RESOURCE
 ARCHIVE_NAME = r"resources-\d{4}-\d{2}-\d{2}\.txt(\.gz)?"
 
 
-def read_dictionary_archive(spark: SparkSession, directory: str, name_pattern: str = ARCHIVE_NAME) -> DataFrame:
-    """Every dated dictionary file under a directory (flat ``resources-YYYY-MM-DD.txt(.gz)``
-    files, or folders of that name holding part files); the newest date wins per id, independent of read
-    order (grouped ``max_by``).  Paths without such a name are ignored."""
+def read_dictionary_files(spark: SparkSession, directory: str, name_pattern: str = ARCHIVE_NAME) -> DataFrame:
+    """The valid rows of every dated dictionary file under a directory (flat ``resources-YYYY-MM-DD.txt(.gz)``
+    files, or folders of that name holding part files), with ``source_file`` and ``file_date``.  Paths without
+    such a name are ignored."""
     raw = (spark.read.option("recursiveFileLookup", True).text(directory)
                 .select("value", F.col("_metadata.file_path").alias("source_file")))
     raw = raw.where(F.col("source_file").rlike(name_pattern))
@@ -101,6 +101,12 @@ def read_dictionary_archive(spark: SparkSession, directory: str, name_pattern: s
               .select(F.trim(F.col("p")[0]).alias("id"), F.trim(F.col("p")[1]).alias("name"),
                       F.trim(F.col("p")[3]).alias("type"), "source_file", "file_date")
               .where(F.col("type").isin(list(K.KNOWN_RESOURCE_TYPES))))
+    return ok
+
+
+def read_dictionary_archive(spark: SparkSession, directory: str, name_pattern: str = ARCHIVE_NAME) -> DataFrame:
+    """The archive merged newest-wins per id, independent of read order (grouped ``max_by``)."""
+    ok = read_dictionary_files(spark, directory, name_pattern)
     return latest_by(ok, ["id"], "file_date", ["name", "type", "source_file"])
 
 

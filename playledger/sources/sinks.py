@@ -74,3 +74,13 @@ def export_text(df: DataFrame, path: str, compression: str | None = None) -> Non
 
 def stamp_now(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
+def import_historical(spark: SparkSession, csv_path: str, table_path: str) -> bool:
+    """Bootstrap a play-log table from a historical CSV, only when the table is missing or empty (a
+    second call never overwrites loaded data).  Returns whether it imported."""
+    from .readers import read_csv_bootstrap
+    if table_exists(spark, table_path) and not spark.read.parquet(table_path).isEmpty():
+        return False
+    read_csv_bootstrap(spark, csv_path).write.mode("overwrite").parquet(table_path)
+    return True
