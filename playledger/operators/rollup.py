@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import slot_label
 from ..functions.semantics import round_half_up
@@ -79,18 +80,35 @@ def sorted_distinct(col: str, sep: str | None = None) -> Column:
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep) if sep is not None else arr
 
 
+_ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
+
+
 def dedup(df: DataFrame, keys: list[str], order: list | None = None, keep: str = "first") -> DataFrame:
     """One row per key, chosen by an explicit order (never 'whatever came first').
 
-    ``order`` is a list of columns / sort expressions; ``keep='last'`` takes the last row in that order.
-    NULL keys form one group, as pandas does.  Without an order the rows must be identical on the kept
-    columns (then ``dropDuplicates`` is exact)."""
+    ``order`` lists column names; ``keep='first'`` takes the first row in ascending order with NULLs last,
+    ``keep='last'`` the last one (descending, NULLs first).  NULL keys form one group, as pandas does.
+
+    Implemented as a ``min_by`` aggregate over an order struct (ties broken by the remaining columns), so
+    the choice is combined map-side: a key holding a third of all rows ships one candidate per task, not
+    its rows.  Sort expressions (Column objects) fall back to a ``row_number`` window.  Without an order the
+    rows must be identical on the kept columns (then ``dropDuplicates`` is exact)."""
     if not order:
         return df.dropDuplicates(keys)
-    ords = [(_q(o).asc_nulls_last() if keep == "first" else _q(o).desc_nulls_first()) if isinstance(o, str)
-            else o for o in order]
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*ords)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    if not all(isinstance(o, str) for o in order):
+        w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*order)
+        return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    rest = [f.name for f in df.schema.fields if f.name not in keys and isinstance(f.dataType, _ORDERABLE)]
+    parts = []
+    for o in list(order) + [c for c in rest if c not in order]:
+        c = _q(o)
+        # (is NULL, value): ascending puts NULLs last; for 'last' the whole struct is negated via max_by
+        parts += [c.isNull(), c]
+    okey = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
+    val = F.struct(*[_q(c) for c in df.columns if c not in keys])
+    pick = F.min_by(val, okey) if keep == "first" else F.max_by(val, okey)
+    out = df.groupBy(*[_q(k) for k in keys]).agg(pick.alias("__v"))
+    return out.select(*[_q(c) if c in keys else F.col("__v").getField(c).alias(c) for c in df.columns])
 
 
 def latest_by(df: DataFrame, keys: list[str], version: str, cols: list[str]) -> DataFrame:
