@@ -121,7 +121,7 @@ def _land_archive(spark, d):
     def lines(df, name_col):
         return df.select(F.concat_ws("\t", F.col("p_partkey").cast("string"), name_col, F.lit("1"), typ).alias("value"))
 
-    SK.export_text(lines(p.where(F.col("p_partkey") % 2 == 0), F.col("p_name")), f"{root}/resources-2024-01-01.txt")
+    SK.export_text(lines(p, F.col("p_name")), f"{root}/resources-2024-01-01.txt")
     SK.export_text(lines(p.where(F.col("p_partkey") % 3 == 0), F.upper("p_name")), f"{root}/resources-2024-01-03.txt")
     SK.export_text(lines(p.where(F.col("p_partkey") % 5 == 0), F.col("p_brand")), f"{root}/resources-2024-01-02.txt.gz",
                    compression="gzip")
@@ -132,7 +132,7 @@ def _land_archive(spark, d):
 @register("dictionary_archive", f"""
 WITH a AS (
   SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, 'resources-2024-01-01.txt' AS source_file, DATE '2024-01-01' AS file_date, p_partkey
-  FROM part WHERE p_partkey % 2 = 0
+  FROM part
   UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name), 'resources-2024-01-03.txt', DATE '2024-01-03', p_partkey FROM part WHERE p_partkey % 3 = 0
   UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_brand, 'resources-2024-01-02.txt.gz', DATE '2024-01-02', p_partkey FROM part WHERE p_partkey % 5 = 0)
 SELECT id, name, {_DICT_TYPE_SQL} AS type, source_file, strftime(file_date, '%Y-%m-%d') AS file_date FROM (
@@ -246,16 +246,16 @@ def q_stream_hourly(spark, d):
 # ---- T3: a re-delivered day replaces the old one ---------------------------------------------------------------------------
 @register("stream_replace_day", """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN day(ts) IN (5, 6) THEN value * 2 ELSE value END AS value FROM events
-WHERE NOT (day(ts) IN (5, 6) AND event_id % 2 = 1)""")
+WHERE NOT (day(ts) IN (5, 6) AND event_type = 'error')""")
 def q_stream_replace_day(spark, d):
-    ev = T(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    ev = T(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value", "event_type")
     land, table = scratch_path(spark, "land-days"), scratch_path(spark, "tbl-days")
     ckpt = scratch_path(spark, "ckpt-days")
     schema = "event_id bigint, day string, value double"
-    ev.write.mode("append").parquet(land)                          # day 1: the original files
+    ev.drop("event_type").write.mode("append").parquet(land)       # day 1: the original files
     ST.run_available_now(ST.landing_stream(spark, land, schema), ST.replace_day_batches(table, "day"), "days", ckpt)
-    fix = ev.where(F.dayofmonth(F.to_date("day")).isin(5, 6) & (F.col("event_id") % 2 == 0)) \
-            .withColumn("value", F.col("value") * 2)
+    fix = ev.where(F.dayofmonth(F.to_date("day")).isin(5, 6) & (F.col("event_type") != "error")) \
+            .withColumn("value", F.col("value") * 2).drop("event_type")
     fix.write.mode("append").parquet(land)                         # day 2: corrected re-delivery of two days
     ST.run_available_now(ST.landing_stream(spark, land, schema), ST.replace_day_batches(table, "day"), "days", ckpt)
     return spark.read.schema(schema).parquet(table).select("event_id", "day", "value")
@@ -322,7 +322,7 @@ def _api_pages(df, key):
 
 
 @register("job_control_sync", """
-SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS price
+SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 10 ELSE o_totalprice END AS price
 FROM orders""")
 def q_job_control_sync(spark, d):
     o = T(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"),
@@ -343,7 +343,7 @@ def q_job_control_sync(spark, d):
     SK.export_text(_api_pages(o, "reservation"), land1)
     sync(land1)
     later = o.select(F.max("modified")).scalar()
-    upd = o.withColumn("changed", F.col("id") % 5 == 0)
+    upd = o.join(T(spark, d, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "O").alias("changed")), "id")
     upd = upd.select("id", "cust", F.when(F.col("changed"), F.col("price") + 10).otherwise(F.col("price")).alias("price"),
                      F.when(F.col("changed"), F.date_add(later, 1).cast("timestamp")).otherwise(F.col("modified")).alias("modified"))
     land2 = scratch_path(spark, "api-2")

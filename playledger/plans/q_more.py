@@ -166,11 +166,11 @@ def q_left_lookup_two(spark, d):
 
 @register("anti_three_keys", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem a
-WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_linenumber % 2 = 0 AND b.l_orderkey = a.l_orderkey
+WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_returnflag = 'R' AND b.l_orderkey = a.l_orderkey
                   AND b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey)""")
 def q_anti_three(spark, d):
     li = T(spark, d, "lineitem")
-    seen = li.where(F.col("l_linenumber") % 2 == 0)
+    seen = li.where(F.col("l_returnflag") == "R")
     return L.unknown_keys(li, seen, ["l_orderkey", "l_partkey", "l_suppkey"]).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 

@@ -403,13 +403,13 @@ def q_bridge_pairs(spark, d):
 @register("single_panel", """
 WITH one AS (SELECT l_orderkey FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) = 1),
 flagged AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
-ids AS (SELECT l_orderkey AS campaign_id FROM one UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 997 = 1)
+ids AS (SELECT l_orderkey AS campaign_id FROM one UNION SELECT o_orderkey FROM orders WHERE o_totalprice >= 450000)
 SELECT campaign_id FROM ids WHERE campaign_id NOT IN (SELECT o_orderkey FROM flagged)""")
 def q_single_panel(spark, d):
     li = T(spark, d, "lineitem").dropna(subset=["l_suppkey"])
     one = li.groupBy("l_orderkey").agg(F.countDistinct("l_suppkey").alias("n")).where("n = 1").select(F.col("l_orderkey").alias("campaign_id"))
     o = T(spark, d, "orders")
-    forced = o.where(F.col("o_orderkey") % 997 == 1).select(F.col("o_orderkey").alias("campaign_id"))
+    forced = o.where(F.col("o_totalprice") >= 450000).select(F.col("o_orderkey").alias("campaign_id"))
     flagged = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")).select(F.col("o_orderkey").alias("campaign_id"))
     ids = one.union(forced).distinct()
     return L.unknown_keys(ids, flagged, "campaign_id")
