@@ -200,7 +200,7 @@ def q_json_pages(spark, d):
 WITH marks AS (SELECT user_id, count(*) AS run_no, max({'ts': ts, 'id': event_id}) AS st FROM events WHERE event_type = 'signup' GROUP BY 1),
 run AS (SELECT e.*, m.run_no, m.st.ts AS st_ts FROM events e JOIN marks m ON m.user_id = e.user_id WHERE {'ts': e.ts, 'id': e.event_id} >= m.st)
 SELECT user_id, max(run_no) AS run_no, strftime(max(st_ts), '%Y-%m-%d %H:%M:%S') AS started,
-       count_if(event_type IN ('view', 'click', 'purchase')) AS n_ok, count_if(event_type = 'error') AS n_fail, count(*) AS n_lines
+       CAST(count_if(event_type IN ('view', 'click', 'purchase')) AS BIGINT) AS n_ok, CAST(count_if(event_type = 'error') AS BIGINT) AS n_fail, count(*) AS n_lines
 FROM run GROUP BY user_id""")
 def q_run_log_text(spark, d):
     ev = T(spark, d, "events")
@@ -227,7 +227,7 @@ _EV_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type stri
 
 
 @register("stream_hourly", """
-SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS emisje,
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS emisje,
        round(CAST(sum(value) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration FROM events GROUP BY 1, 2""")
 def q_stream_hourly(spark, d):
     ev = T(spark, d, "events")
@@ -239,7 +239,8 @@ def q_stream_hourly(spark, d):
     counts = ST.hourly_window_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "value")
     ST.run_available_now(counts, ST.upsert_batches(table, ["window_start", "event_type"]), "hourly")
     out = spark.read.parquet(table)
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "emisje",
+    return out.select(F.date_format(F.col("window_start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                      "event_type", "emisje",
                       round_half_up(F.col("Duration"), 2).alias("Duration"))
 
 

@@ -79,7 +79,7 @@ def q_job_campaigns(spark, d):
 
 # ---- C6 / C11 dim_screen -----------------------------------------------------------------------------------
 SCREENS_FULL_SQL = f"""{W.MAPPING_SQL}, {W.SCREENS_SQL},
-m AS (SELECT frame_id, screen_id AS panel_id, group_id AS screen_id
+m AS (SELECT frame_id, screen_id AS panel_id, CAST(group_id AS BIGINT) AS screen_id
       FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY screen_id, group_id) AS rn FROM sfm) WHERE rn = 1),
 screens_full AS (SELECT m.frame_id, m.panel_id, m.screen_id, s.name AS screen_name, s.address AS screen_address,
                         s.resolution, s.orientation FROM m LEFT JOIN screens s ON s.id = m.screen_id)"""
@@ -106,7 +106,7 @@ def q_job_dim_screen(spark, d):
 PLAYERS_FULL_SQL = f"""{W.CTRL_PLAYERS_SQL}, {W.DU_SQL},
 players_full AS (
   SELECT p.id AS player_id, p.claimed_resource_id AS play_log_player_id, p.name AS player_name, p.hostname,
-         NULLIF(p.target_display_unit_id, 0) AS display_unit_id, du.name AS display_unit_name, du.address AS du_address,
+         CAST(NULLIF(p.target_display_unit_id, 0) AS BIGINT) AS display_unit_id, du.name AS display_unit_name, du.address AS du_address,
          du.timezone
   FROM ctrl_players p LEFT JOIN du ON du.id = NULLIF(p.target_display_unit_id, 0))"""
 
@@ -140,7 +140,7 @@ pairs AS (SELECT FrameID, DisplayUnitID, PlayerID FROM bronze
 b AS (SELECT FrameID, DisplayUnitID, count(PlayerID) AS play_count,
              array_to_string(list_sort(list_distinct(list(PlayerID))), ',') AS player_ids FROM pairs GROUP BY 1, 2),
 m AS (SELECT DISTINCT frame_id, group_id FROM sfm)
-SELECT b.FrameID, b.DisplayUnitID, b.play_count, b.player_ids, m.group_id AS screen_id, s.name AS screen_name,
+SELECT b.FrameID, b.DisplayUnitID, b.play_count, b.player_ids, CAST(m.group_id AS BIGINT) AS screen_id, s.name AS screen_name,
        s.address AS screen_address, du.name AS display_unit_name, du.address AS du_address
 FROM b LEFT JOIN m ON m.frame_id = b.FrameID LEFT JOIN screens s ON s.id = m.group_id LEFT JOIN du ON du.id = b.DisplayUnitID""")
 def q_job_bridge(spark, d):
@@ -153,7 +153,7 @@ def q_job_bridge(spark, d):
 # ---- C9 ------------------------------------------------------------------------------------------------------
 ENRICHED_SQL = f"""{BRONZE_SQL}, {A.LINE_ITEMS_SQL}, {W.RES22_SQL}, {W.RES_SQL}, {W.MAPPING_SQL}, {W.SCREENS_SQL}, {W.DU_SQL},
 {W.PROPOSALS_SQL},
-sfm_s AS (SELECT m.frame_id, m.group_id AS screen_id, s.name AS screen_name, s.address AS screen_address
+sfm_s AS (SELECT m.frame_id, CAST(m.group_id AS BIGINT) AS screen_id, s.name AS screen_name, s.address AS screen_address
           FROM (SELECT DISTINCT frame_id, group_id FROM sfm) m LEFT JOIN screens s ON s.id = m.group_id),
 enriched AS (
   SELECT b.DateEnd, b.timeslot, b.PlayerID, b.FrameID, b.DisplayUnitID, b.AdCopyId, b.CampID, b.contract_id, b.emisje,
@@ -236,7 +236,7 @@ _FLAG_SQL = f"""CAST(CASE WHEN coalesce(m.campaign_id IN {_in(JOB_CFG['service_c
 @register("job_fact_play_logs", f"""
 {with_ctes(ENRICHED_SQL, RESMAP_SQL, SINGLE_SQL)}
 SELECT e.DateEnd AS date_key, e.PlayerID AS play_log_player_id, e.FrameID AS frame_id, e.DisplayUnitID AS display_unit_id,
-       e.CampID AS reservation_id, e.AdCopyId AS content_id, e.timeslot, e.contract_id, e.emisje, e.Impresje, e.Duration,
+       e.CampID AS reservation_id, e.AdCopyId AS content_id, CAST(e.timeslot AS BIGINT) AS timeslot, e.contract_id, e.emisje, e.Impresje, e.Duration,
        m.line_item_id, m.campaign_id, {_FLAG_SQL} AS is_serwisowy
 FROM enriched e LEFT JOIN res_map m ON m.reservation_id = e.CampID""")
 def q_job_fact_play_logs(spark, d):

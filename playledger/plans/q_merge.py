@@ -174,10 +174,10 @@ def q_shrink(spark, d):
 
 
 @register("since_cursor", """
-SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-25 12:00:00'""")
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events WHERE ts > TIMESTAMP '2024-01-25 12:00:00'""")
 def q_since_cursor(spark, d):
     rows, _ = M.since_cursor(T(spark, d, "events"), "ts", "2024-01-25 12:00:00")
-    return rows.select("event_id", "ts")
+    return rows.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
 
 @register("rolling_window", """

@@ -23,15 +23,17 @@ T = A.table
 @register("log_last_run", """
 WITH marks AS (SELECT user_id, count(*) AS run_no, max({'ts': ts, 'id': event_id}) AS st FROM events WHERE event_type = 'signup' GROUP BY 1),
 run AS (SELECT e.*, m.run_no FROM events e JOIN marks m ON m.user_id = e.user_id WHERE {'ts': e.ts, 'id': e.event_id} >= m.st)
-SELECT user_id, max(run_no) AS run_no, min(ts) AS started, max(ts) AS finished,
-       count_if(event_type IN ('view', 'click', 'purchase')) AS n_ok, count_if(event_type = 'error') AS n_fail,
+SELECT user_id, max(run_no) AS run_no, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS finished,
+       CAST(count_if(event_type IN ('view', 'click', 'purchase')) AS BIGINT) AS n_ok, CAST(count_if(event_type = 'error') AS BIGINT) AS n_fail,
        count(*) AS n_lines, round(CAST(coalesce(sum(value), 0) AS DECIMAL(38,10)), 2)::DOUBLE AS counter
 FROM run GROUP BY user_id""")
 def q_log_last_run(spark, d):
     ev = T(spark, d, "events")
     r = last_run(ev, "user_id", ["ts", "event_id"], F.col("event_type") == "signup",
                  F.col("event_type").isin("view", "click", "purchase"), F.col("event_type") == "error", F.col("value"))
-    return r.withColumn("counter", round_half_up(F.col("counter"), 2))
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return (r.withColumn("counter", round_half_up(F.col("counter"), 2))
+             .withColumn("started", F.date_format("started", fmt)).withColumn("finished", F.date_format("finished", fmt)))
 
 
 # ---- F7 / S12 / M14 -------------------------------------------------------------------------------------------
@@ -71,7 +73,7 @@ def q_nested_to_json(spark, d):
 
 # ---- S14 / S15 / F16: links in HTML pages ---------------------------------------------------------------------------
 @register("href_files", """
-SELECT page_id, h.pos AS pos, h.href AS href
+SELECT page_id, CAST(h.pos AS INTEGER) AS pos, h.href AS href
 FROM pages, LATERAL (SELECT unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href,
                             unnest(range(len(regexp_extract_all(html, 'href="([^"]+)"', 1)))) AS pos) h""")
 def q_href_files(spark, d):
@@ -203,18 +205,21 @@ def q_override_dedup(spark, d):
 
 
 @register("global_range", """
-SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n, count(DISTINCT user_id) AS users,
+SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts, count(*) AS n, count(DISTINCT user_id) AS users,
        round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_share FROM events""")
 def q_global_range(spark, d):
     ev = T(spark, d, "events")
-    return ev.agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n"),
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return ev.agg(F.date_format(F.min("ts"), fmt).alias("first_ts"), F.date_format(F.max("ts"), fmt).alias("last_ts"),
+                  F.count(F.lit(1)).alias("n"),
                   F.countDistinct("user_id").alias("users"),
                   F.round(F.avg(F.when(F.col("event_type") == "error", 1.0).otherwise(0.0)), 6).alias("error_share"))
 
 
-@register("preview_top", "SELECT event_id, ts, event_type FROM events ORDER BY ts, event_id LIMIT 5")
+@register("preview_top", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type FROM events ORDER BY events.ts, event_id LIMIT 5")
 def q_preview(spark, d):
-    return top_k(T(spark, d, "events").select("event_id", "ts", "event_type"), [F.col("ts"), F.col("event_id")], 5)
+    top = top_k(T(spark, d, "events").select("event_id", "ts", "event_type"), [F.col("ts"), F.col("event_id")], 5)
+    return top.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event_type")
 
 
 # ---- P12 / J18 / G6 -----------------------------------------------------------------------------------------------------

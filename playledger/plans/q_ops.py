@@ -320,13 +320,13 @@ def q_flight_months(spark, d):
 
 @register("flight_weeks", f"""
 WITH {A.LINE_ITEMS_SQL}
-SELECT line_item_id, w AS week_monday, CAST(isoyear(w) AS VARCHAR) || '-W' || lpad(CAST(weekofyear(w) AS VARCHAR), 2, '0') AS year_week
+SELECT line_item_id, strftime(w, '%Y-%m-%d') AS week_monday, CAST(isoyear(w) AS VARCHAR) || '-W' || lpad(CAST(weekofyear(w) AS VARCHAR), 2, '0') AS year_week
 FROM (SELECT line_item_id, CAST(unnest(generate_series(date_trunc('week', line_start)::TIMESTAMP,
        date_trunc('week', line_end)::TIMESTAMP, INTERVAL 7 DAY)) AS DATE) AS w FROM li)""")
 def q_flight_weeks(spark, d):
     li = A.line_items(spark, d)
     return X.flight_weeks(li, "line_start", "line_end", "w").select(
-        "line_item_id", F.col("w").alias("week_monday"), iso_week_label("w").alias("year_week"))
+        "line_item_id", F.date_format("w", "yyyy-MM-dd").alias("week_monday"), iso_week_label("w").alias("year_week"))
 
 
 # ---- G5 ---------------------------------------------------------------------------------------------------
@@ -427,13 +427,13 @@ def _camp_lines(spark, d):
 
 @register("campaign_totals", """
 SELECT l_orderkey AS campaign_id, round(CAST(sum(l_extendedprice) AS DECIMAL(38,10)), 2)::DOUBLE AS sum_line_prices,
-       count(*) AS n_lines, min(l_shipdate) AS first_ship
+       count(*) AS n_lines, strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S.%f') AS first_ship
 FROM lineitem GROUP BY l_orderkey""")
 def q_campaign_totals(spark, d):
     li = T(spark, d, "lineitem")
     return R.rollup(li, ["l_orderkey"], counts={"n_lines": "*"}).join(
         li.groupBy("l_orderkey").agg(sum_round("l_extendedprice", 2).alias("sum_line_prices"),
-                                      F.min("l_shipdate").alias("first_ship")), "l_orderkey") \
+                                      F.date_format(F.min("l_shipdate"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("first_ship")), "l_orderkey") \
         .withColumnRenamed("l_orderkey", "campaign_id")
 
 

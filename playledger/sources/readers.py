@@ -124,10 +124,12 @@ def read_csv_bootstrap(spark: SparkSession, path: str) -> DataFrame:
     """Historical CSV with a header; missing columns are added as NULL, the projection is fixed."""
     df = spark.read.option("header", True).csv(path)
     cols = []
+    text_cols = ("DateEnd", "timeslot_label", "contract_id")
     for c in PLAY_LOG_CSV_COLUMNS:
         if c not in df.columns:
-            cols.append(F.lit(None).cast("string").alias(c))
-        elif c in ("DateEnd", "timeslot_label", "contract_id"):
+            t = "string" if c in text_cols else "double" if c == "Duration" else "bigint"
+            cols.append(F.lit(None).cast(t).alias(c))
+        elif c in text_cols:
             cols.append(F.col(c))
         elif c == "Duration":
             cols.append(to_double(c).alias(c))
