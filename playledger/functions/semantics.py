@@ -22,10 +22,12 @@ def to_double(c) -> Column:
 
 
 def to_long(c) -> Column:
-    """Number-like value -> BIGINT.  Goes through double so that '123.0' parses; a fractional
-    value is not an integer and becomes NULL instead of being truncated."""
-    d = to_double(c)
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    """Number-like value -> BIGINT; a fractional value is not an integer and becomes NULL instead of being
+    truncated.  Integers (and integer text) are cast directly, so 64-bit ids stay exact; only text such as
+    '123.0' takes the route through double."""
+    col = _c(c)
+    d = to_double(col)
+    return F.when(d == F.floor(d), F.coalesce(col.try_cast("bigint"), d.try_cast("bigint")))
 
 
 def to_ts(c, fmt: str | None = None) -> Column:

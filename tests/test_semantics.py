@@ -33,6 +33,10 @@ def test_sum_of_all_null_is_zero(spark):
 
 def test_coercions(spark):
     assert one(spark, S.to_long("x"), rows=[("123.0",), ("1.5",), ("abc",), (None,)]) == [123, None, None, None]
+    big = 2 ** 62 + 1                       # above 2**53: must not go through double
+    assert one(spark, S.to_long("x"), "x long", [(big,)]) == [big]
+    assert one(spark, S.to_long("x"), rows=[(str(big),)]) == [big]
+    assert one(spark, S.to_long("x"), "x double", [(3.0,), (2.5,)]) == [3, None]
     assert one(spark, S.to_double("x"), rows=[("1.25",), ("x",)]) == [1.25, None]
     got = one(spark, S.to_ts("x"), rows=[("2026-05-26 10:00:00",), ("not a time",)])
     assert got[1] is None and got[0].hour == 10
