@@ -5,10 +5,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as K
+from ..functions.calendar import iso_week_label
 from ..functions.names import classify, is_test, location
 from ..functions.semantics import inclusive_days, is_in, keep_not_in, to_long, to_ts
 from ..operators.conform import project_existing, union_by_name
-from ..operators.expand import balancing_rows
+from ..operators.expand import balancing_rows, flight_months, flight_weeks
+from ..operators.filters import active_status
 from ..operators.lookup import lookup_join, override_where_null, service_flag
 from ..operators.rollup import dedup
 
@@ -223,3 +225,20 @@ def pop_format_summary(pop_clean: DataFrame) -> DataFrame:
 def content_format(resolution_col) -> F.Column:
     """resolution -> format."""
     return classify(resolution_col, K.RESOLUTION_FORMAT, K.DEFAULT_FORMAT, normalize=True)
+
+
+def period_bridge(li: DataFrame, cfg: dict | None = None) -> DataFrame:
+    """C15 dim_campaign_period: campaign x month rows (grain M) and campaign x ISO week rows (grain W), each built
+    independently from the active line items' flights (months from truncated starts, weeks from Mondays)."""
+    li = li.where(active_status("status_name", _cfg(cfg)["active_statuses"])).dropna(subset=["campaign_id", "line_start", "line_end"])
+    m = (flight_months(li, "line_start", "line_end", "m")
+          .select("campaign_id", F.date_format("m", "yyyy-MM").alias("year_month"), F.col("m").alias("year_month_dt"))
+          .dropDuplicates(["campaign_id", "year_month"]))
+    w = (flight_weeks(li, "line_start", "line_end", "w")
+          .select("campaign_id", iso_week_label("w").alias("year_week"), F.col("w").alias("year_week_dt"),
+                  F.trunc("w", "month").alias("week_parent_month_dt"))
+          .dropDuplicates(["campaign_id", "year_week"]))
+    return union_by_name(m, w, tag="grain", tags=["M", "W"]).select(
+        "campaign_id", "grain", "year_month", F.date_format("year_month_dt", "yyyy-MM-dd").alias("year_month_dt"),
+        "year_week", F.date_format("year_week_dt", "yyyy-MM-dd").alias("year_week_dt"),
+        F.date_format("week_parent_month_dt", "yyyy-MM-dd").alias("week_parent_month_dt"))

@@ -390,3 +390,44 @@ def q_pop_clean(spark, d):
     c = G.build_pop_clean(pop_raw(spark, d))
     return c.select("format", "content_id", "content_name", F.date_format("play_date", "yyyy-MM-dd").alias("play_date"),
                     "play_count", "duration_secs")
+
+
+# ---- the daily chain: bronze -> silver -> gold (dim_line_item -> budget -> health) ------------------------------------
+DAILY_CFG = {**JOB_CFG, "calendar_start": A.BUDGET_WINDOW[0], "calendar_end": A.BUDGET_WINDOW[1]}
+
+DLI_SQL = f"""dli AS (
+  SELECT c.campaign_id, c.line_item_id, r.reservation_id, c.line_item_name, c.line_price, c.perf_expected_repetitions,
+         c.perf_actual_repetitions, c.slot_duration, CAST(c.line_start AS DATE) AS line_start, CAST(c.line_end AS DATE) AS line_end,
+         CASE WHEN c.line_start IS NOT NULL AND c.line_end IS NOT NULL
+              THEN CAST(greatest(datediff('day', c.line_start, c.line_end) + 1, 1) AS BIGINT) END AS line_days, c.screen_count
+  FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
+  WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)),
+blogs_chain AS (SELECT CampID, PlayerID FROM bronze)"""
+
+
+def _daily_budget_sql():
+    from .q_core import budget_core_sql
+    return (with_ctes(BRONZE_SQL, CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, A.PLAYERS_SQL, DLI_SQL) + ",\n"
+            + budget_core_sql(li="dli", blogs="blogs_chain", players="players"))
+
+
+def daily_gold(spark, d):
+    from .daily import build_gold
+    return build_gold(spark, W.bronze_tables(spark, d), DAILY_CFG)
+
+
+@register("daily_fact_budget", _daily_budget_sql())
+def q_daily_fact_budget(spark, d):
+    return daily_gold(spark, d)["fact_campaign_budget"]
+
+
+def _daily_health_sql():
+    from .q_core import health_sql
+    facts = f"""{with_ctes(ENRICHED_SQL, RESMAP_SQL, SINGLE_SQL)}
+SELECT e.DateEnd AS date_key, e.PlayerID AS play_log_player_id, e.Impresje FROM enriched e"""
+    return health_sql(_daily_budget_sql(), facts)
+
+
+@register("daily_fact_health", _daily_health_sql())
+def q_daily_fact_health(spark, d):
+    return daily_gold(spark, d)["fact_health"]

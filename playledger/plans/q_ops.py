@@ -14,6 +14,7 @@ from ..operators.conform import union_by_name
 from ..operators.filters import active_status
 from . import analogs as A
 from .catalog import register
+from .gold import period_bridge
 
 T = A.table
 LO, HI = A.BUDGET_WINDOW
@@ -274,21 +275,6 @@ def q_flight_days(spark, d):
 
 
 # ---- G3 / G4 / C15: campaign period bridge ------------------------------------------------------------------
-def period_bridge(li):
-    li = li.where(active_status("status_name")).dropna(subset=["campaign_id", "line_start", "line_end"])
-    m = (X.flight_months(li, "line_start", "line_end", "m")
-          .select("campaign_id", F.date_format("m", "yyyy-MM").alias("year_month"), F.col("m").alias("year_month_dt"))
-          .dropDuplicates(["campaign_id", "year_month"]))
-    w = (X.flight_weeks(li, "line_start", "line_end", "w")
-          .select("campaign_id", iso_week_label("w").alias("year_week"), F.col("w").alias("year_week_dt"),
-                  F.trunc("w", "month").alias("week_parent_month_dt"))
-          .dropDuplicates(["campaign_id", "year_week"]))
-    return union_by_name(m, w, tag="grain", tags=["M", "W"]).select(
-        "campaign_id", "grain", "year_month", F.date_format("year_month_dt", "yyyy-MM-dd").alias("year_month_dt"),
-        "year_week", F.date_format("year_week_dt", "yyyy-MM-dd").alias("year_week_dt"),
-        F.date_format("week_parent_month_dt", "yyyy-MM-dd").alias("week_parent_month_dt"))
-
-
 _BRIDGE_SQL = f"""
 WITH {A.LINE_ITEMS_SQL},
 a AS (SELECT * FROM li WHERE coalesce(lower(status_name) IN ('live', 'ended', 'submitted', 'booked'), false)

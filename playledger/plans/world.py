@@ -240,3 +240,24 @@ def resources(spark: SparkSession, d: str) -> DataFrame:
 CONTENT_SQL = """content AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 <> 0 THEN p_name END AS name, p_partkey % 4 AS domain_id FROM part),
 resources AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand || ' ' || p_name AS name,
                      CASE WHEN p_partkey % 4 = 0 THEN 'content' ELSE 'skin' END AS type FROM part WHERE p_partkey % 2 = 0)"""
+
+
+def bronze_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """All bronze inputs of the daily run, by their source names."""
+    from ..operators.rollup import hourly_rollup
+    plays = hourly_rollup(play_logs_raw(spark, d), ["PlayerID", "AdCopyId", "CampID", "FrameID", "DisplayUnitID", "contract_id"],
+                          sums={"Duration": "Duration", "Impresje": "Impresje"}, scale=None)
+    return {
+        "play_logs": plays,
+        "ctrl_reservations": reservations(spark, d),
+        "ctrl_reservations_v22": reservations_v22(spark, d),
+        "screens": screens(spark, d),
+        "screens_frames_mapping": frames_mapping(spark, d),
+        "ctrl_display_units": display_units(spark, d),
+        "ctrl_players": ctrl_players(spark, d),
+        "proposals": proposals(spark, d),
+        "proposal_items": proposal_items(spark, d),
+        "users": users(spark, d),
+        "ctrl_content": ctrl_content(spark, d),
+        "resources_latest": resources(spark, d),
+    }
