@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.semantics import round_half_up
-from ..operators import merge as M
 from ..operators.rollup import hourly_rollup
 from ..session import scratch_path
 from ..sources import readers as RD

@@ -5,12 +5,11 @@ from pyspark.sql import functions as F
 
 from .. import config as K
 from ..functions import names as N
-from ..functions.calendar import calendar_columns, iso_week_label, week_monday
+from ..functions.calendar import calendar_columns, iso_week_label
 from ..functions.semantics import is_in, keep_not_in, not_null_and_not_zero, not_zero, round_half_up, sum_round
 from ..operators import expand as X
 from ..operators import lookup as L
 from ..operators import rollup as R
-from ..operators.conform import union_by_name
 from ..operators.filters import active_status
 from . import analogs as A
 from .catalog import register
