@@ -22,7 +22,7 @@ def conform(df: DataFrame, schema: T.StructType | str, rename: dict | None = Non
     ``rename`` maps source -> target names first; columns of the schema that are missing become typed
     NULLs; present ones are cast (try_cast: bad values become NULL instead of failing the job); extra
     columns are dropped; the output follows the schema's order.  ``strict_names`` refuses names that a
-    name-mapped reader (Hive/Athena style) cannot resolve.
+    name-mapped reader (a Hive-style catalog) cannot resolve.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)

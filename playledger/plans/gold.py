@@ -199,9 +199,9 @@ def build_dim_content(content: DataFrame, resources: DataFrame | None) -> DataFr
     c = content.select(to_long("id").alias("content_id"), F.col("name").alias("content_name"), "domain_id")
     if resources is not None:
         r = resources.where(F.col("type") == "content").select(to_long("id").alias("content_id"),
-                                                               F.col("name").alias("popstats_name"))
-        c = lookup_join(c, r, "content_id", on_multi="first", order=["popstats_name"], fallback={"content_name": "popstats_name"})
-        c = c.drop("popstats_name")
+                                                               F.col("name").alias("dict_name"))
+        c = lookup_join(c, r, "content_id", on_multi="first", order=["dict_name"], fallback={"content_name": "dict_name"})
+        c = c.drop("dict_name")
     return dedup(c, ["content_id"], order=["content_name", "domain_id"])
 
 

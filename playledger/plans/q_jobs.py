@@ -316,8 +316,8 @@ def q_job_campaign_full(spark, d):
 # ---- C11 dim_content ---------------------------------------------------------------------------------------------
 @register("job_dim_content", f"""
 WITH {W.CONTENT_SQL},
-r AS (SELECT CAST(id AS BIGINT) AS content_id, min(name) AS popstats_name FROM resources WHERE type = 'content' GROUP BY 1),
-c AS (SELECT c.id AS content_id, coalesce(c.name, r.popstats_name) AS content_name, c.domain_id
+r AS (SELECT CAST(id AS BIGINT) AS content_id, min(name) AS dict_name FROM resources WHERE type = 'content' GROUP BY 1),
+c AS (SELECT c.id AS content_id, coalesce(c.name, r.dict_name) AS content_name, c.domain_id
       FROM content c LEFT JOIN r ON r.content_id = c.id)
 SELECT content_id, content_name, domain_id FROM (
   SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY content_name NULLS LAST, domain_id) AS rn FROM c) WHERE rn = 1""")
