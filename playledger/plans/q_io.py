@@ -306,7 +306,7 @@ def q_job_ingest(spark, d):
     ST.run_available_now(stream, ST.ingest_play_log_batches(table, ["PlayerID", "AdCopyId", "CampID"],
                                                             {"Duration": "Duration", "Impresje": "Impresje"}), "ingest")
     out = spark.read.parquet(table)
-    return out.select("DateEnd", "timeslot", "PlayerID", "AdCopyId", "CampID",
+    return out.select(F.date_format("DateEnd", "yyyy-MM-dd").alias("DateEnd"), "timeslot", "PlayerID", "AdCopyId", "CampID",
                       round_half_up(F.col("Duration"), 2).alias("Duration"), F.col("Impresje").cast("bigint").alias("Impresje"),
                       F.col("emisje").cast("bigint").alias("emisje"))
 

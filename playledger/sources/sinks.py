@@ -33,15 +33,34 @@ def write_guarded(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return True
 
 
-def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], order: list | None = None) -> None:
-    """M2/M5: key upsert into a Parquet table (created by the first batch)."""
+BUCKET_COL = "__bucket"
+
+
+def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], order: list | None = None,
+                 buckets: int = 64) -> None:
+    """M2/M5: key upsert into a Parquet table (created by the first batch).
+
+    The table is partitioned by a hash bucket of the key; a batch reads only the buckets it touches (partition
+    pruning through the semi join) and replaces only those (dynamic partition overwrite: new files are staged
+    and swapped in at job commit, other buckets are never rewritten), so the cost follows the batch, not the
+    table, and a failed job leaves the table as it was."""
     if new.isEmpty():
         return
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    batch = new.withColumn(BUCKET_COL, bucket)
     if not table_exists(spark, path):
-        new.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
         return
-    merged = cut_lineage(M.upsert(spark.read.schema(new.schema).parquet(path), new, keys, order=order))
-    merged.write.mode("overwrite").parquet(path)
+    touched = batch.select(BUCKET_COL).distinct()
+    old = spark.read.schema(batch.schema).parquet(path).join(touched, BUCKET_COL, "left_semi")
+    merged = cut_lineage(M.upsert(old, batch, keys, order=order))
+    (merged.select(*batch.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(BUCKET_COL).parquet(path))
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`write_upsert`, without its bucket column."""
+    return spark.read.parquet(path).drop(BUCKET_COL)
 
 
 def write_replace_days(spark: SparkSession, new: DataFrame, path: str, date_col: str,
@@ -49,7 +68,6 @@ def write_replace_days(spark: SparkSession, new: DataFrame, path: str, date_col:
     """Date-partitioned table; the batch's dates (or ``dates``) are replaced and every other
     partition stays untouched (dynamic partition overwrite).  Rows the batch carries for other dates are
     appended to those dates' existing rows."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if not table_exists(spark, path):
         new.write.mode("overwrite").partitionBy(date_col).parquet(path)
         return
@@ -57,7 +75,8 @@ def write_replace_days(spark: SparkSession, new: DataFrame, path: str, date_col:
     # read with the batch's own schema: the partition column keeps its declared type (no inference)
     old = spark.read.schema(new.schema).parquet(path).join(touched, date_col, "left_semi")
     merged = cut_lineage(M.replace_dates(old, new, date_col, dates))
-    merged.select(*new.columns).write.mode("overwrite").partitionBy(date_col).parquet(path)
+    (merged.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(date_col).parquet(path))
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:

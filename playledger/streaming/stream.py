@@ -83,16 +83,21 @@ def play_log_file_stream(spark: SparkSession, landing: str, max_files: int | Non
 
 def ingest_play_log_batches(table_path: str, keys: list[str], sums: dict):
     """C1 per micro-batch: hourly roll-up of the batch, then replace the days of the batch's *files* (rows the
-    files carry for other days are appended to those days, as the source system does)."""
+    files carry for other days are appended to those days, as the source system does).  The table is
+    partitioned by day and only the touched days are rewritten (dynamic partition overwrite, staged and
+    swapped at commit), so a retried or failed batch never leaves a half-written table."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         agg = hourly_rollup(batch, keys, ts="DateEndTime", sums=sums, scale=None).drop("timeslot_label")
         file_days = batch.select(F.col("file_date").alias("DateEnd")).distinct()
         if not sinks.table_exists(spark, table_path):
-            merged = agg
-        else:
-            from ..operators.merge import replace_dates
-            from ..session import cut_lineage
-            merged = cut_lineage(replace_dates(spark.read.schema(agg.schema).parquet(table_path), agg, "DateEnd", file_days))
-        merged.write.mode("overwrite").parquet(table_path)
+            agg.write.mode("overwrite").partitionBy("DateEnd").parquet(table_path)
+            return
+        from ..operators.merge import replace_dates
+        from ..session import cut_lineage
+        touched = agg.select("DateEnd").unionByName(file_days).distinct()
+        old = spark.read.schema(agg.schema).parquet(table_path).join(touched, "DateEnd", "left_semi")
+        merged = cut_lineage(replace_dates(old, agg, "DateEnd", file_days))
+        (merged.select(*agg.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("DateEnd").parquet(table_path))
     return fn

@@ -69,3 +69,25 @@ def test_shrink_guard(spark):
     assert not M.shrink_check(old, spark.range(50)).first().ok
     assert M.shrink_check(old, spark.range(95)).first().ok
     assert M.shrink_check(old, spark.range(50), force=True).first().ok
+
+
+def test_bucketed_upsert_touches_only_its_buckets(spark):
+    import os
+    from playledger.session import scratch_path
+    from playledger.sources import sinks as SK
+    path = scratch_path(spark, "upsert-test").replace("file:", "")
+    base = spark.range(200).selectExpr("id", "cast(id * 10 as bigint) as v")
+    SK.write_upsert(spark, base, path, ["id"], buckets=8)
+
+    def files():
+        return {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("__bucket=")}
+
+    before = files()
+    batch = spark.createDataFrame([(5, -1), (500, -2)], "id long, v long")
+    SK.write_upsert(spark, batch, path, ["id"], buckets=8)
+    after = files()
+    changed = {d for d in before if before[d] != after.get(d)}
+    assert 1 <= len(changed) <= 2                       # only the buckets of keys 5 and 500 were rewritten
+    SK.write_upsert(spark, batch, path, ["id"], buckets=8)   # idempotent
+    got = {r.id: r.v for r in SK.read_upserted(spark, path).collect()}
+    assert len(got) == 201 and got[5] == -1 and got[500] == -2 and got[6] == 60
