@@ -30,7 +30,9 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str] | str, order: list |
     """M2/M5: de-duplicate the batch keep-last per key (by ``order``; input position is not a thing in
     a distributed batch), drop the old rows with those keys, append the batch."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    batch = dedup(new, keys, order=order, keep="last") if order else new.dropDuplicates(keys)
+    # without an explicit order the remaining columns break ties, so the surviving row never depends on input order
+    batch = dedup(new, keys, order=order or [c for c in new.columns if c not in keys], keep="last") \
+        if order or len(new.columns) > len(keys) else new.dropDuplicates(keys)
     kept = old.join(batch.select(*keys), keys, "left_anti")
     return union_by_name(kept, batch, types=types)
 
@@ -59,7 +61,9 @@ def replace_dates(old: DataFrame, new: DataFrame, date_col: str, dates: list | D
 def add_only(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
     """M6: add only ids absent from the table; existing ids are never touched (idempotent)."""
     keys = [key] if isinstance(key, str) else list(key)
-    fresh = new.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti")
+    rest = [c for c in new.columns if c not in keys]
+    first = dedup(new, keys, order=rest) if rest else new.dropDuplicates(keys)
+    fresh = first.join(old.select(*keys), keys, "left_anti")
     return union_by_name(old, fresh)
 
 
@@ -70,7 +74,10 @@ def latest_per_key(old: DataFrame, new: DataFrame, key: str, version: str, sourc
         old = old.join(new.select(source_col).distinct(), source_col, "left_anti")
     both = union_by_name(old, new)
     rest = [c for c in both.columns if c not in (key, version)]
-    return dedup(both, [key], order=[_q(version).desc_nulls_last()] + [_q(c).asc_nulls_last() for c in rest])
+    # newest version per key (an aggregate), then one row among its ties (min_by over the other columns)
+    newest = both.groupBy(key).agg(F.max(version).alias("__v"))
+    cand = both.join(newest, key).where(_q(version).eqNullSafe(F.col("__v"))).drop("__v")
+    return dedup(cand, [key], order=rest)
 
 
 def reaggregate_union(old: DataFrame, new: DataFrame, keys: list[str], sums: list[str], date_col: str,

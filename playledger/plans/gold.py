@@ -47,7 +47,8 @@ def single_panel_campaigns(play_logs: DataFrame, res_map: DataFrame, cfg: dict |
     """C20/A5: campaigns whose plays come from exactly one panel (distinct players == 1), minus the house
     campaigns; plus the campaigns forced to that flag.  Returns one column ``campaign_id``."""
     cfg = _cfg(cfg)
-    pl = play_logs.select(to_long("CampID").alias("reservation_id"), to_long("PlayerID").alias("PlayerID")).dropna()
+    # distinct (reservation, player) pairs first: the play log shrinks to fleet x reservations before the join
+    pl = play_logs.select(to_long("CampID").alias("reservation_id"), to_long("PlayerID").alias("PlayerID")).dropna().distinct()
     pl = pl.join(res_map.select("reservation_id", "campaign_id"), "reservation_id").dropna(subset=["campaign_id"])
     one = (pl.groupBy("campaign_id").agg(F.countDistinct("PlayerID").alias("n")).where("n = 1")
              .where(keep_not_in(F.col("campaign_id"), cfg["service_campaign_ids"])).select("campaign_id"))
