@@ -12,7 +12,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from playledger.plans.catalog import load_all  # noqa: E402
-from playledger.session import get_session  # noqa: E402
+from playledger.session import configure_for_scale, get_session, input_bytes  # noqa: E402
 
 HEADLINE = ["budget_allocation", "panel_day_health", "hourly_rollup_keepnull", "hourly_rollup_dropnull",
             "job_fact_play_logs", "job_logs_enriched", "period_bridge", "coverage",
@@ -23,6 +23,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    configure_for_scale(spark, input_bytes([sf_dir]), cpus)
     qs = load_all()
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in qs]
     times = {}

@@ -71,3 +71,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df):
     """Materialise ``df`` to the shared checkpoint folder (reliable; survives executor loss)."""
     return df.checkpoint(eager=True)
+
+
+def input_bytes(paths: list[str]) -> int:
+    """Total size of the files under local paths (used to size partitions; on a cluster pass the table sizes)."""
+    total = 0
+    for p in paths:
+        p = p.replace("file:", "")
+        if os.path.isfile(p):
+            total += os.path.getsize(p)
+        else:
+            for root, _, files in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+    return total
+
+
+def configure_for_scale(spark: SparkSession, input_size_bytes: int, cores: int,
+                        target_partition_bytes: int = 256 << 20, expansion: float = 4.0) -> int:
+    """Size shuffles so a partition fits comfortably in an executor core's memory.
+
+    ``expansion`` accounts for compressed Parquet growing in memory and for the widening joins/explodes of the
+    jobs.  AQE then coalesces small partitions and splits skewed ones, so this is the ceiling, not a fixed
+    count.  Returns the shuffle partition count set."""
+    parts = max(cores * 2, int(input_size_bytes * expansion / target_partition_bytes) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    return parts
