@@ -382,3 +382,30 @@ def q_content_meta(spark, d):
                               paths=["$.items", "$.list", "$.contents", "$.deviceListBaseBean.contents", "$.data"])
     return meta.select(F.col("contentId").alias("content_id"), F.col("contentName").alias("content_name"),
                        F.col("resolution").alias("content_res"), content_format(F.col("resolution")).alias("format"))
+
+
+# ---- C2: resources_latest = newest delivered file upserted by id, then the archive added for ids still missing --------------
+@register("job_resources_latest", f"""
+WITH a AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, 'resources-2024-01-01.txt' AS source_file, DATE '2024-01-01' AS file_date, p_partkey
+  FROM part
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name), 'resources-2024-01-03.txt', DATE '2024-01-03', p_partkey FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_brand, 'resources-2024-01-02.txt.gz', DATE '2024-01-02', p_partkey FROM part WHERE p_partkey % 5 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), lower(p_name) || ' (today)', 'resources-2024-01-05.txt', DATE '2024-01-05', p_partkey FROM part WHERE p_size > 40)
+SELECT id, name, {_DICT_TYPE_SQL} AS type, source_file FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY file_date DESC, name DESC) AS rn FROM a) WHERE rn = 1""")
+def q_job_resources_latest(spark, d):
+    root = _land_archive(spark, d)
+    p = T(spark, d, "part")
+    typ = F.get(F.array(*[F.lit(t) for t in _TYPES]), (F.col("p_partkey") % 5).cast("int"))
+    today = p.where(F.col("p_size") > 40).select(
+        F.concat_ws("\t", F.col("p_partkey").cast("string"), F.concat(F.lower("p_name"), F.lit(" (today)")), F.lit("1"), typ).alias("value"))
+    SK.export_text(today, f"{root}/resources-2024-01-05.txt")
+    table = scratch_path(spark, "tbl-resources")
+    cols = ["id", "name", "type", "source_file"]
+    latest = RD.latest_file_rows(RD.read_dictionary_files(spark, root)).select(*cols)
+    SK.write_upsert(spark, latest, table, ["id"])                        # M2: the newest file, by id
+    current = SK.read_upserted(spark, table).select(*cols)
+    archive = RD.read_dictionary_archive(spark, root).select(*cols)      # M8: newest wins across the archive
+    from ..operators.merge import add_only
+    return add_only(current, archive, "id")                             # M6: only ids the table lacks

@@ -7,7 +7,8 @@ from tests.conftest import SF_SMALL
 
 SIDE_EFFECT = {"play_log_tsv", "dictionary_tsv", "dictionary_rejects", "dictionary_archive", "csv_bootstrap", "json_pages",
                "run_log_text", "stream_hourly", "stream_replace_day", "stream_upsert", "job_ingest_play_logs",
-               "job_control_sync", "content_meta"}
+               "job_control_sync", "content_meta", "job_resources_latest", "dictionary_latest_file",
+               "csv_bootstrap_guarded"}
 
 
 def plan_text(df):
