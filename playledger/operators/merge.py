@@ -91,11 +91,12 @@ def reaggregate_union(old: DataFrame, new: DataFrame, keys: list[str], sums: lis
 def shrink_check(old: DataFrame, new: DataFrame, ratio: float = 0.9, force: bool = False) -> DataFrame:
     """One row (old_rows, new_rows, ok): a replacement with fewer than ``ratio`` x the current rows
     is refused unless forced.  Row counts, not bytes: compression makes bytes a poor guard."""
-    o = old.agg(F.count(F.lit(1)).alias("old_rows"))
-    n = new.agg(F.count(F.lit(1)).alias("new_rows"))
-    return (o.join(n, how="cross")  # two single-row aggregates
-             .withColumn("ok", F.lit(force) | (F.col("old_rows") == 0) |
-                         (F.col("new_rows") >= F.col("old_rows") * F.lit(ratio))))
+    tagged = old.select(F.lit(1).alias("__o"), F.lit(0).alias("__n")).unionByName(
+        new.select(F.lit(0).alias("__o"), F.lit(1).alias("__n")))
+    counts = tagged.agg(F.coalesce(F.sum("__o"), F.lit(0)).cast("bigint").alias("old_rows"),
+                        F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("new_rows"))
+    return counts.withColumn("ok", F.lit(force) | (F.col("old_rows") == 0) |
+                             (F.col("new_rows") >= F.col("old_rows") * F.lit(ratio)))
 
 
 # --- incremental selection -----------------------------------------------------------------------

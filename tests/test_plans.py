@@ -15,10 +15,10 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# Nested-loop joins that are expected: shrink_guard pairs two one-row aggregates; in latest_per_key the
-# analog's source-file names are literals, so Catalyst folds the anti-join key to a constant (the build
-# side is the batch's distinct file names - a handful of rows).
-NESTED_LOOP_OK = {"shrink_guard", "latest_per_key"}
+# Nested-loop join that is expected: in latest_per_key the analog's source-file names are literals, so
+# Catalyst folds the anti-join key to a constant (the build side is the batch's distinct file names - a
+# handful of rows).
+NESTED_LOOP_OK = {"latest_per_key"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in load_all() if n not in SIDE_EFFECT))
