@@ -30,7 +30,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (a missing table raises)."""
+    from ..sources.readers import read_layer
+    return read_layer(spark, sf_dir, f"{name}.parquet")
 
 
 # --- play log from events -------------------------------------------------------------------------
