@@ -161,3 +161,12 @@ def test_reservation_overrides_wiring(spark):
     syn = {r.campaign_id: r.campaign_name for r in G.synthetic_campaigns(spark).collect()}
     assert syn == {900000001: "Uwaga Pociąg", 900000002: "Autopromocja"}
     assert G.synthetic_line_items(spark).count() == len(K.RESERVATION_OVERRIDES)
+
+
+def test_merge_intervals(spark):
+    from playledger.plans.health import merge_intervals
+    d = dt.date
+    df = spark.createDataFrame([(1, d(2025, 1, 1), d(2025, 1, 5)), (1, d(2025, 1, 3), d(2025, 1, 8)), (1, d(2025, 1, 3), d(2025, 1, 8)),
+                                (1, d(2025, 1, 10), d(2025, 1, 10)), (2, d(2025, 1, 1), d(2025, 1, 1))], "k long, d0 date, d1 date")
+    got = sorted((r.k, r.d0, r.d1) for r in merge_intervals(df, ["k"]).collect())
+    assert got == [(1, d(2025, 1, 1), d(2025, 1, 8)), (1, d(2025, 1, 10), d(2025, 1, 10)), (2, d(2025, 1, 1), d(2025, 1, 1))]
