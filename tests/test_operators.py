@@ -170,3 +170,15 @@ def test_merge_intervals(spark):
                                 (1, d(2025, 1, 10), d(2025, 1, 10)), (2, d(2025, 1, 1), d(2025, 1, 1))], "k long, d0 date, d1 date")
     got = sorted((r.k, r.d0, r.d1) for r in merge_intervals(df, ["k"]).collect())
     assert got == [(1, d(2025, 1, 1), d(2025, 1, 8)), (1, d(2025, 1, 10), d(2025, 1, 10)), (2, d(2025, 1, 1), d(2025, 1, 1))]
+
+
+def test_bridge_sample_is_deterministic(spark):
+    from playledger.plans import q_jobs as J
+    from playledger.plans import silver as S
+    from playledger.plans import world as W
+    from tests.conftest import SF_SMALL
+    args = (J.bronze_play_logs(spark, SF_SMALL), W.frames_mapping(spark, SF_SMALL), W.screens(spark, SF_SMALL),
+            W.display_units(spark, SF_SMALL))
+    a = sorted(map(tuple, S.build_screen_bridge(*args, sample_size=200).collect()))
+    b = sorted(map(tuple, S.build_screen_bridge(*args, sample_size=200).collect()))
+    assert a == b and sum(r[2] for r in a) <= 200
