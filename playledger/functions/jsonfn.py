@@ -16,13 +16,19 @@ def _flatten_fields(struct: T.StructType, prefix: str, path: str):
             yield p, name
 
 
-def unpack_json(df: DataFrame, col: str, schema: T.StructType | str, prefix: str | None = None,
+def unpack_json(df: DataFrame, col: str, schema: T.StructType | str | None = None, prefix: str | None = None,
                 keep_source: bool = False) -> DataFrame:
     """Parse a JSON text column with a *declared* schema into flat ``prefix + key`` columns.
 
     Nested objects become dotted names (``perf_goal.amount``).  Unparsable text gives NULLs (the
-    permissive parser), and a JSON scalar keeps the row instead of dropping every expanded column.
+    permissive parser), and a JSON scalar keeps the row instead of dropping every expanded column.  Without a
+    schema the keys are discovered first; if no row holds an object the column is left as it is.
     """
+    if schema is None:
+        # the keys that exist, as the source system does (declared schemas are preferred in production)
+        schema = infer_json_schema(df, col)
+        if not schema.fields:
+            return df
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     prefix = f"{col}_" if prefix is None else prefix
@@ -34,9 +40,14 @@ def unpack_json(df: DataFrame, col: str, schema: T.StructType | str, prefix: str
     return parsed.select(*keep, *flat)
 
 
-def infer_json_schema(df: DataFrame, col: str) -> str:
-    """Discover the union schema of a JSON text column (one distributed aggregate)."""
-    return df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
+def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
+    """Discover the union of the object keys of a JSON text column (one distributed aggregate, one schema
+    string back to the driver).  Unparsable text is ignored; a column with no objects gives an empty struct."""
+    found = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
+    if not found or not found.upper().startswith("OBJECT<"):
+        return T.StructType([])
+    ddl = found.replace("OBJECT<", "STRUCT<")
+    return T._parse_datatype_string(ddl)
 
 
 def unwrap(df: DataFrame, col: str, paths: list[str], element_type: str = "variant") -> DataFrame:

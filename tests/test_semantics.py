@@ -123,3 +123,16 @@ def test_calendar_complete(spark):
     from playledger.operators.expand import calendar, check_calendar
     chk = check_calendar(calendar(spark)).first()
     assert chk["complete"] and chk["n_days"] == 1095
+
+
+def test_unpack_json_declared_and_discovered(spark):
+    from playledger.functions.jsonfn import unpack_json
+    df = spark.createDataFrame([(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": 2, "d": true}'), (3, "not json"), (4, None)],
+                               "id int, j string")
+    decl = {r.id: (r["j_a"], r["j_b.c"]) for r in unpack_json(df, "j", "a bigint, b struct<c: string>").collect()}
+    assert decl == {1: (1, "x"), 2: (2, None), 3: (None, None), 4: (None, None)}
+    found = unpack_json(df, "j")
+    assert set(found.columns) == {"id", "j_a", "j_b.c", "j_d"}
+    assert {r.id: r["j_d"] for r in found.collect()}[2] is True
+    untouched = unpack_json(df.where("id >= 3"), "j")
+    assert untouched.columns == ["id", "j"]
