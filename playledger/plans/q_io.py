@@ -14,7 +14,7 @@ from ..sources import sinks as SK
 from ..streaming import stream as ST
 from . import analogs as A
 from .catalog import register
-from .runlog import last_run, parse_run_log
+from .runlog import parse_run_log, run_log_facts
 
 T = A.table
 _K = r'"k"\s*:\s*(\d+)'
@@ -195,30 +195,52 @@ def q_json_pages(spark, d):
 
 
 # ---- S17 / C19 / F20: run-log text ------------------------------------------------------------------------------------
-@register("run_log_text", """
-WITH marks AS (SELECT user_id, count(*) AS run_no, max({'ts': ts, 'id': event_id}) AS st FROM events WHERE event_type = 'signup' GROUP BY 1),
-run AS (SELECT e.*, m.run_no, m.st.ts AS st_ts FROM events e JOIN marks m ON m.user_id = e.user_id WHERE {'ts': e.ts, 'id': e.event_id} >= m.st)
-SELECT user_id, max(run_no) AS run_no, strftime(max(st_ts), '%Y-%m-%d %H:%M:%S') AS started,
-       CAST(count_if(event_type IN ('view', 'click', 'purchase')) AS BIGINT) AS n_ok, CAST(count_if(event_type = 'error') AS BIGINT) AS n_fail, count(*) AS n_lines
-FROM run GROUP BY user_id""")
+_RUN_SQL = """
+WITH ev AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS line_no FROM events),
+marks AS (SELECT user_id, count(*) AS run_no, max(line_no) AS st FROM ev WHERE event_type = 'signup' GROUP BY 1),
+good AS (SELECT user_id, arg_max(ts, line_no) AS last_good FROM ev WHERE event_type = 'purchase' GROUP BY 1),
+run AS (SELECT ev.*, m.run_no FROM ev JOIN marks m ON m.user_id = ev.user_id WHERE ev.line_no >= m.st)
+SELECT r.user_id, max(run_no) AS run_no,
+       strftime(arg_max(ts, line_no) FILTER (WHERE event_type = 'signup'), '%Y-%m-%d %H:%M:%S') AS started,
+       strftime(arg_min(ts, line_no) FILTER (WHERE event_type = 'purchase'), '%Y-%m-%d %H:%M:%S') AS done_at,
+       CAST(count(*) FILTER (WHERE event_type = 'view' AND event_id % 10 <> 0) AS BIGINT) AS n_ok,
+       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS n_fail,
+       arg_min(event_id * 1000, line_no) FILTER (WHERE event_type = 'click') AS rows_added,
+       arg_min(event_id * 1000 + r.user_id, line_no) FILTER (WHERE event_type = 'click') AS rows_total,
+       arg_min(event_id % 500, line_no) FILTER (WHERE event_type = 'view' AND event_id % 10 = 0) AS campaigns,
+       strftime(max(g.last_good), '%Y-%m-%d %H:%M:%S') AS last_good
+FROM run r LEFT JOIN good g ON g.user_id = r.user_id
+GROUP BY r.user_id"""
+
+
+def _grouped(x):
+    """Thousands separated by spaces, as the run log prints them."""
+    return F.regexp_replace(F.format_number(x, 0), ",", " ")
+
+
+@register("run_log_text", _RUN_SQL)
 def q_run_log_text(spark, d):
     ev = T(spark, d, "events")
-    line = (F.when(F.col("event_type") == "signup", F.concat(F.lit("==== "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" START ====")))
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    line = (F.when(F.col("event_type") == "signup", F.concat(F.lit("==== "), ts, F.lit(" START ====")))
+             .when(F.col("event_type") == "purchase", F.concat(F.lit("==== "), ts, F.lit(" DONE ====")))
              .when(F.col("event_type") == "error", F.concat(F.lit("  FAIL step_"), F.col("event_id").cast("string"), F.lit(": boom")))
+             .when(F.col("event_type") == "click",
+                   F.concat(F.lit("[upsert_date] "), F.date_format("ts", "yyyy-MM-dd"), F.lit(": "), _grouped(F.col("event_id") * 1000),
+                            F.lit(" wierszy -> lacznie "), _grouped(F.col("event_id") * 1000 + F.col("user_id")), F.lit(" w play_logs")))
+             .when(F.col("event_id") % 10 == 0, F.concat(F.lit("  Kampanie: "), (F.col("event_id") % 500).cast("string")))
              .otherwise(F.concat(F.lit("  OK   step_"), F.col("event_type"))))
     path = scratch_path(spark, "runlog")
     (ev.select("user_id", "ts", "event_id", line.alias("value")).repartition("user_id")
        .sortWithinPartitions("user_id", "ts", "event_id").select("user_id", "value")
        .write.partitionBy("user_id").text(path))
-    lines = spark.read.text(path).select("user_id", F.monotonically_increasing_id().alias("line_no"), "value")
-    parsed = parse_run_log(lines)
-    r = last_run(parsed, "user_id", ["line_no"], F.col("kind") == "start", F.col("kind") == "ok", F.col("kind") == "fail",
-                 counter=None)
-    starts = parsed.where(F.col("kind") == "start").groupBy("user_id").agg(F.max_by("marker_ts", "line_no").alias("st"))
-    return (r.join(starts, "user_id")
-             .select(F.col("user_id").cast("bigint").alias("user_id"), "run_no",
-                     F.date_format("st", "yyyy-MM-dd HH:mm:ss").alias("started"), "n_ok", "n_fail",
-                     (F.col("n_lines")).alias("n_lines")))
+    lines = spark.read.text(path).select(F.col("user_id").cast("bigint").alias("user_id"),
+                                         F.monotonically_increasing_id().alias("line_no"), "value")
+    facts = run_log_facts(parse_run_log(lines), "user_id", "line_no")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return facts.select("user_id", "run_no", F.date_format("started", fmt).alias("started"),
+                        F.date_format("done_at", fmt).alias("done_at"), "n_ok", "n_fail", "rows_added", "rows_total",
+                        "campaigns", F.date_format("last_good", fmt).alias("last_good"))
 
 
 # ---- T1 / T2: hourly windows from a landing folder ----------------------------------------------------------------------

@@ -72,3 +72,22 @@ def test_run_log_last_section(spark):
     assert (r.run_no, r.n_ok, r.n_fail, r.n_lines) == (2, 2, 1, 5)
     done = p.where("kind = 'done'").agg(F.max("marker_ts")).first()[0]
     assert done.hour == 9 and done.minute == 35
+
+
+def test_run_log_facts_counters_and_unfinished_run(spark):
+    from playledger.plans.runlog import run_log_facts
+    text = {"a": ["==== 2026-06-01 09:30:00 START ====", "[upsert_date] 2026-05-31: 1 200 wierszy -> lacznie 13 270 307 w play_logs",
+                  "  Kampanie: 41", "OK step1", "==== 2026-06-01 09:36:00 DONE ====",
+                  "==== 2026-06-02 09:30:00 START ====", "  OK   a", "  FAIL b: boom",
+                  "[upsert_date] 2026-06-01: 900 wierszy -> lacznie 13 271 207 w play_logs",
+                  "[upsert_date] 2026-06-01: 5 wierszy -> lacznie 13 271 212 w play_logs",
+                  "==== 2026-06-02 09:35:00 DONE ===="],
+            "b": ["==== 2026-06-01 09:30:00 START ====", "  OK   a", "==== 2026-06-01 09:31:00 DONE ====",
+                  "==== 2026-06-02 09:30:00 START ====", "  OK   a"]}
+    rows = [(log, i, t) for log, ls in text.items() for i, t in enumerate(ls)]
+    df = spark.createDataFrame(rows, "log string, line_no long, value string")
+    got = {r.log: r for r in run_log_facts(parse_run_log(df)).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.run_no, a.n_ok, a.n_fail, a.rows_added, a.rows_total, a.campaigns) == (2, 1, 1, 900, 13271207, None)
+    assert a.done_at.day == 2 and a.done_at.minute == 35 and a.last_good.minute == 35
+    assert (b.run_no, b.n_ok, b.done_at) == (2, 1, None) and b.last_good.minute == 31   # unfinished: last good DONE
