@@ -256,3 +256,29 @@ SELECT event_id, PlayerID FROM play_log ORDER BY PlayerID DESC NULLS LAST, event
 def q_sort_nulls_last(spark, d):
     pl = A.play_log(spark, d).select("event_id", "PlayerID")
     return order_nulls_last(pl, ["PlayerID", "event_id"], [True, False])
+
+
+# ---- S14 / S15 / F16: a file index scraped from pages -------------------------------------------------------------------
+def _index_html():
+    day = F.lpad(((F.col("page_id") % 28) + 1).cast("string"), 2, "0")
+    links = F.concat(F.lit('<a href="/logs/playlog-2024-01-'), day, F.lit('.txt.gz">gz</a>'),
+                     F.when(F.col("page_id") % 3 != 0,
+                            F.concat(F.lit('<a href="playlog-2024-01-'), day, F.lit('.txt">txt</a>'))).otherwise(F.lit("")),
+                     F.lit('<a href="readme-2024-01-'), day, F.lit('.txt">x</a>'))
+    return F.concat(F.col("html"), links)
+
+
+@register("index_files", """
+WITH l AS (SELECT unnest(regexp_extract_all(html || '<a href="/logs/playlog-2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')
+                    || '.txt.gz">gz</a>' || CASE WHEN page_id % 3 <> 0 THEN '<a href="playlog-2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')
+                    || '.txt">txt</a>' ELSE '' END || '<a href="readme-2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || '.txt">x</a>',
+                    'href="([^"]+)"', 1)) AS href FROM pages),
+f AS (SELECT DISTINCT regexp_extract(href, '([^/]+)$', 1) AS file FROM l),
+g AS (SELECT file, CAST(NULLIF(regexp_extract(file, '(\\d{4}-\\d{2}-\\d{2})', 1), '') AS DATE) AS d, ends_with(file, '.gz') AS gz
+      FROM f WHERE starts_with(file, 'playlog-') AND (ends_with(file, '.txt') OR ends_with(file, '.txt.gz')))
+SELECT file, strftime(d, '%Y-%m-%d') AS file_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY d ORDER BY gz, file) AS rn FROM g WHERE d IS NOT NULL) WHERE rn = 1""")
+def q_index_files(spark, d):
+    from ..sources.readers import index_files
+    pages = T(spark, d, "pages").select(_index_html().alias("html"))
+    return index_files(pages).select("file", F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))

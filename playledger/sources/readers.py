@@ -156,3 +156,21 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Run-log text lines with file name and line position (for ordering within a file)."""
     return (spark.read.text(path)
                  .select(F.col("_metadata.file_name").alias("log"), F.monotonically_increasing_id().alias("line_no"), "value"))
+
+
+def index_files(pages: DataFrame, html_col: str = "html", prefix: str = "playlog-",
+                suffixes: tuple[str, ...] = (".txt", ".txt.gz")) -> DataFrame:
+    """Data files linked from HTML index pages.  Every ``href`` is extracted (one row per link),
+    kept when its file name starts with ``prefix`` and ends with a listed suffix, dated from its name, and per
+    date the plain file is preferred over the ``.gz`` copy."""
+    from ..operators.rollup import dedup
+    links = pages.select(F.explode(F.regexp_extract_all(F.col(html_col), F.lit(r'href="([^"]+)"'), 1)).alias("href"))
+    name = F.regexp_extract(F.col("href"), r"([^/]+)$", 1)
+    ok = F.lit(False)
+    for sfx in suffixes:
+        ok = ok | name.endswith(sfx)
+    files = (links.select(name.alias("file")).where(F.col("file").startswith(prefix) & ok).distinct()
+                  .withColumn("file_date", file_date(F.col("file")))
+                  .where(F.col("file_date").isNotNull())
+                  .withColumn("is_gz", F.col("file").endswith(".gz")))
+    return dedup(files, ["file_date"], order=["is_gz", "file"]).drop("is_gz")
