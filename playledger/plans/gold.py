@@ -243,3 +243,19 @@ def period_bridge(li: DataFrame, cfg: dict | None = None) -> DataFrame:
         "campaign_id", "grain", "year_month", F.date_format("year_month_dt", "yyyy-MM-dd").alias("year_month_dt"),
         "year_week", F.date_format("year_week_dt", "yyyy-MM-dd").alias("year_week_dt"),
         F.date_format("week_parent_month_dt", "yyyy-MM-dd").alias("week_parent_month_dt"))
+
+
+def join_coverage_report(enriched: DataFrame, reservations: DataFrame, display_units: DataFrame, res22: DataFrame,
+                         fact_play_logs: DataFrame, dim_line_item: DataFrame) -> DataFrame:
+    """Q3 over the pipeline's own tables: one coverage row per key relation (left rows, matched, unmatched,
+    percent, OK/WARN/FAIL), each a single distributed aggregate."""
+    from ..operators.quality import coverage_report
+    resolved = fact_play_logs.where(F.col("campaign_id").isNotNull())
+    return coverage_report([
+        ("play_log->reservation", enriched, reservations, "CampID", "id"),
+        ("play_log->display_unit", enriched, display_units, "DisplayUnitID", "id"),
+        ("fact->reservation_map", fact_play_logs, res22, "reservation_id", "id"),
+        ("fact->campaign", fact_play_logs, resolved, "reservation_id", "reservation_id"),
+        ("fact->line_item", fact_play_logs, dim_line_item, "line_item_id", "line_item_id"),
+        ("line_item->reservation", dim_line_item, reservations, "reservation_id", "id"),
+    ])

@@ -433,3 +433,48 @@ SELECT e.DateEnd AS date_key, e.PlayerID AS play_log_player_id, e.Impresje FROM
 @register("daily_fact_health", _daily_health_sql())
 def q_daily_fact_health(spark, d):
     return daily_gold(spark, d)["fact_health"]
+
+
+# ---- Q3 / Q6 over the pipeline's tables ---------------------------------------------------------------------------------
+def _cov(label, left_sql, lk, right_sql, rk):
+    return f"""SELECT '{label}' AS label, CAST(count(*) AS BIGINT) AS left_rows, CAST(count(r.k) AS BIGINT) AS matched,
+  CAST(count(*) - count(r.k) AS BIGINT) AS unmatched,
+  CASE WHEN count(*) > 0 THEN count(r.k) * 100.0 / count(*) ELSE 0.0 END AS coverage_pct,
+  CASE WHEN count(*) > 0 AND count(r.k) * 100.0 / count(*) = 100 THEN 'OK'
+       WHEN count(*) > 0 AND count(r.k) * 100.0 / count(*) >= 95 THEN 'WARN' ELSE 'FAIL' END AS status
+FROM (SELECT {lk} AS k FROM {left_sql} WHERE {lk} IS NOT NULL) l
+LEFT JOIN (SELECT DISTINCT {rk} AS k FROM {right_sql} WHERE {rk} IS NOT NULL) r ON r.k = l.k"""
+
+
+_FACT_SQL = f"""fact AS (SELECT e.CampID AS reservation_id, m.line_item_id, m.campaign_id FROM enriched e
+                          LEFT JOIN res_map m ON m.reservation_id = e.CampID),
+dli_all AS (SELECT c.line_item_id, r.reservation_id FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
+            WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true))"""
+
+_COVERAGE_SQL = (with_ctes(ENRICHED_SQL, RESMAP_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, _FACT_SQL) + "\n" + "\nUNION ALL\n".join([
+    _cov("play_log->reservation", "enriched", "CampID", "res", "id"),
+    _cov("play_log->display_unit", "enriched", "DisplayUnitID", "du", "id"),
+    _cov("fact->reservation_map", "fact", "reservation_id", "res22", "id"),
+    _cov("fact->campaign", "fact", "reservation_id", "(SELECT * FROM fact WHERE campaign_id IS NOT NULL)", "reservation_id"),
+    _cov("fact->line_item", "fact", "line_item_id", "dli_all", "line_item_id"),
+    _cov("line_item->reservation", "dli_all", "reservation_id", "res", "id"),
+]))
+
+
+@register("job_coverage_report", _COVERAGE_SQL)
+def q_job_coverage_report(spark, d):
+    e = enriched(spark, d)
+    fact = G.build_fact_play_logs(e, res_map(spark, d), single_panel(spark, d), JOB_CFG)
+    dli = G.build_dim_line_item(spark, campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
+    return G.join_coverage_report(e, W.reservations(spark, d), W.display_units(spark, d), W.reservations_v22(spark, d), fact, dli)
+
+
+@register("job_lines_without_reservation", f"""
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, _FACT_SQL.split('dli_all AS')[0].rstrip().rstrip(','))},
+dli_all AS (SELECT c.line_item_id, c.status_name, r.reservation_id FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
+            WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true))
+SELECT status_name, count(*) AS n FROM dli_all WHERE reservation_id IS NULL AND status_name IS NOT NULL GROUP BY 1""")
+def q_job_lines_without_reservation(spark, d):
+    from ..operators.quality import missing_by
+    dli = G.build_dim_line_item(spark, campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
+    return missing_by(dli, "reservation_id", "status_name")
