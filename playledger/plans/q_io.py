@@ -258,7 +258,8 @@ def q_stream_hourly(spark, d):
         ev.where(wk == w).write.mode("append").parquet(land)
     stream = ST.landing_stream(spark, land, _EV_SCHEMA, max_files=2)
     counts = ST.hourly_window_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "value")
-    ST.run_available_now(counts, ST.upsert_batches(table, ["window_start", "event_type"]), "hourly")
+    # one row per hour and type: a small table, a few buckets
+    ST.run_available_now(counts, ST.upsert_batches(table, ["window_start", "event_type"], buckets=4), "hourly")
     out = spark.read.parquet(table)
     return out.select(F.date_format(F.col("window_start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       "event_type", "emisje",

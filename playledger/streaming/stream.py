@@ -53,10 +53,11 @@ def run_available_now(df: DataFrame, batch_fn, name: str, checkpoint: str | None
     return checkpoint
 
 
-def upsert_batches(table_path: str, keys: list[str]):
-    """T4: foreachBatch function that upserts each micro-batch into ``table_path`` by ``keys``."""
+def upsert_batches(table_path: str, keys: list[str], buckets: int = 64):
+    """T4: foreachBatch function that upserts each micro-batch into ``table_path`` by ``keys`` (``buckets`` key-hash
+    partitions: size it to the table - a micro-batch rewrites only the buckets it touches)."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        sinks.write_upsert(batch.sparkSession, batch, table_path, keys)
+        sinks.write_upsert(batch.sparkSession, batch, table_path, keys, buckets=buckets)
     return fn
 
 
