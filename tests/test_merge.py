@@ -91,3 +91,24 @@ def test_bucketed_upsert_touches_only_its_buckets(spark):
     SK.write_upsert(spark, batch, path, ["id"], buckets=8)   # idempotent
     got = {r.id: r.v for r in SK.read_upserted(spark, path).collect()}
     assert len(got) == 201 and got[5] == -1 and got[500] == -2 and got[6] == 60
+
+
+def test_write_replace_days_spill_and_untouched(spark):
+    import os
+    import pytest
+    from playledger.session import scratch_path
+    from playledger.sources import readers as RD
+    from playledger.sources import sinks as SK
+    path = scratch_path(spark, "days-test").replace("file:", "")
+    schema = "id long, v long, day string"
+    SK.write_replace_days(spark, spark.createDataFrame([(1, 1, "2024-01-01"), (2, 1, "2024-01-02"), (3, 1, "2024-01-03")], schema),
+                          path, "day")
+    before = sorted(os.listdir(os.path.join(path, "day=2024-01-03")))
+    # the file of 01-01 (replaces that day) spilled one row into 01-02 (appended beside the day's rows)
+    batch = spark.createDataFrame([(10, 2, "2024-01-01"), (11, 2, "2024-01-02")], schema)
+    SK.write_replace_days(spark, batch, path, "day", dates=["2024-01-01"])
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("id", "v", "day").collect())
+    assert got == [(2, 1, "2024-01-02"), (3, 1, "2024-01-03"), (10, 2, "2024-01-01"), (11, 2, "2024-01-02")]
+    assert sorted(os.listdir(os.path.join(path, "day=2024-01-03"))) == before      # untouched partition not rewritten
+    with pytest.raises(Exception):
+        RD.read_layer(spark, path, "no_such_table").schema
