@@ -30,7 +30,7 @@ def unpack_json(df: DataFrame, col: str, schema: T.StructType | str | None = Non
         if not schema.fields:
             return df
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.DataType.fromDDL(schema)
     prefix = f"{col}_" if prefix is None else prefix
     tmp = f"__{col}_parsed"
     parsed = df.withColumn(tmp, F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"}))
@@ -47,7 +47,7 @@ def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
     if not found or not found.upper().startswith("OBJECT<"):
         return T.StructType([])
     ddl = found.replace("OBJECT<", "STRUCT<")
-    return T._parse_datatype_string(ddl)
+    return T.DataType.fromDDL(ddl)
 
 
 def unwrap(df: DataFrame, col: str, paths: list[str], element_type: str = "variant") -> DataFrame:

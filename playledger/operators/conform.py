@@ -25,7 +25,7 @@ def conform(df: DataFrame, schema: T.StructType | str, rename: dict | None = Non
     name-mapped reader (a Hive-style catalog) cannot resolve.
     """
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.DataType.fromDDL(schema)
     rename = rename or {}
     src = {rename.get(c, c): c for c in df.columns}
     cols = []
