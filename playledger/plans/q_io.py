@@ -397,12 +397,14 @@ def q_content_meta(spark, d):
     recs = F.collect_list(F.struct(F.col("p_partkey").alias("contentId"), F.col("p_name").alias("contentName"),
                                    res.alias("resolution")))
     pages = p.withColumn("page", (F.col("p_partkey") / 50).cast("bigint")).groupBy("page").agg(recs.alias("r"))
-    env = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("r").alias("items")))) \
-           .otherwise(F.to_json(F.struct(F.struct(F.col("r").alias("contents")).alias("deviceListBaseBean"))))
+    env = (F.when(F.col("page") % 4 == 0, F.to_json(F.struct(F.col("r").alias("items"))))
+            .when(F.col("page") % 4 == 1, F.to_json(F.struct(F.struct(F.col("r").alias("contents")).alias("deviceListBaseBean"))))
+            .when(F.col("page") % 4 == 2, F.to_json(F.col("r")))
+            .otherwise(F.to_json(F.struct(F.lit("x").alias("items"), F.struct(F.col("r").alias("list")).alias("data")))))
     land = scratch_path(spark, "content-meta")
     SK.export_text(pages.select(env.alias("value")), land)
     meta = RD.read_paged_json(spark, land, "contentId bigint, contentName string, resolution string",
-                              paths=["$.items", "$.list", "$.contents", "$.deviceListBaseBean.contents", "$.data"])
+                              paths=RD.POLYMORPHIC_PATHS)
     return meta.select(F.col("contentId").alias("content_id"), F.col("contentName").alias("content_name"),
                        F.col("resolution").alias("content_res"), content_format(F.col("resolution")).alias("format"))
 

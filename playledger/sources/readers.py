@@ -141,6 +141,13 @@ def read_csv_bootstrap(spark: SparkSession, path: str) -> DataFrame:
 ENVELOPE_PATHS = ["$.data", "$.proposal_items", "$.data.proposal_items", "$.d.results", "$.items", "$.list",
                   "$.contents", "$.reservation"]
 
+# FIXED VALUES: keys tried, in order, by the screen-management API reader (S12), and the keys tried inside an
+# object found under one of them.
+POLY_KEYS = ["items", "list", "contents", "deviceListBaseBean", "data"]
+POLY_SUBKEYS = ["items", "list", "contents"]
+# A top-level array first; then, per key, the array under it or under one of its sub-keys.
+POLYMORPHIC_PATHS = ["$"] + [p for k in POLY_KEYS for p in [f"$.{k}"] + [f"$.{k}.{sk}" for sk in POLY_SUBKEYS]]
+
 
 def read_paged_json(spark: SparkSession, path: str, item_schema: str, paths: list[str] = ENVELOPE_PATHS,
                     per_file: bool = False) -> DataFrame:

@@ -91,3 +91,15 @@ def test_run_log_facts_counters_and_unfinished_run(spark):
     assert (a.run_no, a.n_ok, a.n_fail, a.rows_added, a.rows_total, a.campaigns) == (2, 1, 1, 900, 13271207, None)
     assert a.done_at.day == 2 and a.done_at.minute == 35 and a.last_good.minute == 35
     assert (b.run_no, b.n_ok, b.done_at) == (2, 1, None) and b.last_good.minute == 31   # unfinished: last good DONE
+
+
+def test_polymorphic_envelope_order(spark):
+    d = tempfile.mkdtemp(prefix="poly-test-")
+    write(d, "p.json", "\n".join([
+        '[{"id": 1}]',                                              # top-level array
+        '{"items": {"list": [{"id": 2}]}, "data": [{"id": 99}]}',   # items wins over data
+        '{"items": "x", "deviceListBaseBean": {"contents": [{"id": 3}]}}',
+        '{"meta": 1, "data": {"contents": [{"id": 4}]}}',
+        '{"nothing": []}']) + "\n")
+    got = sorted(r.id for r in RD.read_paged_json(spark, d, "id bigint", paths=RD.POLYMORPHIC_PATHS).collect())
+    assert got == [1, 2, 3, 4]
