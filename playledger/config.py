@@ -125,6 +125,22 @@ RESERVATION_OVERRIDES = [
     (1989334266, 900000002, 900000020, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
     (1991227199, 900000002, 900000021, "Autopromocja", "Autopromocja", "Stroer", "Stroer"),
 ]
+# Control-system tables: table -> (API resource, version); the incremental ones are upserted by id after a
+# high-water cursor, the rest are replaced whole (guarded against empty refetches).
+CONTROL_ENDPOINTS = {
+    "reservations": ("reservation", 7),
+    "display_units": ("display_unit", 5),
+    "players": ("client_registration", 5),
+    "content": ("content", 7),
+    "bundles": ("bundle", 12),
+    "bundle_content": ("bundle_content", 3),
+    "schedules": ("schedule", 5),
+    "customers": ("customer", 5),
+    "users": ("user", 6),
+}
+CONTROL_INCREMENTAL = ["reservations", "content", "bundles", "bundle_content", "schedules"]
+CURSOR_EPOCH = "1970-01-01 00:00:00"
+
 RESERVATION_OVERRIDE_SCHEMA = ("reservation_id bigint, campaign_id bigint, line_item_id bigint, campaign_name string, "
                                "line_item_name string, advertiser string, client_name string")
 

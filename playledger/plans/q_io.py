@@ -348,39 +348,21 @@ def _api_pages(df, key):
 SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 10 ELSE o_totalprice END AS price
 FROM orders""")
 def q_job_control_sync(spark, d):
+    from .ingest import sync_control_table
     o = T(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"),
                                      F.col("o_totalprice").alias("price"), F.col("o_orderdate").cast("timestamp").alias("modified"))
     table, ctrl = scratch_path(spark, "tbl-reservations"), scratch_path(spark, "ctrl-cursor")
-    epoch = "1970-01-01 00:00:00"
-
-    def sync(land):
-        recs = RD.read_paged_json(spark, land, _RES_ITEM).drop("page_file")
-        cursor = spark.read.parquet(ctrl).select(F.max("cursor")).scalar() if SK.table_exists(spark, ctrl) \
-            else F.lit(epoch).cast("timestamp")
-        rows = recs.where(F.col("modified") > cursor)
-        nxt = recs.agg(F.max("modified").alias("cursor"))
-        SK.write_upsert(spark, rows, table, ["id"])
-        save_cursor(spark, nxt, ctrl)
-
     land1 = scratch_path(spark, "api-1")
     SK.export_text(_api_pages(o, "reservation"), land1)
-    sync(land1)
+    sync_control_table(spark, "reservations", land1, _RES_ITEM, table, ctrl)        # first run: everything
     later = o.select(F.max("modified")).scalar()
     upd = o.join(T(spark, d, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "O").alias("changed")), "id")
     upd = upd.select("id", "cust", F.when(F.col("changed"), F.col("price") + 10).otherwise(F.col("price")).alias("price"),
                      F.when(F.col("changed"), F.date_add(later, 1).cast("timestamp")).otherwise(F.col("modified")).alias("modified"))
     land2 = scratch_path(spark, "api-2")
-    SK.export_text(_api_pages(upd, "data"), land2)
-    sync(land2)
-    return spark.read.parquet(table).select("id", "cust", "price")
-
-
-def save_cursor(spark, nxt, ctrl):
-    """Persist the next cursor (the larger of stored and new) as a one-row control table."""
-    from ..session import cut_lineage
-    if SK.table_exists(spark, ctrl):
-        nxt = nxt.unionByName(spark.read.parquet(ctrl)).agg(F.max("cursor").alias("cursor"))
-    cut_lineage(nxt).write.mode("overwrite").parquet(ctrl)
+    SK.export_text(_api_pages(upd, "reservation"), land2)
+    sync_control_table(spark, "reservations", land2, _RES_ITEM, table, ctrl)        # next run: only the changed rows
+    return SK.read_upserted(spark, table).select("id", "cust", "price")
 
 
 # ---- S16 / F6: content metadata pages ------------------------------------------------------------------------------------

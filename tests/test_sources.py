@@ -103,3 +103,27 @@ def test_polymorphic_envelope_order(spark):
         '{"nothing": []}']) + "\n")
     got = sorted(r.id for r in RD.read_paged_json(spark, d, "id bigint", paths=RD.POLYMORPHIC_PATHS).collect())
     assert got == [1, 2, 3, 4]
+
+
+def test_control_sync_overwrite_and_incremental(spark):
+    from playledger.plans.ingest import sync_control_table
+    from playledger.session import scratch_path
+    from playledger.sources import sinks as SK
+    schema = "id bigint, name string, modified timestamp"
+    full, tbl, cur = tempfile.mkdtemp(prefix="ctl-"), scratch_path(spark, "ctl-du"), scratch_path(spark, "ctl-cur")
+    write(full, "p1.json", '{"display_unit": [{"id": 1, "name": "a", "modified": "2024-01-01 00:00:00"}], "not_modified_since": "x"}\n')
+    sync_control_table(spark, "display_units", full, schema, tbl, cur)
+    empty = tempfile.mkdtemp(prefix="ctl-empty-")
+    write(empty, "p1.json", '{"display_unit": [], "not_modified_since": "x"}\n')
+    sync_control_table(spark, "display_units", empty, schema, tbl, cur)          # empty refetch never replaces data
+    assert [r.id for r in spark.read.parquet(tbl).collect()] == [1]
+    inc_tbl, inc_cur = scratch_path(spark, "ctl-res"), scratch_path(spark, "ctl-rcur")
+    a, b = tempfile.mkdtemp(prefix="ctl-a-"), tempfile.mkdtemp(prefix="ctl-b-")
+    write(a, "p.json", '{"reservation": [{"id": 1, "name": "a", "modified": "2024-01-01 00:00:00"},'
+                       ' {"id": 2, "name": "b", "modified": "2024-01-02 00:00:00"}]}\n')
+    write(b, "p.json", '{"reservation": [{"id": 1, "name": "OLD", "modified": "2024-01-01 00:00:00"},'
+                       ' {"id": 2, "name": "B2", "modified": "2024-01-03 00:00:00"}]}\n')
+    sync_control_table(spark, "reservations", a, schema, inc_tbl, inc_cur)
+    sync_control_table(spark, "reservations", b, schema, inc_tbl, inc_cur)       # only id 2 changed after the cursor
+    got = {r.id: r.name for r in SK.read_upserted(spark, inc_tbl).collect()}
+    assert got == {1: "a", 2: "B2"}
