@@ -87,12 +87,13 @@ def input_bytes(paths: list[str]) -> int:
 
 
 def configure_for_scale(spark: SparkSession, input_size_bytes: int, cores: int,
-                        target_partition_bytes: int = 256 << 20, expansion: float = 4.0) -> int:
+                        target_partition_bytes: int = 256 << 20, expansion: float = 1.0) -> int:
     """Size shuffles so a partition fits comfortably in an executor core's memory.
 
-    ``expansion`` accounts for compressed Parquet growing in memory and for the widening joins/explodes of the
-    jobs.  AQE then coalesces small partitions and splits skewed ones, so this is the ceiling, not a fixed
-    count.  Returns the shuffle partition count set."""
+    ``expansion`` is the ratio of shuffled bytes to (compressed) input bytes; projections and map-side partial
+    aggregation usually keep it at or below 1, raise it for jobs dominated by a widening join or explode.
+    AQE then coalesces small partitions and splits skewed ones, so this is a ceiling, not a fixed count
+    (100 TB -> ~410 k partitions of 256 MB).  Returns the shuffle partition count set."""
     parts = max(cores * 2, int(input_size_bytes * expansion / target_partition_bytes) + 1)
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))

@@ -54,7 +54,7 @@ def test_configure_for_scale(spark):
     from playledger.session import configure_for_scale
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert configure_for_scale(spark, 100 << 40, 8000) == int((100 << 40) * 4.0 / (256 << 20)) + 1   # 100 TB
+        assert configure_for_scale(spark, 100 << 40, 8000) == (100 << 40) // (256 << 20) + 1    # 100 TB: ~410 k
         assert configure_for_scale(spark, 10 << 20, 8) == 16                                            # tiny input
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
     finally:
