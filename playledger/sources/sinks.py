@@ -103,3 +103,19 @@ def import_historical(spark: SparkSession, csv_path: str, table_path: str) -> bo
         return False
     read_csv_bootstrap(spark, csv_path).write.mode("overwrite").parquet(table_path)
     return True
+
+
+def replace_with_guard(spark: SparkSession, new: DataFrame, path: str, ratio: float = 0.9, force: bool = False,
+                       snapshot_date: str | None = None) -> bool:
+    """Replace the table at ``path`` only if the new copy has at least ``ratio`` x its rows (or ``force``);
+    with ``snapshot_date`` the new copy is also kept as ``<path>_snapshots/snapshot_date=<date>``.  Returns
+    whether it replaced."""
+    if table_exists(spark, path):
+        check = M.shrink_check(spark.read.parquet(path), new, ratio, force).first()
+        if not check["ok"]:
+            return False
+        new = cut_lineage(new)            # the old copy is about to be overwritten: never read it while writing
+    new.write.mode("overwrite").parquet(path)
+    if snapshot_date:
+        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}_snapshots/snapshot_date={snapshot_date}")
+    return True

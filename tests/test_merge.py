@@ -112,3 +112,15 @@ def test_write_replace_days_spill_and_untouched(spark):
     assert sorted(os.listdir(os.path.join(path, "day=2024-01-03"))) == before      # untouched partition not rewritten
     with pytest.raises(Exception):
         RD.read_layer(spark, path, "no_such_table").schema
+
+
+def test_replace_with_guard_and_snapshot(spark):
+    from playledger.session import scratch_path
+    from playledger.sources import sinks as SK
+    path = scratch_path(spark, "guard-test")
+    assert SK.replace_with_guard(spark, spark.range(100), path)
+    assert not SK.replace_with_guard(spark, spark.range(50), path)                 # shrank below 90 %: refused
+    assert spark.read.parquet(path).count() == 100
+    assert SK.replace_with_guard(spark, spark.range(50), path, force=True, snapshot_date="2024-01-02")
+    assert spark.read.parquet(path).count() == 50
+    assert spark.read.parquet(f"{path}_snapshots").where("snapshot_date = '2024-01-02'").count() == 50
