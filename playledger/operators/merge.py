@@ -145,3 +145,17 @@ def month_bounds(year: int, month: int) -> tuple[dt.date, dt.date]:
     first = dt.date(year, month, 1)
     nxt = dt.date(year + (month == 12), month % 12 + 1, 1)
     return first, nxt - dt.timedelta(days=1)
+
+
+def reconcile_orphans(fact_ids: DataFrame, known: DataFrame, source: DataFrame, key: str,
+                      fact_key: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ids referenced by the facts but missing from ``known`` are looked up in a recovery ``source``.
+
+    Returns (known upserted with the recovered rows, the recovered rows, the ids still missing).  One
+    anti join and one semi join - never a per-id loop; call again with the parents' tables for the next level."""
+    fact_key = fact_key or key
+    orphans = fact_ids.select(F.col(fact_key).alias(key)).dropna().distinct() \
+                      .join(known.select(key), key, "left_anti")
+    recovered = source.join(orphans, key, "left_semi")
+    unrecovered = orphans.join(source.select(key), key, "left_anti")
+    return upsert(known, recovered, key), recovered, unrecovered

@@ -261,11 +261,11 @@ def q_orphans(spark, d):
 WITH orph AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'))
 SELECT o.o_orderkey AS id, o.o_custkey AS cust, o.o_totalprice AS price FROM orph JOIN orders o ON o.o_orderkey = orph.l_orderkey""")
 def q_recover(spark, d):
-    ids = T(spark, d, "lineitem").select(F.col("l_orderkey").alias("id")).distinct()
-    orph = unknown_keys(ids, _orders_known(spark, d).select(F.col("o_orderkey").alias("id")), "id")
-    source = T(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"),
-                                          F.col("o_totalprice").alias("price"))
-    return source.join(orph, "id", "left_semi")
+    cols = [F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"), F.col("o_totalprice").alias("price")]
+    known = _orders_known(spark, d).select(*cols)
+    source = T(spark, d, "orders").select(*cols)                    # the recovery source (an API refetch)
+    _, recovered, _ = M.reconcile_orphans(T(spark, d, "lineitem"), known, source, "id", fact_key="l_orderkey")
+    return recovered
 
 
 @register("two_sided_diff", """

@@ -124,3 +124,12 @@ def test_replace_with_guard_and_snapshot(spark):
     assert SK.replace_with_guard(spark, spark.range(50), path, force=True, snapshot_date="2024-01-02")
     assert spark.read.parquet(path).count() == 50
     assert spark.read.parquet(f"{path}_snapshots").where("snapshot_date = '2024-01-02'").count() == 50
+
+
+def test_reconcile_orphans(spark):
+    facts = spark.createDataFrame([(1,), (2,), (3,), (None,)], "rid long")
+    known = spark.createDataFrame([(1, "a")], "id long, name string")
+    source = spark.createDataFrame([(2, "b"), (9, "z")], "id long, name string")
+    table, rec, missing = M.reconcile_orphans(facts, known, source, "id", fact_key="rid")
+    assert sorted(tuple(r) for r in table.collect()) == [(1, "a"), (2, "b")]
+    assert [r.id for r in rec.collect()] == [2] and [r.id for r in missing.collect()] == [3]
