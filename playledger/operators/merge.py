@@ -159,3 +159,24 @@ def reconcile_orphans(fact_ids: DataFrame, known: DataFrame, source: DataFrame,
     recovered = source.join(orphans, key, "left_semi")
     unrecovered = orphans.join(source.select(key), key, "left_anti")
     return upsert(known, recovered, key), recovered, unrecovered
+
+
+def add_only_checked(old: DataFrame, new: DataFrame, key: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """M6 with its checks: the merged table and one row (old_rows, added, merged_rows, rows_ok, unique) - the
+    merged count must equal old + added and the key must stay unique.  Nothing is written, so a dry run is
+    simply not persisting the first result."""
+    keys = [key] if isinstance(key, str) else list(key)
+    merged = add_only(old, new, keys)
+    added = new.select(*keys).distinct().join(old.select(*keys), keys, "left_anti")
+    tagged = (old.select(F.lit(1).alias("__o"), F.lit(0).alias("__a"))
+                 .unionByName(added.select(F.lit(0).alias("__o"), F.lit(1).alias("__a"))))
+    counts = tagged.agg(F.sum("__o").cast("bigint").alias("old_rows"), F.sum("__a").cast("bigint").alias("added"))
+    per_key = merged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    shape = per_key.agg(F.sum("__c").cast("bigint").alias("merged_rows"), F.max("__c").alias("__max"))
+    check = counts.unionByName(shape, allowMissingColumns=True).agg(
+        F.max("old_rows").alias("old_rows"), F.max("added").alias("added"), F.max("merged_rows").alias("merged_rows"),
+        F.max("__max").alias("__max"))
+    check = check.select("old_rows", "added", "merged_rows",
+                         (F.col("merged_rows") == F.col("old_rows") + F.col("added")).alias("rows_ok"),
+                         F.coalesce(F.col("__max") <= 1, F.lit(True)).alias("unique"))
+    return merged, check

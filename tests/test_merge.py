@@ -133,3 +133,14 @@ def test_reconcile_orphans(spark):
     table, rec, missing = M.reconcile_orphans(facts, known, source, "id", fact_key="rid")
     assert sorted(tuple(r) for r in table.collect()) == [(1, "a"), (2, "b")]
     assert [r.id for r in rec.collect()] == [2] and [r.id for r in missing.collect()] == [3]
+
+
+def test_add_only_checked(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    new = spark.createDataFrame([(2, "B"), (3, "c"), (3, "c2")], "id long, v string")
+    merged, check = M.add_only_checked(old, new, "id")
+    c = check.first()
+    assert (c.old_rows, c.added, c.merged_rows, c.rows_ok, c.unique) == (2, 1, 3, True, True)
+    assert sorted(tuple(r) for r in merged.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    dup_old = spark.createDataFrame([(1, "a"), (1, "a2")], "id long, v string")
+    assert not M.add_only_checked(dup_old, new, "id")[1].first().unique
