@@ -54,3 +54,47 @@ def test_location_matches_model(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [r[0] for r in df.select(location("v")).collect()]
     assert got == [model(v) for v in values]
+
+
+def tokens_model(n):
+    if n is None:
+        return []
+    n = n.lower()
+    w = lambda t: re.search(r"(^|[_ /])" + t + r"([_ /]|$)", n) is not None
+    out = []
+    if "liveline" in n or w("ll"):
+        out.append("LL")
+    if "stroertv" in n or w("stv"):
+        out.append("STV")
+    if "metromax" in n:
+        out.append("MM")
+    if w("dmb"):
+        out.append("DMB")
+    if w("tp"):
+        out.append("TP")
+    return out
+
+
+def format_model(toks):
+    t = set(toks)
+    if not t & {"LL", "STV", "MM"}:
+        return None
+    if "MM" in t or len(t) > 1:
+        return "BUNDLE"
+    return {"LL": "liveline", "STV": "stroertv"}[next(iter(t))]
+
+
+NAME_PARTS = ["LL", "ll", "STV", "Stv", "MetroMax", "DMB", "TP", "tp2", "kampania", "21/07", "&", "LiveLine", "StroerTV",
+              "wall", "x"]
+line_names = st.one_of(st.none(), st.lists(st.sampled_from(NAME_PARTS), min_size=1, max_size=5).flatmap(
+    lambda ws: st.sampled_from(["_", " ", "/"]).map(lambda sep: sep.join(ws))))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(line_names, min_size=1, max_size=30))
+def test_name_tokens_match_model(spark, values):
+    from playledger.functions.names import name_format, name_tokens
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    t = name_tokens("v")
+    got = [(list(r[0]), r[1]) for r in df.select(t, name_format(t)).collect()]
+    assert got == [(tokens_model(v), format_model(tokens_model(v))) for v in values]
