@@ -98,3 +98,17 @@ def test_name_tokens_match_model(spark, values):
     t = name_tokens("v")
     got = [(list(r[0]), r[1]) for r in df.select(t, name_format(t)).collect()]
     assert got == [(tokens_model(v), format_model(tokens_model(v))) for v in values]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.dates(min_value=__import__("datetime").date(2000, 1, 1), max_value=__import__("datetime").date(2040, 12, 31)),
+                min_size=1, max_size=40))
+def test_calendar_matches_python(spark, days):
+    from playledger.functions.calendar import calendar_columns
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    rows = df.select(*calendar_columns("d")).collect()
+    for d, r in zip(days, rows):
+        y, w, wd = d.isocalendar()
+        assert (r.iso_year, r.iso_week, r.weekday_number, r.year_week_index) == (y, w, wd, y * 100 + w)
+        assert r.month_name == K.MONTH_FULL[d.month - 1] and r.short_weekday == K.WEEKDAY_SHORT[wd - 1]
+        assert r.is_weekend == (wd >= 6) and r.quarter == f"Q{(d.month - 1) // 3 + 1}" and r.date_key == d.isoformat()
