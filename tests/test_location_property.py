@@ -112,3 +112,15 @@ def test_calendar_matches_python(spark, days):
         assert (r.iso_year, r.iso_week, r.weekday_number, r.year_week_index) == (y, w, wd, y * 100 + w)
         assert r.month_name == K.MONTH_FULL[d.month - 1] and r.short_weekday == K.WEEKDAY_SHORT[wd - 1]
         assert r.is_weekend == (wd >= 6) and r.quarter == f"Q{(d.month - 1) // 3 + 1}" and r.date_key == d.isoformat()
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=2 ** 62), min_size=1, max_size=40))
+def test_stable_factor_matches_md5(spark, ids):
+    import hashlib
+    from playledger.functions.names import stable_factor
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = [r[0] for r in df.select(stable_factor("id")).collect()]
+    for i, g in zip(ids, got):
+        unit = int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) / 0xFFFFFFFF
+        assert abs(g - (K.EXP_FACTOR_LOW + unit * (K.EXP_FACTOR_HIGH - K.EXP_FACTOR_LOW))) < 1e-12
