@@ -182,3 +182,22 @@ def test_bridge_sample_is_deterministic(spark):
     a = sorted(map(tuple, S.build_screen_bridge(*args, sample_size=200).collect()))
     b = sorted(map(tuple, S.build_screen_bridge(*args, sample_size=200).collect()))
     assert a == b and sum(r[2] for r in a) <= 200
+
+
+def test_budget_row_count_invariant(spark):
+    """Rows per (line, reservation) = clamped days x players, and every row carries the same n_players."""
+    from playledger.plans import analogs as A
+    from playledger.plans import q_core
+    from playledger.plans.budget import budget_intervals
+    from tests.conftest import SF_SMALL
+    ivals = budget_intervals(A.line_items(spark, SF_SMALL), A.budget_logs(spark, SF_SMALL), A.players(spark, SF_SMALL),
+                             q_core.BUDGET_CFG)
+    want = (ivals.groupBy("line_item_id", "reservation_id")
+                 .agg(F.first((F.datediff("d1", "d0") + 1) * F.col("n_players")).alias("want"),
+                      F.count(F.lit(1)).alias("players"), F.first("n_players").alias("n_players")))
+    assert want.where(F.col("players") != F.col("n_players")).count() == 0
+    got = (q_core.budget(spark, SF_SMALL).groupBy("line_item_id", "reservation_id").agg(F.count(F.lit(1)).alias("got"))
+                 .withColumnRenamed("line_item_id", "li").withColumnRenamed("reservation_id", "ri"))
+    cond = (want["line_item_id"] == got["li"]) & want["reservation_id"].eqNullSafe(got["ri"])   # NULL reservation = no booking
+    j = want.join(got, cond, "full_outer")
+    assert j.count() == want.count() and j.where(~F.col("want").eqNullSafe(F.col("got"))).count() == 0
