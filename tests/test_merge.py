@@ -144,3 +144,31 @@ def test_add_only_checked(spark):
     assert sorted(tuple(r) for r in merged.collect()) == [(1, "a"), (2, "b"), (3, "c")]
     dup_old = spark.createDataFrame([(1, "a"), (1, "a2")], "id long, v string")
     assert not M.add_only_checked(dup_old, new, "id")[1].first().unique
+
+
+DEDUP_ROW = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 4)),
+                      st.one_of(st.none(), st.sampled_from(["a", "b", "c"])))
+
+
+def _dedup_model(rows, keep):
+    """first: ascending, NULLs last, ties by the other columns; last: the reverse order (descending, NULLs first)."""
+    def k(v):
+        return (v is None, v if v is not None else 0)
+
+    def sort_key(r):
+        return (k(r[1]), k(r[2]))
+    out = {}
+    for r in sorted(rows, key=sort_key, reverse=(keep == "last")):
+        out.setdefault(r[0], r)
+    return sorted(out.values(), key=lambda r: (k(r[0]), k(r[1]), (r[2] is None, r[2] or "")))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(DEDUP_ROW, min_size=1, max_size=25), st.sampled_from(["first", "last"]))
+def test_dedup_matches_model(spark, rows, keep):
+    from playledger.operators.rollup import dedup
+    df = spark.createDataFrame(rows, "k long, o long, s string")
+    got = [tuple(r) for r in dedup(df, ["k"], order=["o"], keep=keep).collect()]
+    k = lambda v: (v is None, v if v is not None else 0)
+    got = sorted(got, key=lambda r: (k(r[0]), k(r[1]), (r[2] is None, r[2] or "")))
+    assert got == _dedup_model(rows, keep)
