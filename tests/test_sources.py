@@ -127,3 +127,13 @@ def test_control_sync_overwrite_and_incremental(spark):
     sync_control_table(spark, "reservations", b, schema, inc_tbl, inc_cur)       # only id 2 changed after the cursor
     got = {r.id: r.name for r in SK.read_upserted(spark, inc_tbl).collect()}
     assert got == {1: "a", 2: "B2"}
+
+
+def test_tsv_export_round_trip(spark):
+    from playledger.session import scratch_path
+    from playledger.sources import sinks as SK
+    df = spark.createDataFrame([(1, "a b", 2.5), (2, None, None)], "id long, name string, v double")
+    path = scratch_path(spark, "tsv-export")
+    SK.export_csv(df, path, sep="\t")
+    back = spark.read.option("header", True).option("sep", "\t").schema("id long, name string, v double").csv(path)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == [(1, "a b", 2.5), (2, None, None)]
