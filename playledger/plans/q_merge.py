@@ -347,3 +347,16 @@ def q_missing_by_status(spark, d):
     c = T(spark, d, "customer").where(F.col("c_mktsegment") != "BUILDING")
     j = lookup_join(T(spark, d, "orders"), c, {"o_custkey": "c_custkey"}, {"c_custkey": "cust_found"})
     return Q.missing_by(j, "cust_found", "o_orderstatus")
+
+
+@register("orphans_unrecovered", """
+WITH orph AS (SELECT DISTINCT l_orderkey AS id FROM lineitem
+              WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'))
+SELECT id FROM orph WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')""")
+def q_orphans_unrecovered(spark, d):
+    cols = [F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust")]
+    known = _orders_known(spark, d).select(*cols)
+    # the refetch returns every campaign except the urgent ones: those orphans stay unrecovered and are reported
+    source = T(spark, d, "orders").where(F.col("o_orderpriority") != "1-URGENT").select(*cols)
+    _, _, unrecovered = M.reconcile_orphans(T(spark, d, "lineitem"), known, source, "id", fact_key="l_orderkey")
+    return unrecovered
