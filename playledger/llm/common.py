@@ -17,14 +17,24 @@ _GAP = re.compile(rb"[\x20\x09-\x0d]")
 _BLOCK_BYTES = 1 << 20
 
 
+#: Shuffle files go when the write that made them ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but computes ``df`` once only; a lost executor costs no recomputation
-    beyond its running tasks."""
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    beyond the running job's tasks."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lower_ascii(text: Column) -> Column:

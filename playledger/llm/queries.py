@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, quality, simhash
+from . import bpe, decontam, exact_dedup, quality, simhash, substring_dedup
 from .catalog import register
 from .common import fold
 
@@ -56,3 +56,9 @@ def op10(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels"), held_out=2, folds=4))
     return scored.select("doc_id", fold(scored, 2, 4).alias("held_out"), "score", "predicted")
+
+
+@register("op7_substring_dedup")
+def op7(spark, sf_dir):
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
