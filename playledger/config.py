@@ -12,6 +12,68 @@ import datetime as _dt
 # FIXED VALUES (must match the source system)
 # ---------------------------------------------------------------------------------------------
 
+# Source field -> star schema column.
+PROPOSAL_FIELDS = {
+    "id": "campaign_id", "name": "campaign_name", "status": "campaign_status", "client_id": "client_id",
+    "client_name": "client_name", "advertiser": "advertiser", "contract_id": "contract_id",
+    "contract_number": "contract_number", "start_date": "campaign_start", "end_date": "campaign_end",
+    "price": "campaign_price", "discount": "campaign_discount", "suggested_price": "campaign_suggested_price",
+    "owner_user_id": "campaign_owner_id", "owner_user_name": "campaign_owner_name", "creation_user_name": "campaign_creator",
+}
+ITEM_FIELDS = {
+    "id": "line_item_id", "campaign_id": "campaign_id", "name": "line_item_name", "type_of_buy": "type_of_buy",
+    "is_preemptible": "is_preemptible", "status_id": "status_id", "status_name": "status_name",
+    "start_date": "line_start", "end_date": "line_end", "price": "line_price", "suggested_price": "line_suggested_price",
+    "slot_duration": "slot_duration", "screen_count": "screen_count", "group_count": "group_count",
+    "owner_user_id": "owner_user_id", "owner_name": "owner_name", "creator": "creator", "client_id": "client_id",
+    "client_name": "client_name", "advertiser": "advertiser", "buyer": "buyer",
+}
+# JSON text columns of a line item and the prefix of what they hold.
+ITEM_JSON = {"buy_details": "buy_", "performance": "perf_", "delivery": "del_", "priority": "priority_"}
+PROPOSAL_JSON = {"performance": "camp_perf_"}
+
+CAMPAIGN_COLUMNS = [
+    "campaign_id", "campaign_name", "campaign_status", "advertiser", "client_id", "client_name", "campaign_price",
+    "campaign_suggested_price", "campaign_discount", "campaign_start", "campaign_end", "owner_email", "owner_user_id",
+    "campaign_owner_name", "contract_id", "contract_number",
+]
+LINE_ITEM_COLUMNS = [
+    "line_item_id", "campaign_id", "line_item_name", "type_of_buy", "slot_duration", "screen_count", "group_count",
+    "status_id", "status_name", "is_preemptible", "line_price", "line_suggested_price", "buy_saturation",
+    "buy_bs_saturation", "buy_sov", "buy_budget", "perf_expected_repetitions", "perf_actual_repetitions",
+    "perf_expected_impressions", "perf_actual_impressions", "perf_status", "line_start", "line_end",
+]
+CAMPAIGN_FULL_COLUMNS = [
+    "line_item_id", "campaign_id", "line_item_name", "campaign_name", "advertiser", "client_id", "client_name",
+    "type_of_buy", "slot_duration", "screen_count", "group_count", "status_id", "status_name", "is_preemptible",
+    "line_price", "line_suggested_price", "campaign_price", "campaign_suggested_price", "campaign_discount",
+    "buy_saturation", "buy_bs_saturation", "buy_sov", "buy_budget", "perf_expected_repetitions",
+    "perf_actual_repetitions", "perf_expected_impressions", "perf_actual_impressions", "line_start", "line_end",
+    "campaign_start", "campaign_end", "owner_email", "owner_user_id", "contract_id", "contract_number",
+    "campaign_owner_name",
+]
+# What a balancing row carries of its campaign.
+BALANCING_CARRY = [
+    "campaign_name", "advertiser", "client_id", "client_name", "campaign_start", "campaign_end", "owner_email",
+    "owner_user_id", "campaign_price", "contract_id",
+]
+RESERVATION_FIELDS = {
+    "id": "reservation_id", "name": "reservation_name", "start_date": "reservation_start", "end_date": "reservation_end",
+    "state": "reservation_state", "saturation": "saturation", "duration_msec": "duration_msec", "active": "active",
+}
+PLAY_FACT_COLUMNS = [
+    "date_key", "play_log_player_id", "frame_id", "display_unit_id", "reservation_id", "content_id", "timeslot",
+    "contract_id", "emisje", "Impresje", "Duration", "line_item_id", "campaign_id", "is_serwisowy",
+]
+# Columns of the line item export.
+ITEM_EXPORT_COLUMNS = [
+    "id", "proposal_id", "name", "status", "start_date", "end_date", "start_time", "end_time", "price", "custom_price",
+    "suggested_price", "actual_impressions", "actual_repetitions", "screen_count", "audience_count", "slot_duration",
+    "saturation", "flight_duration", "provider_id", "external_id", "creation_tm", "modification_tm",
+]
+# Text of a line item without a performance status.
+NO_STATUS = "Brak danych"
+
 # Calendar window of dim_date and of every budget row.
 CALENDAR_START = _dt.date(2025, 1, 1)
 CALENDAR_END = _dt.date(2027, 12, 31)

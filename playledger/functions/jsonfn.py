@@ -1,6 +1,8 @@
 """JSON columns: flatten with a declared schema (F7), envelope unwrap (S11/S12), nested -> text."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +45,14 @@ def unpack_json(df: DataFrame, col: str, schema: T.StructType | str | None = Non
 def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
     """Discover the union of the object keys of a JSON text column (one distributed aggregate, one schema
     string back to the driver).  Unparsable text is ignored; a column with no objects gives an empty struct."""
-    found = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
-    if not found or not found.upper().startswith("OBJECT<"):
+    parsed = df.select(F.try_parse_json(F.col(col)).alias("v"))
+    # a scalar or an array beside the objects would make the common schema a bare VARIANT
+    objects = parsed.where(F.schema_of_variant("v").startswith("OBJECT<"))
+    found = objects.select(F.schema_of_variant_agg("v").alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
         return T.StructType([])
-    ddl = found.replace("OBJECT<", "STRUCT<")
+    # the type's name differs from DDL; names in backticks are keys and stay
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
     return T.DataType.fromDDL(ddl)
 
 

@@ -76,12 +76,12 @@ def location(c) -> Column:
     code = K.LOCATION_CODE_PATTERN
 
     # 3. station parser on arrays (no UDF): positions of the first name word and of its end.
-    parts = F.filter(F.slice(F.split(v, "_"), 2, 1 << 20), lambda x: x != "")
+    parts = F.filter(F.split(v, "_"), lambda x, i: (i > 0) & (x != ""))
     is_stop = F.transform(parts, lambda x: _in_lower(x, stops))
     is_name = F.transform(parts, lambda x: ~_in_lower(x, stops) & ~x.rlike(code))
     first_stop = F.array_position(is_stop, True)
     first_name = F.array_position(is_name, True)
-    tail = F.slice(parts, (first_name + 1).cast("int"), 1 << 20)
+    tail = F.slice(parts, (first_name + 1).cast("int"), F.greatest(F.size(parts), F.lit(0)))
     tail_end = F.array_position(F.transform(tail, lambda x: _in_lower(x, stops) | x.rlike(code)), True)
     n_words = F.when(tail_end == 0, F.size(parts) - first_name + 1).otherwise(tail_end)
     station_ok = (first_name > 0) & ((first_stop == 0) | (first_name < first_stop))

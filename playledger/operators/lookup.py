@@ -15,13 +15,19 @@ that grows with the data falls back to a sort-merge join instead of blowing up d
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rollup import dedup
+from .rollup import _ORDERABLE, dedup
 from ..functions.semantics import is_in
 
 
+#: Parts over which rows without a join key are dealt.
+NULL_SPREAD = 4096
+
+
 def _q(n):
     return F.col(f"`{n}`")
 
@@ -55,6 +61,13 @@ def lookup_join(df: DataFrame, dim: DataFrame, on, take: list[str] | dict | None
     for l, r in on.items():
         c = _q(l).eqNullSafe(F.col(tmp[r])) if null_safe else (_q(l) == F.col(tmp[r]))
         cond = c if cond is None else cond & c
+    spread = [_q(f.name) for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE)]
+    if not null_safe and any(df.schema[l].nullable for l in on) and spread:
+        # rows without a key match nothing: a second join key deals them out instead of sending all to one task
+        no_key = reduce(Column.__or__, [_q(l).isNull() for l in on])
+        zero = F.pmod(F.xxhash64(*[F.col(k) for k in tmp.values()]), F.lit(1))
+        cond = cond & (F.when(no_key, F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD))).otherwise(
+            F.pmod(F.xxhash64(*[_q(l) for l in on]), F.lit(1))) == zero)
     clash = [t for t in take.values() if t in df.columns]
     left = df.drop(*clash) if clash else df
     out = left.join(right, cond, "left").drop(*tmp.values())
@@ -86,17 +99,21 @@ def overlap_join(left: DataFrame, right: DataFrame, on: str | dict, prefer: str
 
 
 def override_where_null(df: DataFrame, key: str, overrides: DataFrame, cols: list[str],
-                        override_key: str | None = None) -> DataFrame:
-    """For rows whose ``key`` is in the override table, fill ``cols`` where they are NULL.
+                        override_key: str | None = None, when_null: str | None = None,
+                        order: list[str] | None = None) -> DataFrame:
+    """Rows whose ``key`` is in the override table take its ``cols``: all of them where ``when_null`` is
+    NULL, or, without ``when_null``, each column where it is NULL itself.
 
-    The override table is configuration (a handful of rows), so it is broadcast; its key is
-    de-duplicated last-wins first (D5)."""
+    Of several overrides of a key the last by ``order`` wins (D5; without an order the greatest values).  The table is
+    configuration; Spark broadcasts it by its size, as any other."""
     ok = override_key or key
-    ov = overrides.select(_q(ok).alias("__ok"), *[_q(c).alias(f"__ov_{c}") for c in cols]).dropDuplicates(["__ok"])
-    out = df.join(F.broadcast(ov), _q(key) == F.col("__ok"), "left")
-    for c in cols:
-        out = out.withColumn(c, F.when(_q(c).isNull(), F.col(f"__ov_{c}")).otherwise(_q(c)))
-    return out.drop("__ok", *[f"__ov_{c}" for c in cols])
+    ov = dedup(overrides, [ok], order=order or cols, keep="last")
+    ov = ov.select(_q(ok).alias("__ok"), F.lit(True).alias("__hit"), *[_q(c).alias(f"__ov_{c}") for c in cols])
+    out = df.join(ov, _q(key) == F.col("__ok"), "left")
+    mask = (F.col("__hit") & _q(when_null).isNull()) if when_null else None
+    out = out.select(*[F.when(F.col("__hit") & _q(c).isNull() if mask is None else mask, F.col(f"__ov_{c}"))
+                       .otherwise(_q(c)).alias(c) if c in cols else _q(c) for c in out.columns])
+    return out.drop("__ok", "__hit", *[f"__ov_{c}" for c in cols])
 
 
 def service_flag(primary: list[Column], secondary: list[Column]) -> Column:

@@ -8,8 +8,9 @@ All of them are joins and unions on keys: nothing is collected, nothing is loope
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .conform import union_by_name
@@ -20,6 +21,14 @@ def _q(n):
     return F.col(f"`{n}`")
 
 
+def match_keys(df: DataFrame, other: DataFrame, keys: list[str] | str, how: str) -> DataFrame:
+    """Semi or anti join on ``keys`` in which a NULL key equals a NULL key, so a replayed batch finds its own rows."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    right = other.select(*[_q(k).alias(f"__m{i}") for i, k in enumerate(keys)])
+    cond = reduce(Column.__and__, [_q(k).eqNullSafe(F.col(f"__m{i}")) for i, k in enumerate(keys)])
+    return df.join(right, cond, how)
+
+
 def overwrite_guarded(old: DataFrame, new: DataFrame) -> DataFrame:
     """M1: the new table replaces the old one, except that an empty batch never replaces data."""
     return old if new.isEmpty() else new
@@ -33,28 +42,41 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str] | str, order: list |
     # without an explicit order the remaining columns break ties, so the surviving row never depends on input order
     batch = dedup(new, keys, order=order or [c for c in new.columns if c not in keys], keep="last") \
         if order or len(new.columns) > len(keys) else new.dropDuplicates(keys)
-    kept = old.join(batch.select(*keys), keys, "left_anti")
-    return union_by_name(kept, batch, types=types)
+    return union_by_name(match_keys(old, batch, keys, "left_anti"), batch, types=types)
 
 
 def append_new(old: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
-    """M3: append only the batch rows of dates the table does not have yet."""
-    fresh = new.join(old.select(date_col).distinct(), date_col, "left_anti")
+    """M3: append only the batch rows of dates the table does not have yet (no date counts as a date)."""
+    fresh = match_keys(new, old.select(date_col).distinct(), date_col, "left_anti")
     return union_by_name(old, fresh)
 
 
-def replace_dates(old: DataFrame, new: DataFrame, date_col: str, dates: list | DataFrame | None = None) -> DataFrame:
+def replace_dates(old: DataFrame, new: DataFrame, date_col: str, dates: list | DataFrame | None = None,
+                  undated: str = "keep") -> DataFrame:
     """Delete the rows of the replaced dates, append every new row.
 
+    Rows without a date belong to no day, so no batch replaces them: those of the table stay, and those of the batch
+    are added unless the very same row is there (``undated='keep'``).  With ``undated='replace'`` a batch that has
+    undated rows replaces the table's.  Either way a batch applied twice leaves the same table.
+
     ``dates`` defaults to the dates present in the batch.  When a file spills rows into the next day,
     pass the file's own date only: the spill rows are then appended beside that day's existing rows
     (the source system's rule) instead of wiping it."""
     if dates is None:
-        kept = old.join(new.select(date_col).distinct(), date_col, "left_anti")
-    elif isinstance(dates, DataFrame):
-        kept = old.join(dates.select(date_col).distinct(), date_col, "left_anti")
+        dates = new.select(date_col)
+    if isinstance(dates, DataFrame):
+        gone = dates.select(date_col).distinct()
+        if undated == "keep":
+            gone = gone.where(_q(date_col).isNotNull())
+        kept = match_keys(old, gone, date_col, "left_anti")
     else:
-        kept = old.where(F.coalesce(~_q(date_col).isin(list(dates)), F.lit(True)))
+        listed = _q(date_col).isin([d for d in dates if d is not None])
+        if undated == "replace" and None in dates:
+            listed = listed | _q(date_col).isNull()
+        kept = old.where(~F.coalesce(listed, F.lit(False)))
+    if undated == "keep":
+        shared = [c for c in new.columns if c in kept.columns]
+        kept = match_keys(kept, new.where(_q(date_col).isNull()), shared, "left_anti")
     return union_by_name(kept, new)
 
 
@@ -63,15 +85,16 @@ def add_only(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in new.columns if c not in keys]
     first = dedup(new, keys, order=rest) if rest else new.dropDuplicates(keys)
-    fresh = first.join(old.select(*keys), keys, "left_anti")
-    return union_by_name(old, fresh)
+    return union_by_name(old, match_keys(first, old, keys, "left_anti"))
 
 
 def latest_per_key(old: DataFrame, new: DataFrame, key: str, version: str, source_col: str | None = None) -> DataFrame:
     """M7: drop the old rows that came from the batch's own source file(s), union, keep the newest
     ``version`` per key (ties broken by the remaining columns for a deterministic result)."""
     if source_col:
-        old = old.join(new.select(source_col).distinct(), source_col, "left_anti")
+        # the names come out of an aggregate: a batch whose file name is a constant would else leave no join key
+        names = new.groupBy(source_col).agg(F.max(source_col).alias("__file")).select(F.col("__file").alias(source_col))
+        old = match_keys(old, names, source_col, "left_anti")
     both = union_by_name(old, new)
     rest = [c for c in both.columns if c not in (key, version)]
     # newest version per key (an aggregate), then one row among its ties (min_by over the other columns)
@@ -84,7 +107,7 @@ def reaggregate_union(old: DataFrame, new: DataFrame, keys: list[str], sums: lis
                       dates: list | None = None) -> DataFrame:
     """M9: replace the batch's dates, then re-aggregate the union on ``keys`` (partial aggregation
     happens map-side, so the union is combined before the shuffle)."""
-    merged = replace_dates(old, new, date_col, dates)
+    merged = replace_dates(old, new, date_col, dates, undated="replace")
     return merged.groupBy(*keys).agg(*[F.sum(_q(c)).alias(c) for c in sums])
 
 
@@ -112,7 +135,7 @@ def since_cursor(df: DataFrame, modified_col: str, cursor) -> tuple[DataFrame, D
 
 def unseen_dates(listing: DataFrame, loaded: DataFrame, date_col: str) -> DataFrame:
     """Listed files whose *date* is not loaded yet (names may differ, e.g. .txt vs .txt.gz)."""
-    return listing.join(loaded.select(date_col).distinct(), date_col, "left_anti")
+    return match_keys(listing, loaded.select(date_col).distinct(), date_col, "left_anti")
 
 
 def changed_files(listing: DataFrame, manifest: DataFrame, name: str = "file", size: str = "size") -> DataFrame:
@@ -167,7 +190,7 @@ def add_only_checked(old: DataFrame, new: DataFrame, key: str | list[str]) -> tu
     simply not persisting the first result."""
     keys = [key] if isinstance(key, str) else list(key)
     merged = add_only(old, new, keys)
-    added = new.select(*keys).distinct().join(old.select(*keys), keys, "left_anti")
+    added = match_keys(new.select(*keys).distinct(), old, keys, "left_anti")
     tagged = (old.select(F.lit(1).alias("__o"), F.lit(0).alias("__a"))
                  .unionByName(added.select(F.lit(0).alias("__o"), F.lit(1).alias("__a"))))
     counts = tagged.agg(F.sum("__o").cast("bigint").alias("old_rows"), F.sum("__a").cast("bigint").alias("added"))

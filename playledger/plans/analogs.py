@@ -117,7 +117,7 @@ LINE_ITEMS_SQL = f"""li AS (
 
 def budget_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_linestatus") == "F").select(
+    return li.select(
         F.col("l_orderkey").alias("CampID"), F.col("l_suppkey").alias("PlayerID"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_key"),
         F.col("l_quantity").alias("Impresje"))
@@ -126,7 +126,7 @@ def budget_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUDGET_LOGS_SQL = """blogs AS (
   SELECT l_orderkey AS CampID, l_suppkey AS PlayerID, strftime(l_shipdate, '%Y-%m-%d') AS date_key,
          l_quantity AS Impresje
-  FROM lineitem WHERE l_linestatus = 'F')"""
+  FROM lineitem)"""
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,5 +24,5 @@ def register(name: str, sql: str | None):
 
 def load_all() -> dict:
     # importing the modules registers their queries
-    from . import q_core, q_ops, q_merge, q_jobs, q_more, q_io  # noqa: F401
+    from . import q_core, q_io, q_jobs, q_merge, q_more, q_ops, q_sinks  # noqa: F401
     return QUERIES

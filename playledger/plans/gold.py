@@ -13,6 +13,7 @@ from ..operators.expand import balancing_rows, flight_months, flight_weeks
 from ..operators.filters import active_status
 from ..operators.lookup import lookup_join, override_where_null, service_flag
 from ..operators.rollup import dedup
+from ..session import cut_lineage
 
 
 def _cfg(cfg):
@@ -34,22 +35,29 @@ def synthetic_line_items(spark: SparkSession, cfg: dict | None = None) -> DataFr
     return overrides_frame(spark, cfg).select("line_item_id", "campaign_id", "line_item_name", "reservation_id")
 
 
-def reservation_map(res22: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Reservation -> (line item, campaign), one row per reservation (smallest line item first)."""
+def reservation_lines(res22: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """(reservation, line item, campaign) for every line item of a reservation."""
     r = res22.select(to_long("id").alias("reservation_id"), to_long("proposal_line_item_id").alias("line_item_id")).dropna()
     camps = dedup(campaigns.select(to_long("line_item_id").alias("line_item_id"), to_long("campaign_id").alias("campaign_id")),
                   ["line_item_id"], order=["campaign_id"])
-    m = lookup_join(r, camps, "line_item_id")
-    return dedup(m, ["reservation_id"], order=["line_item_id", "campaign_id"])
+    return lookup_join(r, camps, "line_item_id")
+
+
+def reservation_map(res22: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Reservation -> (line item, campaign), one row per reservation (smallest line item first)."""
+    best = F.min(F.struct("line_item_id", F.col("campaign_id").isNull().alias("none"), "campaign_id")).alias("m")
+    return reservation_lines(res22, campaigns).groupBy("reservation_id").agg(best) \
+        .select("reservation_id", "m.line_item_id", "m.campaign_id")
 
 
 def single_panel_campaigns(play_logs: DataFrame, res_map: DataFrame, cfg: dict | None = None) -> DataFrame:
     """C20/A5: campaigns whose plays come from exactly one panel (distinct players == 1), minus the house
-    campaigns; plus the campaigns forced to that flag.  Returns one column ``campaign_id``."""
+    campaigns; plus the campaigns forced to that flag.  ``res_map`` has every line item of a reservation
+    (:func:`reservation_lines`), so a play counts for each of their campaigns.  Returns one column ``campaign_id``."""
     cfg = _cfg(cfg)
     # distinct (reservation, player) pairs first: the play log shrinks to fleet x reservations before the join
     pl = play_logs.select(to_long("CampID").alias("reservation_id"), to_long("PlayerID").alias("PlayerID")).dropna().distinct()
-    pl = pl.join(res_map.select("reservation_id", "campaign_id"), "reservation_id").dropna(subset=["campaign_id"])
+    pl = pl.join(res_map.select("reservation_id", "campaign_id").distinct(), "reservation_id").dropna(subset=["campaign_id"])
     one = (pl.groupBy("campaign_id").agg(F.countDistinct("PlayerID").alias("n")).where("n = 1")
              .where(keep_not_in(F.col("campaign_id"), cfg["service_campaign_ids"])).select("campaign_id"))
     spark = play_logs.sparkSession
@@ -57,10 +65,6 @@ def single_panel_campaigns(play_logs: DataFrame, res_map: DataFrame, cfg: dict |
     return one.unionByName(forced).distinct()
 
 
-FACT_PLAY_COLUMNS = ["date_key", "play_log_player_id", "frame_id", "display_unit_id", "reservation_id", "content_id",
-                     "timeslot", "contract_id", "emisje", "Impresje", "Duration", "line_item_id", "campaign_id", "is_serwisowy"]
-
-
 def build_fact_play_logs(enriched: DataFrame, res_map: DataFrame, single_panel: DataFrame, cfg: dict | None = None,
                          overrides: DataFrame | None = None) -> DataFrame:
     """Play fact keyed for the star schema, campaign resolved through the reservation map, manual
@@ -80,19 +84,14 @@ def build_fact_play_logs(enriched: DataFrame, res_map: DataFrame, single_panel:
     if overrides is None and cfg["reservation_overrides"]:
         overrides = overrides_frame(enriched.sparkSession, cfg)
     if overrides is not None:
-        df = override_where_null(df, "reservation_id", overrides, ["campaign_id", "line_item_id"])
+        df = override_where_null(df, "reservation_id", overrides, ["campaign_id", "line_item_id"], when_null="campaign_id")
     sp = single_panel.select(F.col("campaign_id").alias("__sp")).distinct().withColumn("__is_sp", F.lit(True))
     df = df.join(sp, F.col("campaign_id") == F.col("__sp"), "left")
     flag = service_flag(
         [is_in(F.col("campaign_id"), cfg["service_campaign_ids"]), is_in(F.col("reservation_id"), cfg["service_reservation_ids"]),
          is_in(F.col("line_item_id"), cfg["service_line_item_ids"])],
         [F.col("__is_sp")])
-    return df.withColumn("is_serwisowy", flag).select(*FACT_PLAY_COLUMNS)
-
-
-CAMP_COLUMNS = ["campaign_id", "campaign_name", "campaign_status", "advertiser", "client_id", "client_name",
-                "campaign_price", "campaign_suggested_price", "campaign_discount", "campaign_start", "campaign_end",
-                "owner_email", "owner_user_id", "campaign_owner_name", "contract_id", "contract_number"]
+    return df.withColumn("is_serwisowy", flag).select(*K.PLAY_FACT_COLUMNS)
 
 
 def build_dim_campaign(spark: SparkSession, campaigns: DataFrame, single_panel: DataFrame, cfg: dict | None = None,
@@ -102,13 +101,16 @@ def build_dim_campaign(spark: SparkSession, campaigns: DataFrame, single_panel:
     cfg = _cfg(cfg)
     df = campaigns.withColumn("campaign_id", to_long("campaign_id"))
     df = dedup(df, ["campaign_id"], order=["line_item_id"])
-    df = project_existing(df, CAMP_COLUMNS)
+    df = project_existing(df, K.CAMPAIGN_COLUMNS)
     df = df.where(keep_not_in(F.col("campaign_id"), cfg["excluded_campaign_ids"]))
     if synthetic is None and cfg["reservation_overrides"]:
         synthetic = synthetic_campaigns(spark, cfg)
     if synthetic is not None and not isinstance(synthetic, DataFrame):
         synthetic = spark.createDataFrame(synthetic, "campaign_id bigint, campaign_name string, advertiser string, client_name string") \
             if synthetic else None
+    for c in ("client_id", "owner_user_id", "campaign_status"):
+        if c in df.columns:
+            df = df.withColumn(c, to_long(c))  # a whole number or nothing, also beside the synthetic rows' NULLs
     if synthetic is not None:
         df = union_by_name(df, synthetic)
     sp = single_panel.select(F.col("campaign_id").alias("__sp")).distinct().withColumn("__is_sp", F.lit(True))
@@ -120,15 +122,20 @@ def build_dim_campaign(spark: SparkSession, campaigns: DataFrame, single_panel:
 def _reservations_full(res22: DataFrame, reservations: DataFrame) -> DataFrame:
     r = res22.select(to_long("id").alias("reservation_id"), to_long("proposal_line_item_id").alias("line_item_id"),
                      "booking_state").dropna(subset=["line_item_id"])
-    full = project_existing(reservations, ["id", "name", "start_date", "end_date", "state", "saturation", "duration_msec", "active"],
-                            {"id": "reservation_id", "name": "reservation_name", "start_date": "reservation_start",
-                             "end_date": "reservation_end", "state": "reservation_state"})
+    full = project_existing(reservations, list(K.RESERVATION_FIELDS), K.RESERVATION_FIELDS)
     return lookup_join(r, full.withColumn("reservation_id", to_long("reservation_id")), "reservation_id")
 
 
-LINE_COLUMNS = ["line_item_id", "campaign_id", "line_item_name", "campaign_name", "advertiser", "client_name",
-                "status_name", "line_price", "line_start", "line_end", "slot_duration", "screen_count",
-                "perf_expected_repetitions", "perf_actual_repetitions"]
+def _line_attributes(campaigns: DataFrame, columns: list[str]) -> DataFrame:
+    """The listed columns and the details nested in them (``buy_budget`` stands for ``buy_budget.*``), ids whole, flights
+    as timestamps with their inclusive days."""
+    nested = [c for c in campaigns.columns if c.split(".")[0] in columns and c not in columns]
+    df = project_existing(campaigns, columns + nested)
+    for c in ("line_item_id", "campaign_id", "owner_user_id", "screen_count", "group_count"):
+        if c in df.columns:
+            df = df.withColumn(c, to_long(c))
+    df = df.withColumn("line_start", to_ts("line_start")).withColumn("line_end", to_ts("line_end"))
+    return df.withColumn("line_days", inclusive_days("line_start", "line_end").cast("bigint"))
 
 
 def build_dim_line_item(spark: SparkSession, campaigns: DataFrame, res22: DataFrame, reservations: DataFrame,
@@ -136,12 +143,9 @@ def build_dim_line_item(spark: SparkSession, campaigns: DataFrame, res22: DataFr
     """Line items with inclusive day count and their reservations (1:n, a line with two reservations
     gives two rows), plus synthetic lines from configuration."""
     cfg = _cfg(cfg)
-    df = project_existing(campaigns, LINE_COLUMNS + [c for c in campaigns.columns if c.startswith(("buy_", "del_"))
-                                                     and c not in LINE_COLUMNS])
-    df = (df.withColumn("line_item_id", to_long("line_item_id")).withColumn("campaign_id", to_long("campaign_id"))
-            .where(keep_not_in(F.col("campaign_id"), cfg["excluded_campaign_ids"]))
-            .withColumn("line_start", to_ts("line_start")).withColumn("line_end", to_ts("line_end"))
-            .withColumn("line_days", inclusive_days("line_start", "line_end").cast("bigint")))
+    df = _line_attributes(campaigns, K.LINE_ITEM_COLUMNS).where(keep_not_in(F.col("campaign_id"), cfg["excluded_campaign_ids"]))
+    if "perf_status" in df.columns:
+        df = df.withColumn("broadsign_status", F.coalesce("perf_status", F.lit(K.NO_STATUS))).drop("perf_status")
     df = lookup_join(df, _reservations_full(res22, reservations), "line_item_id", on_multi="fanout")
     if synthetic is None and cfg["reservation_overrides"]:
         synthetic = synthetic_line_items(spark, cfg)
@@ -154,30 +158,29 @@ def build_dim_line_item(spark: SparkSession, campaigns: DataFrame, res22: DataFr
               .withColumn("line_end", F.date_format("line_end", "yyyy-MM-dd")))
 
 
-FULL_FIRSTS = ["campaign_price", "campaign_name", "advertiser", "client_id", "client_name", "campaign_start",
-               "campaign_end", "owner_email", "owner_user_id", "contract_id"]
-
-
 def build_campaign_full(campaigns: DataFrame, res22: DataFrame, reservations: DataFrame,
                         cfg: dict | None = None) -> DataFrame:
     """C14: line item x reservation rows plus one balancing row per campaign whose price differs from the sum
-    of its line prices by more than the tolerance (G7)."""
-    base = project_existing(campaigns, ["line_item_id", "campaign_id", "line_item_name", "line_price", "line_start",
-                                        "line_end", "screen_count"] + FULL_FIRSTS)
-    base = (base.withColumn("line_item_id", to_long("line_item_id")).withColumn("campaign_id", to_long("campaign_id"))
-                .withColumn("line_start", to_ts("line_start")).withColumn("line_end", to_ts("line_end"))
-                .withColumn("line_days", inclusive_days("line_start", "line_end").cast("bigint")))
-    df = lookup_join(base, _reservations_full(res22, reservations).select("reservation_id", "line_item_id", "booking_state",
-                                                                          "reservation_name"),
-                     "line_item_id", on_multi="fanout").withColumn("is_adjustment", F.lit(False))
-    carry = [c for c in FULL_FIRSTS if c != "campaign_price" and c in df.columns]
+    of its line prices by more than the tolerance (G7).  The joined rows are stored once: they feed both the result and
+    the sums."""
+    base = _line_attributes(campaigns, K.CAMPAIGN_FULL_COLUMNS)
+    df = cut_lineage(lookup_join(base, _reservations_full(res22, reservations), "line_item_id", on_multi="fanout")
+                     .withColumn("is_adjustment", F.lit(False)))
+    carry = [c for c in K.BALANCING_CARRY if c != "campaign_price" and c in df.columns]
     adj = balancing_rows(df, "campaign_id", "line_price", "campaign_price", carry=carry, order="line_item_id")
-    adj = adj.withColumn("line_item_name", F.lit(K.ADJUSTMENT_LINE_NAME))
+    adj = adj.withColumn("line_item_name", F.lit(K.ADJUSTMENT_LINE_NAME)).withColumn("line_suggested_price", F.lit(0.0))
     out = union_by_name(df, adj)
     return (out.withColumn("line_start", F.date_format("line_start", "yyyy-MM-dd"))
                .withColumn("line_end", F.date_format("line_end", "yyyy-MM-dd")))
 
 
+def campaign_full_check(full: DataFrame) -> DataFrame:
+    """Q7 over :func:`build_campaign_full`: how many campaigns' lines, balancing rows included, add up to the price."""
+    from ..operators.quality import control_totals
+    _, share = control_totals(full, "campaign_id", "line_price", "campaign_price")
+    return share
+
+
 def build_dim_player(players_full: DataFrame) -> DataFrame:
     """C11 dim_player: one row per play-log player id, location from the display unit name, test flag."""
     keep = ["play_log_player_id", "player_id", "player_name", "hostname", "display_unit_id", "display_unit_name",
@@ -246,11 +249,15 @@ def period_bridge(li: DataFrame, cfg: dict | None = None) -> DataFrame:
 
 
 def join_coverage_report(enriched: DataFrame, reservations: DataFrame, display_units: DataFrame, res22: DataFrame,
-                         fact_play_logs: DataFrame, dim_line_item: DataFrame) -> DataFrame:
+                         fact_play_logs: DataFrame, dim_line_item: DataFrame, fact_budget: DataFrame | None = None,
+                         dim_player: DataFrame | None = None) -> DataFrame:
     """Q3 over the pipeline's own tables: one coverage row per key relation (left rows, matched, unmatched,
     percent, OK/WARN/FAIL), each a single distributed aggregate."""
     from ..operators.quality import coverage_report
     resolved = fact_play_logs.where(F.col("campaign_id").isNotNull())
+    budget = [] if fact_budget is None else [
+        ("budget->line_item", fact_budget, dim_line_item, "line_item_id", "line_item_id"),
+        ("budget->player", fact_budget, dim_player, "play_log_player_id", "play_log_player_id")]
     return coverage_report([
         ("play_log->reservation", enriched, reservations, "CampID", "id"),
         ("play_log->display_unit", enriched, display_units, "DisplayUnitID", "id"),
@@ -258,4 +265,5 @@ def join_coverage_report(enriched: DataFrame, reservations: DataFrame, display_u
         ("fact->campaign", fact_play_logs, resolved, "reservation_id", "reservation_id"),
         ("fact->line_item", fact_play_logs, dim_line_item, "line_item_id", "line_item_id"),
         ("line_item->reservation", dim_line_item, reservations, "reservation_id", "id"),
+        *budget,
     ])

@@ -1,4 +1,4 @@
-"""C3 control-table sync from landed API pages: incremental tables go through a high-water cursor and a key
+"""C4 proof-of-play months and C3 control tables.  C3: control-table sync from landed API pages: incremental tables go through a high-water cursor and a key
 upsert (I1 + M2), the others are replaced whole unless the refetch came back empty (M1)."""
 from __future__ import annotations
 
@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as K
+from ..functions.semantics import to_long
+from ..operators.lookup import lookup_join
+from ..operators.merge import match_keys, months_to_fetch
+from ..operators.rollup import dedup
 from ..session import cut_lineage
 from ..sources import readers as RD
 from ..sources import sinks as SK
@@ -22,7 +26,7 @@ def save_cursor(spark: SparkSession, nxt: DataFrame, cursor_path: str) -> None:
     """Keep the larger of the stored and the new cursor (a one-row control table)."""
     if SK.table_exists(spark, cursor_path):
         nxt = nxt.unionByName(spark.read.parquet(cursor_path)).agg(F.max("cursor").alias("cursor"))
-    cut_lineage(nxt).write.mode("overwrite").parquet(cursor_path)
+    SK.write_guarded(nxt, cursor_path)
 
 
 def sync_control_table(spark: SparkSession, table: str, pages_path: str, item_schema: str, table_path: str,
@@ -36,3 +40,28 @@ def sync_control_table(spark: SparkSession, table: str, pages_path: str, item_sc
         save_cursor(spark, recs.agg(F.max(modified_col).alias("cursor")), cursor_path)
     else:
         SK.write_guarded(recs, table_path)
+
+
+POP_KEYS = ["format", "content_id", "play_date"]
+
+
+def load_pop_months(spark: SparkSession, stats: DataFrame, contents: DataFrame, table_path: str, seen: DataFrame,
+                    current_month: str, force: bool = False) -> DataFrame:
+    """C4 bronze: proof-of-play statistics (content_id, content_name, play_date, play_count, duration_secs) of the months
+    not yet ``seen`` and of the current one (I4), with the content's format and resolution (``contents``: content_id,
+    format, res; an unknown content is "other"), one row per key, upserted on the key: days that the source's window has
+    lost stay.  Returns the months loaded (column ``month``)."""
+    rows = stats.select(F.coalesce(F.col("content_id").cast("string"), F.lit("")).alias("content_id"),
+                        F.coalesce("content_name", F.lit("")).alias("content_name"),
+                        F.date_format(F.to_date("play_date"), "yyyy-MM-dd").alias("play_date"),
+                        F.coalesce(to_long("play_count"), F.lit(0)).alias("play_count"),
+                        F.coalesce(to_long("duration_secs"), F.lit(0)).alias("duration_secs"))
+    rows = rows.withColumn("month", F.substring("play_date", 1, 7))
+    available = rows.select("month").dropna().distinct()
+    months = cut_lineage(months_to_fetch(available, seen, "month", current_month, force))
+    meta = contents.select(F.col("content_id").cast("string").alias("content_id"), "format", F.col("res").alias("content_res"))
+    rows = lookup_join(match_keys(rows, months, "month", "left_semi"), meta, "content_id", on_multi="first", order=["format", "content_res"])
+    rows = rows.select(F.coalesce("format", F.lit(K.DEFAULT_FORMAT)).alias("format"), "content_id", "content_name",
+                       F.coalesce("content_res", F.lit("")).alias("content_res"), "play_date", "play_count", "duration_secs")
+    SK.write_upsert(spark, dedup(rows, POP_KEYS, order=["content_name", "play_count", "duration_secs"]), table_path, POP_KEYS)
+    return months

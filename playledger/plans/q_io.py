@@ -234,8 +234,7 @@ def q_run_log_text(spark, d):
     (ev.select("user_id", "ts", "event_id", line.alias("value")).repartition("user_id")
        .sortWithinPartitions("user_id", "ts", "event_id").select("user_id", "value")
        .write.partitionBy("user_id").text(path))
-    lines = spark.read.text(path).select(F.col("user_id").cast("bigint").alias("user_id"),
-                                         F.monotonically_increasing_id().alias("line_no"), "value")
+    lines = RD.read_run_log(spark, path).withColumn("user_id", F.col("user_id").cast("bigint"))
     facts = run_log_facts(parse_run_log(lines), "user_id", "line_no")
     fmt = "yyyy-MM-dd HH:mm:ss"
     return facts.select("user_id", "run_no", F.date_format("started", fmt).alias("started"),

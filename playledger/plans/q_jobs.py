@@ -10,6 +10,7 @@ from . import analogs as A
 from . import gold as G
 from . import silver as S
 from . import world as W
+from .budget import budget_intervals, explode_days
 from .catalog import register
 from .oracle import with_ctes
 from .q_ops import _location_sql
@@ -21,12 +22,13 @@ JOB_CFG = {
     "service_line_item_ids": [12, 22, 32],
     "force_single_panel_campaign_ids": [5],
     "excluded_campaign_ids": [7, 70, 700],
-    "reservation_overrides": [],      # the world has no unbooked reservations; unit tests cover the overrides
+    # the first two configured overrides, on two of the world's unbooked reservations
+    "reservation_overrides": [(res, *row[1:]) for row, res in zip(K.RESERVATION_OVERRIDES, W.UNBOOKED[:2])],
 }
-SYNTHETIC_CAMPAIGNS = [
-    {"campaign_id": 900000001, "campaign_name": "Uwaga Pociąg", "advertiser": "Metro Warszawskie", "client_name": "Metro Warszawskie"},
-    {"campaign_id": 900000002, "campaign_name": "Autopromocja", "advertiser": "Stroer", "client_name": "Stroer"},
-]
+OVERRIDES = JOB_CFG["reservation_overrides"]
+OVERRIDES_SQL = "ov AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({r[0]}::BIGINT, {r[1]}::BIGINT, {r[2]}::BIGINT, '{r[3]}', '{r[4]}', '{r[5]}', '{r[6]}')" for r in OVERRIDES) + (
+    ") t(res, camp, line, camp_name, line_name, adv, client))")
 
 
 def _in(ids):
@@ -54,27 +56,41 @@ def campaigns(spark, d):
 # ---- C5 ------------------------------------------------------------------------------------------------
 CAMPAIGNS_SQL = f"""{W.ITEMS_SQL}, {W.PROPOSALS_SQL}, {W.USERS_SQL},
 campaigns AS (
-  SELECT i.id AS line_item_id, coalesce(i.campaign_id, i.proposal_id) AS campaign_id, i.name AS line_item_name, i.status_name,
-         i.price AS line_price, i.start_date AS line_start, i.end_date AS line_end, i.slot_duration, i.screen_count,
+  SELECT i.id AS line_item_id, coalesce(i.campaign_id, i.proposal_id) AS campaign_id, i.name AS line_item_name, i.type_of_buy,
+         i.is_preemptible, i.status_id, i.status_name, i.price AS line_price, i.suggested_price AS line_suggested_price,
+         i.start_date AS line_start, i.end_date AS line_end, i.slot_duration, i.screen_count, i.group_count,
          p.name AS campaign_name, p.status AS campaign_status, coalesce(p.advertiser, i.advertiser) AS advertiser,
-         p.client_id, p.client_name, p.price AS campaign_price, p.contract_id, p.contract_number,
-         p.start_date AS campaign_start, p.end_date AS campaign_end,
-         i.owner_user_id, u.email AS owner_email, i.buy_saturation, i."buy_budget.id", i."buy_budget.tier",
-         i.perf_expected_repetitions, i.perf_actual_repetitions, p.perf_goal AS camp_perf_goal, p.perf_tier AS camp_perf_tier
+         p.client_id, p.client_name, p.price AS campaign_price, p.suggested_price AS campaign_suggested_price,
+         p.discount AS campaign_discount, p.owner_user_name AS campaign_owner_name, p.contract_id, p.contract_number,
+         p.start_date AS campaign_start, p.end_date AS campaign_end, i.owner_user_id, u.email AS owner_email,
+         i.buy_saturation, i.buy_bs_saturation, i.buy_sov, i."buy_budget.id", i."buy_budget.tier", i.perf_expected_repetitions,
+         i.perf_actual_repetitions, i.perf_expected_impressions, i.perf_actual_impressions, i.perf_status, i.del_mode,
+         i."del_cap.daily", i.priority_level, p.perf_goal AS camp_perf_goal, p.perf_tier AS camp_perf_tier
   FROM items i LEFT JOIN proposals p ON p.id = coalesce(i.campaign_id, i.proposal_id)
                LEFT JOIN users u ON u.id = i.owner_user_id)"""
 
-_CAMP_OUT = ["line_item_id", "campaign_id", "line_item_name", "status_name", "line_price", "campaign_name", "campaign_status",
-             "advertiser", "client_id", "client_name", "campaign_price", "contract_number", "owner_user_id", "owner_email",
-             "buy_saturation", "buy_budget.id", "buy_budget.tier", "perf_expected_repetitions", "perf_actual_repetitions"]
+_CAMP_DATES = ["line_start", "line_end", "campaign_start", "campaign_end"]
+_CAMP_OUT = ["line_item_id", "campaign_id", "line_item_name", "type_of_buy", "is_preemptible", "status_id", "status_name", "line_price",
+             "line_suggested_price", "slot_duration", "screen_count", "group_count", "campaign_name", "campaign_status", "advertiser",
+             "client_id", "client_name", "campaign_price", "campaign_suggested_price", "campaign_discount", "campaign_owner_name",
+             "contract_id", "contract_number", "owner_user_id", "owner_email", "buy_saturation", "buy_bs_saturation", "buy_sov",
+             "buy_budget.id", "buy_budget.tier", "perf_expected_repetitions", "perf_actual_repetitions", "perf_expected_impressions",
+             "perf_actual_impressions", "perf_status", "del_mode", "del_cap.daily", "priority_level"]
+
+
+def _days(df, cols):
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in cols})
+
+
+def _days_sql(cols, table=""):
+    return ", ".join(f"strftime({table}{c}, '%Y-%m-%d') AS {c}" for c in cols)
 
 
 @register("job_campaigns", f"""
 WITH {CAMPAIGNS_SQL}
-SELECT {', '.join('"' + c + '"' for c in _CAMP_OUT)}, strftime(line_start, '%Y-%m-%d') AS line_start FROM campaigns""")
+SELECT {', '.join('"' + c + '"' for c in _CAMP_OUT)}, {_days_sql(_CAMP_DATES)} FROM campaigns""")
 def q_job_campaigns(spark, d):
-    c = campaigns(spark, d)
-    return c.select(*[F.col(f"`{x}`") for x in _CAMP_OUT], F.date_format("line_start", "yyyy-MM-dd").alias("line_start"))
+    return _days(campaigns(spark, d), _CAMP_DATES).select(*[F.col(f"`{x}`") for x in _CAMP_OUT + _CAMP_DATES])
 
 
 # ---- C6 / C11 dim_screen -----------------------------------------------------------------------------------
@@ -212,14 +228,14 @@ def q_reservation_map(spark, d):
 
 SINGLE_SQL = f"""single AS (
   SELECT campaign_id FROM (
-    SELECT m.campaign_id, count(DISTINCT b.PlayerID) AS n FROM bronze b JOIN res_map m ON m.reservation_id = b.CampID
+    SELECT m.campaign_id, count(DISTINCT b.PlayerID) AS n FROM bronze b JOIN res22 r ON r.id = b.CampID JOIN camps m ON m.line_item_id = r.proposal_line_item_id
     WHERE b.CampID IS NOT NULL AND b.PlayerID IS NOT NULL AND m.campaign_id IS NOT NULL GROUP BY 1)
   WHERE n = 1 AND coalesce(NOT campaign_id IN {_in(JOB_CFG['service_campaign_ids'])}, true)
   UNION SELECT unnest({list(JOB_CFG['force_single_panel_campaign_ids'])}) AS campaign_id)"""
 
 
 def single_panel(spark, d):
-    return G.single_panel_campaigns(bronze_play_logs(spark, d), res_map(spark, d), JOB_CFG)
+    return G.single_panel_campaigns(bronze_play_logs(spark, d), G.reservation_lines(W.reservations_v22(spark, d), campaigns(spark, d)), JOB_CFG)
 
 
 @register("job_single_panel", f"{with_ctes(BRONZE_SQL, RESMAP_SQL, SINGLE_SQL)} SELECT campaign_id FROM single")
@@ -227,90 +243,130 @@ def q_job_single_panel(spark, d):
     return single_panel(spark, d)
 
 
+# the reservation map with the overrides of what it leaves without a campaign
+FACT_MAP_SQL = f"""{OVERRIDES_SQL},
+fact_rows AS (SELECT e.*, CASE WHEN m.campaign_id IS NULL THEN coalesce(o.camp, m.campaign_id) ELSE m.campaign_id END AS campaign_id,
+                     CASE WHEN m.campaign_id IS NULL AND o.res IS NOT NULL THEN o.line ELSE m.line_item_id END AS line_item_id
+              FROM enriched e LEFT JOIN res_map m ON m.reservation_id = e.CampID LEFT JOIN ov o ON o.res = e.CampID)"""
 _FLAG_SQL = f"""CAST(CASE WHEN coalesce(m.campaign_id IN {_in(JOB_CFG['service_campaign_ids'])}, false)
-                   OR coalesce(e.CampID IN {_in(JOB_CFG['service_reservation_ids'])}, false)
+                   OR coalesce(m.CampID IN {_in(JOB_CFG['service_reservation_ids'])}, false)
                    OR coalesce(m.line_item_id IN {_in(JOB_CFG['service_line_item_ids'])}, false) THEN 1
               WHEN m.campaign_id IN (SELECT campaign_id FROM single) THEN 2 ELSE 0 END AS TINYINT)"""
 
 
 @register("job_fact_play_logs", f"""
-{with_ctes(ENRICHED_SQL, RESMAP_SQL, SINGLE_SQL)}
-SELECT e.DateEnd AS date_key, e.PlayerID AS play_log_player_id, e.FrameID AS frame_id, e.DisplayUnitID AS display_unit_id,
-       e.CampID AS reservation_id, e.AdCopyId AS content_id, CAST(e.timeslot AS BIGINT) AS timeslot, e.contract_id, e.emisje, e.Impresje, e.Duration,
+{with_ctes(ENRICHED_SQL, RESMAP_SQL, SINGLE_SQL, FACT_MAP_SQL)}
+SELECT m.DateEnd AS date_key, m.PlayerID AS play_log_player_id, m.FrameID AS frame_id, m.DisplayUnitID AS display_unit_id,
+       m.CampID AS reservation_id, m.AdCopyId AS content_id, CAST(m.timeslot AS BIGINT) AS timeslot, m.contract_id, m.emisje, m.Impresje, m.Duration,
        m.line_item_id, m.campaign_id, {_FLAG_SQL} AS is_serwisowy
-FROM enriched e LEFT JOIN res_map m ON m.reservation_id = e.CampID""")
+FROM fact_rows m""")
 def q_job_fact_play_logs(spark, d):
-    f = G.build_fact_play_logs(enriched(spark, d), res_map(spark, d), single_panel(spark, d), JOB_CFG)
+    from ..session import cut_lineage
+    # the three inputs share the raw log, the reservations and the campaigns: each of those is stored once
+    logs, camps = cut_lineage(bronze_play_logs(spark, d)), cut_lineage(campaigns(spark, d))
+    res22 = W.reservations_v22(spark, d)
+    e = S.build_play_logs_enriched(logs, W.reservations(spark, d), W.frames_mapping(spark, d), W.screens(spark, d),
+                                   W.display_units(spark, d), W.proposals(spark, d))
+    lines = cut_lineage(G.reservation_lines(res22, camps))
+    f = G.build_fact_play_logs(e, G.reservation_map(res22, camps), G.single_panel_campaigns(logs, lines, JOB_CFG), JOB_CFG)
     return f.withColumn("date_key", F.date_format("date_key", "yyyy-MM-dd"))
 
 
 # ---- C12 ---------------------------------------------------------------------------------------------------------
-def _syn_sql():
-    rows = " UNION ALL ".join(
-        f"SELECT {r['campaign_id']}::BIGINT AS campaign_id, '{r['campaign_name']}' AS campaign_name, '{r['advertiser']}' AS advertiser, "
-        f"'{r['client_name']}' AS client_name" for r in SYNTHETIC_CAMPAIGNS)
-    return f"syn AS ({rows})"
+_DC_OUT = ["campaign_id", "campaign_name", "campaign_status", "advertiser", "client_id", "client_name", "campaign_price",
+           "campaign_suggested_price", "campaign_discount", "campaign_owner_name", "owner_user_id", "owner_email", "contract_id",
+           "contract_number", "campaign_start", "campaign_end"]
 
 
 @register("job_dim_campaign", f"""
-{with_ctes(BRONZE_SQL, RESMAP_SQL, SINGLE_SQL, _syn_sql())},
-firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY campaign_id ORDER BY line_item_id) AS rn FROM campaigns) WHERE rn = 1),
-dc AS (SELECT campaign_id, campaign_name, campaign_status, advertiser, client_id, client_name, campaign_price, owner_user_id,
-              owner_email, contract_id, contract_number, strftime(campaign_start, '%Y-%m-%d') AS campaign_start
-       FROM firsts WHERE coalesce(NOT campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)
-       UNION ALL SELECT campaign_id, campaign_name, NULL, advertiser, NULL, client_name, NULL, NULL, NULL, NULL, NULL, NULL FROM syn)
+{with_ctes(BRONZE_SQL, RESMAP_SQL, SINGLE_SQL, OVERRIDES_SQL)},
+firsts AS (SELECT * REPLACE (strftime(campaign_start, '%Y-%m-%d') AS campaign_start, strftime(campaign_end, '%Y-%m-%d') AS campaign_end)
+           FROM (SELECT *, row_number() OVER (PARTITION BY campaign_id ORDER BY line_item_id) AS rn FROM campaigns) WHERE rn = 1),
+dc AS (SELECT {', '.join(_DC_OUT)} FROM firsts WHERE coalesce(NOT campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)
+       UNION ALL BY NAME SELECT DISTINCT camp AS campaign_id, camp_name AS campaign_name, adv AS advertiser, client AS client_name FROM ov)
 SELECT dc.*, CAST(CASE WHEN coalesce(campaign_id IN {_in(JOB_CFG['service_campaign_ids'])}, false) THEN 1
                        WHEN campaign_id IN (SELECT campaign_id FROM single) THEN 2 ELSE 0 END AS TINYINT) AS is_serwisowy
 FROM dc""")
 def q_job_dim_campaign(spark, d):
-    dc = G.build_dim_campaign(spark, campaigns(spark, d), single_panel(spark, d), JOB_CFG, SYNTHETIC_CAMPAIGNS)
-    return dc.select("campaign_id", "campaign_name", "campaign_status", "advertiser", "client_id", "client_name",
-                     "campaign_price", "owner_user_id", "owner_email", "contract_id", "contract_number",
-                     F.date_format("campaign_start", "yyyy-MM-dd").alias("campaign_start"), "is_serwisowy")
+    dc = G.build_dim_campaign(spark, campaigns(spark, d), single_panel(spark, d), JOB_CFG)
+    return _days(dc, ["campaign_start", "campaign_end"]).select(*_DC_OUT, "is_serwisowy")
 
 
 # ---- C13 ---------------------------------------------------------------------------------------------------------
 RESFULL_SQL = """resfull AS (
   SELECT r.id AS reservation_id, r.proposal_line_item_id AS line_item_id, r.booking_state, x.name AS reservation_name,
-         x.state AS reservation_state
+         x.start_date AS reservation_start, x.end_date AS reservation_end, x.state AS reservation_state, x.saturation,
+         x.duration_msec, x.active
   FROM res22 r LEFT JOIN res x ON x.id = r.id WHERE r.proposal_line_item_id IS NOT NULL)"""
 
+_RES_OUT = ["reservation_id", "booking_state", "reservation_name", "reservation_state", "saturation", "duration_msec", "active"]
+_DLI_OUT = ["line_item_id", "campaign_id", "line_item_name", "type_of_buy", "slot_duration", "screen_count", "group_count", "status_id",
+            "status_name", "is_preemptible", "line_price", "line_suggested_price", "buy_saturation", "buy_bs_saturation", "buy_sov",
+            "buy_budget.id", "buy_budget.tier", "perf_expected_repetitions", "perf_actual_repetitions", "perf_expected_impressions",
+            "perf_actual_impressions"]
+_LINE_DAYS_SQL = """CASE WHEN c.line_start IS NOT NULL AND c.line_end IS NOT NULL
+            THEN CAST(greatest(datediff('day', c.line_start, c.line_end) + 1, 1) AS BIGINT) END AS line_days"""
+
+
+def _cols(names, table):
+    return ", ".join(f'{table}."{c}"' for c in names)
+
 
 @register("job_dim_line_item", f"""
-{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL)}
-SELECT c.line_item_id, c.campaign_id, c.line_item_name, c.status_name, c.line_price,
-       strftime(c.line_start, '%Y-%m-%d') AS line_start, strftime(c.line_end, '%Y-%m-%d') AS line_end,
-       CASE WHEN c.line_start IS NOT NULL AND c.line_end IS NOT NULL
-            THEN CAST(greatest(datediff('day', c.line_start, c.line_end) + 1, 1) AS BIGINT) END AS line_days,
-       r.reservation_id, r.booking_state, r.reservation_name, r.reservation_state
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, OVERRIDES_SQL)}
+SELECT {_cols(_DLI_OUT, 'c')}, coalesce(c.perf_status, '{K.NO_STATUS}') AS broadsign_status,
+       {_days_sql(['line_start', 'line_end'], 'c.')}, {_LINE_DAYS_SQL}, {_cols(_RES_OUT, 'r')},
+       {_days_sql(['reservation_start', 'reservation_end'], 'r.')}
 FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
-WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)""")
+WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)
+UNION ALL BY NAME SELECT line AS line_item_id, camp AS campaign_id, line_name AS line_item_name, res AS reservation_id FROM ov""")
 def q_job_dim_line_item(spark, d):
     li = G.build_dim_line_item(spark, campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
-    return li.select("line_item_id", "campaign_id", "line_item_name", "status_name", "line_price", "line_start", "line_end",
-                     "line_days", "reservation_id", "booking_state", "reservation_name", "reservation_state")
+    return _days(li, ["reservation_start", "reservation_end"]).select(
+        *[F.col(f"`{c}`") for c in _DLI_OUT], "broadsign_status", "line_start", "line_end", "line_days", *_RES_OUT,
+        "reservation_start", "reservation_end")
 
 
 # ---- C14 ---------------------------------------------------------------------------------------------------------
+_FULL_OUT = [c for c in _DLI_OUT if c not in ("line_price",)] + [
+    "campaign_name", "advertiser", "client_id", "client_name", "campaign_suggested_price", "campaign_discount",
+    "owner_email", "owner_user_id", "contract_id", "contract_number", "campaign_owner_name"]
+_FULL_CARRY = ["campaign_name", "advertiser", "client_id", "client_name", "campaign_start", "campaign_end", "owner_email",
+               "owner_user_id", "contract_id"]
+FULL_SQL = f"""rows_ AS (
+  SELECT {_cols(_FULL_OUT, 'c')}, c.line_price, c.campaign_price, c.line_start, c.line_end, c.campaign_start, c.campaign_end,
+         {_LINE_DAYS_SQL}, {_cols(_RES_OUT, 'r')}, r.reservation_start, r.reservation_end, false AS is_adjustment
+  FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id),
+full_ AS (SELECT * FROM rows_ UNION ALL BY NAME
+  SELECT campaign_id, '{K.ADJUSTMENT_LINE_NAME}' AS line_item_name, max(campaign_price) - coalesce(sum(line_price), 0.0) AS line_price,
+         0.0::DOUBLE AS line_suggested_price, max(campaign_price) AS campaign_price,
+         {', '.join(f'arg_min({c}, line_item_id) AS {c}' for c in _FULL_CARRY)}, true AS is_adjustment
+  FROM rows_ GROUP BY campaign_id HAVING abs(max(campaign_price) - coalesce(sum(line_price), 0.0)) > {K.BALANCE_TOLERANCE})"""
+_FULL_DAYS = ["line_start", "line_end", "campaign_start", "campaign_end", "reservation_start", "reservation_end"]
+
+
+def campaign_full(spark, d):
+    return G.build_campaign_full(campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
+
+
 @register("job_campaign_full", f"""
-{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL)},
-rows_ AS (SELECT c.campaign_id, c.line_item_id, r.reservation_id, c.line_item_name, c.line_price, c.campaign_price,
-                 c.campaign_name, c.client_id, false AS is_adjustment
-          FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id),
-adj AS (SELECT campaign_id, NULL::BIGINT AS line_item_id, NULL::BIGINT AS reservation_id, '{K.ADJUSTMENT_LINE_NAME}' AS line_item_name,
-               max(campaign_price) - coalesce(sum(line_price), 0.0) AS line_price, max(campaign_price) AS campaign_price,
-               arg_min(campaign_name, line_item_id) AS campaign_name, arg_min(client_id, line_item_id) AS client_id,
-               true AS is_adjustment
-        FROM rows_ GROUP BY campaign_id
-        HAVING abs(max(campaign_price) - coalesce(sum(line_price), 0.0)) > {K.BALANCE_TOLERANCE})
-SELECT campaign_id, line_item_id, reservation_id, line_item_name,
-       round(CAST(line_price AS DECIMAL(38,10)), 2)::DOUBLE AS line_price, campaign_name, client_id, is_adjustment
-FROM (SELECT * FROM rows_ UNION ALL SELECT * FROM adj)""")
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, FULL_SQL)}
+SELECT {_cols(_FULL_OUT + _RES_OUT, 'f')}, f.line_days, f.is_adjustment, {_days_sql(_FULL_DAYS, 'f.')}, f.campaign_price,
+       round(CAST(line_price AS DECIMAL(38,10)), 2)::DOUBLE AS line_price
+FROM full_ f""")
 def q_job_campaign_full(spark, d):
-    full = G.build_campaign_full(campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
-    return full.select("campaign_id", "line_item_id", "reservation_id", "line_item_name",
-                       round_half_up(F.col("line_price"), 2).alias("line_price"), "campaign_name", "client_id",
-                       "is_adjustment")
+    full = _days(campaign_full(spark, d), _FULL_DAYS[2:])
+    return full.select(*[F.col(f"`{c}`") for c in _FULL_OUT + _RES_OUT], "line_days", "is_adjustment", *_FULL_DAYS, "campaign_price",
+                       round_half_up(F.col("line_price"), 2).alias("line_price"))
+
+
+@register("job_campaign_full_check", f"""
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, FULL_SQL)},
+per AS (SELECT campaign_id, coalesce(abs(max(campaign_price) - coalesce(sum(line_price), 0.0)) < 1, false) AS ok FROM full_ GROUP BY 1)
+SELECT count(*) AS keys, CAST(sum(ok::INT) AS BIGINT) AS ok_keys, round(avg(ok::INT::DOUBLE), 6) AS ok_share FROM per""")
+def q_job_campaign_full_check(spark, d):
+    share = G.campaign_full_check(campaign_full(spark, d))
+    return share.select("keys", "ok_keys", F.round("ok_share", 6).alias("ok_share"))
 
 
 # ---- C11 dim_content ---------------------------------------------------------------------------------------------
@@ -446,33 +502,41 @@ FROM (SELECT {lk} AS k FROM {left_sql} WHERE {lk} IS NOT NULL) l
 LEFT JOIN (SELECT DISTINCT {rk} AS k FROM {right_sql} WHERE {rk} IS NOT NULL) r ON r.k = l.k"""
 
 
-_FACT_SQL = f"""fact AS (SELECT e.CampID AS reservation_id, m.line_item_id, m.campaign_id FROM enriched e
-                          LEFT JOIN res_map m ON m.reservation_id = e.CampID),
-dli_all AS (SELECT c.line_item_id, r.reservation_id FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
-            WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true))"""
+_DLI_ALL_SQL = f"""dli_all AS (SELECT c.line_item_id, c.status_name, r.reservation_id FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
+            WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true)
+            UNION ALL BY NAME SELECT line AS line_item_id, res AS reservation_id FROM ov)"""
+_FACT_SQL = f"""{FACT_MAP_SQL},
+fact AS (SELECT CampID AS reservation_id, line_item_id, campaign_id FROM fact_rows), {_DLI_ALL_SQL}"""
 
-_COVERAGE_SQL = (with_ctes(ENRICHED_SQL, RESMAP_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, _FACT_SQL) + "\n" + "\nUNION ALL\n".join([
+_COVERAGE_SQL = (with_ctes(ENRICHED_SQL, RESMAP_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, PLAYERS_FULL_SQL, _FACT_SQL) + "\n" + "\nUNION ALL\n".join([
     _cov("play_log->reservation", "enriched", "CampID", "res", "id"),
     _cov("play_log->display_unit", "enriched", "DisplayUnitID", "du", "id"),
     _cov("fact->reservation_map", "fact", "reservation_id", "res22", "id"),
     _cov("fact->campaign", "fact", "reservation_id", "(SELECT * FROM fact WHERE campaign_id IS NOT NULL)", "reservation_id"),
     _cov("fact->line_item", "fact", "line_item_id", "dli_all", "line_item_id"),
     _cov("line_item->reservation", "dli_all", "reservation_id", "res", "id"),
+    _cov("budget->line_item", f"({_daily_budget_sql()})", "line_item_id", "dli_all", "line_item_id"),
+    _cov("budget->player", f"({_daily_budget_sql()})", "play_log_player_id", "players_full", "play_log_player_id"),
 ]))
 
 
 @register("job_coverage_report", _COVERAGE_SQL)
 def q_job_coverage_report(spark, d):
-    e = enriched(spark, d)
-    fact = G.build_fact_play_logs(e, res_map(spark, d), single_panel(spark, d), JOB_CFG)
-    dli = G.build_dim_line_item(spark, campaigns(spark, d), W.reservations_v22(spark, d), W.reservations(spark, d), JOB_CFG)
-    return G.join_coverage_report(e, W.reservations(spark, d), W.display_units(spark, d), W.reservations_v22(spark, d), fact, dli)
+    from ..session import cut_lineage
+    logs, camps, res22 = cut_lineage(bronze_play_logs(spark, d)), cut_lineage(campaigns(spark, d)), W.reservations_v22(spark, d)
+    e = cut_lineage(S.build_play_logs_enriched(logs, W.reservations(spark, d), W.frames_mapping(spark, d), W.screens(spark, d),
+                                               W.display_units(spark, d), W.proposals(spark, d)))
+    fact = cut_lineage(G.build_fact_play_logs(e, G.reservation_map(res22, camps),
+                                              G.single_panel_campaigns(logs, G.reservation_lines(res22, camps), JOB_CFG), JOB_CFG))
+    dli = cut_lineage(G.build_dim_line_item(spark, camps, res22, W.reservations(spark, d), JOB_CFG))
+    players = players_full(spark, d)
+    budget = explode_days(budget_intervals(dli, logs, players, DAILY_CFG))
+    return G.join_coverage_report(e, W.reservations(spark, d), W.display_units(spark, d), res22, fact, dli, budget,
+                                  G.build_dim_player(players))
 
 
 @register("job_lines_without_reservation", f"""
-{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, _FACT_SQL.split('dli_all AS')[0].rstrip().rstrip(','))},
-dli_all AS (SELECT c.line_item_id, c.status_name, r.reservation_id FROM campaigns c LEFT JOIN resfull r ON r.line_item_id = c.line_item_id
-            WHERE coalesce(NOT c.campaign_id IN {_in(JOB_CFG['excluded_campaign_ids'])}, true))
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, OVERRIDES_SQL, _DLI_ALL_SQL)}
 SELECT status_name, count(*) AS n FROM dli_all WHERE reservation_id IS NULL AND status_name IS NOT NULL GROUP BY 1""")
 def q_job_lines_without_reservation(spark, d):
     from ..operators.quality import missing_by

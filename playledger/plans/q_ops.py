@@ -416,10 +416,9 @@ SELECT l_orderkey AS campaign_id, round(CAST(sum(l_extendedprice) AS DECIMAL(38,
 FROM lineitem GROUP BY l_orderkey""")
 def q_campaign_totals(spark, d):
     li = T(spark, d, "lineitem")
-    return R.rollup(li, ["l_orderkey"], counts={"n_lines": "*"}).join(
-        li.groupBy("l_orderkey").agg(sum_round("l_extendedprice", 2).alias("sum_line_prices"),
-                                      F.date_format(F.min("l_shipdate"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("first_ship")), "l_orderkey") \
-        .withColumnRenamed("l_orderkey", "campaign_id")
+    return li.groupBy(F.col("l_orderkey").alias("campaign_id")).agg(
+        sum_round("l_extendedprice", 2).alias("sum_line_prices"), F.count(F.lit(1)).alias("n_lines"),
+        F.date_format(F.min("l_shipdate"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("first_ship"))
 
 
 @register("balancing_rows", """

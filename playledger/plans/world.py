@@ -22,8 +22,7 @@ T = A.table
 
 def proposals(spark: SparkSession, d: str) -> DataFrame:
     o = T(spark, d, "orders")
-    status = (F.when(F.col("o_orderstatus") == "O", "live").when(F.col("o_orderstatus") == "F", "ended")
-               .otherwise("draft"))
+    status = F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "F", 2).otherwise(3).cast("bigint")
     return o.select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("Kampania "), F.col("o_orderkey").cast("string")).alias("name"),
@@ -37,28 +36,40 @@ def proposals(spark: SparkSession, d: str) -> DataFrame:
         F.date_add(F.to_date("o_orderdate"), 30).alias("end_date"),
         round_half_up(F.col("o_totalprice") * 1.02, 2).alias("price"),
         (F.col("o_custkey") % 20).alias("owner_user_id"),
+        (F.col("o_orderkey") % 10).cast("double").alias("discount"),
+        round_half_up(F.col("o_totalprice") * 1.1, 2).alias("suggested_price"),
+        F.concat(F.lit("Owner "), (F.col("o_custkey") % 20).cast("string")).alias("owner_user_name"),
         F.to_json(F.struct((F.col("o_orderkey") % 7).alias("goal"), F.col("o_orderpriority").alias("tier"))).alias("performance"),
     )
 
 
 PROPOSALS_SQL = """proposals AS (
   SELECT o_orderkey AS id, 'Kampania ' || CAST(o_orderkey AS VARCHAR) AS name,
-         CASE o_orderstatus WHEN 'O' THEN 'live' WHEN 'F' THEN 'ended' ELSE 'draft' END AS status,
+         CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END AS BIGINT) AS status,
          o_custkey AS client_id, CASE WHEN o_custkey % 2 = 0 THEN 'Klient ' || CAST(o_custkey AS VARCHAR) END AS client_name,
          'Adv ' || CAST(o_custkey % 50 AS VARCHAR) AS advertiser, o_orderkey AS contract_id,
          CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS contract_number,
          CAST(o_orderdate AS DATE) AS start_date, CAST(o_orderdate AS DATE) + 30 AS end_date,
          round(CAST(o_totalprice * 1.02 AS DECIMAL(38,10)), 2)::DOUBLE AS price, o_custkey % 20 AS owner_user_id,
+         CAST(o_orderkey % 10 AS DOUBLE) AS discount, round(CAST(o_totalprice * 1.1 AS DECIMAL(38,10)), 2)::DOUBLE AS suggested_price,
+         'Owner ' || CAST(o_custkey % 20 AS VARCHAR) AS owner_user_name,
          o_orderkey % 7 AS perf_goal, o_orderpriority AS perf_tier
   FROM orders)"""
 
 
 def proposal_items(spark: SparkSession, d: str) -> DataFrame:
     li = A.line_items(spark, d)
-    buy = F.to_json(F.struct((F.col("screen_count") * 5).alias("saturation"),
-                             F.struct(F.col("line_item_id").alias("id"), (F.col("line_item_id") % 3).alias("tier")).alias("budget")))
+    line = F.col("line_item_id")
+    buy = F.to_json(F.struct((F.col("screen_count") * 5).alias("saturation"), (F.col("screen_count") * 4).alias("bs_saturation"),
+                             (F.col("screen_count") / 8.0).alias("sov"),
+                             F.struct(line.alias("id"), (line % 3).alias("tier")).alias("budget")))
     perf = F.to_json(F.struct(F.col("perf_expected_repetitions").alias("expected_repetitions"),
-                              F.col("perf_actual_repetitions").alias("actual_repetitions")))
+                              F.col("perf_actual_repetitions").alias("actual_repetitions"),
+                              (F.col("perf_expected_repetitions") * 3).alias("expected_impressions"),
+                              (F.col("perf_actual_repetitions") * 3).alias("actual_impressions"),
+                              F.when(line % 7 == 0, None).when(line % 2 == 0, "ON_TRACK").otherwise("UNDER_PERFORMING").alias("status")))
+    delivery = F.to_json(F.struct(F.when(line % 3 == 0, "asap").otherwise("even").alias("mode"), F.struct((line % 50).alias("daily")).alias("cap")))
+    priority = F.when(line % 13 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct((line % 4).alias("level"))))
     return li.select(
         F.col("line_item_id").alias("id"),
         F.when(F.col("line_item_id") % 5 != 0, F.col("campaign_id")).alias("campaign_id"),
@@ -70,7 +81,10 @@ def proposal_items(spark: SparkSession, d: str) -> DataFrame:
         (F.col("campaign_id") % 20).alias("owner_user_id"),
         F.when(F.col("line_item_id") % 3 == 0, F.lit("Adv item")).alias("advertiser"),
         F.when(F.col("line_item_id") % 11 == 0, F.lit("not json")).otherwise(buy).alias("buy_details"),
-        perf.alias("performance"),
+        perf.alias("performance"), delivery.alias("delivery"), priority.alias("priority"),
+        F.when(line % 2 == 0, "guaranteed").otherwise("open").alias("type_of_buy"), (line % 2 == 0).alias("is_preemptible"),
+        (line % 6).alias("status_id"), (F.col("screen_count") % 3 + 1).alias("group_count"),
+        round_half_up(F.col("line_price") * 1.25, 2).alias("suggested_price"),
     )
 
 
@@ -81,14 +95,30 @@ items AS (
          slot_duration, screen_count, campaign_id % 20 AS owner_user_id,
          CASE WHEN line_item_id % 3 = 0 THEN 'Adv item' END AS advertiser,
          CASE WHEN line_item_id % 11 = 0 THEN NULL ELSE screen_count * 5 END AS buy_saturation,
+         CASE WHEN line_item_id % 11 = 0 THEN NULL ELSE screen_count * 4 END AS buy_bs_saturation,
+         CASE WHEN line_item_id % 11 = 0 THEN NULL ELSE screen_count / 8.0 END AS buy_sov,
+         perf_expected_repetitions * 3 AS perf_expected_impressions, perf_actual_repetitions * 3 AS perf_actual_impressions,
+         CASE WHEN line_item_id % 7 = 0 THEN NULL WHEN line_item_id % 2 = 0 THEN 'ON_TRACK' ELSE 'UNDER_PERFORMING' END AS perf_status,
+         CASE WHEN line_item_id % 3 = 0 THEN 'asap' ELSE 'even' END AS del_mode, line_item_id % 50 AS "del_cap.daily",
+         CASE WHEN line_item_id % 13 = 0 THEN NULL ELSE line_item_id % 4 END AS priority_level,
+         CASE WHEN line_item_id % 2 = 0 THEN 'guaranteed' ELSE 'open' END AS type_of_buy, line_item_id % 2 = 0 AS is_preemptible,
+         line_item_id % 6 AS status_id, screen_count % 3 + 1 AS group_count,
+         round(CAST(line_price * 1.25 AS DECIMAL(38,10)), 2)::DOUBLE AS suggested_price,
          CASE WHEN line_item_id % 11 = 0 THEN NULL ELSE line_item_id END AS "buy_budget.id",
          CASE WHEN line_item_id % 11 = 0 THEN NULL ELSE line_item_id % 3 END AS "buy_budget.tier",
          perf_expected_repetitions AS perf_expected_repetitions, perf_actual_repetitions AS perf_actual_repetitions
   FROM li)"""
 
-BUY_SCHEMA = "saturation bigint, budget struct<id: bigint, tier: bigint>"
-PERF_SCHEMA = "expected_repetitions double, actual_repetitions double"
-CAMP_PERF_SCHEMA = "goal bigint, tier string"
+#: Declared keys of the JSON columns, by the prefix of their columns.
+JSON_SCHEMAS = {
+    "buy_": "saturation bigint, bs_saturation bigint, sov double, budget struct<id: bigint, tier: bigint>",
+    "perf_": "expected_repetitions double, actual_repetitions double, expected_impressions double, actual_impressions double, status string",
+    "del_": "mode string, cap struct<daily: bigint>",
+    "priority_": "level bigint",
+    "camp_perf_": "goal bigint, tier string",
+}
+#: Reservations that occur in the play log but were never booked (the manual overrides name two of them).
+UNBOOKED = [311, 321, 331]
 
 
 def users(spark: SparkSession, d: str) -> DataFrame:
@@ -108,11 +138,12 @@ def reservations_v22(spark: SparkSession, d: str) -> DataFrame:
     b = li.where(F.col("screen_count") == 1).select((F.col("line_item_id") * 10 + 2).alias("id"),
                                                     F.col("line_item_id").alias("proposal_line_item_id"),
                                                     F.lit("held").alias("booking_state"))
-    return a.unionByName(b)
+    return a.unionByName(b).where(~F.col("id").isin(UNBOOKED))
 
 
-RES22_SQL = """res22 AS (
-  SELECT line_item_id * 10 + 1 AS id, line_item_id AS proposal_line_item_id, 'booked' AS booking_state FROM li WHERE screen_count % 4 <> 0
+RES22_SQL = f"""res22 AS (
+  SELECT line_item_id * 10 + 1 AS id, line_item_id AS proposal_line_item_id, 'booked' AS booking_state FROM li
+  WHERE screen_count % 4 <> 0 AND NOT line_item_id * 10 + 1 IN ({', '.join(map(str, UNBOOKED))})
   UNION ALL SELECT line_item_id * 10 + 2, line_item_id, 'held' FROM li WHERE screen_count = 1)"""
 
 

@@ -48,8 +48,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage; we only read it.  When it is
-    unset (unit tests, a laptop) a private folder is created and registered, never on a cluster path.
+    On a cluster this is set by the operator and points at shared storage; we only read it, and refuse to go on
+    when it is unset.  A local master (unit tests, a laptop) gets a private folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="playledger-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -73,16 +75,20 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def input_bytes(paths: list[str]) -> int:
-    """Total size of the files under local paths (used to size partitions; on a cluster pass the table sizes)."""
+def path_of(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` in whatever store it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def input_bytes(paths: list[str], spark: SparkSession | None = None) -> int:
+    """Total size of the files under ``paths``, asked of the file system that holds them (to size partitions)."""
+    spark = spark or SparkSession.getActiveSession()
     total = 0
     for p in paths:
-        p = p.replace("file:", "")
-        if os.path.isfile(p):
-            total += os.path.getsize(p)
-        else:
-            for root, _, files in os.walk(p):
-                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+        fs, at = path_of(spark, p)
+        total += fs.getContentSummary(at).getLength() if fs.exists(at) else 0
     return total
 
 

@@ -83,6 +83,14 @@ def read_dictionary(spark: SparkSession, path: str, known_types=K.KNOWN_RESOURCE
     return ok, rejects
 
 
+def read_two_columns(spark: SparkSession, path: str) -> DataFrame:
+    """The first two columns of headed TSV files, whatever their header calls them: (id, val, src_file, file_date)."""
+    csv = spark.read.option("header", True).option("sep", "\t").csv(path)
+    a, b = csv.columns[:2]
+    return csv.select(F.col(f"`{a}`").alias("id"), F.col(f"`{b}`").alias("val"), F.col("_metadata.file_path").alias("src_file"),
+                      file_date(F.regexp_extract(F.col("_metadata.file_path"), r".*(\d{4}-\d{2}-\d{2})", 1)).alias("file_date"))
+
+
 ARCHIVE_NAME = r"resources-\d{4}-\d{2}-\d{2}\.txt(\.gz)?"
 
 
@@ -160,9 +168,13 @@ def read_paged_json(spark: SparkSession, path: str, item_schema: str, paths: lis
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Run-log text lines with file name and line position (for ordering within a file)."""
-    return (spark.read.text(path)
-                 .select(F.col("_metadata.file_name").alias("log"), F.monotonically_increasing_id().alias("line_no"), "value"))
+    """Run-log text lines with file name and line position.  A log file is one run's output and small, so it is read
+    whole: the position is the line's own, however the folder is split over tasks."""
+    whole = spark.read.option("wholetext", True).text(path).select("*", F.col("_metadata.file_name").alias("log"))
+    lines = whole.select("*", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")).drop("value")
+    return lines.where("line != ''").select("log", F.col("line_no").cast("bigint").alias("line_no"),
+                                            *[c for c in lines.columns if c not in ("log", "line_no", "line")],
+                                            F.col("line").alias("value"))
 
 
 def index_files(pages: DataFrame, html_col: str = "html", prefix: str = "playlog-",

@@ -1,82 +1,147 @@
 """Writers for the refresh strategies (M1-M4, M10-M12): thin persistence around the pure merges.
 
-Reading and overwriting the same table is never done in one plan: the merged result is first cut from
-its lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir`` (survives executor loss),
-then written.
+A batch is computed once: it is cut from its lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``
+(survives executor loss), or staged.  Reading and overwriting the same table is never done in one plan.  A whole table
+is replaced by writing the new copy beside it and swapping the two by name; parts of one by dynamic partition
+overwrite, which stages the new files and moves them when the job commits.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import merge as M
-from ..session import cut_lineage
+from ..session import cut_lineage, path_of
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+    """Whether the path is there; any other trouble with it (access, damaged files) is an error where it is read."""
+    fs, at = path_of(spark, path)
+    return fs.exists(at)
+
+
+def _layout(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows of a partition value together, large values in several even parts: few files for each."""
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by]) if partition_by else df
+
+
+def _stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex[:12]}"
+    w = _layout(df, partition_by).write.mode("errorifexists")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
+    return staged
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the staged copy in the table's place.  The old copy goes last: a failure in between leaves both on disk."""
+    fs, new = path_of(spark, staged)
+    _, at = path_of(spark, path)
+    _, old = path_of(spark, staged.replace("__staged_", "__old_"))
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"cannot move the old table {path}")
+    if not fs.rename(new, at):
+        if had:
+            fs.rename(old, at)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def write_guarded(df: DataFrame, path: str, partition_by: list[str] | None = None) -> bool:
-    """Overwrite unless the batch is empty (an empty refetch never replaces data).  Returns
-    whether it wrote."""
-    if df.isEmpty():
+    """Replace the whole table unless the batch is empty (an empty refetch never replaces data).  Returns
+    whether it wrote.  The batch is computed once, into the staged copy; days that it lacks are gone afterwards."""
+    spark = df.sparkSession
+    staged = _stage(df, path, partition_by)
+    if spark.read.schema(df.schema).parquet(staged).isEmpty():
+        fs, at = path_of(spark, staged)
+        fs.delete(at, True)
         return False
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    _swap(spark, staged, path)
     return True
 
 
+def stored_table(spark: SparkSession, path: str, typed: T.StructType | None = None) -> DataFrame:
+    """The table at ``path`` with its own columns, whichever of its files have them; columns of ``typed`` that make up
+    the folder names keep their declared type."""
+    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+    declared = {f.name: f.dataType for f in typed.fields} if typed else {}
+    fields = [T.StructField(f.name, declared.get(f.name, f.dataType)) for f in schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _replace_parts(rows: DataFrame, path: str, part: str) -> None:
+    """Replace the partitions that ``rows`` has; all others stay as they are."""
+    (_layout(rows, [part]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(part).parquet(path))
+
+
 BUCKET_COL = "__bucket"
+#: Rows of a new table's first batch (or its expected rows) per bucket, when no count is given.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def _bucket_file(path: str) -> str:
+    return f"{path.rstrip('/')}/_buckets"  # a leading underscore keeps it out of the data
+
+
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """The bucket count that a table of :func:`write_upsert` was created with."""
+    return int(spark.read.schema("n string").text(_bucket_file(path)).first()["n"])
 
 
 def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], order: list | None = None,
-                 buckets: int = 64) -> None:
+                 buckets: int | None = None, expected_rows: int | None = None) -> None:
     """M2/M5: key upsert into a Parquet table (created by the first batch).
 
-    The table is partitioned by a hash bucket of the key; a batch reads only the buckets it touches (partition
-    pruning through the semi join) and replaces only those (dynamic partition overwrite: new files are staged
-    and swapped in at job commit, other buckets are never rewritten), so the cost follows the batch, not the
-    table, and a failed job leaves the table as it was."""
-    if new.isEmpty():
+    The table is partitioned by a hash bucket of the key; a batch reads and replaces only the buckets it touches.  The
+    count is fixed and stored when the table is created: ``buckets``, or one for each million of ``expected_rows``
+    (else of the first batch's rows).  A later call may leave it out; another count is refused, since keys would land
+    in other buckets.  A batch of scattered keys touches most buckets, so choose as many as make a bucket small beside
+    the table; NULL keys are keys like any other, and columns that the batch lacks are kept (NULL in its rows)."""
+    batch = cut_lineage(new)
+    if batch.isEmpty():
         return
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-    batch = new.withColumn(BUCKET_COL, bucket)
-    if not table_exists(spark, path):
-        batch.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
+    first = not table_exists(spark, path)
+    if first:
+        n = buckets or max(1, -(-(expected_rows or batch.count()) // ROWS_PER_BUCKET))
+    else:
+        n = bucket_count(spark, path)
+        if buckets not in (None, n):
+            raise ValueError(f"{path} has {n} buckets, not {buckets}")
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int")
+    batch = batch.withColumn(BUCKET_COL, bucket)
+    if first:
+        once = M.upsert(batch.limit(0), batch, keys, order=order)
+        staged = _stage(once, path, [BUCKET_COL])
+        spark.createDataFrame([(str(n),)], "n string").coalesce(1).write.text(_bucket_file(staged))
+        _swap(spark, staged, path)
         return
     touched = batch.select(BUCKET_COL).distinct()
-    old = spark.read.schema(batch.schema).parquet(path).join(touched, BUCKET_COL, "left_semi")
-    merged = cut_lineage(M.upsert(old, batch, keys, order=order))
-    (merged.select(*batch.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET_COL).parquet(path))
+    old = stored_table(spark, path, batch.schema).join(touched, BUCKET_COL, "left_semi")
+    _replace_parts(cut_lineage(M.upsert(old, batch, keys, order=order)), path, BUCKET_COL)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
     """A table written by :func:`write_upsert`, without its bucket column."""
-    return spark.read.parquet(path).drop(BUCKET_COL)
+    return stored_table(spark, path).drop(BUCKET_COL)
 
 
 def write_replace_days(spark: SparkSession, new: DataFrame, path: str, date_col: str,
                        dates: list | DataFrame | None = None) -> None:
-    """Date-partitioned table; the batch's dates (or ``dates``) are replaced and every other
-    partition stays untouched (dynamic partition overwrite).  Rows the batch carries for other dates are
-    appended to those dates' existing rows."""
+    """Date-partitioned table; the batch's dates (or ``dates``) are replaced and every other partition stays
+    untouched.  Rows the batch carries for other dates are appended to those dates' existing rows.  Rows without a
+    date are kept and added to (see :func:`~playledger.operators.merge.replace_dates`)."""
+    batch = cut_lineage(new)
     if not table_exists(spark, path):
-        new.write.mode("overwrite").partitionBy(date_col).parquet(path)
+        _swap(spark, _stage(batch, path, [date_col]), path)
         return
-    touched = new.select(date_col).distinct()
-    # read with the batch's own schema: the partition column keeps its declared type (no inference)
-    old = spark.read.schema(new.schema).parquet(path).join(touched, date_col, "left_semi")
-    merged = cut_lineage(M.replace_dates(old, new, date_col, dates))
-    (merged.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(date_col).parquet(path))
+    touched = batch.select(date_col).distinct()
+    old = M.match_keys(stored_table(spark, path, batch.schema), touched, date_col, "left_semi")
+    _replace_parts(cut_lineage(M.replace_dates(old, batch, date_col, dates)), path, date_col)
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
@@ -101,7 +166,7 @@ def import_historical(spark: SparkSession, csv_path: str, table_path: str) -> bo
     from .readers import read_csv_bootstrap
     if table_exists(spark, table_path) and not spark.read.parquet(table_path).isEmpty():
         return False
-    read_csv_bootstrap(spark, csv_path).write.mode("overwrite").parquet(table_path)
+    _swap(spark, _stage(read_csv_bootstrap(spark, csv_path), table_path), table_path)
     return True
 
 
@@ -110,12 +175,13 @@ def replace_with_guard(spark: SparkSession, new: DataFrame, path: str, ratio: fl
     """Replace the table at ``path`` only if the new copy has at least ``ratio`` x its rows (or ``force``);
     with ``snapshot_date`` the new copy is also kept as ``<path>_snapshots/snapshot_date=<date>``.  Returns
     whether it replaced."""
-    if table_exists(spark, path):
-        check = M.shrink_check(spark.read.parquet(path), new, ratio, force).first()
-        if not check["ok"]:
-            return False
-        new = cut_lineage(new)            # the old copy is about to be overwritten: never read it while writing
-    new.write.mode("overwrite").parquet(path)
+    staged = _stage(new, path)
+    copy = spark.read.schema(new.schema).parquet(staged)
+    if table_exists(spark, path) and not M.shrink_check(spark.read.parquet(path), copy, ratio, force).first()["ok"]:
+        fs, at = path_of(spark, staged)
+        fs.delete(at, True)
+        return False
     if snapshot_date:
-        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}_snapshots/snapshot_date={snapshot_date}")
+        copy.write.mode("overwrite").parquet(f"{path.rstrip('/')}_snapshots/snapshot_date={snapshot_date}")
+    _swap(spark, staged, path)
     return True

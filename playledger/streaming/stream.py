@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.merge import match_keys
 from ..operators.rollup import hourly_rollup
+from ..session import cut_lineage, scratch_path
 from ..sources import sinks
-from ..session import scratch_path
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
@@ -29,7 +30,10 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType | str, f
 
 
 def hourly_window_counts(stream: DataFrame, ts: str, keys: list[str], value: str, watermark: str = "2 hours") -> DataFrame:
-    """Per (hour window, keys): plays and summed value; state older than the watermark is dropped."""
+    """Per (hour window, keys): plays and summed value; state older than the watermark is dropped.
+
+    Plays behind the watermark are not in the counts.  :func:`run_available_now` reports how many (window, key) groups
+    of them there were; redeliver their day through :func:`replace_day_batches`, which has no watermark, to count them."""
     return (stream.withWatermark(ts, watermark)
                   .groupBy(F.window(ts, "1 hour").alias("w"), *keys)
                   .agg(F.count(F.lit(1)).alias("emisje"), F.sum(value).alias("Duration"))
@@ -37,25 +41,28 @@ def hourly_window_counts(stream: DataFrame, ts: str, keys: list[str], value: str
 
 
 def run_available_now(df: DataFrame, batch_fn, name: str, checkpoint: str | None = None,
-                      output_mode: str = "update", timeout_s: int = 600) -> str:
+                      output_mode: str = "update", timeout_s: int | None = None, late: list | None = None) -> str:
     """Drain a stream with ``Trigger.AvailableNow`` through ``batch_fn(batch_df, epoch_id)``; returns the
-    checkpoint path (reuse it to resume)."""
+    checkpoint path (reuse it to resume).  It ends when everything is drained, unless ``timeout_s`` sets a limit.
+    ``late`` gets the number of groups of rows that the watermark has dropped."""
     spark = df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
     q = (df.writeStream.outputMode(output_mode).foreachBatch(batch_fn)
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() is None
     if not finished:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if q.exception():
         raise q.exception()
+    if late is not None:
+        late.append(sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"]))
     return checkpoint
 
 
-def upsert_batches(table_path: str, keys: list[str], buckets: int = 64):
-    """T4: foreachBatch function that upserts each micro-batch into ``table_path`` by ``keys`` (``buckets`` key-hash
-    partitions: size it to the table - a micro-batch rewrites only the buckets it touches)."""
+def upsert_batches(table_path: str, keys: list[str], buckets: int | None = None):
+    """T4: foreachBatch function that upserts each micro-batch into ``table_path`` by ``keys`` (``buckets``: see
+    :func:`~playledger.sources.sinks.write_upsert`; a micro-batch rewrites only the buckets it touches)."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
         sinks.write_upsert(batch.sparkSession, batch, table_path, keys, buckets=buckets)
     return fn
@@ -83,22 +90,31 @@ def play_log_file_stream(spark: SparkSession, landing: str, max_files: int | Non
 
 
 def ingest_play_log_batches(table_path: str, keys: list[str], sums: dict):
-    """C1 per micro-batch: hourly roll-up of the batch, then replace the days of the batch's *files* (rows the
-    files carry for other days are appended to those days, as the source system does).  The table is
-    partitioned by day and only the touched days are rewritten (dynamic partition overwrite, staged and
-    swapped at commit), so a retried or failed batch never leaves a half-written table."""
+    """C1 per micro-batch: hourly roll-up by file, then the files' days.
+
+    A day's rows are those of the day's own file.  Rows that another file carries for the day (plays that end past
+    midnight) count only as long as the day's own file has not been loaded, so the result does not depend on which
+    files share a batch.  A file delivered again replaces all its rows.  The table is partitioned by day and keeps
+    ``file_date``; only the files' days and the days beside them are rewritten."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        agg = hourly_rollup(batch, keys, ts="DateEndTime", sums=sums, scale=None).drop("timeslot_label")
-        file_days = batch.select(F.col("file_date").alias("DateEnd")).distinct()
-        if not sinks.table_exists(spark, table_path):
-            agg.write.mode("overwrite").partitionBy("DateEnd").parquet(table_path)
-            return
-        from ..operators.merge import replace_dates
-        from ..session import cut_lineage
-        touched = agg.select("DateEnd").unionByName(file_days).distinct()
-        old = spark.read.schema(agg.schema).parquet(table_path).join(touched, "DateEnd", "left_semi")
-        merged = cut_lineage(replace_dates(old, agg, "DateEnd", file_days))
-        (merged.select(*agg.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("DateEnd").parquet(table_path))
+        agg = cut_lineage(hourly_rollup(batch, [*keys, "file_date"], ts="DateEndTime", sums=sums, scale=None)
+                          .drop("timeslot_label"))
+        files = cut_lineage(batch.select("file_date").distinct())
+        first = not sinks.table_exists(spark, table_path)
+        rows = agg
+        if not first:
+            stored = sinks.stored_table(spark, table_path, agg.schema)
+            beside = files.select(F.explode(F.array(*[F.date_format(F.date_add(F.to_date("file_date"), d), "yyyy-MM-dd")
+                                                      for d in (-1, 0, 1)])).alias("DateEnd"))
+            touched = beside.union(agg.select("DateEnd")).distinct()
+            old = match_keys(match_keys(stored, touched, "DateEnd", "left_semi"), files, "file_date", "left_anti")
+            rows = old.unionByName(agg, allowMissingColumns=True)
+        own = rows.where("file_date = DateEnd").select("DateEnd").union(files).distinct()
+        spill = rows.where(~F.col("file_date").eqNullSafe(F.col("DateEnd")))
+        kept = rows.where("file_date = DateEnd").unionByName(match_keys(spill, own, "DateEnd", "left_anti"))
+        if first:
+            sinks._swap(spark, sinks._stage(kept, table_path, ["DateEnd"]), table_path)
+        else:
+            sinks._replace_parts(cut_lineage(kept), table_path, "DateEnd")
     return fn
