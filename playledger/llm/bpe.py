@@ -26,7 +26,9 @@ from .common import batches_of, per_worker
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bounds of a worker's tables: states, checked token pairs, remembered pieces (and words) and their longest length.
-STATES, PAIRS, MEMORY, LONG = 100_000, 1_000_000, 150_000, 48
+STATES, PAIRS, MEMORY, LONG = 100_000, 1_000_000, 200_000, 48
+#: Bytes of the beginnings that are remembered, and how many of them.
+HEAD, HEADS = 5, 50_000
 #: Prefixes of a piece that are held before the settled tokens leave.
 WINDOW = 512
 ROWS = 128
@@ -47,6 +49,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
+        self.size = {i: len(t) for i, t in self.token.items()}
         # tokens that merges reach; an unreachable one can only be a piece by itself
         self.reachable = {t: i for t, i in ranks.items() if self.merge(t) == [i]}
         self.begins = {t[:k] for t in self.reachable for k in range(1, len(t))}
@@ -72,6 +75,7 @@ class Transducer:
     def _restart(self) -> None:
         #: a state is known by the longest of its beginnings; it is (steps by byte, ends, that beginning)
         self.states: dict[bytes, tuple] = {b"": ({}, (), b"")}
+        self.heads: dict[bytes, tuple] = {}
 
     def _fit(self, left: int | None, right: int) -> bool:
         """May ``right`` follow ``left``?  None: a prefix at which no token begins; -1: the beginning of the piece."""
@@ -100,38 +104,58 @@ class Transducer:
         state[0][byte] = after
         return after
 
-    def piece(self, text: bytes) -> tuple[int, ...]:
+    def piece(self, text: bytes) -> list[int]:
+        """The ids of one piece."""
         whole = self.ranks.get(text)
         if whole is not None:
-            return whole,
+            return [whole]
         if len(self.states) > STATES:
             self._restart()
+        # many pieces begin alike: the walk starts behind a beginning that it has been over before
+        head = text[:HEAD]
+        begun = self.heads.get(head)
+        if begun is None:
+            if len(self.heads) >= HEADS:
+                self.heads.clear()
+            begun = self.heads[head] = self._walk(head, self.states[b""], [-1], [])
+        state, last = begun
         out: list[int] = []
-        last: list = [-1]  # the last token of each prefix since the settled one
-        state, n = self.states[b""], 0
+        _, last = self._walk(text[HEAD:], state, last.copy(), out)
+        own, size, n = [], self.size, len(last) - 1
+        while n:
+            token = last[n]
+            own.append(token)
+            n -= size[token]
+        return out + own[::-1]
+
+    def _walk(self, text: bytes, state: tuple, last: list, out: list[int]) -> tuple[tuple, list]:
+        """Read ``text`` on from ``state``; ``last`` has the last token of each prefix since the settled one."""
         for byte in text:
-            state = state[0].get(byte) or self._step(state, byte)
-            n += 1
+            try:
+                state = state[0][byte]
+            except KeyError:
+                state = self._step(state, byte)
             for size, token, known in state[1]:
-                if size <= n:
-                    left = last[n - size]
-                    fit = known.get(left)
-                    if fit or fit is None and self._fit(left, token):
-                        last.append(token)
-                        break
+                try:
+                    fit = known[last[-size]]
+                except KeyError:
+                    fit = self._fit(last[-size], token)
+                if fit:
+                    last.append(token)
+                    break
             else:
                 raise ValueError("the ranks lack a byte")
-            if n >= WINDOW:
+            if len(last) > WINDOW:
                 last = self._settle(state[2], last, out)
-                n = len(last) - 1
-        return (*out, *self._back(last, n)[1])
+        return state, last
 
     def _back(self, last: list, at: int) -> tuple[list[int], list[int]]:
         """The prefixes (by their place in ``last``) and the tokens on the way to prefix ``at``, in order."""
-        places, tokens = [at], []
+        places, tokens, size = [at], [], self.size
         while at:
-            tokens.append(last[at])
-            at -= len(self.token[last[at]])
+            token = last[at]
+            tokens.append(token)
+            at -= size[token]
             places.append(at)
         return places[::-1], tokens[::-1]
 
@@ -151,21 +175,28 @@ class Transducer:
         return [last[p] if p in used else None for p in range(base, len(last))]
 
 
-class Memory:
-    """A bounded memory of results by key: what was not asked for since the last ``size`` new keys is forgotten."""
+class Memory(dict):
+    """``make(key)`` by key, remembered; what was not asked for since the last ``MEMORY`` new keys is forgotten."""
 
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
+    def __init__(self, make):
+        self.make, self.old = make, {}
 
-    def put(self, key, value):
-        if len(self.new) >= self.size:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONG:
+            if len(self) >= MEMORY:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
         return value
 
 
 class Encoder:
-    """Cuts texts into pieces and encodes them; often seen pieces, and words with what sticks to them, are remembered."""
+    """Cuts texts into pieces and encodes them; words with what sticks to them are remembered.
+
+    Ids are packed as unsigned 32-bit integers in the machine's byte order."""
 
     def __init__(self, ranks: dict[bytes, int]):
         import public_tokenizers
@@ -175,40 +206,30 @@ class Encoder:
         # A space before another character than white space always begins a piece, and what stands before it is cut
         # the same without it: a text may be cut there first.  Not so at other spaces.
         self.other_space = regex.compile(r" (?:\s|$)")
-        self.pieces, self.words = Memory(MEMORY), Memory(MEMORY)
+        self.pieces, self.words = Memory(self._piece), Memory(self._word)
 
-    def _pieces(self, pieces) -> list[int]:
-        out: list[int] = []
-        memory = self.pieces
-        for p in pieces:
-            ids = memory.new.get(p)
-            if ids is None:
-                ids = memory.old.get(p) or self.transducer.piece(p.encode())
-                if len(p) <= LONG:
-                    memory.put(p, ids)
-            out += ids
-        return out
-
-    def encode(self, text: str) -> array:
-        """The ids of a text as unsigned 32-bit integers."""
-        out = array("I")
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.transducer.piece(piece.encode())).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """A space and ``word``, which begins with no white space."""
+        if word.isalpha():  # letters are one piece
+            return self._piece(" " + word)
+        if word[:-1].isalpha() and word[-1] in ",.;:!?":
+            return self.words[word[:-1]] + self.pieces[word[-1]]
+        return self._cut(" " + word)
+
+    def _cut(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
+
+    def encode(self, text: str) -> bytes:
+        """The packed ids of a text."""
         if len(text) >= 1 << 20:  # one piece at a time
-            for m in self.pattern.finditer(text):
-                out.extend(self._pieces((m.group(),)))
-        elif self.other_space.search(text):
-            out.extend(self._pieces(self.pattern.findall(text)))
-        elif text:
-            first, *rest = text.split(" ")
-            out.extend(self._pieces(self.pattern.findall(first)))
-            memory = self.words
-            for w in rest:
-                ids = memory.new.get(w)
-                if ids is None:
-                    ids = memory.old.get(w) or array("I", self._pieces(self.pattern.findall(" " + w)))
-                    if len(w) <= LONG:
-                        memory.put(w, ids)
-                out += ids
-        return out
+            return b"".join(self.pieces[m.group()] for m in self.pattern.finditer(text))
+        if self.other_space.search(text):
+            return self._cut(text)
+        first, *rest = text.split(" ")
+        return self._cut(first) + b"".join(map(self.words.__getitem__, rest))
 
 
 class Decoder:
@@ -270,13 +291,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     def run(frames):
         coder = per_worker(("bpe", ranks_path), lambda: Encoder(read_ranks(ranks_path)))
         for b in batches_of(frames, ROWS):
-            flat, ends = array("I"), [0]
-            for text in b.column(1).to_pylist():
-                if text:
-                    flat += coder.encode(text)
-                ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.uint32).view(np.int32)
-                                                                               if flat else np.zeros(0, np.int32)))
+            packed = [coder.encode(text) if text else b"" for text in b.column(1).to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["doc_id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
