@@ -4,15 +4,16 @@ from hypothesis import strategies as st
 
 from playledger.operators import merge as M
 
-ROW = st.tuples(st.integers(0, 6), st.sampled_from(["2024-01-01", "2024-01-02", "2024-01-03"]), st.integers(0, 9))
+ROW = st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from([None, "2024-01-01", "2024-01-02", "2024-01-03"]),
+                st.integers(0, 9))
 SCHEMA = "id long, day string, v long"
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.select("id", "day", "v").collect())
+    return sorted((tuple(r) for r in df.select("id", "day", "v").collect()), key=str)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(ROW, max_size=8), st.lists(ROW, max_size=8))
 def test_idempotent(spark, old_rows, new_rows):
     old = spark.createDataFrame(old_rows, SCHEMA)
@@ -23,6 +24,8 @@ def test_idempotent(spark, old_rows, new_rows):
     assert rows(M.add_only(once, new, "id")) == rows(once)
     once = M.replace_dates(old, new, "day")
     assert rows(M.replace_dates(once, new, "day")) == rows(once)
+    once = M.reaggregate_union(old, new, ["id", "day"], ["v"], "day")
+    assert rows(M.reaggregate_union(once, new, ["id", "day"], ["v"], "day")) == rows(once)
     once = M.append_new(old, new, "day")
     assert rows(M.append_new(once, new, "day")) == rows(once)
 

@@ -8,27 +8,42 @@ from tests.conftest import SF_SMALL
 SIDE_EFFECT = {"play_log_tsv", "dictionary_tsv", "dictionary_rejects", "dictionary_archive", "csv_bootstrap", "json_pages",
                "run_log_text", "stream_hourly", "stream_replace_day", "stream_upsert", "job_ingest_play_logs",
                "job_control_sync", "content_meta", "job_resources_latest", "dictionary_latest_file",
-               "csv_bootstrap_guarded"}
+               "csv_bootstrap_guarded", "upsert_null_keys", "upsert_missing_column", "replace_day_null_day",
+               "full_rebuild_drops_days", "ingest_spill", "job_pop_month", "dictionary_two_columns", "item_export"}
 
 
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# Nested-loop join that is expected: in latest_per_key the analog's source-file names are literals, so
-# Catalyst folds the anti-join key to a constant (the build side is the batch's distinct file names - a
-# handful of rows).
-NESTED_LOOP_OK = {"latest_per_key"}
-
-
 @pytest.mark.parametrize("name", sorted(n for n in load_all() if n not in SIDE_EFFECT))
 def test_no_udf_no_cartesian(spark, name):
     fn, _ = load_all()[name]
     p = plan_text(fn(spark, SF_SMALL))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
     assert "CartesianProduct" not in p
-    if name not in NESTED_LOOP_OK:
-        assert "BroadcastNestedLoopJoin" not in p
+    assert "BroadcastNestedLoopJoin" not in p
+
+
+def executed(df):
+    run = df._jdf.queryExecution()
+    run.toRdd().count()
+    final = run.executedPlan().toString()
+    return final.split("== Initial Plan ==")[0]
+
+
+def test_stored_inputs_are_read_once_per_use(spark):
+    """The play fact and the health fact read stored silver, not the raw tables again and again."""
+    fact = executed(load_all()["job_fact_play_logs"][0](spark, SF_SMALL))
+    assert fact.count("FileScan parquet") <= 8, fact.count("FileScan parquet")
+    health = executed(load_all()["daily_fact_health"][0](spark, SF_SMALL))
+    assert health.count("FileScan parquet") == 0 and health.count("Subquery") <= 2
+
+
+def test_reservation_map_stays_on_the_hash_path(spark):
+    from playledger.plans.q_jobs import res_map
+    p = executed(res_map(spark, SF_SMALL))
+    assert p.count("SortAggregate") <= 4  # the campaigns' own de-duplication
 
 
 def test_pushdown_and_pruning(spark):
