@@ -11,15 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playledger.llm import bpe, decontam, exact_dedup, quality, simhash
-from playledger.llm.common import stored
+from playledger.llm.common import rows_in, stored
 
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (a null id as an id like any other)."""
-    ids = ids.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+BY_ID = {"doc_id": lambda c: c("doc_id")}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,14 +34,14 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of SimHash links the document with the least doc_id stays."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    return _keep(docs, stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "kept"))
+    kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "kept")
+    return rows_in(docs, kept, BY_ID)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
     leaks = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    ids = stored(leaks.select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti")
+    return rows_in(docs, stored(leaks.select("doc_id").distinct(), "leaks"), BY_ID, "left_anti")
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

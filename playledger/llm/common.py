@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_in(docs: DataFrame, keys: DataFrame, made: dict[str, Callable], how: str = "left_semi", once: bool = False) -> DataFrame:
+    """The rows of ``docs``, all columns, whose key is in ``keys`` (or, with "left_anti", is not); null equals null.
+
+    ``made``: for each column of ``keys`` a function from a column getter of ``docs`` to the key's expression.  Columns
+    of ``docs`` may have any names.  ``once``: one row for each key only."""
+    own = [f"_c{k}" for k in range(len(docs.columns))]
+    named = docs.toDF(*own).withColumns({f"_m_{k}": f(lambda c: F.col(own[docs.columns.index(c)])) for k, f in made.items()})
+    right = keys.select(*[F.col(k).alias(f"_r_{k}") for k in made]).distinct()
+    cond = reduce(Column.__and__, [F.col(f"_m_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in made])
+    out = named.join(right, cond, how)
+    if once:
+        out = out.dropDuplicates([f"_m_{k}" for k in made])
+    return out.select(*own).toDF(*docs.columns)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; all other characters stay."""
     return F.translate(text, UPPER, LOWER)
@@ -44,7 +61,8 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of ``text`` in order; null has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WORD_GAP))
 
 
 def fold(docs: DataFrame, remainder: int, modulus: int, id_col: str = "doc_id") -> Column:

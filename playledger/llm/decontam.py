@@ -12,10 +12,10 @@ to be sent to all tasks (counted first); beyond that bound they join by hash.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stored, words
+from .common import stored, words
 
 #: Rows up to which sketches or item shingles are sent to every task (a row has about 100 bytes).
 SEND_ROWS = 200_000
@@ -25,12 +25,11 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SEND_ROWS else df
 
 
-def _shingles(w: Column, k: int, join: bool) -> Column:
-    """The shingles of a word array, repeats included: as 64-bit hashes, or as space-joined texts."""
-    make = F.concat_ws if join else None
-    first = F.when(F.size(w) >= k, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.array().cast("array<int>"))
-    parts = lambda i: [F.get(w, i + j) for j in range(k)]
-    return F.transform(first, lambda i: make(" ", *parts(i)) if join else F.xxhash64(*parts(i)))
+def _shingles(df: DataFrame, keep: list[str], k: int) -> tuple[DataFrame, list[str]]:
+    """A row for each shingle of the word array ``w``, repeats included: the columns ``keep`` and the shingle's words."""
+    cols = [f"_w{j}" for j in range(k)]
+    runs = [F.slice("w", F.lit(j + 1), F.size("w") - (k - 1)).alias(c) for j, c in enumerate(cols)]
+    return df.where(F.size("w") >= k).select(*keep, F.inline(F.arrays_zip(*runs))), cols
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -38,24 +37,27 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                threshold: float = 0.8) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment): the items that lie in a document at ``threshold`` or more.
 
-    Words are runs of non-space characters with A-Z lower-cased; shingles count once per text.  An item of fewer
+    Words are runs of non-space characters of the lower-cased text; shingles count once per text.  An item of fewer
     words than a shingle has no shingle and is never found; null texts have no words.  Rows that repeat a doc_id
     (or item_id) count as one text each with their shingles pooled; null ids are ids like any other.  Empty tables
     give an empty result; other columns are not read."""
-    d = docs.select(F.col(id_col).alias("doc_id"), words(lower_ascii(F.col(text_col).cast("string"))).alias("w"))
-    d = d.where(F.size("w") >= shingle)
-    i = items.select(F.col(item_col).alias("item_id"), words(lower_ascii(F.col(item_text_col).cast("string"))).alias("w"))
-    whole = stored(i.select("item_id", F.explode(_shingles(F.col("w"), shingle, True)).alias("s"))
-                   .distinct().withColumn("h", F.xxhash64(*[F.get(F.split("s", " "), k) for k in range(shingle)])), "items")
+    w = lambda c: words(F.lower(F.col(c).cast("string")))
+    d = docs.select(F.col(id_col).alias("doc_id"), w(text_col).alias("w"))
+    i, cols = _shingles(items.select(F.col(item_col).alias("item_id"), w(item_text_col).alias("w")), ["item_id"], shingle)
+    whole = stored(i.select("item_id", F.concat_ws(" ", *cols).alias("s"), F.xxhash64(*cols).alias("h")).distinct(), "items")
     sketch = stored(_sketches(whole, threshold), "sketches")
 
-    probes = d.select("doc_id", F.size("w").alias("n_words"), F.explode(_shingles(F.col("w"), shingle, False)).alias("h"))
-    hit = probes.join(_sent(sketch), "h").where(F.col("n_words") - (shingle - 1) >= F.col("least_shared"))
+    rows, cols = _shingles(d.withColumn("n_words", F.size("w")), ["doc_id", "n_words"], shingle)
+    hit = rows.select("doc_id", "n_words", F.xxhash64(*cols).alias("h")).join(_sent(sketch), "h") \
+        .where(F.col("n_words") - (shingle - 1) >= F.col("least_shared"))
     found = stored(hit.select("doc_id", "item_id").distinct(), "candidates")
 
+    # only the candidates' texts are cut again
     ids = found.select(F.col("doc_id").alias("cand_id")).distinct()
-    texts = d.join(ids, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left_semi")
-    have = texts.select("doc_id", F.explode(F.array_distinct(_shingles(F.col("w"), shingle, True))).alias("s"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")) \
+        .join(ids, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left_semi")
+    rows, cols = _shingles(texts.select("doc_id", w("_text").alias("w")), ["doc_id"], shingle)
+    have = rows.select("doc_id", F.concat_ws(" ", *cols).alias("s"))
     shared = have.join(_sent(whole.select("item_id", "s")), "s").distinct() \
         .groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
     n_item = whole.groupBy(F.col("item_id").alias("of")).agg(F.count(F.lit(1)).alias("n_item"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import rows_in, stored
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -44,12 +44,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`exact_duplicates` keeps; one row where id and text repeat."""
     found = exact_duplicates(docs, id_col, text_col, keep=keep).where("kept")
-    ids = stored(found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-                 .agg(F.count(F.lit(1)).alias("_n")), "kept")
-    sha = F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")), 256)
-    rows = docs.withColumn("_own_sha", sha)
-    out = rows.join(ids.select("_id", "_sha"), rows[id_col].eqNullSafe(F.col("_id")) & (rows["_own_sha"] == F.col("_sha")),
-                    "left_semi")
-    if not ids.where("_n > 1").isEmpty():
-        out = out.dropDuplicates([id_col, "_own_sha"])
-    return out.select(*docs.columns)
+    ids = stored(found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")), "kept")
+    made = {"doc_id": lambda c: c(id_col),
+            "text_sha256": lambda c: F.sha2(F.coalesce(c(text_col).cast("string"), F.lit("")), 256)}
+    return rows_in(docs, ids, made, once=not ids.where("n > 1").isEmpty())

@@ -63,11 +63,9 @@ def op2(spark, sf_dir):
 
 
 LEAKS_SQL = """
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w FROM documents),
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w FROM documents),
  ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) s FROM d),
- b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w FROM benchmark),
+ b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w FROM benchmark),
  bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) s FROM b),
  n AS (SELECT item_id, count(*) n_item FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
@@ -91,7 +89,9 @@ def op8(spark, sf_dir):
 
 @register("op6_byte_level_bpe")
 def op6(spark, sf_dir):
-    return bpe.digests(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"))))
+    out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), packed=True))
+    return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @register("op10_quality_classifier")
