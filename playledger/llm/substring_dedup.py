@@ -124,7 +124,7 @@ def _gathered(rows, window: int):
             if len(block) >= window:
                 held.append((row, at, np.fromiter(map(xxhash.xxh64_intdigest, block), _U, len(block))))
                 n += len(block)
-            at += len(block) - (window - 1)
+            at += max(0, len(block) - (window - 1))  # what the next block does not repeat
             if n >= GATHER:
                 yield held
                 held, n = [], 0
@@ -254,7 +254,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     "windows")
     each = places.select("id", "key", F.explode(F.arrays_zip("at", "h", "h2")).alias("w")) \
         .select("id", "key", "w.at", "w.h", "w.h2")
-    first = each.groupBy("h", "h2").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h", "h2", "a")
+    # stored, so that the join below has plain shuffles on both sides, of which adaptive execution splits the heavy keys
+    first = stored(each.groupBy("h", "h2").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
+                   .select("h", "h2", "a"), "first")
     lost = each.join(first, ["h", "h2"]).where("id > a").groupBy("id", "key").agg(F.collect_set("at").alias("starts"))
     fate = lost.select("id", "key", F.lit(False).alias("whole"), "starts") \
         .unionByName(copies.select("id", "key", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("starts")))
