@@ -62,7 +62,7 @@ def lookup_join(df: DataFrame, dim: DataFrame, on, take: list[str] | dict | None
         c = _q(l).eqNullSafe(F.col(tmp[r])) if null_safe else (_q(l) == F.col(tmp[r]))
         cond = c if cond is None else cond & c
     spread = [_q(f.name) for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE)]
-    if not null_safe and any(df.schema[l].nullable for l in on) and spread:
+    if not null_safe and not bounded and any(df.schema[l].nullable for l in on) and spread:
         # rows without a key match nothing: a second join key deals them out instead of sending all to one task
         no_key = reduce(Column.__or__, [_q(l).isNull() for l in on])
         zero = F.pmod(F.xxhash64(*[F.col(k) for k in tmp.values()]), F.lit(1))

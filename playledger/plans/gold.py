@@ -35,19 +35,26 @@ def synthetic_line_items(spark: SparkSession, cfg: dict | None = None) -> DataFr
     return overrides_frame(spark, cfg).select("line_item_id", "campaign_id", "line_item_name", "reservation_id")
 
 
+def _booked_lines(res22: DataFrame) -> DataFrame:
+    return res22.select(to_long("id").alias("reservation_id"), to_long("proposal_line_item_id").alias("line_item_id")).dropna()
+
+
+def _line_campaigns(campaigns: DataFrame) -> DataFrame:
+    """One campaign per line item (the smallest id)."""
+    lines = campaigns.select(to_long("line_item_id").alias("line_item_id"), to_long("campaign_id").alias("campaign_id"))
+    return lines.groupBy("line_item_id").agg(F.min("campaign_id").alias("campaign_id"))
+
+
 def reservation_lines(res22: DataFrame, campaigns: DataFrame) -> DataFrame:
     """(reservation, line item, campaign) for every line item of a reservation."""
-    r = res22.select(to_long("id").alias("reservation_id"), to_long("proposal_line_item_id").alias("line_item_id")).dropna()
-    camps = dedup(campaigns.select(to_long("line_item_id").alias("line_item_id"), to_long("campaign_id").alias("campaign_id")),
-                  ["line_item_id"], order=["campaign_id"])
-    return lookup_join(r, camps, "line_item_id")
+    return lookup_join(_booked_lines(res22), _line_campaigns(campaigns), "line_item_id")
 
 
 def reservation_map(res22: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Reservation -> (line item, campaign), one row per reservation (smallest line item first)."""
-    best = F.min(F.struct("line_item_id", F.col("campaign_id").isNull().alias("none"), "campaign_id")).alias("m")
-    return reservation_lines(res22, campaigns).groupBy("reservation_id").agg(best) \
-        .select("reservation_id", "m.line_item_id", "m.campaign_id")
+    """Reservation -> (line item, campaign), one row per reservation (smallest line item first).  The choice is
+    a minimum of plain ids (hash aggregates), made before anything is joined."""
+    first = _booked_lines(res22).groupBy("reservation_id").agg(F.min("line_item_id").alias("line_item_id"))
+    return lookup_join(first, _line_campaigns(campaigns), "line_item_id")
 
 
 def single_panel_campaigns(play_logs: DataFrame, res_map: DataFrame, cfg: dict | None = None) -> DataFrame:

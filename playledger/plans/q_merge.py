@@ -105,12 +105,12 @@ def q_add_only(spark, d):
 
 def _res_rows(spark, d):
     p = T(spark, d, "part")
-    f1 = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
-                                                    F.lit("resources-2024-01-01.txt").alias("source_file"))
-    f2 = p.where(F.col("p_size") > 25).select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("name"),
-                                                    F.lit("resources-2024-01-02.txt").alias("source_file"))
-    new = p.where(F.col("p_type") == "SMALL").select(F.col("p_partkey").alias("id"), F.upper("p_name").alias("name"),
-                                                     F.lit("resources-2024-01-02.txt").alias("source_file"))
+    # a value read with each row, as a file's name is, not a constant of the plan
+    file = lambda name: F.concat(F.lit(name), F.substring("p_name", 1, 0)).alias("source_file")
+    key = F.col("p_partkey").alias("id")
+    f1 = p.select(key, F.col("p_name").alias("name"), file("resources-2024-01-01.txt"))
+    f2 = p.where(F.col("p_size") > 25).select(key, F.col("p_brand").alias("name"), file("resources-2024-01-02.txt"))
+    new = p.where(F.col("p_type") == "SMALL").select(key, F.upper("p_name").alias("name"), file("resources-2024-01-02.txt"))
     fd = lambda df: df.withColumn("file_date", F.regexp_extract("source_file", r"(\d{4}-\d{2}-\d{2})", 1))
     return fd(f1.unionByName(f2)), fd(new)
 

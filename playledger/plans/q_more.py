@@ -145,8 +145,8 @@ def q_union_mixed(spark, d):
 
 # ---- J1 / J6 / J7 / J8 / J13 / J14 / J17 -----------------------------------------------------------------------------
 @register("left_lookup_one", """
-SELECT o.o_orderkey, o.o_custkey AS cust, coalesce(c.c_name, 'unknown') AS customer_name
-FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""")
+SELECT o.o_orderkey, NULLIF(o.o_custkey, 0) AS cust, coalesce(c.c_name, 'unknown') AS customer_name
+FROM orders o LEFT JOIN customer c ON c.c_custkey = NULLIF(o.o_custkey, 0)""")
 def q_left_lookup_one(spark, d):
     o = T(spark, d, "orders").select("o_orderkey", blank_to_null(F.col("o_custkey")).alias("cust"))
     j = L.lookup_join(o, T(spark, d, "customer"), {"cust": "c_custkey"}, {"c_name": "customer_name"})
@@ -179,7 +179,7 @@ def q_anti_three(spark, d):
 
 @register("two_hop_reservation_map", """
 SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, c.c_nationkey
-FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey""")
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = NULLIF(o.o_custkey, 0)""")
 def q_two_hop(spark, d):
     o = T(spark, d, "orders").select("o_orderkey", "o_custkey")
     c = T(spark, d, "customer").select("c_custkey", "c_nationkey")

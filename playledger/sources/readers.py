@@ -161,7 +161,7 @@ def read_paged_json(spark: SparkSession, path: str, item_schema: str, paths: lis
                     per_file: bool = False) -> DataFrame:
     """API pages saved as JSON (one envelope per line, or per file with ``per_file``); the record
     array is taken from whichever envelope path is present and each record is typed by ``item_schema``."""
-    raw = spark.read.option("wholetext", per_file).text(path).select("value", F.col("_metadata.file_name").alias("page_file"))
+    raw = spark.read.text(path, wholetext=per_file).select("value", F.col("_metadata.file_name").alias("page_file"))
     items = unwrap(raw, "value", paths)
     typed = items.select("page_file", F.from_json(F.to_json(F.col("item")), item_schema).alias("r"))
     return typed.select("r.*", "page_file")
@@ -170,7 +170,7 @@ def read_paged_json(spark: SparkSession, path: str, item_schema: str, paths: lis
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Run-log text lines with file name and line position.  A log file is one run's output and small, so it is read
     whole: the position is the line's own, however the folder is split over tasks."""
-    whole = spark.read.option("wholetext", True).text(path).select("*", F.col("_metadata.file_name").alias("log"))
+    whole = spark.read.text(path, wholetext=True).select("*", F.col("_metadata.file_name").alias("log"))
     lines = whole.select("*", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")).drop("value")
     return lines.where("line != ''").select("log", F.col("line_no").cast("bigint").alias("line_no"),
                                             *[c for c in lines.columns if c not in ("log", "line_no", "line")],
