@@ -14,7 +14,6 @@ The work is one pass over the documents, without a shuffle; each Python worker b
 from __future__ import annotations
 
 import base64
-import hashlib
 from array import array
 
 import numpy as np
@@ -26,9 +25,9 @@ from .common import batches_of, per_worker
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bounds of a worker's tables: states, checked token pairs, remembered pieces (and words) and their longest length.
-STATES, PAIRS, MEMORY, LONG = 100_000, 1_000_000, 200_000, 48
+STATES, PAIRS, MEMORY, LONG = 30_000, 500_000, 120_000, 48
 #: Bytes of the beginnings that are remembered, and how many of them.
-HEAD, HEADS = 5, 50_000
+HEAD, HEADS = 5, 25_000
 #: Prefixes of a piece that are held before the settled tokens leave.
 WINDOW = 512
 ROWS = 128
@@ -285,35 +284,44 @@ class Decoder:
         return "".join(out) + ("�" if begun else "")
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
+           packed: bool = False) -> DataFrame:
     """(doc_id, ids) for each row of ``docs``: the ids of the whole text as the ranks and the public split pattern give
-    them, special tokens being ordinary text.  Null and empty texts have no ids.  Repeated rows are encoded each."""
+    them, special tokens being ordinary text.  Null and empty texts have no ids.  Repeated rows are encoded each.
+    ``packed``: the ids as binary, little-endian unsigned 32-bit integers, instead of an array."""
     def run(frames):
         coder = per_worker(("bpe", ranks_path), lambda: Encoder(read_ranks(ranks_path)))
         for b in batches_of(frames, ROWS):
-            packed = [coder.encode(text) if text else b"" for text in b.column(1).to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+            rows = [coder.encode(text) if text else b"" for text in b.column(1).to_pylist()]
+            if packed:
+                ids = pa.array([np.frombuffer(r, np.uint32).astype("<u4").tobytes() for r in rows], pa.binary())
+            else:
+                ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["doc_id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, f"doc_id {kind}, ids array<int>")
+        .mapInArrow(run, f"doc_id {kind}, ids {'binary' if packed else 'array<int>'}")
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks_path: str | None = None) -> DataFrame:
-    """(doc_id, ids, text) for each row: the text of the ids; null ids are none.  Unknown ids are an error."""
+    """(doc_id, ids, text) for each row: the text of the ids, an array or packed; null ids are none.  Unknown ids are an
+    error."""
+    packed = encoded.schema[ids_col].dataType.simpleString() == "binary"
+
     def run(frames):
         token = per_worker(("tokens", ranks_path), lambda: {i: t for t, i in read_ranks(ranks_path).items()})
         machine = per_worker(("decoder", ranks_path), lambda: Decoder(token))
         for b in batches_of(frames, ROWS):
-            texts = [machine.decode(ids) for ids in _rows(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
+            rows = (np.frombuffer(p or b"", "<u4").tolist() for p in b.column(1).to_pylist()) if packed else _rows(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(machine.decode, rows), pa.string())],
                                              names=["doc_id", "ids", "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")) \
-        .mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+    ids = F.col(ids_col) if packed else F.col(ids_col).cast("array<int>")
+    return encoded.select(F.col(id_col).alias("doc_id"), ids.alias("ids")) \
+        .mapInArrow(run, f"doc_id {kind}, ids {'binary' if packed else 'array<int>'}, text string")
 
 
 def _rows(lists: pa.ListArray):
@@ -321,19 +329,3 @@ def _rows(lists: pa.ListArray):
     values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
     for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
         yield values[a:b].tolist()
-
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the rows of :func:`decode`."""
-    def run(frames):
-        for b in batches_of(frames, ROWS):
-            lists = b.column(1)
-            raw, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy().tolist()
-            sha = [hashlib.sha256(raw[s:e].tobytes()).hexdigest() for s, e in zip(ends[:-1], ends[1:])]
-            size = [e - s for s, e in zip(ends[:-1], ends[1:])]
-            text = [hashlib.sha256(t).hexdigest() for t in b.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(sha), pa.array(text)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    return decoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -85,4 +85,7 @@ def test_odd_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (2, "hi <|endoftext|>", "x"), (2, "hi <|endoftext|>", "x"), (None, "hi", "x")]
     out = bpe.decode(bpe.encode(spark.createDataFrame(rows, schema))).collect()
     assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(a), b or "") for a, b, _ in rows)
-    assert bpe.digests(bpe.decode(bpe.encode(spark.createDataFrame([], schema)))).count() == 0
+    packed = bpe.decode(bpe.encode(spark.createDataFrame(rows, schema), packed=True)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in packed) == sorted((str(r.doc_id), r.text) for r in out)
+    assert {bytes(r.ids) for r in packed} == {b"".join(i.to_bytes(4, "little") for i in r.ids) for r in out}
+    assert bpe.decode(bpe.encode(spark.createDataFrame([], schema))).count() == 0
