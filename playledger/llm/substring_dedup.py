@@ -240,7 +240,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     named = stored(d.select("id", "key", F.md5("text").alias("copy_key"), "text")
                    .mapInArrow(_name_anchors(window), "id long, key long, copy_key string, names array<long>"), "anchors")
-    least = named.groupBy("copy_key").agg(F.min("id").alias("first_id"))
+    least = named.groupBy("copy_key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    least = stored(least.where("first_id < last_id").select("copy_key", "first_id"), "least")
     classed = named.select("id", "key", "copy_key").join(least, "copy_key")
     copies = stored(classed.where("id > first_id").select("id", "key").distinct(), "copies")
     firsts = named.join(copies, ["id", "key"], "left_anti").select("id", "key", F.explode("names").alias("name"))
