@@ -16,16 +16,18 @@ def test_watermark_drops_late_plays(spark):
     first = [(t(10, 5), "a", 1.0), (t(11, 10), "a", 2.0), (t(12, 40), "a", 3.0)]
     spark.createDataFrame(first, SCHEMA).write.mode("append").parquet(land)
 
+    late = []
+
     def run():
         counts = ST.hourly_window_counts(ST.landing_stream(spark, land, SCHEMA), "ts", ["kind"], "value", watermark="1 hour")
-        ST.run_available_now(counts, ST.upsert_batches(table, ["window_start", "kind"]), "wm", ckpt)
+        ST.run_available_now(counts, ST.upsert_batches(table, ["window_start", "kind"]), "wm", ckpt, late=late)
 
     run()
     # the next delivery: one play far behind the watermark (12:40 - 1 h), one on time
     spark.createDataFrame([(t(8, 30), "a", 9.0), (t(12, 50), "a", 4.0)], SCHEMA).write.mode("append").parquet(land)
     run()
     got = {r.window_start.hour: (r.emisje, r.Duration) for r in SK.read_upserted(spark, table).collect()}
-    assert 8 not in got                                   # late play dropped by the watermark
+    assert 8 not in got and late[0] == 0 and late[1] >= 1  # late play dropped by the watermark, and reported
     assert got[12] == (2, 7.0) and got[10] == (1, 1.0) and got[11] == (1, 2.0)
 
 
