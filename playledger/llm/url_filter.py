@@ -15,10 +15,23 @@ from .components import connected_components
 
 ALLOW, BLOCK = "allow", "block"
 
-_LINK = r"(?i)<link\s[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-_REFRESH = r"(?i)<meta\s[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-_HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+# a tag ends at the first > outside a quoted value
+_REST = r"""(?:[^>=]++|=(?:\s*+(?:"[^"]*+"|'[^']*+'))?+)*+>"""
+_LINK = r"(?i)<link\s" + _REST
+_META = r"(?i)<meta\s" + _REST
+_CANONICAL = r"(?i)\brel\s*=\s*[\"']?canonical\b"
+_REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
+#: The value is in the group of its quotes, or in the last one.
+_HREF = r"""(?i)(?<![\w-])href\s*=\s*(?:"([^"]*)"|'([^']*)'|["']?([^"'\s>][^\s>]*))"""
+_CONTENT = r"""(?i)(?<![\w-])content\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+#: In a quoted content the URL goes to its own quote or the end; else to the next space or the end of the tag.
+_URL = r"""(?is)\burl\s*=\s*(?:"([^"]*)|'([^']*)|([^"'].*))"""
+_BARE_URL = r"""(?i)\burl\s*=\s*["']?([^"'\s>][^\s>]*)"""
+
+
+def _group(text: Column, pattern: str, groups: int) -> Column:
+    """What the one group of ``pattern`` that took part holds; empty if none."""
+    return F.concat(*[F.regexp_extract(text, pattern, k + 1) for k in range(groups)])
 
 
 def host(url: Column) -> Column:
@@ -71,10 +84,17 @@ def _resolved(link: Column, base: Column) -> Column:
 
 
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b): the canonical links and immediate redirects that pages state in their HTML."""
+    """(a, b): all canonical links and redirects that pages state in their HTML; a URL goes to the end of its attribute."""
     p = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    links = F.array(F.regexp_extract(F.regexp_extract("html", _LINK, 0), _HREF, 1),
-                    F.regexp_extract(F.regexp_extract("html", _REFRESH, 0), _URL, 1))
+    tags = lambda tag, kind: F.filter(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: t.rlike(kind))
+
+    def target(tag):
+        own = _group(_group(tag, _CONTENT, 2), _URL, 3)
+        return F.when(own != "", own).otherwise(F.regexp_extract(tag, _BARE_URL, 1))
+
+    links = F.concat(F.transform(tags(_LINK, _CANONICAL), lambda t: _group(t, _HREF, 3)), F.transform(tags(_META, _REFRESH), target))
+    # line ends and tabs are no part of a URL, nor are spaces around it
+    links = F.transform(links, lambda x: F.trim(F.translate(x, "\t\n\r", "")))
     found = p.select("url", F.explode(F.filter(links, lambda x: x != "")).alias("link"))
     return found.select(node(F.col("url")).alias("a"), node(_resolved(F.col("link"), F.col("url"))).alias("b")) \
         .where("a IS NOT NULL AND b IS NOT NULL")

@@ -227,3 +227,26 @@ def test_queries_against_sql(spark, name):
     want = con.sql(f"SELECT {', '.join(cols)} FROM ({sql})").fetchall()
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.select(cols).collect())
     assert hashlib  # digests are computed by SQL itself
+
+
+@pytest.mark.parametrize("html,target", [
+    ('<meta http-equiv="refresh" content="0;url=https://t.com/x?b=1&amp;c=2">', "https://t.com/x?b=1&c=2"),
+    ("<meta http-equiv=refresh content=0;url=https://t.com/p;jsessionid=7>", "https://t.com/p;jsessionid=7"),
+    ("<META content='0; URL=\"https://t.com/p;a=1;b=2\"' http-equiv='refresh' />", "https://t.com/p;a=1;b=2"),
+    ('<meta http-equiv="refresh" content="0;url=\'https://t.com/q?a;b\'; x">', "https://t.com/q?a;b"),
+    ('<meta http-equiv="refresh" content="0;url=https://t.com/a>b">', "https://t.com/a>b"),
+    ('<meta http-equiv="refresh" content="0;url=https://t.com/o\'brien">', "https://t.com/o'brien"),
+    ("<meta name=d content='it''s'><meta http-equiv=refresh content=\"0;url=\n https://t.com/n \">", "https://t.com/n"),
+    ('<link rel="canonical" href="https://t.com/o\'brien;v=1?a=1&amp;b=2">', "https://t.com/o'brien;v=1?a=1&b=2"),
+    ("<link rel=icon href=/i><link rel=canonical href=/1><link href=https://t.com/2 rel=canonical>", "https://t.com/2"),
+    ('<meta http-equiv=refresh content="5"><meta http-equiv=refresh content="0;url=/1"><meta http-equiv=refresh content="0;url=https://t.com/3">', "https://t.com/3")])
+def test_url_of_the_whole_attribute(spark, html, target):
+    # the page is an alias of the target, and that of a blocked page
+    rows = [page(1, "http://a.com/1", html), page(2, target), page(3, "http://a.com/4")]
+    hops = spark.createDataFrame([(target, "http://bad.org/")], "src string, dst string")
+    assert [r[4] for r in judged(spark, rows, hops)] == ["block", "block", "allow"]
+
+
+def test_url_of_an_open_tag(spark):
+    html = "<link rel=canonical href=" + "<meta =\"'" * 40_000 + '<link rel="canonical" href="http://bad.org/'
+    assert [r[4] for r in judged(spark, [page(1, "http://a.com/1", html)])] == ["allow"]
