@@ -145,7 +145,7 @@ def op4(spark, sf_dir):
 
 @register("op9_secret_scans")
 def op9(spark, sf_dir):
-    out = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    out = secret_scan.find_secrets(_table(spark, sf_dir, "documents"), gaps=True)
 
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == secret_scan.KINDS.index(kind))).cast("long").alias(f"n_{kind}")

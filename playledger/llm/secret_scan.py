@@ -7,8 +7,10 @@ only where complementary parts stand within ``SCOPE`` characters: a weak secret
 identifier or an endpoint beside parts of both other kinds.
 
 The texts are scanned where they lie; only the spans found travel.  The interval join runs on (document, bin of
-SCOPE characters): the parts of a bin fold into their first and last place, and whether a part lies within SCOPE of
-a candidate follows from those of its own bin and of the two beside it, so no pairs of parts are made.
+SCOPE characters): the parts that touch a bin fold into their least start and greatest stop, and whether a part lies
+within SCOPE of a candidate follows from those of the bins that the candidate with SCOPE on either side touches, so
+no pairs of parts are made.  That reach is longer than a bin: of its inner bins every part is near, in its first bin
+those that stop late enough, in its last bin those that start early enough.
 """
 from __future__ import annotations
 
@@ -86,10 +88,13 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
 _SPAN = "struct<start:int,kind:int,stop:int>"
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE,
+                 gaps: bool = False) -> DataFrame:
     """(doc_id, spans) for each row of ``docs``: array of (start, kind, stop), sorted; ``kind`` counts :data:`KINDS`.
 
     Strong spans are all there; weak ones only with their complements in scope.  Null and empty texts have none.
+    ``scope`` counts from start to start or, with ``gaps``, the characters between the end of the one span and the start
+    of the other (0 if they touch or overlap), so that the spans' own lengths do not part them.
     Repeated rows are reported each; a null id is an id like any other; other columns are not read."""
     def run(frames):
         for b in batches_of(frames):
@@ -108,14 +113,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     linked = found.where(F.exists("spans", lambda s: s["kind"] >= 3)).withColumn("doc", doc)
     linked = linked.select("doc", "key", F.explode("spans").alias("s")).distinct()
     parts = F.create_map(*[F.lit(x) for k, name in enumerate(KINDS) for x in (k, PART[name])])
-    each = linked.select("doc", "key", "s", F.element_at(parts, F.col("s.kind")).alias("part"),
-                         F.floor(F.col("s.start") / scope).alias("bin"))
-    place = each.groupBy("doc", "key", "bin", "part").agg(F.min("s.start").alias("first"), F.max("s.start").alias("last"))
-    weak = each.where("s.kind >= 3").select("doc", "key", "s", F.col("part").alias("own"),
-                                            F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
-    at = F.col("s.start")
-    # the nearest place is the last of the bin before, any of the own bin, or the first of the bin after
-    near = F.least(F.abs(at - F.col("first")), F.abs(at - F.col("last"))) <= scope
+    start, stop = F.col("s.start"), F.col("s.stop") if gaps else F.col("s.start")
+    bins = lambda low, high: F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope))).alias("bin")
+    each = linked.select("doc", "key", "s", F.element_at(parts, F.col("s.kind")).alias("part"))
+    place = each.select("doc", "key", "part", start.alias("start"), stop.alias("stop"), bins(start, stop)) \
+        .groupBy("doc", "key", "bin", "part").agg(F.min("start").alias("first"), F.max("stop").alias("last"))
+    weak = each.where("s.kind >= 3").select("doc", "key", "s", F.col("part").alias("own"), bins(start - scope, stop + scope))
+    near = (F.col("first") <= stop + scope) & (F.col("last") >= start - scope)
     seen = weak.join(place, ["doc", "key", "bin"]).where((F.col("part") != F.col("own")) & near) \
         .groupBy("doc", "key", "s", "own").agg(*[F.max(F.col("part") == p).alias(f"by_{p}") for p in "ISE"])
     needed = F.when(F.col("s.kind") == KINDS.index("secret"), F.col("by_I")) \
