@@ -10,6 +10,8 @@ Checkpoints live under the shared ``spark.checkpoint.dir`` so a restarted driver
 """
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,19 +46,38 @@ def run_available_now(df: DataFrame, batch_fn, name: str, checkpoint: str | None
                       output_mode: str = "update", timeout_s: int | None = None, late: list | None = None) -> str:
     """Drain a stream with ``Trigger.AvailableNow`` through ``batch_fn(batch_df, epoch_id)``; returns the
     checkpoint path (reuse it to resume).  It ends when everything is drained, unless ``timeout_s`` sets a limit.
-    ``late`` gets the number of groups of rows that the watermark has dropped."""
+    ``late`` gets the number of groups of rows that the watermark has dropped in this call, also when it fails."""
     spark = df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
-    q = (df.writeStream.outputMode(output_mode).foreachBatch(batch_fn)
+    dropped, query, started = {}, [], threading.Event()
+
+    def note(progress) -> None:
+        if progress:
+            n = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+            dropped[progress["batchId"]] = max(n, dropped.get(progress["batchId"], 0))
+
+    def counted(batch: DataFrame, epoch_id: int) -> None:
+        # a query keeps its last progress reports only, so the one of the batch before is read here
+        started.wait()
+        note(query[0].lastProgress)
+        batch_fn(batch, epoch_id)
+
+    q = (df.writeStream.outputMode(output_mode).foreachBatch(batch_fn if late is None else counted)
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() is None
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    if q.exception():
-        raise q.exception()
-    if late is not None:
-        late.append(sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"]))
+    query.append(q)
+    started.set()
+    try:
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() is None
+        if not finished:
+            q.stop()
+            raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+        if q.exception():
+            raise q.exception()
+    finally:
+        if late is not None:
+            for progress in q.recentProgress:
+                note(progress)
+            late.append(sum(dropped.values()))
     return checkpoint
 
 
