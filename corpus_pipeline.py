@@ -16,7 +16,11 @@ from playledger.llm.common import rows_in, stored
 ORACLE_SQL = None
 
 
-BY_ID = {"doc_id": lambda c: c("doc_id")}
+def _sha(text):
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+
+
+BY_TEXT = {"doc_id": lambda c: c("doc_id"), "text_sha256": lambda c: _sha(c("text"))}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,16 +36,18 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of SimHash links the document with the least doc_id stays."""
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "kept")
-    return rows_in(docs, kept, BY_ID)
+    """Of each component of SimHash links the document with the least doc_id stays, null last, then the least sha256."""
+    found = stored(simhash.near_duplicates(docs, shingle=3, max_bits=3, text_key=True), "near")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")
+    kept = stored(found.groupBy("component").agg(F.min(order).alias("d")).select("d.doc_id", "d.text_sha256"), "kept")
+    return rows_in(docs, kept, BY_TEXT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
-    leaks = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return rows_in(docs, stored(leaks.select("doc_id").distinct(), "leaks"), BY_ID, "left_anti")
+    keyed = docs.select(F.struct("doc_id", _sha(F.col("text")).alias("text_sha256")).alias("key"), "text")
+    leaks = decontam.find_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
+    return rows_in(docs, stored(leaks.select("doc_id.*").distinct(), "leaks"), BY_TEXT, "left_anti")
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,8 +50,10 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view(np.uint64)[0]) if total else 0
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): a row per row of ``docs``; the fingerprint as a signed 64-bit integer.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 text_key: bool = False) -> DataFrame:
+    """(doc_id, fp): a row per row of ``docs``; the fingerprint as a signed 64-bit integer; with ``text_key`` also the
+    text's sha256 (null counts as empty).
 
     Null and wordless texts have the fingerprint zero, and a text of fewer words than a shingle has the hash of its
     whole word sequence.  A null id stays null.  Other columns are not read."""
@@ -59,10 +61,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches_of(frames):
             texts = b.column(1).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *(["text_sha256"] if text_key else [])])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    key = [F.sha2(F.coalesce(text, F.lit("")), 256).alias("text_sha256")] if text_key else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *key) \
+        .mapInArrow(run, "doc_id long, fp long" + ", text_sha256 string" * text_key)
 
 
 def _rotl(x: np.ndarray, by: np.ndarray) -> np.ndarray:
@@ -228,19 +233,21 @@ def _open(keys: DataFrame, crowded: DataFrame, depth: int, max_bits: int, part_r
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    max_bits: int = 3) -> DataFrame:
+                    max_bits: int = 3, text_key: bool = False) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``: the least doc_id that links of at most ``max_bits``
     differing bits reach, itself included.
 
     Rows of one fingerprint are one node, so copies cost nothing beyond their own row.  Null or wordless texts share
     the fingerprint zero and link like any other.  A null id is never the least; if all ids of a component are null,
-    ``component_id`` is null.  Repeated rows are kept; an empty table gives an empty result."""
-    prints = stored(fingerprints(docs, id_col, text_col, shingle), "fps")
+    ``component_id`` is null.  Repeated rows are kept; an empty table gives an empty result.  With ``text_key`` each row
+    also has its text's ``text_sha256`` and its ``component``, which is never null."""
+    prints = stored(fingerprints(docs, id_col, text_col, shingle, text_key), "fps")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     comp = connected_components(links(nodes.select("fp"), max_bits), "x", "y")
     comp = comp.withColumnRenamed("node", "fp")
     named = nodes.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = stored(named, "named")
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = named.join(least, "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    more = ["component"] if text_key else []
+    ids = named.join(least, "component").select("fp", "component_id", *more)
+    return prints.join(ids, "fp").select("doc_id", "fp", "component_id", *(["text_sha256", *more] if text_key else []))

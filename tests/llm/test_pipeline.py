@@ -43,3 +43,18 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             out = stage(spark, frame, SF)
             assert out.columns == (frame.columns if name != "encode" else ["doc_id", "ids", "n_tokens"])
             assert out.count() <= frame.count()
+
+
+def test_rows_of_one_id_are_judged_each(spark):
+    schema = "doc_id long, text string"
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    clean = ["one clean text of eight words is here", "another clean text which has nine words in it"]
+    rows = [(1, item), (1, clean[0]), (None, item + " and more"), (None, clean[0]), (None, clean[1])]
+    left = P.decontamination_stage(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted(map(str, map(tuple, left))) == sorted(map(str, [rows[1], *rows[3:]]))
+
+    # the fingerprint does not see case, so these are near duplicates: two texts under one id, and null ids only
+    rows = [(1, "zz " * 9), (2, clean[0]), (2, clean[0].upper()), (1, clean[0].title()), (None, clean[1]), (None, clean[1].upper()), (3, "yy xx ww")]
+    kept = [tuple(r) for r in P.near_dedup_stage(spark, spark.createDataFrame(rows, schema), SF).collect()]
+    assert len(kept) == 4 and rows[0] in kept and rows[3] in kept and rows[6] in kept
+    assert sum(i is None for i, _ in kept) == 1
