@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, decontam, exact_dedup, langid, quality, secret_scan, simhash, substring_dedup,
+from . import (bpe, centroid_clustering, chat, decontam, exact_dedup, langid, lexical_search, minhash, quality, secret_scan, simhash, substring_dedup,
                url_filter)
 from .catalog import register
 from .common import fold
@@ -153,3 +153,69 @@ def op9(spark, sf_dir):
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return out.select("doc_id", *map(count, secret_scan.KINDS[:3]), F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
                       secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def _centroid_sql(k: int = 16, rounds: int = 3) -> str:
+    near = """a{r} AS (SELECT row_id, min(struct_pack(d := d, c := c)) m FROM (SELECT row_id, c,
+   list_sum(list_transform(generate_series(1, 64), lambda i: (v[i] - p[i]) * (v[i] - p[i])))::BIGINT d FROM kept, c{r}) GROUP BY row_id)"""
+    move = """c{n} AS (SELECT c, coalesce(q, p) p FROM c{r} LEFT JOIN (SELECT c, list(floor_div ORDER BY i) q FROM
+   (SELECT c, i, ((s - ((s % n + n) % n)) // n)::BIGINT floor_div FROM (SELECT m.c c, i, sum(v[i]) s, count(*) n FROM kept JOIN a{r} USING (row_id),
+    generate_series(1, 64) g(i) GROUP BY m.c, i)) GROUP BY c) USING (c))"""
+    steps = [near.format(r=0)]
+    for r in range(rounds):
+        steps += [move.format(r=r, n=r + 1), near.format(r=r + 1)]
+    return f"""
+WITH kept AS (SELECT row_number() OVER () row_id, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) v FROM embeddings
+   WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+ c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v p FROM kept ORDER BY c LIMIT {k}),
+ {(chr(10) + ' ' + ',').join(steps).replace(chr(10) + ' ,', ',' + chr(10) + ' ')}
+SELECT vec_id, m.c::INT AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia,
+ (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+FROM kept JOIN a{rounds} USING (row_id) JOIN c{rounds} ON c = m.c
+"""
+
+
+@register("op11_centroid_clustering", _centroid_sql())
+def op11(spark, sf_dir):
+    return centroid_clustering.cluster(_table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
+SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') t FROM documents),
+ c AS (SELECT count(*) n_docs, sum(len(t))::BIGINT total FROM d WHERE len(t) > 0),
+ tf AS (SELECT r, t, count(*) tf FROM (SELECT r, unnest(t) t FROM d) GROUP BY r, t),
+ w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT w FROM tf, c GROUP BY t, n_docs),
+ m AS (SELECT r, doc_id, 100 - 75 + ((75 * len(t) * n_docs) // total) m FROM d, c WHERE len(t) > 0),
+ q AS (SELECT item_id, t, count(*) k FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t FROM benchmark) GROUP BY item_id, t),
+ s AS (SELECT item_id, r, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT score
+   FROM q JOIN w USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY item_id, r, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+@register("op12_ranked_lexical_search", SEARCH_SQL)
+def op12(spark, sf_dir):
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM documents),
+ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+   ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) s FROM d),
+ n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+ shared AS (SELECT x.doc_id a, y.doc_id b, count(*) k FROM s x JOIN s y USING (s) WHERE x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+ e AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+ both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+ reach AS (SELECT doc_id a, doc_id b FROM d UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) component_id FROM reach GROUP BY a) c ON c.a = doc_id
+"""
+
+
+@register("op13_minhash_near_dedup", NEAR_SQL)
+def op13(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
