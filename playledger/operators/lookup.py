@@ -24,14 +24,28 @@ from .rollup import _ORDERABLE, dedup
 from ..functions.semantics import is_in
 
 
-#: Parts over which rows without a join key are dealt.
-NULL_SPREAD = 4096
-
-
 def _q(n):
     return F.col(f"`{n}`")
 
 
+def keyed(df: DataFrame, on: dict[str, str]) -> Column:
+    """Join condition  df[l] = right[r]  for each l: r of ``on``, which deals out the rows of ``df`` without a key.
+
+    Such rows match nothing, but a plain left join sends them all to one task.  They get a second join key instead, a
+    hash of the whole row, so they lie evenly over all partitions however many there are; rows with a key have 0 there,
+    as the right side has, and their partitions are those of the key.  (Taking them out of the join and adding them by
+    a union would compute ``df`` twice, and 2^n times in a chain of n lookups.)"""
+    cond = reduce(Column.__and__, [_q(l) == _q(r) for l, r in on.items()])
+    spread = [_q(f.name) for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE)]
+    if not spread or not any(df.schema[l].nullable for l in on):
+        return cond
+    no_key = reduce(Column.__or__, [_q(l).isNull() for l in on])
+    # written as expressions of the keys, so that the optimizer takes neither side for a constant
+    there = F.pmod(F.xxhash64(*[_q(r) for r in on.values()]), F.lit(1))
+    here = F.when(no_key, F.xxhash64(*spread)).otherwise(F.pmod(F.xxhash64(*[_q(l) for l in on]), F.lit(1)))
+    return cond & (here == there)
+
+
 def lookup_join(df: DataFrame, dim: DataFrame, on, take: list[str] | dict | None = None,
                 fallback: dict | None = None, on_multi: str = "fanout", order: list | None = None,
                 bounded: bool = False, null_safe: bool = False) -> DataFrame:
@@ -57,17 +71,11 @@ def lookup_join(df: DataFrame, dim: DataFrame, on, take: list[str] | dict | None
         right = dedup(right, list(tmp.values()), order=order or list(take.values()) or None)
     if bounded:
         right = F.broadcast(right)
-    cond = None
-    for l, r in on.items():
-        c = _q(l).eqNullSafe(F.col(tmp[r])) if null_safe else (_q(l) == F.col(tmp[r]))
-        cond = c if cond is None else cond & c
-    spread = [_q(f.name) for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE)]
-    if not null_safe and not bounded and any(df.schema[l].nullable for l in on) and spread:
-        # rows without a key match nothing: a second join key deals them out instead of sending all to one task
-        no_key = reduce(Column.__or__, [_q(l).isNull() for l in on])
-        zero = F.pmod(F.xxhash64(*[F.col(k) for k in tmp.values()]), F.lit(1))
-        cond = cond & (F.when(no_key, F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD))).otherwise(
-            F.pmod(F.xxhash64(*[_q(l) for l in on]), F.lit(1))) == zero)
+    if null_safe:
+        cond = reduce(Column.__and__, [_q(l).eqNullSafe(F.col(tmp[r])) for l, r in on.items()])
+    else:
+        cond = keyed(df, {l: tmp[r] for l, r in on.items()}) if not bounded else \
+            reduce(Column.__and__, [_q(l) == F.col(tmp[r]) for l, r in on.items()])
     clash = [t for t in take.values() if t in df.columns]
     left = df.drop(*clash) if clash else df
     out = left.join(right, cond, "left").drop(*tmp.values())
@@ -87,11 +95,8 @@ def overlap_join(left: DataFrame, right: DataFrame, on: str | dict, prefer: str
     tmp = {k: f"__rk{i}" for i, k in enumerate(rkeys)}
     r = right.select(*[_q(c).alias(tmp[c]) if c in tmp else (_q(c).alias(c + suffix) if c in shared else _q(c))
                        for c in right.columns])
-    cond = None
-    for l, rk in on.items():
-        c = _q(l) == F.col(tmp[rk])
-        cond = c if cond is None else cond & c
-    out = left.join(r, cond, "left").drop(*tmp.values())
+    r = r.dropna(subset=list(tmp.values()))
+    out = left.join(r, keyed(left, {l: tmp[rk] for l, rk in on.items()}), "left").drop(*tmp.values())
     for c in shared:
         a, b = (_q(c + suffix), _q(c)) if prefer == "right" else (_q(c), _q(c + suffix))
         out = out.withColumn(c, F.coalesce(a, b)).drop(c + suffix)
@@ -109,7 +114,7 @@ def override_where_null(df: DataFrame, key: str, overrides: DataFrame, cols: lis
     ok = override_key or key
     ov = dedup(overrides, [ok], order=order or cols, keep="last")
     ov = ov.select(_q(ok).alias("__ok"), F.lit(True).alias("__hit"), *[_q(c).alias(f"__ov_{c}") for c in cols])
-    out = df.join(ov, _q(key) == F.col("__ok"), "left")
+    out = df.join(ov.dropna(subset=["__ok"]), keyed(df, {key: "__ok"}), "left")
     mask = (F.col("__hit") & _q(when_null).isNull()) if when_null else None
     out = out.select(*[F.when(F.col("__hit") & _q(c).isNull() if mask is None else mask, F.col(f"__ov_{c}"))
                        .otherwise(_q(c)).alias(c) if c in cols else _q(c) for c in out.columns])

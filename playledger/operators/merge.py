@@ -125,10 +125,13 @@ def shrink_check(old: DataFrame, new: DataFrame, ratio: float = 0.9, force: bool
 # --- incremental selection -----------------------------------------------------------------------
 
 def since_cursor(df: DataFrame, modified_col: str, cursor) -> tuple[DataFrame, DataFrame]:
-    """Rows changed after the high-water mark, and a one-row DataFrame with the next cursor
-    (the previous one when nothing changed)."""
+    """Rows changed since the high-water mark, and a one-row DataFrame with the next cursor (the previous one when
+    nothing changed).
+
+    Rows of the mark's own instant come again, since others of that instant may have been written after the last
+    read, and so do rows without a modification time; what takes them up is a key upsert, to which repeats do nothing."""
     cur = F.lit(cursor).cast(df.schema[modified_col].dataType)
-    rows = df.where(_q(modified_col) > cur)
+    rows = df.where(_q(modified_col).isNull() | (_q(modified_col) >= cur))
     nxt = df.agg(F.greatest(F.max(_q(modified_col)), cur).alias("cursor"))
     return rows, nxt
 

@@ -13,7 +13,6 @@ from ..operators.expand import balancing_rows, flight_months, flight_weeks
 from ..operators.filters import active_status
 from ..operators.lookup import lookup_join, override_where_null, service_flag
 from ..operators.rollup import dedup
-from ..session import cut_lineage
 
 
 def _cfg(cfg):
@@ -92,8 +91,7 @@ def build_fact_play_logs(enriched: DataFrame, res_map: DataFrame, single_panel:
         overrides = overrides_frame(enriched.sparkSession, cfg)
     if overrides is not None:
         df = override_where_null(df, "reservation_id", overrides, ["campaign_id", "line_item_id"], when_null="campaign_id")
-    sp = single_panel.select(F.col("campaign_id").alias("__sp")).distinct().withColumn("__is_sp", F.lit(True))
-    df = df.join(sp, F.col("campaign_id") == F.col("__sp"), "left")
+    df = lookup_join(df, single_panel.select("campaign_id", F.lit(True).alias("__is_sp")).distinct(), "campaign_id", ["__is_sp"])
     flag = service_flag(
         [is_in(F.col("campaign_id"), cfg["service_campaign_ids"]), is_in(F.col("reservation_id"), cfg["service_reservation_ids"]),
          is_in(F.col("line_item_id"), cfg["service_line_item_ids"])],
@@ -120,10 +118,9 @@ def build_dim_campaign(spark: SparkSession, campaigns: DataFrame, single_panel:
             df = df.withColumn(c, to_long(c))  # a whole number or nothing, also beside the synthetic rows' NULLs
     if synthetic is not None:
         df = union_by_name(df, synthetic)
-    sp = single_panel.select(F.col("campaign_id").alias("__sp")).distinct().withColumn("__is_sp", F.lit(True))
-    df = df.join(sp, F.col("campaign_id") == F.col("__sp"), "left")
+    df = lookup_join(df, single_panel.select("campaign_id", F.lit(True).alias("__is_sp")).distinct(), "campaign_id", ["__is_sp"])
     flag = service_flag([is_in(F.col("campaign_id"), cfg["service_campaign_ids"])], [F.col("__is_sp")])
-    return df.withColumn("is_serwisowy", flag).drop("__sp", "__is_sp")
+    return df.withColumn("is_serwisowy", flag).drop("__is_sp")
 
 
 def _reservations_full(res22: DataFrame, reservations: DataFrame) -> DataFrame:
@@ -168,13 +165,17 @@ def build_dim_line_item(spark: SparkSession, campaigns: DataFrame, res22: DataFr
 def build_campaign_full(campaigns: DataFrame, res22: DataFrame, reservations: DataFrame,
                         cfg: dict | None = None) -> DataFrame:
     """C14: line item x reservation rows plus one balancing row per campaign whose price differs from the sum
-    of its line prices by more than the tolerance (G7).  The joined rows are stored once: they feed both the result and
-    the sums."""
+    of its line prices by more than the tolerance (G7).  A line counts once for each of its reservations, as its rows
+    do; the sums come from the narrow lines times that number, so the wide joined rows are neither stored nor summed."""
     base = _line_attributes(campaigns, K.CAMPAIGN_FULL_COLUMNS)
-    df = cut_lineage(lookup_join(base, _reservations_full(res22, reservations), "line_item_id", on_multi="fanout")
-                     .withColumn("is_adjustment", F.lit(False)))
+    df = lookup_join(base, _reservations_full(res22, reservations), "line_item_id", on_multi="fanout") \
+        .withColumn("is_adjustment", F.lit(False))
     carry = [c for c in K.BALANCING_CARRY if c != "campaign_price" and c in df.columns]
-    adj = balancing_rows(df, "campaign_id", "line_price", "campaign_price", carry=carry, order="line_item_id")
+    booked = _reservations_full(res22, reservations).groupBy("line_item_id").agg(F.count(F.lit(1)).alias("__rows"))
+    lines = lookup_join(base.select("campaign_id", "line_item_id", "line_price", "campaign_price", *carry), booked,
+                        "line_item_id", ["__rows"])
+    lines = lines.withColumn("line_price", F.col("line_price") * F.coalesce("__rows", F.lit(1))).drop("__rows")
+    adj = balancing_rows(lines, "campaign_id", "line_price", "campaign_price", carry=carry, order="line_item_id")
     adj = adj.withColumn("line_item_name", F.lit(K.ADJUSTMENT_LINE_NAME)).withColumn("line_suggested_price", F.lit(0.0))
     out = union_by_name(df, adj)
     return (out.withColumn("line_start", F.date_format("line_start", "yyyy-MM-dd"))
@@ -256,21 +257,27 @@ def period_bridge(li: DataFrame, cfg: dict | None = None) -> DataFrame:
 
 
 def join_coverage_report(enriched: DataFrame, reservations: DataFrame, display_units: DataFrame, res22: DataFrame,
-                         fact_play_logs: DataFrame, dim_line_item: DataFrame, fact_budget: DataFrame | None = None,
+                         fact_play_logs: DataFrame, dim_line_item: DataFrame, budget: DataFrame | None = None,
                          dim_player: DataFrame | None = None) -> DataFrame:
-    """Q3 over the pipeline's own tables: one coverage row per key relation (left rows, matched, unmatched,
-    percent, OK/WARN/FAIL), each a single distributed aggregate."""
-    from ..operators.quality import coverage_report
-    resolved = fact_play_logs.where(F.col("campaign_id").isNotNull())
-    budget = [] if fact_budget is None else [
-        ("budget->line_item", fact_budget, dim_line_item, "line_item_id", "line_item_id"),
-        ("budget->player", fact_budget, dim_player, "play_log_player_id", "play_log_player_id")]
-    return coverage_report([
-        ("play_log->reservation", enriched, reservations, "CampID", "id"),
-        ("play_log->display_unit", enriched, display_units, "DisplayUnitID", "id"),
-        ("fact->reservation_map", fact_play_logs, res22, "reservation_id", "id"),
-        ("fact->campaign", fact_play_logs, resolved, "reservation_id", "reservation_id"),
-        ("fact->line_item", fact_play_logs, dim_line_item, "line_item_id", "line_item_id"),
-        ("line_item->reservation", dim_line_item, reservations, "reservation_id", "id"),
-        *budget,
-    ])
+    """Q3 over the pipeline's own tables: one row per key relation (rows with a key, matched, unmatched, percent,
+    OK/WARN/FAIL, rows without a key and their share).  Each table is scanned once for all its relations.  ``budget`` may
+    be the narrow intervals: a row then stands for the days of its flight."""
+    from ..operators.quality import Relation, relation_coverage
+    fact = fact_play_logs.select("reservation_id", "line_item_id",
+                                 F.when(F.col("campaign_id").isNotNull(), F.col("reservation_id")).alias("resolved_id"))
+    tables = {"play_log": (enriched, None), "fact": (fact, None), "line_item": (dim_line_item, None),
+              "reservation": (reservations, None), "display_unit": (display_units, None), "reservation_map": (res22, None)}
+    relations = [
+        Relation("play_log->reservation", "play_log", "CampID", "reservation", "id"),
+        Relation("play_log->display_unit", "play_log", "DisplayUnitID", "display_unit", "id"),
+        Relation("fact->reservation_map", "fact", "reservation_id", "reservation_map", "id"),
+        Relation("fact->campaign", "fact", "reservation_id", "fact", "resolved_id"),
+        Relation("fact->line_item", "fact", "line_item_id", "line_item", "line_item_id"),
+        Relation("line_item->reservation", "line_item", "reservation_id", "reservation", "id"),
+    ]
+    if budget is not None:
+        days = F.datediff("d1", "d0") + 1 if "d0" in budget.columns else None
+        tables |= {"budget": (budget, days), "player": (dim_player, None)}
+        relations += [Relation("budget->line_item", "budget", "line_item_id", "line_item", "line_item_id"),
+                      Relation("budget->player", "budget", "play_log_player_id", "player", "play_log_player_id")]
+    return relation_coverage(tables, relations)

@@ -8,38 +8,78 @@ from pyspark.sql import functions as F
 from .. import config as K
 from ..functions.semantics import to_long
 from ..operators.lookup import lookup_join
-from ..operators.merge import match_keys, months_to_fetch
+from ..operators.merge import match_keys, months_to_fetch, since_cursor
 from ..operators.rollup import dedup
 from ..session import cut_lineage
 from ..sources import readers as RD
 from ..sources import sinks as SK
 
 
-def read_cursor(spark: SparkSession, cursor_path: str):
-    """The stored high-water mark as a scalar Column (epoch when none is stored yet)."""
-    if SK.table_exists(spark, cursor_path):
-        return spark.read.parquet(cursor_path).select(F.max("cursor")).scalar()
-    return F.lit(K.CURSOR_EPOCH).cast("timestamp")
+CURSORS = "table_name string, cursor timestamp"
 
 
-def save_cursor(spark: SparkSession, nxt: DataFrame, cursor_path: str) -> None:
-    """Keep the larger of the stored and the new cursor (a one-row control table)."""
-    if SK.table_exists(spark, cursor_path):
-        nxt = nxt.unionByName(spark.read.parquet(cursor_path)).agg(F.max("cursor").alias("cursor"))
-    SK.write_guarded(nxt, cursor_path)
+def read_cursors(spark: SparkSession, cursors_path: str) -> dict:
+    """The stored high-water marks, one for each table that has one (a control table of a few rows)."""
+    if not SK.table_exists(spark, cursors_path):
+        return {}
+    return {r.table_name: r.cursor for r in spark.read.schema(CURSORS).parquet(cursors_path).collect()}
 
 
-def sync_control_table(spark: SparkSession, table: str, pages_path: str, item_schema: str, table_path: str,
-                       cursor_path: str, modified_col: str = "modified", key: str = "id") -> None:
-    """Load one control table from its landed pages (``{"<resource>": [...], "not_modified_since": ...}``)."""
+def save_cursors(spark: SparkSession, new: dict, cursors_path: str) -> None:
+    """Keep, for each table, the larger of the stored and the new mark; tables that ``new`` lacks keep theirs."""
+    known = read_cursors(spark, cursors_path)
+    both = {t: max(c for c in (known.get(t), new.get(t)) if c is not None) for t in {*known, *new} if known.get(t) or new.get(t)}
+    if both:
+        SK.write_guarded(spark.createDataFrame(sorted(both.items()), CURSORS).coalesce(1), cursors_path)
+
+
+def _load_control_table(spark: SparkSession, table: str, pages_path: str, item_schema: str, table_path: str, cursors_path: str,
+                        modified_col: str, key: str) -> tuple:
+    """(rows landed, strategy, new cursor or None); the cursor is not saved."""
     resource, _version = K.CONTROL_ENDPOINTS[table]
-    recs = RD.read_paged_json(spark, pages_path, item_schema, paths=[f"$.{resource}"]).drop("page_file")
-    if table in K.CONTROL_INCREMENTAL:
-        rows = recs.where(F.col(modified_col) > read_cursor(spark, cursor_path))
-        SK.write_upsert(spark, rows, table_path, [key])
-        save_cursor(spark, recs.agg(F.max(modified_col).alias("cursor")), cursor_path)
-    else:
-        SK.write_guarded(recs, table_path)
+    recs = cut_lineage(RD.read_paged_json(spark, pages_path, item_schema, paths=[f"$.{resource}"]).drop("page_file"))
+    if table not in K.CONTROL_INCREMENTAL:
+        landed = recs.count()
+        return landed, "overwrite" if SK.write_guarded(recs, table_path) else "overwrite/empty", None
+    since = read_cursors(spark, cursors_path).get(table, K.CURSOR_EPOCH)
+    changed, _ = since_cursor(recs, modified_col, since)
+    landed, newest = recs.agg(F.count(F.lit(1)), F.max(modified_col)).first()
+    if not landed:
+        return 0, "incremental/no-change", None
+    SK.write_upsert(spark, changed, table_path, [key])
+    return landed, "incremental", newest
+
+
+def sync_control_table(spark: SparkSession, table: str, pages_path: str, item_schema: str, table_path: str,
+                       cursors_path: str, modified_col: str = "modified", key: str = "id") -> None:
+    """C3 for one table, from its landed pages (``{"<resource>": [...], "not_modified_since": ...}``): an incremental
+    table is upserted by id with the rows changed since its cursor, any other is replaced whole unless the refetch is
+    empty.  The cursor is saved after the data."""
+    *_, cursor = _load_control_table(spark, table, pages_path, item_schema, table_path, cursors_path, modified_col, key)
+    if cursor is not None:
+        save_cursors(spark, {table: cursor}, cursors_path)
+
+
+def sync_control_tables(spark: SparkSession, landed: dict[str, tuple[str, str]], root: str, cursors_path: str,
+                        modified_col: str = "modified", key: str = "id") -> DataFrame:
+    """One run over the control tables, ``landed`` being {table: (its pages, the records' schema)}; table t goes to
+    ``root``/ctrl_t.
+
+    A table that fails is reported and does not stop the others.  The cursors of all tables are saved once, after all
+    data: a run that dies before loads the same rows again, which an upsert by key does not notice.  Returns one row for
+    each table: table_name, ok, strategy, n_rows, error."""
+    done, cursors = [], {}
+    for table, (pages, schema) in landed.items():
+        try:
+            n, strategy, cursor = _load_control_table(spark, table, pages, schema, f"{root.rstrip('/')}/ctrl_{table}", cursors_path,
+                                                      modified_col, key)
+            done.append((table, True, strategy, n, None))
+            if cursor is not None:
+                cursors[table] = cursor
+        except Exception as e:  # noqa: BLE001  whatever is wrong with one source is that source's matter
+            done.append((table, False, None, None, f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:300]))
+    save_cursors(spark, cursors, cursors_path)
+    return spark.createDataFrame(done, "table_name string, ok boolean, strategy string, n_rows long, error string")
 
 
 POP_KEYS = ["format", "content_id", "play_date"]

@@ -4,8 +4,11 @@ files for streams) into a fresh folder under the shared checkpoint dir, then rea
 The oracle computes the same result directly from the table."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from .. import config as K
 from ..functions.semantics import round_half_up
 from ..operators.rollup import hourly_rollup
 from ..session import scratch_path
@@ -367,6 +370,48 @@ def q_job_control_sync(spark, d):
     return SK.read_upserted(spark, table).select("id", "cust", "price")
 
 
+# The nine tables of a run stand on slices of orders by o_orderkey % 9; the second landing adds 10 to the prices of one
+# status (incremental tables: those rows with a later time, among them rows without a time; replaced tables: whole
+# slices without status P, and one refetch that comes back empty).
+@register("job_control_all", f"""
+WITH t AS (SELECT * FROM (VALUES {', '.join(
+    f"({k}, '{t}', {str(t in K.CONTROL_INCREMENTAL).lower()})" for k, t in enumerate(K.CONTROL_ENDPOINTS))}) v(k, table_name, incremental)),
+ o AS (SELECT table_name, incremental, o_orderkey AS id, o_custkey AS cust, o_orderstatus AS st, o_totalprice AS price
+       FROM orders JOIN t ON o_orderkey % 9 = k)
+SELECT table_name, id, cust, CASE WHEN incremental AND st = 'O' THEN price + 10 ELSE price END AS price FROM o
+WHERE incremental OR table_name = 'customers' OR st <> 'P'""")
+def q_job_control_all(spark, d):
+    from .ingest import sync_control_tables
+    o = T(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"), F.col("o_totalprice").alias("price"), "o_orderstatus",
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate").cast("timestamp")).alias("modified"))
+    later = F.date_add(o.select(F.max("modified")).scalar(), 1).cast("timestamp")
+    again = o.withColumn("changed", F.col("o_orderstatus") == "O") \
+        .withColumn("price", F.when(F.col("changed"), F.col("price") + 10).otherwise(F.col("price"))) \
+        .withColumn("modified", F.when(F.col("changed") & F.col("modified").isNotNull(), later).otherwise(F.col("modified")))
+    root, ctrl = scratch_path(spark, "control"), scratch_path(spark, "cursors")
+
+    def land(run: str, rows) -> dict:
+        out = {}
+        for k, (table, (resource, _)) in enumerate(K.CONTROL_ENDPOINTS.items()):
+            out[table] = (scratch_path(spark, f"api-{run}-{table}"), _RES_ITEM)
+            SK.export_text(_api_pages(rows(table).where(F.col("id") % 9 == k), resource), out[table][0])
+        return out
+
+    def second(table):
+        if table in K.CONTROL_INCREMENTAL:
+            return again.where("changed")
+        return o.where(F.lit(False) if table == "customers" else F.col("o_orderstatus") != "P")
+
+    sync_control_tables(spark, land("1", lambda t: o), root, ctrl)
+    report = sync_control_tables(spark, land("2", second), root, ctrl)
+    parts = [(SK.read_upserted(spark, f"{root}/ctrl_{t}") if t in K.CONTROL_INCREMENTAL else spark.read.parquet(f"{root}/ctrl_{t}"))
+             .select(F.lit(t).alias("table_name"), "id", "cust", "price") for t in K.CONTROL_ENDPOINTS]
+    if report.where("NOT ok").count():
+        raise RuntimeError("a control table failed")
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # ---- S16 / F6: content metadata pages ------------------------------------------------------------------------------------
 @register("content_meta", """
 SELECT p_partkey AS content_id, p_name AS content_name,

@@ -313,7 +313,7 @@ def _cols(names, table):
 
 
 @register("job_dim_line_item", f"""
-{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, OVERRIDES_SQL)}
+{with_ctes(CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, OVERRIDES_SQL).replace("campaigns AS (", "campaigns AS MATERIALIZED (").replace("resfull AS (", "resfull AS MATERIALIZED (")}
 SELECT {_cols(_DLI_OUT, 'c')}, coalesce(c.perf_status, '{K.NO_STATUS}') AS broadsign_status,
        {_days_sql(['line_start', 'line_end'], 'c.')}, {_LINE_DAYS_SQL}, {_cols(_RES_OUT, 'r')},
        {_days_sql(['reservation_start', 'reservation_end'], 'r.')}
@@ -491,12 +491,14 @@ def q_daily_fact_health(spark, d):
 
 # ---- Q3 / Q6 over the pipeline's tables ---------------------------------------------------------------------------------
 def _cov(label, left_sql, lk, right_sql, rk):
-    return f"""SELECT '{label}' AS label, CAST(count(*) AS BIGINT) AS left_rows, CAST(count(r.k) AS BIGINT) AS matched,
-  CAST(count(*) - count(r.k) AS BIGINT) AS unmatched,
-  CASE WHEN count(*) > 0 THEN count(r.k) * 100.0 / count(*) ELSE 0.0 END AS coverage_pct,
-  CASE WHEN count(*) > 0 AND count(r.k) * 100.0 / count(*) = 100 THEN 'OK'
-       WHEN count(*) > 0 AND count(r.k) * 100.0 / count(*) >= 95 THEN 'WARN' ELSE 'FAIL' END AS status
-FROM (SELECT {lk} AS k FROM {left_sql} WHERE {lk} IS NOT NULL) l
+    return f"""SELECT '{label}' AS label, CAST(count(l.k) AS BIGINT) AS left_rows, CAST(count(r.k) AS BIGINT) AS matched,
+  CAST(count(l.k) - count(r.k) AS BIGINT) AS unmatched,
+  CASE WHEN count(l.k) > 0 THEN count(r.k) * 100.0 / count(l.k) ELSE 0.0 END AS coverage_pct,
+  CASE WHEN count(l.k) > 0 AND count(r.k) * 100.0 / count(l.k) = 100 THEN 'OK'
+       WHEN count(l.k) > 0 AND count(r.k) * 100.0 / count(l.k) >= 95 THEN 'WARN' ELSE 'FAIL' END AS status,
+  CAST(count(*) - count(l.k) AS BIGINT) AS null_rows,
+  CASE WHEN count(*) > 0 THEN (count(*) - count(l.k)) * 100.0 / count(*) ELSE 0.0 END AS null_pct
+FROM (SELECT {lk} AS k FROM {left_sql}) l
 LEFT JOIN (SELECT DISTINCT {rk} AS k FROM {right_sql} WHERE {rk} IS NOT NULL) r ON r.k = l.k"""
 
 
@@ -528,7 +530,7 @@ def q_job_coverage_report(spark, d):
                                               G.single_panel_campaigns(logs, G.reservation_lines(res22, camps), JOB_CFG), JOB_CFG))
     dli = cut_lineage(G.build_dim_line_item(spark, camps, res22, W.reservations(spark, d), JOB_CFG))
     players = players_full(spark, d)
-    budget = explode_days(budget_intervals(dli, logs, players, DAILY_CFG))
+    budget = budget_intervals(dli, logs, players, DAILY_CFG)
     return G.join_coverage_report(e, W.reservations(spark, d), W.display_units(spark, d), res22, fact, dli, budget,
                                   G.build_dim_player(players))
 

@@ -5,11 +5,14 @@ cluster pass their session in.  ``get_session`` is for tests, the bench and loca
 """
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job relies on: UTC wall clock, AQE with skew-join splitting,
 # dynamic partition overwrite so a day replace (M4) touches only its own partition.
@@ -70,9 +73,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/playledger-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` to the shared checkpoint folder (reliable; survives executor loss)."""
-    return df.checkpoint(eager=True)
+#: Shuffle files go when the write that made them ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scopes: list[list[str]] = []
+
+
+def store(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` to a fresh Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but keeps columns apart, so later readers prune them, push filters and know
+    the size; a lost executor costs no recomputation beyond the running job's tasks.  Columns of type void, which files
+    can't hold, are made anew.  Inside :func:`scratch_scope` the table is deleted when the scope ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
+    held = df.drop(*void) if void else df
+    if not held.columns:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(_CLEANUP, None)
+    if before is None:
+        spark.conf.set(_CLEANUP, "true")  # unless the session says otherwise; left on, so concurrent queries don't undo it
+    held.write.parquet(path)
+    out = spark.read.schema(held.schema).parquet(path)
+    return out.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns]) if void else out
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that :func:`store` makes inside are deleted at the end: for jobs whose results are written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for p in _scopes.pop():
+            fs, at = path_of(spark, p)
+            fs.delete(at, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder (see :func:`store`)."""
+    return store(df)
 
 
 def path_of(spark: SparkSession, path: str):

@@ -6,7 +6,7 @@ Hadoop codec, one split per .gz file); nothing is read on the driver.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from ..functions.jsonfn import unwrap
 from ..functions.names import file_date, json_text_field
 from ..functions.semantics import to_double, to_long, to_ts
 from ..operators.rollup import latest_by
+from ..session import store
 
 # Positional layout of the raw play log (13 tab-separated fields; the rest are ignored).
 PLAY_LOG_FIELDS = {0: "PlayerID", 1: "DateEndTime", 2: "Duration", 3: "AdCopyId", 5: "CampID", 6: "FrameID",
@@ -168,13 +169,22 @@ def read_paged_json(spark: SparkSession, path: str, item_schema: str, paths: lis
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Run-log text lines with file name and line position.  A log file is one run's output and small, so it is read
-    whole: the position is the line's own, however the folder is split over tasks."""
-    whole = spark.read.text(path, wholetext=True).select("*", F.col("_metadata.file_name").alias("log"))
-    lines = whole.select("*", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")).drop("value")
-    return lines.where("line != ''").select("log", F.col("line_no").cast("bigint").alias("line_no"),
-                                            *[c for c in lines.columns if c not in ("log", "line_no", "line")],
-                                            F.col("line").alias("value"))
+    """The lines of run logs that are not empty, with the log's name and the line's number in it (from 0).
+
+    A log may be of any length: it is read in splits like any text, and numbered in two passes.  A split's lines come in
+    order, so their ids ascend without gaps; a line's number is its place in its split plus the lines of the splits
+    before it in the file (prefix sums over one row for each split).  The lines are stored once, with their ids, so
+    that both passes see the same splits."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    own = [c for c in raw.columns if c != "value"]  # folder columns
+    lines = store(raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                             F.monotonically_increasing_id().alias("id"), F.col("_metadata.file_name").alias("log"), *own, "value"),
+                  "run-log")
+    split = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    split = split.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).drop("first", "n")
+    return lines.join(split, ["file", "block"]).select("log", (F.col("id") + F.col("base")).alias("line_no"), *own,
+                                                       F.regexp_replace("value", r"\r$", "").alias("value")).where("value <> ''")
 
 
 def index_files(pages: DataFrame, html_col: str = "html", prefix: str = "playlog-",
