@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import config as K
 from ..functions.semantics import round_half_up
 from ..operators.rollup import hourly_rollup
-from ..session import scratch_path
+from ..session import path_of, scratch_path
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from ..streaming import stream as ST
@@ -25,7 +25,7 @@ _K_SQL = '"k"\\s*:\\s*(\\d+)'
 
 
 # ---- S3 / S4 / S5 / C1: raw play-log TSV ---------------------------------------------------------------------------
-def _tsv_lines(ev):
+def _tsv_lines(ev, *keep):
     k = F.regexp_extract("props", _K, 1)
     f = [F.when(F.col("user_id") % 7 == 0, F.lit("")).otherwise(F.col("user_id").cast("string")),
          F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
@@ -38,7 +38,7 @@ def _tsv_lines(ev):
     line = (F.when(F.col("event_id") % 97 == 0, F.concat(full, F.lit("\textra")))
              .when(F.col("event_id") % 89 == 0, F.concat_ws("\t", *f[:9]))
              .otherwise(full))
-    return ev.select(line.alias("value"), F.dayofmonth("ts").alias("dom"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return ev.select(line.alias("value"), "event_id", F.dayofmonth("ts").alias("dom"), F.date_format("ts", "yyyy-MM-dd").alias("day"), *keep)
 
 
 def land_play_log(spark, d) -> str:
@@ -339,6 +339,70 @@ def q_job_ingest(spark, d):
                       F.col("emisje").cast("bigint").alias("emisje"))
 
 
+# ---- I3 / I7 / M9: files that are new or have changed, by a stored manifest ---------------------------------------------
+def land_day_files(spark, lines, folder: str) -> str:
+    """The lines (value, day) as one file for each day, named playlog-<day>.txt, replacing what is there."""
+    staged = scratch_path(spark, "days")
+    lines.select("value", "day").repartition("day").write.partitionBy("day").text(staged)
+    fs, at = path_of(spark, staged)
+    _, out = path_of(spark, folder)
+    fs.mkdirs(out)
+    for one in fs.listStatus(at):
+        name = one.getPath().getName()
+        if name.startswith("day="):
+            _, to = path_of(spark, f"{folder}/playlog-{name[4:]}.txt")
+            fs.delete(to, False)
+            for part in fs.listStatus(one.getPath()):
+                fs.rename(part.getPath(), to)
+    return folder
+
+
+_CHANGED_DAY, _FIRST_DAYS = "2024-01-05", "2024-01-20"
+
+
+def file_lines(spark, d):
+    """Raw lines by the day of their file: plays of a day's first hour are in the file of the day before."""
+    ev = T(spark, d, "events")
+    own = F.date_format(F.col("ts") - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd")
+    return _tsv_lines(ev.withColumn("own", own), "own").select("value", "event_id", F.col("own").alias("day"))
+
+
+@register("job_changed_files", f"""
+WITH p AS (
+  SELECT CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS PlayerID, date_trunc('second', ts) AS t,
+         CASE WHEN event_id % 83 = 0 THEN NULL ELSE value END AS Duration, event_id % 60 AS AdCopyId,
+         CAST(regexp_extract(props, '{_K_SQL}', 1) AS BIGINT) AS CampID, user_id % 40 AS FrameID, user_id % 25 AS DisplayUnitID,
+         CAST(floor(value) AS BIGINT) AS Impresje,
+         CASE WHEN event_id % 89 = 0 THEN NULL
+              WHEN CAST(regexp_extract(props, '{_K_SQL}', 1) AS INTEGER) % 3 = 0 THEN 'C' || regexp_extract(props, '{_K_SQL}', 1) END
+           AS contract_id
+  FROM events WHERE event_id % 97 <> 0
+    AND (strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%d') <> '{_CHANGED_DAY}' OR event_id % 2 = 0))
+SELECT strftime(t, '%Y-%m-%d') AS DateEnd, CAST(hour(t) AS INTEGER) AS timeslot, PlayerID, AdCopyId, CampID, FrameID,
+       DisplayUnitID, contract_id, round(CAST(coalesce(sum(Duration), 0) AS DECIMAL(38,10)), 2)::DOUBLE AS Duration,
+       CAST(coalesce(sum(Impresje), 0) AS BIGINT) AS Impresje, count(*) AS emisje
+FROM p GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""")
+def q_job_changed_files(spark, d):
+    from .manifest import load_changed_files, read_loaded
+    lines = file_lines(spark, d)
+    folder, table, manifest = (scratch_path(spark, n) for n in ("landing", "play-logs", "manifest"))
+    land_day_files(spark, lines.where(F.col("day") <= _FIRST_DAYS), folder)
+    load_changed_files(spark, folder, table, manifest)
+    # one file comes again and smaller, the other days' files arrive; the run dies before its manifest and is repeated
+    land_day_files(spark, lines.where((F.col("day") > _FIRST_DAYS) | (F.col("day") == _CHANGED_DAY))
+                   .where((F.col("day") != _CHANGED_DAY) | (F.col("event_id") % 2 == 0)), folder)
+
+    def die():
+        raise InterruptedError("stopped between data and manifest")
+
+    try:
+        load_changed_files(spark, folder, table, manifest, before_manifest=die)
+    except InterruptedError:
+        load_changed_files(spark, folder, table, manifest)
+    return read_loaded(spark, table).select("DateEnd", "timeslot", *_TSV_KEYS, round_half_up(F.col("Duration"), 2).alias("Duration"),
+                                            "Impresje", "emisje")
+
+
 # ---- C3 / I1 / S11 / M1 / M2: control-table sync with a high-water cursor ---------------------------------------------
 _RES_ITEM = "id bigint, cust bigint, price double, modified timestamp"
 

@@ -79,6 +79,21 @@ def _replace_parts(rows: DataFrame, path: str, part: str) -> None:
         .partitionBy(part).parquet(path))
 
 
+def write_new(rows: DataFrame, path: str, part: str) -> None:
+    """Create a table partitioned by ``part``, whole or not at all."""
+    _swap(rows.sparkSession, _stage(rows, path, [part]), path)
+
+
+def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame) -> None:
+    """Replace the partitions listed in ``touched`` (one column, ``part``) by what ``rows`` has for them, which may be
+    nothing; ``rows`` is a stored frame and has no other partitions.  All other partitions keep their files."""
+    _replace_parts(rows, path, part)
+    spark = rows.sparkSession
+    for r in M.match_keys(touched.select(part).distinct(), rows.select(part).distinct(), part, "left_anti").toLocalIterator():
+        fs, at = path_of(spark, f"{path.rstrip('/')}/{part}={r[0]}")
+        fs.delete(at, True)
+
+
 BUCKET_COL = "__bucket"
 #: Rows of a new table's first batch (or its expected rows) per bucket, when no count is given.
 ROWS_PER_BUCKET = 1_000_000
