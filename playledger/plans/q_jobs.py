@@ -1,11 +1,14 @@
 """Silver and gold jobs (C4-C16, C19, C20) run on the world derived from the driver tables."""
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from .. import config as K
 from ..functions.semantics import round_half_up
 from ..operators.rollup import hourly_rollup
+from ..session import cut_lineage, scratch_path
 from . import analogs as A
 from . import gold as G
 from . import silver as S
@@ -261,7 +264,6 @@ SELECT m.DateEnd AS date_key, m.PlayerID AS play_log_player_id, m.FrameID AS fra
        m.line_item_id, m.campaign_id, {_FLAG_SQL} AS is_serwisowy
 FROM fact_rows m""")
 def q_job_fact_play_logs(spark, d):
-    from ..session import cut_lineage
     # the three inputs share the raw log, the reservations and the campaigns: each of those is stored once
     logs, camps = cut_lineage(bronze_play_logs(spark, d)), cut_lineage(campaigns(spark, d))
     res22 = W.reservations_v22(spark, d)
@@ -461,10 +463,10 @@ DLI_SQL = f"""dli AS (
 blogs_chain AS (SELECT CampID, PlayerID FROM bronze)"""
 
 
-def _daily_budget_sql():
+def _daily_budget_sql(**window):
     from .q_core import budget_core_sql
     return (with_ctes(BRONZE_SQL, CAMPAIGNS_SQL, W.RES22_SQL, W.RES_SQL, RESFULL_SQL, A.PLAYERS_SQL, DLI_SQL) + ",\n"
-            + budget_core_sql(li="dli", blogs="blogs_chain", players="players"))
+            + budget_core_sql(li="dli", blogs="blogs_chain", players="players", **window))
 
 
 def daily_gold(spark, d):
@@ -489,6 +491,58 @@ def q_daily_fact_health(spark, d):
     return daily_gold(spark, d)["fact_health"]
 
 
+# ---- T3 / C16-C18: a run that changed some days of the log -------------------------------------------------------------
+# The log's days are the firsts of months here and the calendar is four months, so that a fact has some hundred days.
+REFRESH_CFG = {**DAILY_CFG, "calendar_start": dt.date(1998, 2, 1), "calendar_end": dt.date(1998, 5, 31)}
+_LATE, _PART, _GONE = "2001-11-01", "1998-03-01", "1998-07-01"
+
+
+def monthly_bronze(spark, d):
+    raw = W.play_logs_raw(spark, d).withColumn("DateEndTime", F.expr("timestampadd(HOUR, hour(DateEndTime), date_trunc('month', DateEndTime))"))
+    logs = hourly_rollup(raw, ["PlayerID", "AdCopyId", "CampID", "FrameID", "DisplayUnitID", "contract_id"],
+                         sums={"Duration": "Duration", "Impresje": "Impresje"}, scale=None)
+    return {**W.bronze_tables(spark, d), "play_logs": logs}
+
+
+def _refresh_sql():
+    from .q_core import health_sql
+    budget = _daily_budget_sql(lo=REFRESH_CFG["calendar_start"], hi=REFRESH_CFG["calendar_end"])
+    plays = f"""{with_ctes(ENRICHED_SQL, RESMAP_SQL, SINGLE_SQL, FACT_MAP_SQL)}
+SELECT m.DateEnd AS date_key, m.PlayerID AS play_log_player_id, m.CampID AS reservation_id, m.Impresje, m.emisje, m.campaign_id,
+       {_FLAG_SQL} AS is_serwisowy FROM fact_rows m"""
+    whole = f"""
+SELECT 'fact_play_logs' AS fact, date_key, play_log_player_id AS player, reservation_id AS a, campaign_id AS b,
+       emisje::DOUBLE AS x, is_serwisowy::DOUBLE AS y FROM ({plays})
+UNION ALL SELECT 'fact_campaign_budget', date_key, play_log_player_id, reservation_id, line_item_id, daily_cost_line,
+       daily_expected_repetitions FROM ({budget})
+UNION ALL SELECT 'fact_health', date_key, play_log_player_id, n_campaigns, n_line_items, expected_impressions,
+       actual_impressions FROM ({health_sql(budget, plays)})"""
+    by_day = "strftime(DateEndTime, '%Y-%m-%d') AS DateEnd"
+    return whole.replace(by_day, by_day.replace("DateEndTime", "date_trunc('month', DateEndTime)"))
+
+
+@register("refresh_changed_days", _refresh_sql())
+def q_refresh_changed_days(spark, d):
+    from .refresh import build_all, read_fact, refresh_days
+    bronze = {**monthly_bronze(spark, d)}
+    bronze["play_logs"] = logs = cut_lineage(bronze["play_logs"])
+    # the first run has part of one day, nothing of the last, and plays of a day that are gone in the second
+    first = logs.where((F.col("DateEnd") != _LATE) & ((F.col("DateEnd") != _PART) | (F.col("PlayerID") % 2 == 0)))
+    more = logs.where((F.col("DateEnd") == _LATE) & (F.col("PlayerID") % 3 == 0)).withColumn("DateEnd", F.lit(_GONE))
+    root = scratch_path(spark, "gold")
+    build_all(spark, {**bronze, "play_logs": first.unionByName(more)}, root, REFRESH_CFG)
+    refresh_days(spark, bronze, [_LATE, _PART, _GONE], root, REFRESH_CFG)
+
+    def out(name, a, b, x, y):
+        return read_fact(spark, f"{root}/{name}").select(
+            F.lit(name).alias("fact"), "date_key", F.col("play_log_player_id").alias("player"), F.col(a).cast("long").alias("a"),
+            F.col(b).cast("long").alias("b"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+
+    return out("fact_play_logs", "reservation_id", "campaign_id", "emisje", "is_serwisowy") \
+        .unionByName(out("fact_campaign_budget", "reservation_id", "line_item_id", "daily_cost_line", "daily_expected_repetitions")) \
+        .unionByName(out("fact_health", "n_campaigns", "n_line_items", "expected_impressions", "actual_impressions"))
+
+
 # ---- Q3 / Q6 over the pipeline's tables ---------------------------------------------------------------------------------
 def _cov(label, left_sql, lk, right_sql, rk):
     return f"""SELECT '{label}' AS label, CAST(count(l.k) AS BIGINT) AS left_rows, CAST(count(r.k) AS BIGINT) AS matched,
@@ -522,7 +576,6 @@ _COVERAGE_SQL = (with_ctes(ENRICHED_SQL, RESMAP_SQL, W.RES22_SQL, W.RES_SQL, RES
 
 @register("job_coverage_report", _COVERAGE_SQL)
 def q_job_coverage_report(spark, d):
-    from ..session import cut_lineage
     logs, camps, res22 = cut_lineage(bronze_play_logs(spark, d)), cut_lineage(campaigns(spark, d)), W.reservations_v22(spark, d)
     e = cut_lineage(S.build_play_logs_enriched(logs, W.reservations(spark, d), W.frames_mapping(spark, d), W.screens(spark, d),
                                                W.display_units(spark, d), W.proposals(spark, d)))

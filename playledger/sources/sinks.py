@@ -90,7 +90,7 @@ def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame
     _replace_parts(rows, path, part)
     spark = rows.sparkSession
     for r in M.match_keys(touched.select(part).distinct(), rows.select(part).distinct(), part, "left_anti").toLocalIterator():
-        fs, at = path_of(spark, f"{path.rstrip('/')}/{part}={r[0]}")
+        fs, at = path_of(spark, f"{path.rstrip('/')}/{part}={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0]}")
         fs.delete(at, True)
 
 
