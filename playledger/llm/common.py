@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import store
 
 #: A word is a longest run of characters other than space, tab, line feed, vertical tab, form feed, return.
 #: These are also the separators of ``bytes.split()``, so Python and Spark cut the same words.
@@ -19,24 +19,9 @@ _GAP = re.compile(rb"[\x20\x09-\x0d]")
 _BLOCK_BYTES = 1 << 20
 
 
-#: Shuffle files go when the write that made them ends, not when the driver happens to collect its garbage.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared checkpoint folder and read it back.
-
-    Cuts the lineage like ``checkpoint()`` but computes ``df`` once only; a lost executor costs no recomputation
-    beyond the running job's tasks."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` computed once, in a fresh table of the shared checkpoint folder (see :func:`playledger.session.store`)."""
+    return store(df, f"llm-{name}")
 
 
 def rows_in(docs: DataFrame, keys: DataFrame, made: dict[str, Callable], how: str = "left_semi", once: bool = False) -> DataFrame:
@@ -89,6 +74,16 @@ def word_blocks(data: bytes, overlap: int):
             tail = block[-overlap:] if overlap else []
 
 
+def line_blocks(data: bytes):
+    """Yield lists of the lines of ``data``; a long text is cut at line ends after about a megabyte."""
+    pos = 0
+    while pos < len(data):
+        cut = data.find(b"\n", pos + _BLOCK_BYTES)
+        cut = len(data) if cut < 0 else cut
+        yield data[pos:cut].split(b"\n")
+        pos = cut + 1
+
+
 def batches_of(frames, rows: int = 512):
     """Re-slice Arrow batches to at most ``rows`` rows, so that one batch's Python objects stay small."""
     for b in frames:

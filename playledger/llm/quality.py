@@ -7,14 +7,16 @@ together, one level at a time.
 """
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, fold, word_blocks
+from .common import batches_of, fold, line_blocks, word_blocks
 
 THRESHOLD = 0.7
 SAMPLE_ROWS = 20_000
@@ -28,7 +30,8 @@ FEATURES = ["bytes_log", "words_log", "lines_log", "word_mean", "word_sd", "word
 
 
 def statistics(text: bytes | None) -> np.ndarray:
-    """The features of a text in UTF-8; null counts as empty.  A very long text is read block by block."""
+    """The features of a text in UTF-8; null counts as empty.  A very long text is read block by block; its words and lines
+    (these by a 64-bit hash) are counted over all blocks, so the features mean the same at every length."""
     text = text or b""
     out = np.zeros(len(FEATURES), np.float32)
     raw = np.frombuffer(text, np.uint8)
@@ -38,7 +41,8 @@ def statistics(text: bytes | None) -> np.ndarray:
     hist = np.zeros(256, np.int64)
     for at in range(0, n, 1 << 20):
         hist += np.bincount(raw[at:at + (1 << 20)], minlength=256)
-    words = chars = squares = longest = distinct = top = lines = own_lines = capital = single = 0
+    words = chars = squares = longest = lines = capital = single = 0
+    kinds: Counter = Counter()
     for block in word_blocks(text, 0):
         size = np.fromiter(map(len, block), np.int64, len(block))
         words += len(block)
@@ -46,24 +50,18 @@ def statistics(text: bytes | None) -> np.ndarray:
         squares += int((size * size).sum())
         longest = max(longest, int(size.max()))
         single += int((size == 1).sum())
-        kinds = dict.fromkeys(block, 0)
-        distinct += len(kinds)
-        if len(kinds) < len(block):
-            for w in block:
-                kinds[w] += 1
-            top += max(kinds.values())
-        else:
-            top += 1
+        kinds.update(block)
         capital += sum(1 for w in block if 65 <= w[0] <= 90)
-    for at in range(0, n, 1 << 20):
-        part = [x for x in text[at:at + (1 << 20)].split(b"\n") if x]
+    own_lines = set()
+    for part in line_blocks(text):
+        part = [x for x in part if x]
         lines += len(part)
-        own_lines += len(set(part))
+        own_lines.update(map(xxhash.xxh3_64_intdigest, part))
     punct = hist[PUNCTUATION]
     p = hist[hist > 0] / n
     mean = chars / max(words, 1)
     out[:22] = (np.log1p(n), np.log1p(words), np.log1p(lines), mean, np.sqrt(max(squares / max(words, 1) - mean * mean, 0)),
-                np.log1p(longest), distinct / max(words, 1), top / max(words, 1), own_lines / max(lines, 1),
+                np.log1p(longest), len(kinds) / max(words, 1), max(kinds.values(), default=0) / max(words, 1), len(own_lines) / max(lines, 1),
                 words / max(lines, 1), hist[65:91].sum() / n, hist[97:123].sum() / n, hist[48:58].sum() / n, hist[32] / n,
                 hist[128:].sum() / n, hist[:32].sum() / n, punct.sum() / n, punct.max() / n, (punct > 0).sum(),
                 -(p * np.log2(p)).sum(), capital / max(words, 1), single / max(words, 1))
