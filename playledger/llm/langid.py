@@ -30,13 +30,21 @@ _SPREAD = [_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xD6E8FEB86659FD93
 _FOLD = np.array([b | 0x20 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 
 
+#: Bytes of a text that are folded at once.
+_BLOCK = 1 << 20
+
+
 def grams(text: bytes):
-    """Yield arrays of the n-grams of a text, as numbers; a long text comes in blocks."""
+    """Yield arrays of the n-grams of a text, as numbers.  A long text comes in blocks; what a block hands on to the next are
+    its last folded bytes, so a border changes nothing, be it inside a run of gaps or not."""
     raw = np.frombuffer(b" " + text + b" ", np.uint8)
-    for at in range(0, len(raw), 1 << 20):
-        part = _FOLD[raw[at:at + (1 << 20) + N - 1]]
+    held = np.zeros(0, np.uint8)
+    for at in range(0, len(raw), _BLOCK):
+        part = _FOLD[raw[at:at + _BLOCK]]
         gap = part == 32
-        part = part[np.concatenate([[True], ~(gap[1:] & gap[:-1])])]
+        part = part[~(gap & np.concatenate([held[-1:] == 32 if len(held) else [False], gap[:-1]]))]
+        part = np.concatenate([held, part])
+        held = part[-(N - 1):]
         if len(part) < N:
             continue
         wide = part.astype(np.uint32)
