@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from .common import batches_of, stored, word_blocks
 
-ROUNDS = 2
 #: Words that a task names together.
 GATHER = 100_000
 NO_ID = (1 << 63) - 1
@@ -56,7 +55,12 @@ class _Sums:
         return _mix((self.sums[end] - self.sums[start]) * self.back[start])
 
 
-def _rounds(word: np.ndarray):
+def pair_rounds(window: int) -> int:
+    """Rounds of pairs whose symbols' contexts still fit a window of so many words: a round about doubles them."""
+    return max(1, window.bit_length() - 2)
+
+
+def _rounds(word: np.ndarray, many: int):
     """Yield, for each round, the symbols' (name, context start, context end); -1 or n + 1 where the context leaves
     the sequence.  Both bounds ascend."""
     n = len(word)
@@ -67,7 +71,7 @@ def _rounds(word: np.ndarray):
     size = (last - first + 1).astype(_U)
     low, high = np.where(first > 0, low[first - 1], -1), np.where(last < n - 1, high[np.minimum(last + 1, n - 1)], n + 1)
     name = np.where(size > 1, _mix(name[first] + size * _U(0xD6E8FEB86659FD93)), name[first])
-    for r in range(ROUNDS):
+    for r in range(many):
         m = len(name)
         left = (_mix(name ^ _U(r + 1)) >> _U(63)).astype(bool)
         pair = np.zeros(m, bool)
@@ -89,7 +93,7 @@ def anchors(word: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.n
     start = np.arange(many)
     full, full2 = sums.of(start, start + window), sums2.of(start, start + window)
     anchor, open_ = full.copy(), np.ones(many, bool)
-    for name, low, high in reversed(list(_rounds(word))):
+    for name, low, high in reversed(list(_rounds(word, pair_rounds(window)))):
         inside = (low >= 0) & (high <= n)
         weight = _mix(sums.of(np.where(inside, low, 0), np.where(inside, high, 0)) + name)
         # window i has the symbols first[i] .. last[i]: context from i on, and up to i + window
