@@ -88,13 +88,12 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
 _SPAN = "struct<start:int,kind:int,stop:int>"
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE,
-                 gaps: bool = False) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """(doc_id, spans) for each row of ``docs``: array of (start, kind, stop), sorted; ``kind`` counts :data:`KINDS`.
 
     Strong spans are all there; weak ones only with their complements in scope.  Null and empty texts have none.
-    ``scope`` counts from start to start or, with ``gaps``, the characters between the end of the one span and the start
-    of the other (0 if they touch or overlap), so that the spans' own lengths do not part them.
+    ``scope`` counts the characters between the end of the one span and the start of the other (0 if they touch or
+    overlap), so that the spans' own lengths do not part them.
     Repeated rows are reported each; a null id is an id like any other; other columns are not read."""
     def run(frames):
         for b in batches_of(frames):
@@ -113,7 +112,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     linked = found.where(F.exists("spans", lambda s: s["kind"] >= 3)).withColumn("doc", doc)
     linked = linked.select("doc", "key", F.explode("spans").alias("s")).distinct()
     parts = F.create_map(*[F.lit(x) for k, name in enumerate(KINDS) for x in (k, PART[name])])
-    start, stop = F.col("s.start"), F.col("s.stop") if gaps else F.col("s.start")
+    start, stop = F.col("s.start"), F.col("s.stop")
     bins = lambda low, high: F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope))).alias("bin")
     each = linked.select("doc", "key", "s", F.element_at(parts, F.col("s.kind")).alias("part"))
     place = each.select("doc", "key", "part", start.alias("start"), stop.alias("stop"), bins(start, stop)) \
