@@ -60,13 +60,15 @@ def shingles(text: bytes | None, k: int) -> np.ndarray:
     return np.unique(np.concatenate(parts))
 
 
-def _borrowing_order(bins: int) -> np.ndarray:
-    """Row b: the bins that an empty bin b asks, one after the other (hashes of b and the attempt)."""
-    asked = _mix(np.arange(bins, dtype=_U)[:, None] * _U(0x9E3779B97F4A7C15) + np.arange(1, 33, dtype=_U)[None, :])
-    return (asked % _U(bins)).astype(np.int64)
+def _asked(bins: np.ndarray, first: int, many: int) -> np.ndarray:
+    """The bins that each of the (empty) ``bins`` asks at the attempts ``first`` and on: hashes of its number and theirs."""
+    asked = _mix(bins.astype(_U)[:, None] * _U(0x9E3779B97F4A7C15) + np.arange(first, first + many, dtype=_U)[None, :])
+    return (asked % _U(_BINS)).astype(np.intp)
 
 
-_ORDER = _borrowing_order(_BINS)
+#: The first attempts of all bins, and how many of them are looked at together.
+_ORDER = _asked(np.arange(_BINS), 1, 1024)
+_STEPS = [(0, 8), (8, 40), (40, 168), (168, 1024)]
 
 
 def signature(shingle: np.ndarray) -> np.ndarray:
@@ -75,21 +77,26 @@ def signature(shingle: np.ndarray) -> np.ndarray:
     out = np.full(_BINS, ~_U(0))
     np.minimum.at(out, (h >> _U(40)).astype(np.int64) % _BINS, h)
     full = out != ~_U(0)
-    empty = np.flatnonzero(~full)
-    if len(empty):
-        hit = full[_ORDER[empty]]
+    if full.all():
+        return out
+    empty, at = np.flatnonzero(~full), 1025
+    source = np.empty(_BINS, np.intp)
+    left = empty
+    for low, high in _STEPS:
+        asked = _ORDER[left, low:high]
+        hit = full[asked]
         found = hit.any(1)
-        source = np.empty(len(empty), np.int64)
-        source[found] = _ORDER[empty[found], hit[found].argmax(1)]
-        for i in np.flatnonzero(~found).tolist():  # few filled bins: go on asking
-            attempt, b = 33, int(empty[i])
-            while True:
-                at = int(_mix(np.array([b * 0x9E3779B97F4A7C15 + attempt & 0xFFFFFFFFFFFFFFFF], _U))[0] % _U(_BINS))
-                if full[at]:
-                    break
-                attempt += 1
-            source[i] = at
-        out[empty] = out[source]
+        source[left[found]] = asked[found, hit[found].argmax(1)]
+        left = left[~found]
+        if not len(left):
+            break
+    while len(left):  # very few bins are filled
+        asked = _asked(left, at, 1024)
+        hit = full[asked]
+        found = hit.any(1)
+        source[left[found]] = asked[found, hit[found].argmax(1)]
+        left, at = left[~found], at + 1024
+    out[empty] = out[source[empty]]
     return out
 
 
