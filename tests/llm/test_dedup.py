@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from playledger.llm import common, decontam, exact_dedup, substring_dedup
@@ -94,14 +95,15 @@ def test_substring_table(spark, docs, doc_rows):
 
 
 def brute_leaks(docs, items, k=5, t=0.8):
-    def shingles(x):
+    def shingles(x, sizes):
         w = (x or "").lower().encode().split()
-        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+        return {tuple(w[i:i + n]) for n in sizes for i in range(len(w) - n + 1)}
     d, b = {}, {}
     for i, x in docs:
-        d.setdefault(i, set()).update(shingles(x))
+        d.setdefault(i, set()).update(shingles(x, range(1, k + 1)))
     for i, x in items:
-        b.setdefault(i, set()).update(shingles(x))
+        n = len((x or "").split())
+        b.setdefault(i, set()).update(shingles(x, [min(n, k)] if n else []))
     return sorted(((i, j, len(s & q), len(q)) for i, s in d.items() for j, q in b.items() if q and len(s & q) / len(q) >= t), key=str)
 
 
@@ -124,6 +126,34 @@ def test_leaks(spark):
     assert decontam.find_leaks(frame, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_leaks_short_items_and_split_texts(spark):
+    words = [f"w{k}" for k in range(44)]
+    docs = [(1, " ".join(words[:22])), (1, " ".join(words[18:])), (3, "Just Three Words"), (4, "so just three words here"), (5, "just three"), (6, "three just words")]
+    items = [(1, " ".join(words[:40])), (2, "just three words"), (3, "three"), (4, ""), (5, "absent words")]
+    leaks = decontam.find_leaks(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted(((x.doc_id, x.item_id, x.n_shared, x.n_item) for x in leaks.collect()), key=str)
+    assert got == brute_leaks(docs, items)
+    assert {(a, b) for a, b, _, _ in got} == {(1, 1), (3, 2), (4, 2), (3, 3), (4, 3), (5, 3), (6, 3)}
+
+
+@pytest.mark.parametrize("send", [(0, 1 << 25, 0), (0, 1 << 25, 10 ** 6), (10 ** 6, 0, 0)])
+def test_leaks_however_they_are_sent(spark, monkeypatch, send):
+    for name, value in zip(("SEND_ROWS", "SEND_BYTES", "SEND_HASHES"), send):
+        monkeypatch.setattr(decontam, name, value)
+    docs = [(i, f"a b c d e f{i % 3} g h") for i in range(9)] + [(9, "a b")]
+    items = [(1, "a b c d e f1 g h"), (2, "a b"), (3, "x y")]
+    leaks = decontam.find_leaks(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(((x.doc_id, x.item_id, x.n_shared, x.n_item) for x in leaks.collect()), key=str) == brute_leaks(docs, items)
+
+
+def test_substring_of_other_windows(spark):
+    assert [substring_dedup.pair_rounds(w) for w in (2, 13, 30, 100)] == [1, 2, 3, 5]
+    for window in (4, 30):
+        rows = some_texts(window, 30)
+        got = sorted(tuple(r) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA), window=window).collect())
+        assert got == brute_repeats(rows, window)
+
+
 def test_leaks_without_broadcast(spark, docs, doc_rows, monkeypatch):
     monkeypatch.setattr(decontam, "SEND_ROWS", 0)
     items = duckdb.sql("SELECT item_id, text FROM read_parquet('/root/testdata/sf0.001/benchmark.parquet')").fetchall()
