@@ -258,14 +258,10 @@ def q_stream_hourly(spark, d):
     wk = F.floor((F.dayofmonth("ts") - 1) / 7)
     for w in range(5):   # weekly files, oldest first (arrival order)
         ev.where(wk == w).write.mode("append").parquet(land)
-    stream = ST.landing_stream(spark, land, _EV_SCHEMA, max_files=2)
-    roll = lambda rows: ST.hourly_window_counts(rows.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "value")
-    # one row per hour and type: a small table, a few buckets
-    upsert, late = ST.upsert_batches(table, ["window_start", "event_type"], buckets=4), []
-    ST.run_available_now(roll(stream), upsert, "hourly", late=late)
-    if late[0]:   # a week in several files: what fell behind the watermark is counted again from the landed files
-        upsert(roll(spark.read.schema(_EV_SCHEMA).parquet(land)), -1)
-    out = spark.read.parquet(table)
+    # a week in several files: rows of a later batch fall behind the mark and are counted by the stream itself
+    stream = ST.landing_stream(spark, land, _EV_SCHEMA, max_files=2).withColumn("ts", F.col("ts").cast("timestamp"))
+    ST.run_available_now(stream, ST.hourly_day_batches(table, "ts", ["event_type"], "value"), "hourly", output_mode="append")
+    out = ST.read_hourly(spark, table)
     return out.select(F.date_format(F.col("window_start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       "event_type", "emisje",
                       round_half_up(F.col("Duration"), 2).alias("Duration"))

@@ -7,6 +7,7 @@ overwrite, which stages the new files and moves them when the job commits.
 """
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,9 +65,46 @@ def write_guarded(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return True
 
 
+def _note_file(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/_{name}"  # a leading underscore keeps it out of the data
+
+
+def _write_note(spark: SparkSession, path: str, name: str, text: str) -> None:
+    fs, at = path_of(spark, _note_file(path, name))
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def _read_note(spark: SparkSession, path: str, name: str) -> str | None:
+    fs, at = path_of(spark, _note_file(path, name))
+    if not fs.exists(at):
+        return None
+    held = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+    finally:
+        held.close()
+
+
+def _note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep a table's schema beside its files: the columns known so far and, at the end, new ones.  Written before the data
+    that has them: a column without data reads as NULL."""
+    known = _read_note(spark, path, "schema")
+    old = T.StructType.fromJson(json.loads(known)) if known else T.StructType([])
+    more = [f for f in schema.fields if f.name not in old.names]
+    if more:
+        _write_note(spark, path, "schema", T.StructType(old.fields + more).json())
+
+
 def stored_table(spark: SparkSession, path: str, typed: T.StructType | None = None) -> DataFrame:
-    """The table at ``path`` with its own columns, whichever of its files have them; columns of ``typed`` that make up
-    the folder names keep their declared type."""
+    """The table at ``path`` with its own columns, whichever of its files have them, by the schema kept beside it; without
+    one, all files are asked.  Columns of ``typed`` that make up the folder names keep their declared type."""
+    known = _read_note(spark, path, "schema")
+    if known:
+        return spark.read.schema(T.StructType.fromJson(json.loads(known))).parquet(path)
     schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     declared = {f.name: f.dataType for f in typed.fields} if typed else {}
     fields = [T.StructField(f.name, declared.get(f.name, f.dataType)) for f in schema.fields]
@@ -81,7 +119,9 @@ def _replace_parts(rows: DataFrame, path: str, part: str) -> None:
 
 def write_new(rows: DataFrame, path: str, part: str) -> None:
     """Create a table partitioned by ``part``, whole or not at all."""
-    _swap(rows.sparkSession, _stage(rows, path, [part]), path)
+    staged = _stage(rows, path, [part])
+    _note_schema(rows.sparkSession, staged, rows.schema)
+    _swap(rows.sparkSession, staged, path)
 
 
 def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame) -> None:
@@ -95,49 +135,78 @@ def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame
 
 
 BUCKET_COL = "__bucket"
-#: Rows of a new table's first batch (or its expected rows) per bucket, when no count is given.
+#: Rows that a bucket should hold; twice as many make the table grow.
 ROWS_PER_BUCKET = 1_000_000
+#: Blocks of neighbouring whole-number keys for each bucket that a table is created with.
+BLOCKS_PER_BUCKET = 8
 
 
-def _bucket_file(path: str) -> str:
-    return f"{path.rstrip('/')}/_buckets"  # a leading underscore keeps it out of the data
+def _buckets(spark: SparkSession, path: str) -> dict:
+    return json.loads(_read_note(spark, path, "buckets"))
 
 
 def bucket_count(spark: SparkSession, path: str) -> int:
-    """The bucket count that a table of :func:`write_upsert` was created with."""
-    return int(spark.read.schema("n string").text(_bucket_file(path)).first()["n"])
+    """The present bucket count of a table of :func:`write_upsert`."""
+    return _buckets(spark, path)["n"]
+
+
+def _bucket_of(keys: list[str], spec: dict):
+    """The bucket of a key.  Where the first key is a whole number it counts by blocks of neighbours, so that a batch of
+    neighbouring ids lies in few buckets."""
+    head = F.col(f"`{keys[0]}`")
+    parts = [F.floor(head / spec["block"])] if spec["block"] else [F.col(f"`{k}`") for k in keys]
+    return F.pmod(F.xxhash64(*parts), F.lit(spec["n"])).cast("int")
+
+
+def _new_buckets(batch: DataFrame, keys: list[str], buckets: int | None, expected_rows: int | None) -> dict:
+    n = buckets or max(1, -(-(expected_rows or batch.count()) // ROWS_PER_BUCKET))
+    block = 0
+    if isinstance(batch.schema[keys[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        lo, hi = batch.agg(F.min(f"`{keys[0]}`"), F.max(f"`{keys[0]}`")).first()
+        block = max(1, (hi - lo + 1) // (max(n, 16) * BLOCKS_PER_BUCKET)) if lo is not None else 0
+    return {"n": n, "block": block, "fixed": buckets is not None}
 
 
 def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], order: list | None = None,
                  buckets: int | None = None, expected_rows: int | None = None) -> None:
     """M2/M5: key upsert into a Parquet table (created by the first batch).
 
-    The table is partitioned by a hash bucket of the key; a batch reads and replaces only the buckets it touches.  The
-    count is fixed and stored when the table is created: ``buckets``, or one for each million of ``expected_rows``
-    (else of the first batch's rows).  A later call may leave it out; another count is refused, since keys would land
-    in other buckets.  A batch of scattered keys touches most buckets, so choose as many as make a bucket small beside
-    the table; NULL keys are keys like any other, and columns that the batch lacks are kept (NULL in its rows)."""
+    The table is partitioned by a bucket of the key; a batch reads and replaces only the buckets it touches: of whole-number
+    keys those of the keys' neighbourhoods, of others, by hash, as many as it has keys.  ``buckets`` fixes their number for
+    good (another one is refused later).  Otherwise there is one for each million of ``expected_rows``, or of the first
+    batch's rows, and when the buckets that a batch leaves hold twice a million rows on average, the table is dealt into
+    more, as a staged copy that takes its place.  NULL keys are keys like any other, and columns that the batch lacks are
+    kept (NULL in its rows)."""
     batch = cut_lineage(new)
     if batch.isEmpty():
         return
-    first = not table_exists(spark, path)
-    if first:
-        n = buckets or max(1, -(-(expected_rows or batch.count()) // ROWS_PER_BUCKET))
-    else:
-        n = bucket_count(spark, path)
-        if buckets not in (None, n):
-            raise ValueError(f"{path} has {n} buckets, not {buckets}")
-    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int")
-    batch = batch.withColumn(BUCKET_COL, bucket)
-    if first:
-        once = M.upsert(batch.limit(0), batch, keys, order=order)
-        staged = _stage(once, path, [BUCKET_COL])
-        spark.createDataFrame([(str(n),)], "n string").coalesce(1).write.text(_bucket_file(staged))
-        _swap(spark, staged, path)
+    if not table_exists(spark, path):
+        spec = _new_buckets(batch, keys, buckets, expected_rows)
+        once = M.upsert(batch.limit(0), batch, keys, order=order).withColumn(BUCKET_COL, _bucket_of(keys, spec))
+        _put_buckets(spark, once, path, spec)
         return
-    touched = batch.select(BUCKET_COL).distinct()
-    old = stored_table(spark, path, batch.schema).join(touched, BUCKET_COL, "left_semi")
-    _replace_parts(cut_lineage(M.upsert(old, batch, keys, order=order)), path, BUCKET_COL)
+    spec = _buckets(spark, path)
+    if buckets not in (None, spec["n"]):
+        raise ValueError(f"{path} has {spec['n']} buckets, not {buckets}")
+    batch = batch.withColumn(BUCKET_COL, _bucket_of(keys, spec))
+    _note_schema(spark, path, batch.schema)
+    touched = cut_lineage(batch.select(BUCKET_COL).distinct())
+    old = stored_table(spark, path).join(touched, BUCKET_COL, "left_semi")
+    merged = cut_lineage(M.upsert(old, batch, keys, order=order))
+    _replace_parts(merged, path, BUCKET_COL)
+    rows, many = merged.count(), touched.count()
+    if not spec["fixed"] and rows > 2 * ROWS_PER_BUCKET * many:
+        spec["n"] *= 2 ** (rows // (ROWS_PER_BUCKET * many)).bit_length()
+        spec["block"] = -(-spec["block"] // 8)  # neighbourhoods in step with more and smaller buckets
+        _put_buckets(spark, stored_table(spark, path).withColumn(BUCKET_COL, _bucket_of(keys, spec)), path, spec)
+
+
+def _put_buckets(spark: SparkSession, rows: DataFrame, path: str, spec: dict) -> None:
+    """Put ``rows`` (with their bucket) in the table's place, whole or not at all."""
+    staged = _stage(rows, path, [BUCKET_COL])
+    _write_note(spark, staged, "buckets", json.dumps(spec))
+    _note_schema(spark, staged, rows.schema)
+    _swap(spark, staged, path)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
@@ -152,9 +221,10 @@ def write_replace_days(spark: SparkSession, new: DataFrame, path: str, date_col:
     date are kept and added to (see :func:`~playledger.operators.merge.replace_dates`)."""
     batch = cut_lineage(new)
     if not table_exists(spark, path):
-        _swap(spark, _stage(batch, path, [date_col]), path)
+        write_new(batch, path, date_col)
         return
     touched = batch.select(date_col).distinct()
+    _note_schema(spark, path, batch.schema)
     old = M.match_keys(stored_table(spark, path, batch.schema), touched, date_col, "left_semi")
     _replace_parts(cut_lineage(M.replace_dates(old, batch, date_col, dates)), path, date_col)
 

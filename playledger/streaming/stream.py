@@ -35,7 +35,7 @@ def hourly_window_counts(stream: DataFrame, ts: str, keys: list[str], value: str
     """Per (hour window, keys): plays and summed value; state older than the watermark is dropped.
 
     Plays behind the watermark are not in the counts.  :func:`run_available_now` reports how many (window, key) groups
-    of them there were; redeliver their day through :func:`replace_day_batches`, which has no watermark, to count them."""
+    of them there were; :func:`hourly_day_batches` counts them, too."""
     return (stream.withWatermark(ts, watermark)
                   .groupBy(F.window(ts, "1 hour").alias("w"), *keys)
                   .agg(F.count(F.lit(1)).alias("emisje"), F.sum(value).alias("Duration"))
@@ -81,6 +81,64 @@ def run_available_now(df: DataFrame, batch_fn, name: str, checkpoint: str | None
     return checkpoint
 
 
+EPOCH = "__epoch"
+
+
+def hourly_day_batches(table_path: str, ts: str, keys: list[str], value: str, watermark: str = "2 hours"):
+    """T2/T3 without loss: foreachBatch function over raw rows that keeps hourly counts by day and counts late rows as well.
+
+    Each batch is rolled up by (hour, keys) and replaces its own part of the days that it has rows for; the counts of the
+    batches before it in those days are folded into one row for each key.  Rows in time touch the last day or two; rows
+    behind the high-water mark of the earlier batches (the greatest event time less ``watermark``) rewrite their own days,
+    and how many (hour, key) groups they make is kept with the mark.  A batch that is run again after a failure finds its
+    earlier rows by its number and replaces them.  No row is read twice from the landing folder.  :func:`read_hourly` gives
+    the counts, :func:`late_groups` the late ones.  The table belongs to one checkpoint: a new one would number its batches
+    from 0 again, which is refused."""
+    marks_path = f"{table_path.rstrip('/')}__marks"
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        marks = spark.read.schema(f"mark timestamp, late bigint, {EPOCH} bigint").parquet(marks_path) \
+            if sinks.table_exists(spark, marks_path) else None
+        before, last = (None, -1) if marks is None else \
+            marks.agg(F.max(F.when(F.col(EPOCH) < epoch_id, F.col("mark"))), F.max(EPOCH)).first()
+        if last > epoch_id:
+            raise ValueError(f"{table_path} holds batch {last} of another checkpoint; this one is at {epoch_id}")
+        rows = batch.withColumn("window_start", F.date_trunc("hour", F.col(ts)))
+        part = cut_lineage(rows.groupBy("window_start", *keys).agg(F.count(F.lit(1)).alias("emisje"), F.sum(value).alias("Duration"),
+                                                                   F.max(F.col(ts).cast("timestamp")).alias("newest"))
+                           .withColumn("day", F.date_format("window_start", "yyyy-MM-dd")))
+        if part.isEmpty():
+            return
+        behind = F.col("window_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(before) - F.expr(f"INTERVAL {watermark}")
+        newest, late = part.agg(F.max("newest"), F.count_if(behind) if before else F.lit(0).cast("bigint")).first()
+        own = part.drop("newest").withColumn(EPOCH, F.lit(epoch_id).cast("bigint"))
+        if sinks.table_exists(spark, table_path):
+            old = match_keys(sinks.stored_table(spark, table_path).where(F.col(EPOCH) < epoch_id), own.select("day"), "day", "left_semi")
+            folded = old.groupBy("day", "window_start", *keys).agg(F.sum("emisje").alias("emisje"), F.sum("Duration").alias("Duration"),
+                                                                   F.max(EPOCH).alias(EPOCH))
+            sinks._replace_parts(cut_lineage(own.unionByName(folded)), table_path, "day")
+        else:
+            sinks.write_new(own, table_path, "day")
+        mark = max(m for m in (before, newest) if m is not None) if before or newest else None
+        noted = spark.createDataFrame([(mark, late, epoch_id)], f"mark timestamp, late bigint, {EPOCH} bigint").coalesce(1)
+        noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(EPOCH).parquet(marks_path)
+    return fn
+
+
+def read_hourly(spark: SparkSession, table_path: str) -> DataFrame:
+    """The counts that :func:`hourly_day_batches` keeps: one row for each hour and key."""
+    df = sinks.stored_table(spark, table_path)
+    keys = [c for c in df.columns if c not in ("day", "emisje", "Duration", EPOCH)]
+    return df.groupBy(*keys).agg(F.sum("emisje").alias("emisje"), F.sum("Duration").alias("Duration"))
+
+
+def late_groups(spark: SparkSession, table_path: str) -> int:
+    """How many (hour, key) groups came behind the mark, over all batches."""
+    marks = spark.read.schema(f"late bigint, {EPOCH} bigint").parquet(f"{table_path.rstrip('/')}__marks")
+    return marks.agg(F.coalesce(F.sum("late"), F.lit(0))).first()[0]
+
+
 def upsert_batches(table_path: str, keys: list[str], buckets: int | None = None):
     """T4: foreachBatch function that upserts each micro-batch into ``table_path`` by ``keys`` (``buckets``: see
     :func:`~playledger.sources.sinks.write_upsert`; a micro-batch rewrites only the buckets it touches)."""
@@ -135,7 +193,7 @@ def ingest_play_log_batches(table_path: str, keys: list[str], sums: dict):
         spill = rows.where(~F.col("file_date").eqNullSafe(F.col("DateEnd")))
         kept = rows.where("file_date = DateEnd").unionByName(match_keys(spill, own, "DateEnd", "left_anti"))
         if first:
-            sinks._swap(spark, sinks._stage(kept, table_path, ["DateEnd"]), table_path)
+            sinks.write_new(kept, table_path, "DateEnd")
         else:
             sinks._replace_parts(cut_lineage(kept), table_path, "DateEnd")
     return fn
