@@ -137,7 +137,7 @@ def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame
 BUCKET_COL = "__bucket"
 #: Rows that a bucket should hold; twice as many make the table grow.
 ROWS_PER_BUCKET = 1_000_000
-#: Blocks of neighbouring whole-number keys for each bucket that a table is created with.
+#: Blocks of neighbouring whole-number keys in a bucket.
 BLOCKS_PER_BUCKET = 8
 
 
@@ -158,13 +158,16 @@ def _bucket_of(keys: list[str], spec: dict):
     return F.pmod(F.xxhash64(*parts), F.lit(spec["n"])).cast("int")
 
 
-def _new_buckets(batch: DataFrame, keys: list[str], buckets: int | None, expected_rows: int | None) -> dict:
-    n = buckets or max(1, -(-(expected_rows or batch.count()) // ROWS_PER_BUCKET))
-    block = 0
-    if isinstance(batch.schema[keys[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        lo, hi = batch.agg(F.min(f"`{keys[0]}`"), F.max(f"`{keys[0]}`")).first()
-        block = max(1, (hi - lo + 1) // (max(n, 16) * BLOCKS_PER_BUCKET)) if lo is not None else 0
-    return {"n": n, "block": block, "fixed": buckets is not None}
+def _new_buckets(rows: DataFrame, keys: list[str], n: int | None, fixed: bool) -> dict:
+    """The bucket count and, for whole-number keys, the width of a block of neighbours: about an eighth of a bucket's rows."""
+    whole = isinstance(rows.schema[keys[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    key = F.col(f"`{keys[0]}`") if whole else F.lit(None).cast("bigint")
+    many, lo, hi = rows.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    n = n or max(1, -(-many // ROWS_PER_BUCKET))
+    if lo is None:
+        return {"n": n, "block": 0, "fixed": fixed, "rows": many}
+    share = n if fixed else max(1, many / ROWS_PER_BUCKET)
+    return {"n": n, "block": max(1, int((hi - lo + 1) / share / BLOCKS_PER_BUCKET)), "fixed": fixed, "rows": many}
 
 
 def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], order: list | None = None,
@@ -174,14 +177,14 @@ def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
     The table is partitioned by a bucket of the key; a batch reads and replaces only the buckets it touches: of whole-number
     keys those of the keys' neighbourhoods, of others, by hash, as many as it has keys.  ``buckets`` fixes their number for
     good (another one is refused later).  Otherwise there is one for each million of ``expected_rows``, or of the first
-    batch's rows, and when the buckets that a batch leaves hold twice a million rows on average, the table is dealt into
-    more, as a staged copy that takes its place.  NULL keys are keys like any other, and columns that the batch lacks are
+    batch's rows, and when they hold more than two million rows on average, the table is dealt into eight times as many,
+    as a staged copy that takes its place.  NULL keys are keys like any other, and columns that the batch lacks are
     kept (NULL in its rows)."""
     batch = cut_lineage(new)
     if batch.isEmpty():
         return
     if not table_exists(spark, path):
-        spec = _new_buckets(batch, keys, buckets, expected_rows)
+        spec = _new_buckets(batch, keys, buckets or (expected_rows and -(-expected_rows // ROWS_PER_BUCKET)), buckets is not None)
         once = M.upsert(batch.limit(0), batch, keys, order=order).withColumn(BUCKET_COL, _bucket_of(keys, spec))
         _put_buckets(spark, once, path, spec)
         return
@@ -193,12 +196,14 @@ def write_upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
     touched = cut_lineage(batch.select(BUCKET_COL).distinct())
     old = stored_table(spark, path).join(touched, BUCKET_COL, "left_semi")
     merged = cut_lineage(M.upsert(old, batch, keys, order=order))
+    spec["rows"] += merged.count() - old.count()
     _replace_parts(merged, path, BUCKET_COL)
-    rows, many = merged.count(), touched.count()
-    if not spec["fixed"] and rows > 2 * ROWS_PER_BUCKET * many:
-        spec["n"] *= 2 ** (rows // (ROWS_PER_BUCKET * many)).bit_length()
-        spec["block"] = -(-spec["block"] // 8)  # neighbourhoods in step with more and smaller buckets
-        _put_buckets(spark, stored_table(spark, path).withColumn(BUCKET_COL, _bucket_of(keys, spec)), path, spec)
+    if spec["fixed"] or spec["rows"] <= 2 * ROWS_PER_BUCKET * spec["n"]:
+        _write_note(spark, path, "buckets", json.dumps(spec))
+        return
+    table = stored_table(spark, path)
+    spec = _new_buckets(table, keys, 4 * -(-spec["rows"] // ROWS_PER_BUCKET), False)
+    _put_buckets(spark, table.withColumn(BUCKET_COL, _bucket_of(keys, spec)), path, spec)
 
 
 def _put_buckets(spark: SparkSession, rows: DataFrame, path: str, spec: dict) -> None:
