@@ -244,9 +244,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         # the next hub: of the members outside the component of the least one
         least = open_.groupBy("bucket").agg(F.min("component").alias("least"))
-        hub = open_.join(least, "bucket").where("component <> least").groupBy("bucket").agg(F.min(F.struct("node", "component")).alias("h"))
-        open_ = stored(open_.join(hub, "bucket").select("bucket", "node", "component", F.col("h.node").alias("hub"),
-                                                        F.col("h.component").alias("hub_component")), "open")
+        # stored, so that a heavy bucket's members are split in the join and folded in each task for the minimum
+        other = stored(open_.join(least, "bucket").where("component <> least").select("bucket", "node", "component"), "others")
+        hub = other.groupBy("bucket").agg(F.min("node").alias("hub"), F.min_by("component", "node").alias("hub_component"))
+        open_ = stored(open_.join(hub, "bucket"), "open")
     if not open_.isEmpty():
         rest = stored(open_.select("node", "component").distinct(), "rest_nodes")
         pairs = stored(_prefix_pairs(rest, sets, percent).join(tried, ["a", "b"], "left_anti"), "rest_pairs")
