@@ -57,6 +57,58 @@ BALANCING_CARRY = [
     "campaign_name", "advertiser", "client_id", "client_name", "campaign_start", "campaign_end", "owner_email",
     "owner_user_id", "campaign_price", "contract_id",
 ]
+# Source field -> column, by source table.
+FRAME_FIELDS = {
+    "frame_id": "frame_id", "screen_id": "panel_id", "screen_uuid": "panel_uuid", "group_id": "screen_id",
+    "group_uuid": "screen_uuid",
+}
+SCREEN_FIELDS = {
+    "id": "screen_id", "name": "screen_name", "address": "screen_address", "resolution": "resolution",
+    "orientation": "orientation",
+}
+PLAYER_FIELDS = {
+    "id": "player_id", "claimed_resource_id": "play_log_player_id", "name": "player_name", "hostname": "hostname",
+    "active": "player_active", "licensed": "licensed", "nscreens": "nscreens", "target_display_unit_id": "display_unit_id",
+}
+DISPLAY_UNIT_FIELDS = {
+    "id": "display_unit_id", "name": "display_unit_name", "address": "du_address", "timezone": "timezone",
+    "active": "du_active",
+}
+LOG_RESERVATION_FIELDS = {
+    "id": "CampID", "name": "reservation_name", "start_date": "reservation_start", "end_date": "reservation_end",
+    "state": "reservation_state",
+}
+LOG_PROPOSAL_FIELDS = {
+    "id": "proposal_id", "name": "proposal_name", "advertiser": "advertiser", "client_name": "client_name",
+    "contract_number": "contract_id", "status": "status", "start_date": "proposal_start", "end_date": "proposal_end",
+}
+ENRICHED_COLUMNS = [
+    "DateEnd", "timeslot", "timeslot_label", "PlayerID", "FrameID", "DisplayUnitID", "AdCopyId", "CampID",
+    "contract_id", "emisje", "Impresje", "Duration", "reservation_name", "reservation_state",
+    "reservation_start", "reservation_end", "display_unit_name", "du_address", "screen_id", "screen_name",
+    "screen_address", "proposal_id", "proposal_name", "advertiser", "client_name", "proposal_start",
+    "proposal_end", "status",
+]
+# Positional layout of the raw play log (13 tab-separated fields; the rest are ignored).
+PLAY_LOG_FIELDS = {
+    0: "PlayerID", 1: "DateEndTime", 2: "Duration", 3: "AdCopyId", 5: "CampID", 6: "FrameID", 7: "DisplayUnitID",
+    8: "Impresje",
+}
+PLAY_LOG_WIDTH = 13
+PLAY_LOG_JSON_FIELD = 12
+PLAY_LOG_CSV_COLUMNS = [
+    "PlayerID", "DateEnd", "timeslot", "AdCopyId", "CampID", "FrameID", "DisplayUnitID", "contract_id",
+    "Duration", "Impresje", "emisje", "timeslot_label",
+]
+# Tokens in line-item names (lower-cased): a text anywhere, or a word between underscores, spaces or slashes.
+NAME_TOKEN_TEXTS = {"LL": "liveline", "STV": "stroertv", "MM": "metromax"}
+NAME_TOKEN_PATTERNS = {
+    "LL": r"(^|[_ /])ll([_ /]|$)",
+    "STV": r"(^|[_ /])stv([_ /]|$)",
+    "DMB": r"(^|[_ /])dmb([_ /]|$)",
+    "TP": r"(^|[_ /])tp([_ /]|$)",
+}
+NAME_TOKENS = ["LL", "STV", "MM", "DMB", "TP"]
 RESERVATION_FIELDS = {
     "id": "reservation_id", "name": "reservation_name", "start_date": "reservation_start", "end_date": "reservation_end",
     "state": "reservation_state", "saturation": "saturation", "duration_msec": "duration_msec", "active": "active",

@@ -118,21 +118,19 @@ def player_format(c) -> Column:
     return F.when(n.contains("liveline"), F.lit("liveline")).when(n.contains("stroertv"), F.lit("stroertv"))
 
 
-def _word(tok: str) -> str:
-    return r"(^|[_ /])" + tok + r"([_ /]|$)"
-
-
 def name_tokens(c) -> Column:
-    """Format tokens present in a line-item name, in the fixed order LL, STV, MM, DMB, TP."""
+    """Format tokens present in a line-item name, in the fixed order of the configuration."""
     n = F.lower(_c(c))
-    toks = [
-        ("LL", n.contains("liveline") | n.rlike(_word("ll"))),
-        ("STV", n.contains("stroertv") | n.rlike(_word("stv"))),
-        ("MM", n.contains("metromax")),
-        ("DMB", n.rlike(_word("dmb"))),
-        ("TP", n.rlike(_word("tp"))),
-    ]
-    arr = F.array_compact(F.array(*[F.when(cond, F.lit(t)) for t, cond in toks]))
+
+    def there(tok):
+        found = F.lit(False)
+        if tok in K.NAME_TOKEN_TEXTS:
+            found = found | n.contains(K.NAME_TOKEN_TEXTS[tok])
+        if tok in K.NAME_TOKEN_PATTERNS:
+            found = found | n.rlike(K.NAME_TOKEN_PATTERNS[tok])
+        return found
+
+    arr = F.array_compact(F.array(*[F.when(there(t), F.lit(t)) for t in K.NAME_TOKENS]))
     return F.when(_c(c).isNull(), F.array().cast("array<string>")).otherwise(arr)
 
 

@@ -17,13 +17,6 @@ from ..functions.semantics import to_double, to_long, to_ts
 from ..operators.rollup import latest_by
 from ..session import store
 
-# Positional layout of the raw play log (13 tab-separated fields; the rest are ignored).
-PLAY_LOG_FIELDS = {0: "PlayerID", 1: "DateEndTime", 2: "Duration", 3: "AdCopyId", 5: "CampID", 6: "FrameID",
-                   7: "DisplayUnitID", 8: "Impresje"}
-PLAY_LOG_WIDTH = 13
-PLAY_LOG_JSON_FIELD = 12
-
-
 def read_layer(spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None,
                columns: list[str] | None = None) -> DataFrame:
     """``<root>/<name>`` Parquet table; a missing table raises.  A declared schema avoids footer
@@ -40,10 +33,10 @@ def parse_play_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     lines are skipped, short lines are padded with NULLs, unparsable numbers/timestamps become NULL,
     ``contract_id`` is captured from the JSON text of field 12.  Other input columns are kept."""
     parts = F.split(F.col(value_col), "\t")
-    rows = lines.where((F.trim(F.col(value_col)) != "") & (F.size(parts) <= PLAY_LOG_WIDTH)).withColumn("__p", parts)
+    rows = lines.where((F.trim(F.col(value_col)) != "") & (F.size(parts) <= K.PLAY_LOG_WIDTH)).withColumn("__p", parts)
     p = F.col("__p")
     cols = []
-    for i, name in PLAY_LOG_FIELDS.items():
+    for i, name in K.PLAY_LOG_FIELDS.items():
         v = F.try_element_at(p, F.lit(i + 1))
         if name == "DateEndTime":
             cols.append(to_ts(v).alias(name))
@@ -51,7 +44,7 @@ def parse_play_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
             cols.append(to_double(v).alias(name))
         else:
             cols.append(to_long(v).alias(name))
-    cols.append(json_text_field(F.try_element_at(p, F.lit(PLAY_LOG_JSON_FIELD + 1)), "contract_id").alias("contract_id"))
+    cols.append(json_text_field(F.try_element_at(p, F.lit(K.PLAY_LOG_JSON_FIELD + 1)), "contract_id").alias("contract_id"))
     keep = [F.col(c) for c in lines.columns if c != value_col]
     return rows.select(*cols, *keep)
 
@@ -125,16 +118,12 @@ def latest_file_rows(df: DataFrame, date_col: str = "file_date") -> DataFrame:
     return df.where(F.col(date_col) == newest)
 
 
-PLAY_LOG_CSV_COLUMNS = ["PlayerID", "DateEnd", "timeslot", "AdCopyId", "CampID", "FrameID", "DisplayUnitID", "contract_id",
-                        "Duration", "Impresje", "emisje", "timeslot_label"]
-
-
 def read_csv_bootstrap(spark: SparkSession, path: str) -> DataFrame:
     """Historical CSV with a header; missing columns are added as NULL, the projection is fixed."""
     df = spark.read.option("header", True).csv(path)
     cols = []
     text_cols = ("DateEnd", "timeslot_label", "contract_id")
-    for c in PLAY_LOG_CSV_COLUMNS:
+    for c in K.PLAY_LOG_CSV_COLUMNS:
         if c not in df.columns:
             t = "string" if c in text_cols else "double" if c == "Duration" else "bigint"
             cols.append(F.lit(None).cast(t).alias(c))
