@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from playledger.llm import bpe, decontam, exact_dedup, quality, simhash
 from playledger.llm.common import rows_in, stored
+from playledger.session import path_of, scratch_path, scratch_scope
 
 ORACLE_SQL = None
 
@@ -39,8 +40,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each component of SimHash links the document with the least doc_id stays, null last, then the least sha256."""
     found = stored(simhash.near_duplicates(docs, shingle=3, max_bits=3, text_key=True), "near")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")
-    kept = stored(found.groupBy("component").agg(F.min(order).alias("d")).select("d.doc_id", "d.text_sha256"), "kept")
-    return rows_in(docs, kept, BY_TEXT)
+    kept = found.groupBy("component").agg(F.min(order).alias("d"))
+    gone = found.join(kept, "component").where("NOT (doc_id <=> d.doc_id AND text_sha256 = d.text_sha256)")
+    return rows_in(docs, stored(gone.select("doc_id", "text_sha256").distinct(), "dropped"), BY_TEXT, "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +63,16 @@ STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage), ("near
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage.  When a stage's result is written, its own steps and the stage before go."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, f"llm-{name}")
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            fs, at = path_of(spark, before)
+            fs.delete(at, True)
+        before = path
     return docs

@@ -24,14 +24,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return store(df, f"llm-{name}")
 
 
+#: Rows, and bytes of their texts, up to which keys are sent to every task.
+SEND_KEYS, SEND_KEY_BYTES = 400_000, 40 << 20
+
+
+def sent(keys: DataFrame) -> DataFrame:
+    """``keys`` (a stored frame) with a broadcast hint if they are few, by rows and by the length of their texts."""
+    texts = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) for f in keys.schema.fields
+             if f.dataType.typeName() in ("string", "struct")]
+    size = keys.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("b")).first()
+    return F.broadcast(keys) if size.n <= SEND_KEYS and size.b <= SEND_KEY_BYTES else keys
+
+
 def rows_in(docs: DataFrame, keys: DataFrame, made: dict[str, Callable], how: str = "left_semi", once: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, whose key is in ``keys`` (or, with "left_anti", is not); null equals null.
 
     ``made``: for each column of ``keys`` a function from a column getter of ``docs`` to the key's expression.  Columns
-    of ``docs`` may have any names.  ``once``: one row for each key only."""
+    of ``docs`` may have any names.  ``once``: one row for each key only.  With "left_anti" the keys, which are then stored
+    ones, are sent to all tasks if they are few, and no text is shuffled: so let ``keys`` be those of the rows to drop."""
     own = [f"_c{k}" for k in range(len(docs.columns))]
+    keys = keys.select(*made)
     named = docs.toDF(*own).withColumns({f"_m_{k}": f(lambda c: F.col(own[docs.columns.index(c)])) for k, f in made.items()})
-    right = keys.select(*[F.col(k).alias(f"_r_{k}") for k in made]).distinct()
+    right = sent(keys).select(*[F.col(k).alias(f"_r_{k}") for k in made]) if how == "left_anti" else \
+        keys.select(*[F.col(k).alias(f"_r_{k}") for k in made]).distinct()
     cond = reduce(Column.__and__, [F.col(f"_m_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in made])
     out = named.join(right, cond, how)
     if once:

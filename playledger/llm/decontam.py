@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, words
+from .common import sent, stored, words
 
 #: Rows and bytes up to which sketches or item shingles are sent to every task, and rows of plain hashes.
 SEND_ROWS, SEND_BYTES, SEND_HASHES = 200_000, 32 << 20, 2_000_000
@@ -74,8 +74,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         rows = rows.join(F.broadcast(small), "h", "left_semi")  # 8 bytes a row; only what can match is shuffled then
     found = stored(rows.select("doc_id", "h").join(_sent(sketch), "h").select("doc_id", "item_id").distinct(), "candidates")
 
-    # only the candidates' texts are cut again
-    ids = found.select(F.col("doc_id").alias("cand_id")).distinct()
+    # only the candidates' texts are cut again; few ids are sent to the texts, which then stay where they are
+    ids = sent(stored(found.select(F.col("doc_id").alias("cand_id")).distinct(), "ids"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")) \
         .join(ids, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left_semi")
     have = _all_shingles(texts.select("doc_id", w("_text").alias("w")), ["doc_id"], used, text)

@@ -43,8 +43,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`exact_duplicates` keeps; one row where id and text repeat."""
-    found = exact_duplicates(docs, id_col, text_col, keep=keep).where("kept")
-    ids = stored(found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")), "kept")
+    found = stored(exact_duplicates(docs, id_col, text_col, keep=keep).select("doc_id", "text_sha256", "kept"), "found")
     made = {"doc_id": lambda c: c(id_col),
             "text_sha256": lambda c: F.sha2(F.coalesce(c(text_col).cast("string"), F.lit("")), 256)}
-    return rows_in(docs, ids, made, once=not ids.where("n > 1").isEmpty())
+    own = found.where("kept")
+    if own.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        # whether a row stays follows from its id and text, so those to drop say it as well, and they are fewer
+        return rows_in(docs, stored(found.where("NOT kept").select("doc_id", "text_sha256").distinct(), "dropped"), made, "left_anti")
+    return rows_in(docs, own, made, once=True)
