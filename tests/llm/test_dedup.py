@@ -156,6 +156,7 @@ def test_substring_of_other_windows(spark):
 
 def test_leaks_without_broadcast(spark, docs, doc_rows, monkeypatch):
     monkeypatch.setattr(decontam, "SEND_ROWS", 0)
+    monkeypatch.setattr(common, "SEND_KEYS", 0)
     items = duckdb.sql("SELECT item_id, text FROM read_parquet('/root/testdata/sf0.001/benchmark.parquet')").fetchall()
     leaks = decontam.find_leaks(docs, spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet"))
     assert sorted(((x.doc_id, x.item_id, x.n_shared, x.n_item) for x in leaks.collect()), key=str) == brute_leaks([(i, t) for i, t, _ in doc_rows], items)

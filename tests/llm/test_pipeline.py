@@ -58,3 +58,38 @@ def test_rows_of_one_id_are_judged_each(spark):
     kept = [tuple(r) for r in P.near_dedup_stage(spark, spark.createDataFrame(rows, schema), SF).collect()]
     assert len(kept) == 4 and rows[0] in kept and rows[3] in kept and rows[6] in kept
     assert sum(i is None for i, _ in kept) == 1
+
+
+def test_very_long_texts(spark):
+    long = "".join(f"word{k % 40_000}{' ' if k % 9 else chr(10)}" for k in range(160_000))  # above a megabyte
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(1, long), (2, long), (3, long + " end"), (4, long[::-1] + " " + item), (5, long[::-1]), (6, "a short one of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = P.exact_dedup_stage(spark, docs, SF)
+    assert sorted(r.doc_id for r in docs.select("doc_id").collect()) == [1, 3, 4, 5, 6]
+    docs = P.near_dedup_stage(spark, docs, SF)
+    assert sorted(r.doc_id for r in docs.select("doc_id").collect()) == [1, 4, 6]
+    docs = P.decontamination_stage(spark, docs, SF)
+    assert sorted(r.doc_id for r in docs.select("doc_id").collect()) == [1, 6]
+    out = {r.doc_id: r.ids for r in P.encode_stage(spark, docs, SF).collect()}
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(), special_tokens={})
+    assert out == {i: lib.encode_ordinary(t) for i, t in rows if i in (1, 6)}
+    assert P.quality_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).count() <= 6
+
+
+def test_dropped_rows_sent_or_joined(spark, docs, monkeypatch):
+    from playledger.llm import common
+    stages = (P.exact_dedup_stage, P.near_dedup_stage, P.decontamination_stage)
+    sent = [sorted(r.doc_id for r in stage(spark, docs, SF).select("doc_id").collect()) for stage in stages]
+    monkeypatch.setattr(common, "SEND_KEYS", 0)
+    assert sent == [sorted(r.doc_id for r in stage(spark, docs, SF).select("doc_id").collect()) for stage in stages]
+
+
+def test_run_leaves_its_result_only(spark):
+    import glob
+    from playledger.session import ensure_checkpoint_dir
+    at = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{at}/playledger-*"))
+    n = P.run(spark, SF).count()
+    left = set(glob.glob(f"{at}/playledger-*")) - before
+    assert n and len(left) == 1 and "llm-encode" in left.pop()
