@@ -234,10 +234,12 @@ def q_run_log_text(spark, d):
              .when(F.col("event_id") % 10 == 0, F.concat(F.lit("  Kampanie: "), (F.col("event_id") % 500).cast("string")))
              .otherwise(F.concat(F.lit("  OK   step_"), F.col("event_type"))))
     path = scratch_path(spark, "runlog")
-    (ev.select("user_id", "ts", "event_id", line.alias("value")).repartition("user_id")
-       .sortWithinPartitions("user_id", "ts", "event_id").select("user_id", "value")
-       .write.partitionBy("user_id").text(path))
-    lines = RD.read_run_log(spark, path).withColumn("user_id", F.col("user_id").cast("bigint"))
+    # as a log collector writes them: many logs to a file, each line with its log's name, a log's lines in order.  (A file
+    # for each log made as many files as users, which the driver lists, commits and deals out one by one.)
+    named = F.concat(F.col("user_id").cast("string"), F.lit("\t"), F.coalesce(line, F.lit(""))).alias("value")
+    (ev.where(F.col("user_id").isNotNull()).select("user_id", "ts", "event_id", named).repartition("user_id")
+       .sortWithinPartitions("user_id", "ts", "event_id").select("value").write.text(path))
+    lines = RD.read_run_log(spark, path, tagged=True).withColumn("user_id", F.col("log").try_cast("bigint"))
     facts = run_log_facts(parse_run_log(lines), "user_id", "line_no")
     fmt = "yyyy-MM-dd HH:mm:ss"
     return facts.select("user_id", "run_no", F.date_format("started", fmt).alias("started"),
